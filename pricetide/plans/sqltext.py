@@ -12,11 +12,12 @@ from pricetide.sources.adapters import EVENT_TYPES
 
 def r2(x: str) -> str:
     """SQL spelling of the engine rounding rule (half-up on the binary value)."""
-    return f"(floor(({x}) * 100.0 + 0.5) / 100.0)"
+    # e-notation literals are DOUBLE in both Spark SQL and DuckDB (100.0 would be DECIMAL in Spark)
+    return f"(floor(({x}) * 1e2 + 5e-1) / 1e2)"
 
 
 def r4(x: str) -> str:
-    return f"(floor(({x}) * 10000.0 + 0.5) / 10000.0)"
+    return f"(floor(({x}) * 1e4 + 5e-1) / 1e4)"
 
 
 def _sq(s: str) -> str:

@@ -37,11 +37,13 @@ def _changes_sql(src: str) -> str:
             f"{r2(f'(price - {prev}) / nullif({prev}, 0.0) * 100.0')} AS price_change_pct FROM {src} WHERE rn = 1")
 
 
-E_CTE = f"""
+def e_cte(src: str = "events") -> str:
+    """Adapter E as CTEs over the relation ``src`` (default: the events view)."""
+    return f"""
 ev AS (
   SELECT event_id, ts, user_id, event_type, value, CAST({_EV_CASE} AS BIGINT) AS category_id,
          user_id * 10 + CAST({_EV_CASE} AS BIGINT) AS product_id
-  FROM events),
+  FROM {src}),
 stores AS ({STORES_SQL}),
 categories AS (SELECT * FROM (VALUES {", ".join(f"(CAST({i} AS BIGINT), {_sq(t)})" for i, t in enumerate(EVENT_TYPES, 1))}) AS t(id, name)),
 products AS (
@@ -59,6 +61,9 @@ price_history AS (
   SELECT id, product_id, price, '{K.BASE_CURRENCY}' AS currency, event_type <> 'error' AS availability,
          price_change, price_change_pct, scraped_at, obs_date FROM ph_chg)"""
 
+
+E_CTE = e_cte("events")
+
 R_CTE = f"""
 li AS (
   SELECT l.l_orderkey, l.l_partkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_shipdate,

@@ -90,11 +90,26 @@ def _event_type_no(c: Column) -> Column:
     return F.coalesce(F.element_at(m, c), F.lit(0)).cast("bigint")
 
 
-def events_star(spark: SparkSession, sf_dir: str) -> Star:
-    ev = (read_table(spark, sf_dir, "events")
-          .select("event_id", "ts", "user_id", "event_type", "value")
-          .withColumn("category_id", _event_type_no(F.col("event_type")))
-          .withColumn("product_id", F.col("user_id") * 10 + F.col("category_id")))
+def event_observations(events: DataFrame) -> DataFrame:
+    """Events as product observations: event_id, ts, user_id, event_type, value,
+    category_id, product_id, name, store_id."""
+    return (events.select("event_id", "ts", "user_id", "event_type", "value")
+            .withColumn("category_id", _event_type_no(F.col("event_type")))
+            .withColumn("product_id", F.col("user_id") * 10 + F.col("category_id"))
+            .withColumn("name", F.concat(F.col("event_type"), F.lit(" #"), F.col("user_id").cast("string")))
+            .withColumn("store_id", F.col("user_id") % 3 + 1))
+
+
+def last_day_cut(events: DataFrame) -> Column:
+    """The UTC day of the newest event (scalar sub-query): the 'incoming' batch
+    of the split-in-two load scenarios."""
+    return events.select(F.to_date(F.max("ts"))).scalar()
+
+
+def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> Star:
+    """Star schema of adapter E; ``events`` overrides the table (e.g. a time slice)."""
+    src = events if events is not None else read_table(spark, sf_dir, "events")
+    ev = event_observations(src)
 
     categories = spark.createDataFrame([(i, t) for i, t in enumerate(EVENT_TYPES, 1)],
                                        "id bigint, name string")

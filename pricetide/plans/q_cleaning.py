@@ -1 +1,215 @@
-"""placeholder"""
+"""Registered cleaning queries C1-C14 (documents and retail listings)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricetide import constants as K
+from pricetide.functions import KEEP_CLASS, WS_CLASS, clean_name
+from pricetide.operators import cleaning as CL
+from pricetide.plans.catalog import query
+from pricetide.plans.sqltext import r2
+from pricetide.sources.raw import RETAIL_LISTINGS_SQL, retail_listings
+from pricetide.sources.tables import read_table
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g')"
+
+
+def clean_name_sql(c: str) -> str:
+    s = strip_sql(f"CAST({c} AS VARCHAR)")
+    s = f"regexp_replace({s}, '{WS_CLASS}+', ' ', 'g')"
+    s = f"regexp_replace({s}, '[\\x{{0}}-\\x{{1F}}]', '', 'g')"
+    s = f"regexp_replace({s}, '[^{KEEP_CLASS}]', '', 'g')"
+    return f"substring(upper(substring({s}, 1, 1)) || substring({s}, 2), 1, {K.NAME_MAX_CHARS})"
+
+
+def lookup_sql(c: str, ids: dict, aliases: dict) -> str:
+    exact = "CASE " + c + " " + " ".join(f"WHEN {_sq(k)} THEN {v}" for k, v in ids.items()) + " END"
+    al = {a: ids[n] for a, n in aliases.items() if n in ids}
+    alias = ("CASE lower(" + strip_sql(c) + ") " +
+             " ".join(f"WHEN {_sq(k)} THEN {v}" for k, v in al.items()) + " END")
+    return f"CAST(coalesce({exact}, {alias}) AS BIGINT)"
+
+
+CAT_SQL = lookup_sql("category", CL.category_ids(), K.CATEGORY_ALIASES)
+STORE_SQL = lookup_sql("store_name", CL.store_ids(), K.STORE_ALIASES)
+LO_SQL = "CASE category_id " + " ".join(f"WHEN {i} THEN {float(a)}" for i, _, a, _ in K.CATEGORIES) + " END"
+HI_SQL = "CASE category_id " + " ".join(f"WHEN {i} THEN {float(b)}" for i, _, _, b in K.CATEGORIES) + " END"
+OK_SQL = f"(price IS NOT NULL AND NOT isnan(price) AND price > 0 AND (({LO_SQL}) IS NULL OR price BETWEEN {LO_SQL} AND {HI_SQL}))"
+
+RAW_CTE = f"raw AS ({RETAIL_LISTINGS_SQL})"
+STAGES_CTE = f"""{RAW_CTE},
+named AS (SELECT * REPLACE ({clean_name_sql('name')} AS name) FROM raw),
+mapped AS (SELECT *, {CAT_SQL} AS category_id, {STORE_SQL} AS store_id FROM named WHERE length(name) > 0),
+conv AS (SELECT * REPLACE (
+           CASE WHEN upper(currency) = 'USD' THEN {r2(f'price * {K.USD_TO_MXN}')} ELSE price END AS price,
+           CASE WHEN upper(currency) = 'USD' THEN '{K.BASE_CURRENCY}' ELSE currency END AS currency),
+           price AS price_original
+         FROM mapped WHERE category_id IS NOT NULL AND store_id IS NOT NULL AND upper(currency) IN ('USD', 'MXN')),
+d1 AS (SELECT * EXCLUDE (rn1) FROM (
+         SELECT *, row_number() OVER (PARTITION BY name, store_id
+            ORDER BY scraped_at DESC, price ASC, sku DESC, url DESC, brand DESC, currency DESC) AS rn1 FROM conv) x
+       WHERE rn1 = 1),
+d2 AS (SELECT * FROM d1 WHERE url IS NULL OR url = ''
+       UNION ALL
+       SELECT * EXCLUDE (rn2) FROM (
+         SELECT *, row_number() OVER (PARTITION BY url, store_id ORDER BY scraped_at DESC, name ASC, price ASC) AS rn2
+         FROM d1 WHERE url <> '') y WHERE rn2 = 1)"""
+
+_OUT = "name, store_id, category_id, price, currency, url, sku, scraped_at"
+
+
+def _raw(spark, d):
+    return retail_listings(spark, d)
+
+
+def _staged(spark, d):
+    raw = _raw(spark, d)
+    return CL.convert_currencies(CL.map_stores(CL.map_categories(CL.normalize_names(raw))))
+
+
+@query("c01_names_documents", f"""
+SELECT doc_id, name FROM (SELECT doc_id, {clean_name_sql('text')} AS name FROM documents) x
+WHERE length(name) > 0""")
+def c01(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    return CL.normalize_names(docs.withColumnRenamed("text", "name")).select("doc_id", "name")
+
+
+@query("c01_names_listings_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber, name FROM (
+  SELECT l_orderkey, l_linenumber, {clean_name_sql('name')} AS name FROM raw) x WHERE length(name) > 0""")
+def c01_r(spark, d):
+    return CL.normalize_names(_raw(spark, d)).select("l_orderkey", "l_linenumber", "name")
+
+
+@query("c02_category_lookup_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber, category, category_id FROM (
+  SELECT l_orderkey, l_linenumber, category, {CAT_SQL} AS category_id FROM raw) x WHERE category_id IS NOT NULL""")
+def c02(spark, d):
+    return CL.map_categories(_raw(spark, d)).select("l_orderkey", "l_linenumber", "category", "category_id")
+
+
+@query("c03_store_lookup_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber, store_name, store_id FROM (
+  SELECT l_orderkey, l_linenumber, store_name, {STORE_SQL} AS store_id FROM raw) x WHERE store_id IS NOT NULL""")
+def c03(spark, d):
+    return CL.map_stores(_raw(spark, d)).select("l_orderkey", "l_linenumber", "store_name", "store_id")
+
+
+@query("c04_currency_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber, price AS price_original,
+       CASE WHEN upper(currency) = 'USD' THEN {r2(f'price * {K.USD_TO_MXN}')} ELSE price END AS price,
+       CASE WHEN upper(currency) = 'USD' THEN '{K.BASE_CURRENCY}' ELSE currency END AS currency
+FROM raw WHERE upper(currency) IN ('USD', 'MXN')""")
+def c04(spark, d):
+    return CL.convert_currencies(_raw(spark, d)).select("l_orderkey", "l_linenumber", "price_original", "price",
+                                                        "currency")
+
+
+@query("c05_dedup_name_r", f"WITH {STAGES_CTE}\nSELECT {_OUT} FROM d1")
+def c05(spark, d):
+    return CL.dedup_by_name(_staged(spark, d)).select(*_OUT.split(", "))
+
+
+@query("c06_dedup_url_r", f"WITH {STAGES_CTE}\nSELECT {_OUT} FROM d2")
+def c06(spark, d):
+    return CL.dedup_by_url(CL.dedup_by_name(_staged(spark, d))).select(*_OUT.split(", "))
+
+
+@query("c07_price_range_r", f"""WITH {RAW_CTE},
+m AS (SELECT l_orderkey, l_linenumber, price, {CAT_SQL} AS category_id FROM raw)
+SELECT l_orderkey, l_linenumber, category_id, price FROM m WHERE category_id IS NOT NULL AND {OK_SQL}""")
+def c07(spark, d):
+    return CL.validate_prices(CL.map_categories(_raw(spark, d))).select("l_orderkey", "l_linenumber",
+                                                                          "category_id", "price")
+
+
+@query("c09_clean_all_r", f"WITH {STAGES_CTE}\nSELECT {_OUT}, price_original FROM d2 WHERE {OK_SQL}")
+def c09(spark, d):
+    return CL.clean_all(_raw(spark, d)).data.select(*_OUT.split(", "), "price_original")
+
+
+@query("c10_clean_metrics_r", f"""WITH {STAGES_CTE}
+SELECT (SELECT count(*) FROM raw) AS rows_input,
+       (SELECT count(*) FROM named WHERE length(name) > 0) AS rows_after_normalize,
+       (SELECT count(*) FROM mapped WHERE category_id IS NULL) AS unmapped_categories,
+       (SELECT count(*) FROM mapped WHERE category_id IS NOT NULL) AS rows_after_category_map,
+       (SELECT count(*) FROM mapped WHERE category_id IS NOT NULL AND store_id IS NULL) AS unmapped_stores,
+       (SELECT count(*) FROM mapped WHERE category_id IS NOT NULL AND store_id IS NOT NULL) AS rows_after_store_map,
+       (SELECT count(*) FROM mapped WHERE category_id IS NOT NULL AND store_id IS NOT NULL
+          AND upper(currency) = 'USD') AS prices_converted,
+       (SELECT count(*) FROM conv) AS rows_after_currency,
+       (SELECT count(*) FROM d2) AS rows_after_dedup,
+       (SELECT count(*) FROM d2 WHERE NOT {OK_SQL}) AS invalid_prices,
+       (SELECT count(*) FROM d2 WHERE {OK_SQL}) AS rows_output,
+       (SELECT count(*) FROM conv) - (SELECT count(*) FROM d2) AS duplicates_removed,
+       (SELECT count(*) FROM d2 WHERE {OK_SQL}) AS rows_after_validation""")
+def c10(spark, d):
+    return CL.clean_all(_raw(spark, d)).metrics
+
+
+@query("c11_reject_summary_r", f"""WITH {STAGES_CTE},
+early AS (
+  SELECT CASE WHEN length(n.name) = 0 OR n.name IS NULL THEN 'empty_name'
+              WHEN {CAT_SQL.replace('category', 'n.category')} IS NULL THEN 'unmapped_category'
+              WHEN {STORE_SQL.replace('store_name', 'n.store_name')} IS NULL THEN 'unmapped_store'
+              WHEN NOT coalesce(upper(n.currency) IN ('USD', 'MXN'), FALSE) THEN 'unsupported_currency' END AS reason,
+         n.category, n.store_name, n.currency
+  FROM named n),
+rej AS (
+  SELECT reason, CASE reason WHEN 'unmapped_category' THEN category WHEN 'unmapped_store' THEN store_name
+                             WHEN 'unsupported_currency' THEN currency END AS value
+  FROM early WHERE reason IS NOT NULL
+  UNION ALL SELECT 'duplicate', NULL FROM conv
+  UNION ALL SELECT 'invalid_price', NULL FROM d2 WHERE NOT {OK_SQL})
+SELECT reason AS reject_reason, value, count(*) - CASE WHEN reason = 'duplicate' THEN (SELECT count(*) FROM d2) ELSE 0 END AS rows
+FROM rej GROUP BY reason, value""")
+def c11(spark, d):
+    return CL.reject_summary(CL.rejects(_raw(spark, d)))
+
+
+@query("c11_out_of_range_examples_r", f"""WITH {STAGES_CTE},
+bad AS (SELECT DISTINCT category_id, name FROM d2 WHERE price > 0 AND ({LO_SQL}) IS NOT NULL
+        AND NOT (price BETWEEN {LO_SQL} AND {HI_SQL}))
+SELECT category_id, name, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY name) AS rn FROM bad) x WHERE rn <= 3""")
+def c11_examples(spark, d):
+    raw = _raw(spark, d)
+    staged = CL.convert_currencies(CL.map_stores(CL.map_categories(CL.normalize_names(raw))))
+    return CL.out_of_range_examples(CL.dedup_by_url(CL.dedup_by_name(staged)))
+
+
+@query("c12_clamp_r", f"""WITH {RAW_CTE},
+m AS (SELECT l_orderkey, l_linenumber, price, {CAT_SQL} AS category_id FROM raw)
+SELECT l_orderkey, l_linenumber, category_id,
+       CASE WHEN ({LO_SQL}) IS NULL THEN price ELSE greatest({LO_SQL}, least({HI_SQL}, price)) END AS price
+FROM m WHERE category_id IS NOT NULL""")
+def c12(spark, d):
+    return CL.clamp_to_range(CL.map_categories(_raw(spark, d))).select("l_orderkey", "l_linenumber",
+                                                                         "category_id", "price")
+
+
+@query("c13_ts_parse_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber,
+       coalesce(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S'),
+                (SELECT max(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S')) FROM raw)) AS scraped_ts
+FROM raw""")
+def c13(spark, d):
+    raw = _raw(spark, d)
+    default = raw.select(F.max(F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss"))
+                               .cast("timestamp_ntz"))).scalar()
+    return CL.parse_times(raw, default).select("l_orderkey", "l_linenumber", "scraped_ts")
+
+
+@query("c14_null_safe_strings_r", f"""WITH {RAW_CTE}
+SELECT l_orderkey, l_linenumber, brand, url, sku FROM raw""")
+def c14(spark, d):
+    return CL.null_safe_strings(_raw(spark, d), ["brand", "url", "sku"]).select(
+        "l_orderkey", "l_linenumber", "brand", "url", "sku")

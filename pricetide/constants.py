@@ -130,6 +130,6 @@ DRIFT_THRESHOLD = 0.10
 
 # --- FIXED VALUES: run log ---
 RUN_STATUS_SUCCESS = "success"
-RUN_STATUS_PARTIAL = "partial"
+RUN_STATUS_PARTIAL = "partial_success"
 RUN_STATUS_FAILURE = "failure"
 LOG_MESSAGE_MAX = 500

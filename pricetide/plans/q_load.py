@@ -1 +1,327 @@
-"""placeholder"""
+"""Registered load (L1-L11) and integrity (V1-V7) queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricetide import constants as K
+from pricetide.operators import cleaning as CL
+from pricetide.operators import load as L
+from pricetide.plans.catalog import query
+from pricetide.plans.sqltext import _EV_CASE, E_CTE, e_cte, r2
+from pricetide.sources.adapters import categories_dim, events_split, events_star, retail_star
+from pricetide.sources.raw import STORE_SPELLINGS, retail_listings
+from pricetide.sources.tables import read_table
+
+# ----------------------------------------------------------------------------
+# oracle building blocks for the split scenario (stored = older events,
+# incoming = the last 12 hours reduced to one row per (name, store_id))
+# ----------------------------------------------------------------------------
+_CUT = "(SELECT max(ts) - INTERVAL 12 HOUR FROM events)"
+_RUN = "(SELECT max(ts) FROM events)"
+SPLIT_CTE = f"""base AS (SELECT * FROM events WHERE ts < {_CUT}),
+{e_cte('base')},
+inc0 AS (
+  SELECT event_id, event_type || ' #' || CAST(user_id AS VARCHAR) AS name, user_id % 3 + 1 AS store_id,
+         CAST({_EV_CASE} AS BIGINT) AS category_id, 'brand ' || CAST(user_id % 5 AS VARCHAR) AS brand,
+         '/item/' || CAST(user_id * 10 + CAST({_EV_CASE} AS BIGINT) AS VARCHAR) AS url,
+         'EV-' || CAST(user_id * 10 + CAST({_EV_CASE} AS BIGINT) AS VARCHAR) AS sku,
+         value AS price, '{K.BASE_CURRENCY}' AS currency, event_type <> 'error' AS availability, ts AS scraped_at
+  FROM events WHERE ts >= {_CUT}),
+inc AS (SELECT * EXCLUDE (irn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, store_id ORDER BY scraped_at DESC, price ASC, event_id DESC) AS irn
+  FROM inc0) x WHERE irn = 1),
+upd AS (
+  SELECT p.id, p.name, p.store_id,
+         CASE WHEN i.name IS NULL THEN p.brand ELSE i.brand END AS brand,
+         CASE WHEN i.name IS NULL THEN p.url ELSE i.url END AS url,
+         CASE WHEN i.name IS NULL THEN p.sku ELSE i.sku END AS sku,
+         CASE WHEN i.name IS NULL THEN p.category_id ELSE i.category_id END AS category_id,
+         p.created_at, CASE WHEN i.name IS NULL THEN 'keep' ELSE 'update' END AS action
+  FROM products p LEFT JOIN inc i ON p.name = i.name AND p.store_id = i.store_id),
+newp AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM products) + row_number() OVER (ORDER BY i.name, i.store_id) AS id,
+         i.name, i.store_id, i.brand, i.url, i.sku, i.category_id, {_RUN} AS created_at, 'insert' AS action
+  FROM inc i WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.name = i.name AND p.store_id = i.store_id)),
+nextp AS (SELECT * FROM upd UNION ALL SELECT * FROM newp),
+inc2 AS (SELECT n.id AS product_id, i.price, i.currency, i.availability, i.scraped_at,
+                CAST(i.scraped_at AS DATE) AS obs_date
+         FROM inc i JOIN nextp n ON i.name = n.name AND i.store_id = n.store_id),
+prevp AS (SELECT product_id, price AS prev FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, id DESC) AS prn FROM price_history) x
+  WHERE prn = 1),
+j AS (
+  SELECT inc2.*, prevp.prev AS previous_price,
+         {r2('inc2.price - prevp.prev')} AS price_change,
+         {r2('(inc2.price - prevp.prev) / nullif(prevp.prev, 0.0) * 100.0')} AS price_change_pct,
+         CASE WHEN sd.id IS NULL THEN 'insert' WHEN sd.price <> inc2.price THEN 'update' ELSE 'noop' END AS action
+  FROM inc2 LEFT JOIN prevp ON inc2.product_id = prevp.product_id
+  LEFT JOIN price_history sd ON sd.product_id = inc2.product_id AND sd.obs_date = inc2.obs_date),
+kept AS (
+  SELECT h.id, h.product_id,
+         CASE WHEN j.action = 'update' THEN j.price ELSE h.price END AS price,
+         CASE WHEN j.action = 'update' THEN j.currency ELSE h.currency END AS currency,
+         CASE WHEN j.action = 'update' THEN j.availability ELSE h.availability END AS availability,
+         CASE WHEN j.action = 'update' THEN j.price_change ELSE h.price_change END AS price_change,
+         CASE WHEN j.action = 'update' THEN j.price_change_pct ELSE h.price_change_pct END AS price_change_pct,
+         h.scraped_at, h.obs_date
+  FROM price_history h LEFT JOIN j ON j.product_id = h.product_id AND j.obs_date = h.obs_date),
+insp AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM price_history) + row_number() OVER (ORDER BY product_id, obs_date) AS id,
+         product_id, price, currency, availability, price_change, price_change_pct, scraped_at, obs_date
+  FROM j WHERE action = 'insert'),
+nextph AS (SELECT * FROM kept UNION ALL SELECT * FROM insp)"""
+
+_PCOLS = "id, name, brand, url, sku, category_id, store_id, created_at"
+_PHCOLS = "id, product_id, price, currency, availability, price_change, price_change_pct, scraped_at, obs_date"
+
+
+def _run_split(spark, d):
+    b = events_split(spark, d)
+    up = L.upsert_products(b.stored.products, b.incoming, b.run_time)
+    inc2 = (b.incoming.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
+            .select("product_id", "price", "currency", "availability", "scraped_at"))
+    prices = L.load_prices(b.stored.price_history, inc2)
+    return b, up, prices
+
+
+@query("l01_product_upsert_e", f"WITH {SPLIT_CTE}\nSELECT {_PCOLS} FROM nextp")
+def l01(spark, d):
+    b = events_split(spark, d)
+    return L.upsert_products(b.stored.products, b.incoming, b.run_time).table
+
+
+@query("l02_daily_price_upsert_e", f"WITH {SPLIT_CTE}\nSELECT {_PHCOLS} FROM nextph")
+def l02(spark, d):
+    return _run_split(spark, d)[2].table
+
+
+@query("l03_change_at_load_e", f"""WITH {SPLIT_CTE}
+SELECT product_id, obs_date, price, previous_price, price_change, price_change_pct, action FROM j""")
+def l03(spark, d):
+    return _run_split(spark, d)[2].actions
+
+
+@query("l04_surrogate_keys_e", f"WITH {SPLIT_CTE}\nSELECT id, name, store_id, action FROM nextp WHERE action <> 'keep'")
+def l04(spark, d):
+    b = events_split(spark, d)
+    return L.upsert_products(b.stored.products, b.incoming, b.run_time).actions
+
+
+_COUNTERS_SQL = """SELECT (SELECT count(*) FROM inc) AS products_found,
+       count(*) FILTER (WHERE action = 'insert') AS inserted,
+       count(*) FILTER (WHERE action = 'update') AS updated,
+       count(*) FILTER (WHERE action = 'noop') AS unchanged,
+       count(*) FILTER (WHERE action IN ('insert', 'update', 'noop')) AS products_saved,
+       (SELECT count(*) FROM inc) - count(*) FILTER (WHERE action IN ('insert', 'update', 'noop')) AS products_failed
+FROM j"""
+
+
+@query("l06_load_counters_e", f"WITH {SPLIT_CTE}\n{_COUNTERS_SQL}")
+def l06(spark, d):
+    b, up, prices = _run_split(spark, d)
+    return L.load_counters(prices.actions, b.incoming)
+
+
+_SRC_SQL = """src AS (SELECT s.id AS store_id, s.name AS store_name, count(i.name) AS products
+        FROM stores s LEFT JOIN inc i ON i.store_id = s.id GROUP BY s.id, s.name),
+cnt AS (""" + _COUNTERS_SQL + """),
+st AS (SELECT cnt.*, (SELECT count(*) FILTER (WHERE products > 0) FROM src) AS sources_ok,
+              (SELECT count(*) FROM src) AS sources_total FROM cnt),
+st2 AS (SELECT *, CASE WHEN products_saved > 0 AND sources_ok = sources_total THEN 'success'
+                       WHEN products_saved > 0 THEN 'partial_success' ELSE 'failure' END AS status FROM st)"""
+
+
+@query("l07_run_status_e", f"WITH {SPLIT_CTE},\n{_SRC_SQL}\nSELECT * FROM st2")
+def l07(spark, d):
+    b, up, prices = _run_split(spark, d)
+    return L.run_status(L.load_counters(prices.actions, b.incoming), L.source_counts(b.incoming, b.stored.stores))
+
+
+def _per_category(b):
+    grid = (F.broadcast(b.stored.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name")))
+            .crossJoin(F.broadcast(b.stored.categories.select(F.col("id").alias("category_id")))))  # stores x categories
+    got = b.incoming.groupBy("store_id", "category_id").agg(F.count(F.lit(1)).alias("products"))
+    return grid.join(got, ["store_id", "category_id"], "left").fillna(0, ["products"])
+
+
+_PERCAT_SQL = """pc AS (SELECT s.name AS store_name, c.id AS category_id, count(i.name) AS products
+       FROM stores s CROSS JOIN categories c LEFT JOIN inc i ON i.store_id = s.id AND i.category_id = c.id
+       GROUP BY s.name, c.id),
+summ AS (SELECT store_name, CAST(sum(products) AS BIGINT) AS products, count(*) FILTER (WHERE products > 0) AS categories_ok,
+                count(*) FILTER (WHERE products = 0) AS categories_fail FROM pc GROUP BY store_name),
+summ2 AS (SELECT *, printf('%s: %d products (%d categories ok, %d failed)', store_name, products, categories_ok,
+                           categories_fail) AS message FROM summ)"""
+
+
+@query("l09_run_summary_e", f"WITH {SPLIT_CTE},\n{_PERCAT_SQL}\nSELECT * FROM summ2")
+def l09(spark, d):
+    b = events_split(spark, d)
+    return L.run_summary(_per_category(b))
+
+
+@query("l08_run_log_e", f"""WITH {SPLIT_CTE},
+{_SRC_SQL},
+{_PERCAT_SQL},
+msg AS (SELECT st2.*, concat_ws(' | ', 'status ' || status,
+                 printf('%d found, %d saved, %d failed', products_found, products_saved, products_failed),
+                 (SELECT string_agg(message, ' | ' ORDER BY message) FROM summ2)) AS message FROM st2)
+SELECT CAST(1 AS BIGINT) AS id, 'price_etl' AS process_name, status, substring(message, 1, {K.LOG_MESSAGE_MAX}) AS message,
+       CAST(0 AS INTEGER) AS execution_time_ms, CAST(products_found AS INTEGER) AS products_found,
+       CAST(products_saved AS INTEGER) AS products_saved, CAST(products_failed AS INTEGER) AS products_failed,
+       {_RUN} AS created_at
+FROM msg""")
+def l08(spark, d):
+    b, up, prices = _run_split(spark, d)
+    status = L.run_status(L.load_counters(prices.actions, b.incoming), L.source_counts(b.incoming, b.stored.stores))
+    msg = L.run_message(status, L.run_summary(_per_category(b)))
+    return L.run_log_row(msg, F.lit(1), b.run_time, F.lit(0))
+
+
+@query("l05_insert_absent_r", """WITH dim AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"(CAST({i} AS BIGINT), '{n}')" for i, n, *_ in K.CATEGORIES) + """) AS t(id, name)),
+new AS (SELECT DISTINCT p_type AS name FROM part WHERE p_type NOT IN (SELECT name FROM dim))
+SELECT id, name FROM dim
+UNION ALL
+SELECT (SELECT max(id) FROM dim) + row_number() OVER (ORDER BY name) AS id, name FROM new""")
+def l05(spark, d):
+    names = read_table(spark, d, "part").select(F.col("p_type").alias("name"))
+    return L.insert_absent(categories_dim(spark).select("id", "name"), names)
+
+
+@query("l10_consolidate_sources_r", None)
+def l10(spark, d):
+    raw = retail_listings(spark, d)
+    frames = [raw.filter(F.col("store_name") == s) for s in STORE_SPELLINGS]
+    return L.consolidate(*frames).groupBy("store_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("l11_full_run_r", None)
+def l11(spark, d):
+    """First run into an empty state: clean -> upsert products -> load prices."""
+    cleaned = CL.clean_all(retail_listings(spark, d)).data
+    run_time = cleaned.select(F.max(F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))).scalar()
+    empty_p = spark.createDataFrame([], "id bigint, name string, brand string, url string, sku string, "
+                                        "category_id bigint, store_id bigint, created_at timestamp_ntz")
+    empty_h = spark.createDataFrame([], "id bigint, product_id bigint, price double, currency string, "
+                                        "availability boolean, price_change double, price_change_pct double, "
+                                        "scraped_at timestamp_ntz, obs_date date")
+    up = L.upsert_products(empty_p, cleaned, run_time)
+    inc = (cleaned.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
+           .select("product_id", "price", "currency", "availability",
+                   CL.parse_scraped_at(F.col("scraped_at"), run_time).alias("scraped_at")))
+    return L.load_prices(empty_h, inc).table
+
+
+# l10 / l11 oracle texts (registered after the functions to reuse the cleaning SQL)
+def _late_oracles():
+    from pricetide.plans.catalog import ORACLE
+    from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE
+    from pricetide.sources.raw import RETAIL_LISTINGS_SQL
+    ORACLE["l10_consolidate_sources_r"] = (
+        f"WITH raw AS ({RETAIL_LISTINGS_SQL})\nSELECT store_name, count(*) AS rows FROM raw "
+        f"WHERE store_name IN ({', '.join(repr(s) for s in STORE_SPELLINGS)}) GROUP BY store_name")
+    ORACLE["l11_full_run_r"] = f"""WITH {STAGES_CTE},
+cl AS (SELECT * FROM d2 WHERE {OK_SQL}),
+rt AS (SELECT max(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S')) AS t FROM cl),
+p AS (SELECT row_number() OVER (ORDER BY name, store_id) AS pid, * FROM cl)
+SELECT row_number() OVER (ORDER BY pid, CAST(coalesce(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S'), (SELECT t FROM rt)) AS DATE)) AS id,
+       pid AS product_id, price, currency, availability, CAST(NULL AS DOUBLE) AS price_change,
+       CAST(NULL AS DOUBLE) AS price_change_pct,
+       coalesce(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S'), (SELECT t FROM rt)) AS scraped_at,
+       CAST(coalesce(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S'), (SELECT t FROM rt)) AS DATE) AS obs_date
+FROM p"""
+
+
+_late_oracles()
+
+# ----------------------------------------------------------------------------
+# V1 .. V7 over the events star
+# ----------------------------------------------------------------------------
+
+
+def _tables(spark, d):
+    s = events_star(spark, d)
+    return {"stores": s.stores, "categories": s.categories, "products": s.products, "price_history": s.price_history}
+
+
+@query("v01_uniqueness_e", f"""WITH {E_CTE}
+SELECT 'stores.name' AS constraint_name, (SELECT count(*) FROM (SELECT name FROM stores GROUP BY name HAVING count(*) > 1) x) AS violations
+UNION ALL SELECT 'categories.name', (SELECT count(*) FROM (SELECT name FROM categories GROUP BY name HAVING count(*) > 1) x)
+UNION ALL SELECT 'products.name_store', (SELECT count(*) FROM (SELECT name, store_id FROM products GROUP BY name, store_id HAVING count(*) > 1) x)
+UNION ALL SELECT 'price_history.product_scraped_at', (SELECT count(*) FROM (SELECT product_id, scraped_at FROM price_history GROUP BY product_id, scraped_at HAVING count(*) > 1) x)""")
+def v01(spark, d):
+    return L.uniqueness(_tables(spark, d))
+
+
+@query("v02_orphans_e", f"""WITH {E_CTE}
+SELECT 'products.category_id' AS constraint_name, (SELECT count(*) FROM products p WHERE NOT EXISTS (SELECT 1 FROM categories c WHERE c.id = p.category_id)) AS violations
+UNION ALL SELECT 'products.store_id', (SELECT count(*) FROM products p WHERE NOT EXISTS (SELECT 1 FROM stores s WHERE s.id = p.store_id))
+UNION ALL SELECT 'price_history.product_id', (SELECT count(*) FROM price_history h WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id = h.product_id))""")
+def v02(spark, d):
+    return L.orphans(_tables(spark, d))
+
+
+def _nn_sql():
+    parts = []
+    for t, cols in L.NOT_NULL.items():
+        for c in cols:
+            parts.append(f"SELECT '{t}.{c}' AS column_name, (SELECT count(*) FROM {t} WHERE {c} IS NULL) AS violations")
+    return f"WITH {E_CTE}\n" + "\nUNION ALL ".join(parts)
+
+
+def _len_sql():
+    parts = []
+    for t, cols in L.MAX_LEN.items():
+        for c, n in cols.items():
+            parts.append(f"SELECT '{t}.{c}' AS column_name, (SELECT count(*) FROM {t} WHERE length({c}) > {n}) AS violations")
+    return f"WITH {E_CTE}\n" + "\nUNION ALL ".join(parts)
+
+
+@query("v03_not_null_e", _nn_sql())
+def v03(spark, d):
+    return L.null_counts(_tables(spark, d))
+
+
+@query("v04_length_e", _len_sql())
+def v04(spark, d):
+    return L.length_violations(_tables(spark, d))
+
+
+@query("v05_delete_cascade_e", f"""WITH {E_CTE}
+SELECT 'products' AS table_name, count(*) AS rows FROM products WHERE category_id <> 2
+UNION ALL SELECT 'price_history', count(*) FROM price_history h
+  WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id = h.product_id AND p.category_id = 2)""")
+def v05(spark, d):
+    t = _tables(spark, d)
+    after = L.delete_products(t, t["products"].filter(F.col("category_id") == 2))
+    return (after["products"].agg(F.count(F.lit(1)).alias("rows")).select(F.lit("products").alias("table_name"), "rows")
+            .unionByName(after["price_history"].agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit("price_history").alias("table_name"), "rows")))
+
+
+@query("v06_dims_in_use_r", """WITH li AS (
+  SELECT l.l_partkey, CAST(n.n_regionkey AS BIGINT) AS store_id FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
+categories AS (SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS id, name
+               FROM (SELECT DISTINCT p_type AS name FROM part) d),
+used_c AS (SELECT DISTINCT c.id FROM li JOIN part p ON li.l_partkey = p.p_partkey JOIN categories c ON c.name = p.p_type),
+used_s AS (SELECT DISTINCT store_id AS id FROM li)
+SELECT 'categories' AS table_name, c.id, c.name, c.id IN (SELECT id FROM used_c) AS in_use,
+       NOT (c.id IN (SELECT id FROM used_c)) AS deletable FROM categories c
+UNION ALL
+SELECT 'stores', CAST(r_regionkey AS BIGINT), r_name, CAST(r_regionkey AS BIGINT) IN (SELECT id FROM used_s),
+       NOT (CAST(r_regionkey AS BIGINT) IN (SELECT id FROM used_s)) FROM region""")
+def v06(spark, d):
+    s = retail_star(spark, d)
+    return L.dims_in_use({"stores": s.stores, "categories": s.categories, "products": s.products})
+
+
+@query("v07_default_fill_r", """SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name,
+       CASE WHEN r_regionkey % 2 = 1 THEN 'México' ELSE r_name END AS country
+FROM region""")
+def v07(spark, d):
+    region = read_table(spark, d, "region")
+    stores = region.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
+                           F.when(F.col("r_regionkey") % 2 == 0, F.col("r_name")).alias("country"))
+    return L.fill_defaults(stores, "stores", F.current_timestamp()).select("id", "name", "country")

@@ -174,3 +174,34 @@ def retail_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 ADAPTERS = {"e": events_star, "r": retail_star}
+
+
+@dataclass
+class Batch:
+    """A stored state and an incoming, already-cleaned batch (one row per
+    (name, store_id)), for the load scenarios."""
+
+    stored: Star
+    incoming: DataFrame
+    run_time: Column
+
+
+def events_split(spark: SparkSession, sf_dir: str, hours: int = 12) -> Batch:
+    """Stored state = events older than ``max(ts) - hours``; incoming batch =
+    the newer events, reduced to one row per (name, store_id) with the
+    cleaning rule (newest first, then lowest price).  Brand spelling of the
+    batch differs for some users so product updates occur."""
+    ev = read_table(spark, sf_dir, "events")
+    cut = ev.select(F.max("ts") - F.make_interval(hours=F.lit(int(hours)))).scalar()
+    stored = events_star(spark, sf_dir, ev.filter(F.col("ts") < cut))
+    obs = event_observations(ev.filter(F.col("ts") >= cut))
+    row = F.struct(F.col("category_id"), F.concat(F.lit("brand "), (F.col("user_id") % 5).cast("string")).alias("brand"),
+                   F.concat(F.lit("/item/"), F.col("product_id").cast("string")).alias("url"),
+                   F.concat(F.lit("EV-"), F.col("product_id").cast("string")).alias("sku"),
+                   F.col("value").alias("price"), F.lit(K.BASE_CURRENCY).alias("currency"),
+                   (F.col("event_type") != "error").alias("availability"), F.col("ts").alias("scraped_at"))
+    incoming = (obs.groupBy("name", "store_id")
+                   .agg(F.max_by(row, F.struct(F.col("ts"), -F.col("value"), F.col("event_id"))).alias("r"))
+                   .select("name", "store_id", "r.*"))
+    run_time = ev.select(F.max("ts")).scalar()
+    return Batch(stored, incoming, run_time)

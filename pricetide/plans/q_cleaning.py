@@ -26,7 +26,8 @@ def clean_name_sql(c: str) -> str:
     s = f"regexp_replace({s}, '{WS_CLASS}+', ' ', 'g')"
     s = f"regexp_replace({s}, '[\\x{{0}}-\\x{{1F}}]', '', 'g')"
     s = f"regexp_replace({s}, '[^{KEEP_CLASS}]', '', 'g')"
-    return f"substring(upper(substring({s}, 1, 1)) || substring({s}, 2), 1, {K.NAME_MAX_CHARS})"
+    first = f"CASE WHEN substring({s}, 1, 1) = 'ß' THEN 'SS' ELSE upper(substring({s}, 1, 1)) END"
+    return f"substring({first} || substring({s}, 2), 1, {K.NAME_MAX_CHARS})"
 
 
 def lookup_sql(c: str, ids: dict, aliases: dict) -> str:

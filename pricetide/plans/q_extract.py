@@ -1 +1,348 @@
-"""placeholder"""
+"""Registered extraction queries X1-X22 over the driver's ``pages`` table (and
+the retail listings / part table where the rule needs prices or categories)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricetide import constants as K
+from pricetide.functions import WS_CLASS, canonical_url, extract_sku, listing_name, parse_price
+from pricetide.operators import cleaning as CL
+from pricetide.operators import extract as X
+from pricetide.plans.catalog import query
+from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE, strip_sql
+from pricetide.sources.adapters import retail_star
+from pricetide.sources.raw import RETAIL_LISTINGS_SQL, retail_listings
+from pricetide.sources.tables import read_table
+
+R = X.DEFAULT_RULES
+# FIXED VALUES of the registered instances (parameters, not engine rules)
+WORDS = ["que", "the end", "wh"]          # classifier run with words that occur in the pages
+PRODUCT_CARD = [r'(?s)<div class="product-card">(.*?)</div>']   # store card layout (absent in these pages)
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def any_sql(col: str, phrases: list[str]) -> str:
+    if not phrases:
+        return "FALSE"
+    return "(" + " OR ".join(f"instr({col}, {_sq(p)}) > 0" for p in phrases) + ")"
+
+
+def listing_name_sql(c: str) -> str:
+    s = f"regexp_replace({strip_sql(c)}, '{WS_CLASS}+', ' ', 'g')"
+    s = f"regexp_replace({s}, '[\\x{{0}}-\\x{{1F}}]', '', 'g')"
+    # Python / Java upper-case 'ß' as 'SS'; DuckDB gives the capital sharp s, so spell it out
+    s = f"(CASE WHEN substring({s}, 1, 1) = 'ß' THEN 'SS' ELSE upper(substring({s}, 1, 1)) END || substring({s}, 2))"
+    return f"(CASE WHEN length({s}) > 300 THEN substring({s}, 1, 297) || '...' ELSE {s} END)"
+
+
+def parse_price_sql(c: str) -> str:
+    s = c
+    for m in K.PRICE_MARKERS:
+        s = f"replace({s}, {_sq(m)}, '')"
+    s = strip_sql(s)
+    rev = f"reverse({s})"
+    norm = (f"(CASE WHEN instr({s}, ',') > 0 AND instr({s}, '.') > 0 THEN "
+            f"(CASE WHEN instr({rev}, ',') < instr({rev}, '.') THEN replace(replace({s}, '.', ''), ',', '.') "
+            f"ELSE replace({s}, ',', '') END) "
+            f"WHEN instr({s}, ',') > 0 THEN "
+            f"(CASE WHEN length({s}) - length(replace({s}, ',', '')) = 1 AND length(reverse(split_part({rev}, ',', 1))) <= 2 "
+            f"THEN replace({s}, ',', '.') ELSE replace({s}, ',', '') END) ELSE {s} END)")
+    val = f"(CASE WHEN regexp_matches({norm}, '^[+-]?[0-9]+(\\.[0-9]*)?$|^[+-]?\\.[0-9]+$') THEN CAST({norm} AS DOUBLE) END)"
+    return f"(CASE WHEN {val} > 0 THEN {val} END)"
+
+
+def canonical_sql(c: str) -> str:
+    nf = f"split_part({c}, '#', 1)"
+    base = f"split_part({nf}, '?', 1)"
+    q = f"(CASE WHEN instr({nf}, '?') > 0 THEN substring({nf}, instr({nf}, '?') + 1) END)"
+    cond = " OR ".join(f"starts_with(p, {_sq(k + '=')})" for k in K.TRACKING_KEYS)
+    keep = f"list_filter(string_split({q}, '&'), lambda p: NOT ({cond}))"
+    rebuilt = (f"(CASE WHEN {q} IS NULL THEN {nf} WHEN len({keep}) > 0 THEN {base} || '?' || array_to_string({keep}, '&') "
+               f"ELSE {base} END)")
+    out = rebuilt
+    for pat in reversed(K.ITEM_URL_PATTERNS):
+        item = f"regexp_extract({nf}, {_sq(pat)}, 1)"
+        out = f"(CASE WHEN {item} <> '' THEN {item} ELSE {out} END)"
+    return out
+
+
+def sku_sql(c: str) -> str:
+    out = "CAST(NULL AS VARCHAR)"
+    for pat, prefix in reversed(K.SKU_RULES):
+        g = f"regexp_extract({c}, {_sq(pat)}, 1)"
+        out = f"(CASE WHEN {g} <> '' THEN {_sq(prefix)} || {g} ELSE {out} END)"
+    return out
+
+
+def strip_tags_sql(c: str) -> str:
+    return f"regexp_replace({c}, '<[^>]*>', ' ', 'g')"
+
+
+def cards_sql(pats: list[str]) -> str:
+    arr = "CAST([] AS VARCHAR[])"
+    for p in reversed(pats):
+        a = f"regexp_extract_all(html, {_sq(p)}, 1)"
+        arr = f"(CASE WHEN len({a}) > 0 THEN {a} ELSE {arr} END)"
+    return (f"cards AS (SELECT page_id, url, CAST(generate_subscripts(a, 1) AS INTEGER) AS card_no, unnest(a) AS card "
+            f"FROM (SELECT page_id, url, {arr} AS a FROM pages) x)")
+
+
+_NAME_CANDS = [f"trim({strip_tags_sql(f'regexp_extract(card, {_sq(p)}, 1)')})" for p in R["name"]] + \
+              [f"trim({strip_tags_sql('card')})"]
+_FIELDS = (f"fields AS (SELECT *, coalesce({', '.join(f'CASE WHEN length({c}) > 0 THEN {c} END' for c in _NAME_CANDS)}) AS raw_name, "
+           f"nullif(regexp_extract(card, {_sq(R['href'])}, 1), '') AS href, "
+           f"nullif(regexp_extract(card, {_sq(R['price'])}, 1), '') AS price_text FROM cards)")
+_HOST = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
+_LISTINGS = (f"listings AS (SELECT page_id, url AS page_url, card_no, {listing_name_sql('raw_name')} AS name, "
+             f"coalesce({parse_price_sql('price_text')}, 0.0) AS price, "
+             f"coalesce({parse_price_sql('price_text')}, 0.0) > 0 AS availability, "
+             f"coalesce(CASE WHEN starts_with(href, '/') THEN {_HOST} || href ELSE href END, '') AS url "
+             f"FROM fields WHERE raw_name IS NOT NULL)")
+
+
+def _pages(spark, d):
+    return read_table(spark, d, "pages")
+
+
+@query("x01_frontier_r", f"""WITH st AS (SELECT * FROM (VALUES {", ".join(f"({_sq(k)}, {_sq(t)}, {mp})" for k, t, _, mp in K.FRONTIER)}) AS t(store_key, template, max_pages)),
+q AS (SELECT * FROM (VALUES {", ".join(f"({_sq(s)}, {_sq(c)}, {_sq(t)})" for s, m in K.SEARCH_QUERIES.items() for c, t in m.items())}) AS t(store_key, category, query)),
+g AS (SELECT c.category, st.store_key, st.template, unnest(range(1, st.max_pages + 1)) AS page
+      FROM (SELECT DISTINCT p_type AS category FROM part) c CROSS JOIN st)
+SELECT g.store_key, g.category, CAST(g.page AS INTEGER) AS page,
+       replace(replace(replace(g.template, '{{query}}', replace(coalesce(q.query, lower(g.category)), ' ', '-')),
+               '{{page}}', CAST(g.page AS VARCHAR)), '{{offset}}', CAST((g.page - 1) * {K.FRONTIER_OFFSET_STEP} + 1 AS VARCHAR)) AS url
+FROM g LEFT JOIN q ON q.store_key = g.store_key AND q.category = g.category""")
+def x01(spark, d):
+    return X.frontier(spark, retail_star(spark, d).categories)
+
+
+@query("x02_cards_pages", f"WITH {cards_sql(R['cards'])}\nSELECT * FROM cards")
+def x02(spark, d):
+    return X.cards(_pages(spark, d))
+
+
+@query("x03_fields_pages", f"WITH {cards_sql(R['cards'])},\n{_FIELDS}\n"
+                           "SELECT page_id, card_no, raw_name, href, price_text FROM fields")
+def x03(spark, d):
+    return X.card_fields(X.cards(_pages(spark, d))).select("page_id", "card_no", "raw_name", "href", "price_text")
+
+
+@query("x04_listings_pages", f"WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS}\n"
+                             "SELECT page_id, card_no, name, price, availability, url FROM listings")
+def x04(spark, d):
+    return X.listings(X.card_fields(X.cards(_pages(spark, d)))).drop("page_url")
+
+
+_PARTS = """SELECT p_partkey, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS int_text,
+       CASE WHEN p_partkey % 3 = 0 THEN NULL
+            ELSE lpad(CAST(CAST(round((p_retailprice - floor(p_retailprice)) * 100) AS INTEGER) AS VARCHAR), 2, '0') END AS cents_text
+FROM part"""
+
+
+@query("x05_price_parts_part", f"""WITH t AS ({_PARTS})
+SELECT p_partkey, int_text, cents_text,
+       {parse_price_sql("CASE WHEN cents_text IS NOT NULL AND cents_text <> '' AND int_text IS NOT NULL THEN int_text || '.' || cents_text ELSE int_text END")} AS price
+FROM t""")
+def x05(spark, d):
+    p = read_table(spark, d, "part")
+    x = F.col("p_retailprice")
+    t = p.select("p_partkey", F.floor(x).cast("bigint").cast("string").alias("int_text"),
+                 F.when(F.col("p_partkey") % 3 == 0, F.lit(None).cast("string"))
+                  .otherwise(F.lpad(F.round((x - F.floor(x)) * 100).cast("int").cast("string"), 2, "0"))
+                  .alias("cents_text"))
+    return t.withColumn("price", X.price_from_parts(F.col("int_text"), F.col("cents_text")))
+
+
+_TEXT_SQL = """CASE p_partkey % 5
+  WHEN 0 THEN '$' || format('{:,.2f}', p_retailprice)
+  WHEN 1 THEN '€' || translate(format('{:,.2f}', p_retailprice), ',.', '.,')
+  WHEN 2 THEN 'US$ ' || printf('%.2f', p_retailprice)
+  WHEN 3 THEN replace(printf('%.2f', p_retailprice), '.', ',')
+  ELSE 'MXN ' || format('{:,}', CAST(floor(p_retailprice) AS BIGINT)) END"""
+
+
+@query("x06_price_text_part", f"""WITH t AS (SELECT p_partkey, {_TEXT_SQL} AS price_text FROM part)
+SELECT p_partkey, price_text, {parse_price_sql('price_text')} AS price FROM t""")
+def x06(spark, d):
+    p = read_table(spark, d, "part")
+    x = F.col("p_retailprice")
+    k = F.col("p_partkey") % 5
+    text = (F.when(k == 0, F.concat(F.lit("$"), F.format_number(x, 2)))
+             .when(k == 1, F.concat(F.lit("€"), F.translate(F.format_number(x, 2), ",.", ".,")))
+             .when(k == 2, F.concat(F.lit("US$ "), F.format_string("%.2f", x)))
+             .when(k == 3, F.replace(F.format_string("%.2f", x), F.lit("."), F.lit(",")))
+             .otherwise(F.concat(F.lit("MXN "), F.format_number(F.floor(x), 0))))
+    return p.select("p_partkey", text.alias("price_text")).withColumn("price", parse_price(F.col("price_text")))
+
+
+@query("x07_title_names_pages", f"""SELECT page_id, {listing_name_sql(f"regexp_extract(html, {_sq(R['title'])}, 1)")} AS name FROM pages""")
+def x07(spark, d):
+    return _pages(spark, d).select("page_id", listing_name(F.regexp_extract("html", R["title"], 1)).alias("name"))
+
+
+def _brand_case():
+    parts = []
+    for i, n, *_ in K.CATEGORIES:
+        lst = "[" + ", ".join(_sq(b) for b in K.BRANDS.get(n, [])) + "]"
+        parts.append(f"WHEN {i} THEN {lst}")
+    return "CASE category_id " + " ".join(parts) + " ELSE CAST([] AS VARCHAR[]) END"
+
+
+@query("x08_brand_inference_r", f"""WITH {STAGES_CTE}
+SELECT name, store_id, category_id,
+       list_filter({_brand_case()}, lambda b: instr(upper(name), upper(b)) > 0)[1] AS brand_inferred
+FROM d2 WHERE {OK_SQL}""")
+def x08(spark, d):
+    c = CL.clean_all(retail_listings(spark, d)).data
+    return c.select("name", "store_id", "category_id",
+                    X.infer_brand(F.col("name"), F.col("category_id")).alias("brand_inferred"))
+
+
+@query("x09_sku_r", f"""WITH raw AS ({RETAIL_LISTINGS_SQL})
+SELECT l_orderkey, l_linenumber, url, {sku_sql('url')} AS sku_extracted FROM raw""")
+def x09(spark, d):
+    return retail_listings(spark, d).select("l_orderkey", "l_linenumber", "url",
+                                             extract_sku(F.col("url")).alias("sku_extracted"))
+
+
+@query("x09_sku_pages", f"SELECT page_id, url, {sku_sql('url')} AS sku_extracted FROM pages")
+def x09p(spark, d):
+    return _pages(spark, d).select("page_id", "url", extract_sku(F.col("url")).alias("sku_extracted"))
+
+
+@query("x10_absolute_links_pages", f"""WITH l AS (
+  SELECT page_id, url, unnest(a) AS href, CAST(generate_subscripts(a, 1) AS INTEGER) AS link_no
+  FROM (SELECT page_id, url, regexp_extract_all(html, {_sq(R['links'])}, 1) AS a FROM pages) x)
+SELECT page_id, link_no, href, CASE WHEN starts_with(href, '/') THEN {_HOST} || href ELSE href END AS abs_url FROM l""")
+def x10(spark, d):
+    p = _pages(spark, d)
+    l = p.select("page_id", "url", F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(R["links"]), 1)))
+    return l.select("page_id", (F.col("pos") + 1).alias("link_no"), F.col("col").alias("href"),
+                    X.absolutize_url(F.col("col"), X.host_of(F.col("url"))).alias("abs_url"))
+
+
+@query("x11_canonical_urls_pages", f"SELECT page_id, url, {canonical_sql('url')} AS canonical FROM pages")
+def x11(spark, d):
+    return _pages(spark, d).select("page_id", "url", canonical_url(F.col("url")).alias("canonical"))
+
+
+def _classes_sql(cap_kw, cap_body, ch_title, ch_body, blocked, nores):
+    return f"""WITH t AS (SELECT page_id, url, lower(regexp_extract(html, {_sq(R['title'])}, 1)) AS title_lc,
+                  lower({strip_tags_sql('html')}) AS body_lc FROM pages)
+SELECT page_id, url, ({any_sql('title_lc', cap_kw)} OR {any_sql('body_lc', cap_body)}) AS is_captcha,
+       ({any_sql('title_lc', ch_title)} OR {any_sql('body_lc', ch_body)}) AS is_challenge,
+       {any_sql('body_lc', blocked)} AS is_blocked, {any_sql('body_lc', nores)} AS is_no_results
+FROM t"""
+
+
+@query("x12_page_classes_pages", _classes_sql(K.CAPTCHA_KEYWORDS, K.CAPTCHA_BODY_PHRASES, K.CHALLENGE_TITLE_KEYWORDS,
+                                              K.CHALLENGE_BODY_PHRASES, K.BLOCKED_PHRASES, K.NO_RESULTS_PHRASES))
+def x12(spark, d):
+    return X.classify_pages(_pages(spark, d))
+
+
+_W = dict(captcha_kw=WORDS[:1], captcha_body=WORDS[1:2], challenge_title=WORDS[2:], challenge_body=WORDS[:1],
+          blocked=WORDS[1:], no_results=WORDS[:2])
+
+
+@query("x13_page_classes_words_pages", _classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2]))
+def x13(spark, d):
+    return X.classify_pages(_pages(spark, d), **_W)
+
+
+@query("x16_block_cutoff_pages", f"""WITH c AS ({_classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2])}),
+g AS (SELECT *, {_HOST} AS host FROM c),
+f AS (SELECT host, min(page_id) AS first_block FROM g WHERE is_blocked GROUP BY host)
+SELECT g.page_id, g.url FROM g LEFT JOIN f ON g.host = f.host WHERE f.first_block IS NULL OR g.page_id < f.first_block""")
+def x16(spark, d):
+    c = X.classify_pages(_pages(spark, d), **_W)
+    return X.cut_after_block(c, X.host_of(F.col("url")), "page_id", "is_blocked").select("page_id", "url")
+
+
+@query("x17_fallback_links_pages", f"""WITH {cards_sql(PRODUCT_CARD)},
+cc AS (SELECT page_id, count(*) AS n_cards FROM cards GROUP BY page_id),
+e AS (SELECT * FROM pages p WHERE NOT EXISTS (SELECT 1 FROM cc WHERE cc.page_id = p.page_id AND cc.n_cards > 0)),
+l AS (SELECT page_id, url, unnest(a) AS href, generate_subscripts(a, 1) - 1 AS pos
+      FROM (SELECT page_id, url, regexp_extract_all(html, {_sq(R['links'])}, 1) AS a FROM e) x),
+u AS (SELECT page_id, url, href, min(pos) AS pos FROM l GROUP BY page_id, url, href)
+SELECT page_id, url, href, CAST(pos AS INTEGER) AS pos, CAST(link_no AS INTEGER) AS link_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS link_no FROM u) y WHERE link_no <= 40""")
+def x17(spark, d):
+    p = _pages(spark, d)
+    cc = X.cards(p, PRODUCT_CARD).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_cards"))
+    return X.fallback_links(p, cc, cap=40)
+
+
+@query("x18_listing_cap_pages", f"""WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},
+g AS (SELECT *, regexp_extract(page_url, '^(https?://[^/?#]+)', 1) AS host FROM listings),
+pp AS (SELECT host, page_id, count(*) AS n FROM g GROUP BY host, page_id),
+pb AS (SELECT host, page_id, coalesce(sum(n) OVER (PARTITION BY host ORDER BY page_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pp)
+SELECT g.page_id, g.card_no, g.name FROM g JOIN pb ON g.host = pb.host AND g.page_id = pb.page_id
+WHERE pb.before + g.card_no <= {K.FRONTIER[0][2] * K.FRONTIER[0][3]}""")
+def x18(spark, d):
+    lst = X.listings(X.card_fields(X.cards(_pages(spark, d))))
+    cap = K.FRONTIER[0][2] * K.FRONTIER[0][3]
+    return X.cap_listings(lst, X.host_of(F.col("page_url")), "page_id", "card_no", cap) \
+            .select("page_id", "card_no", "name")
+
+
+@query("x19_detail_prices_pages", f"""WITH t AS (
+  SELECT url, nullif(regexp_extract(html, {_sq(R['price'])}, 1), '') AS txt,
+         regexp_extract(html, '(US\\$|MX\\$|\\$|€|¥)\\s?[0-9]', 1) AS cur FROM pages),
+u AS (SELECT url, {parse_price_sql('txt')} AS price, cur FROM t)
+SELECT url, price, CASE WHEN price IS NOT NULL THEN CASE cur WHEN 'US$' THEN 'USD' WHEN 'MX$' THEN 'MXN'
+       WHEN '€' THEN 'EUR' WHEN '¥' THEN 'CNY' WHEN '$' THEN 'MXN' END END AS currency,
+       price IS NOT NULL AS availability FROM u""")
+def x19(spark, d):
+    return X.detail_prices(_pages(spark, d))
+
+
+@query("x20_drift_pages", f"""WITH t AS (SELECT page_id, split_part(split_part(url, '#', 1), '?', 1) AS page_key,
+                  length(html) AS html_len FROM pages),
+u AS (SELECT *, lag(html_len) OVER (PARTITION BY page_key ORDER BY page_id) AS prev_len FROM t)
+SELECT page_id, page_key, html_len, prev_len,
+       coalesce(abs(html_len - prev_len) / nullif(prev_len, 0) > {K.DRIFT_THRESHOLD}, FALSE) AS changed FROM u""")
+def x20(spark, d):
+    p = _pages(spark, d)
+    key = F.substring_index(F.substring_index(F.col("url"), "#", 1), "?", 1)
+    return X.drift(p, key, "page_id")
+
+
+@query("x21_counters_pages", f"""WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},
+c AS ({_classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2])}),
+a AS (SELECT regexp_extract(page_url, '^(https?://[^/?#]+)', 1) AS source, count(*) AS found,
+             count(*) FILTER (WHERE price > 0) AS saved, count(*) FILTER (WHERE NOT (price > 0)) AS failed
+      FROM listings GROUP BY 1),
+b AS (SELECT {_HOST} AS source, count(*) FILTER (WHERE is_captcha) AS captcha_pages,
+             count(*) FILTER (WHERE is_blocked) AS blocked_pages, count(*) AS pages FROM c GROUP BY 1)
+SELECT b.source, b.captcha_pages, b.blocked_pages, b.pages, coalesce(a.found, 0) AS found,
+       coalesce(a.saved, 0) AS saved, coalesce(a.failed, 0) AS failed
+FROM b LEFT JOIN a ON a.source = b.source""")
+def x21(spark, d):
+    p = _pages(spark, d)
+    lst = X.listings(X.card_fields(X.cards(p))).withColumnRenamed("url", "listing_url") \
+           .withColumnRenamed("page_url", "url")
+    cls = X.classify_pages(p, **_W)
+    return X.extraction_counters(lst, cls, X.host_of(F.col("url")))
+
+
+@query("x22_category_counts_r", f"""WITH {STAGES_CTE},
+cl AS (SELECT * FROM d2 WHERE {OK_SQL}),
+grid AS (SELECT s.id AS store_id, c.id AS category_id FROM
+         (SELECT * FROM (VALUES {", ".join(f"(CAST({i} AS BIGINT))" for i, *_ in K.STORES)}) AS t(id)) s CROSS JOIN
+         (SELECT * FROM (VALUES {", ".join(f"(CAST({i} AS BIGINT))" for i, *_ in K.CATEGORIES)}) AS t(id)) c)
+SELECT g.store_id, g.category_id, count(cl.name) AS products
+FROM grid g LEFT JOIN cl ON cl.store_id = g.store_id AND cl.category_id = g.category_id
+GROUP BY g.store_id, g.category_id""")
+def x22(spark, d):
+    c = CL.clean_all(retail_listings(spark, d)).data
+    stores = spark.createDataFrame([(int(i),) for i, *_ in K.STORES], "store_id bigint")
+    cats = spark.createDataFrame([(int(i),) for i, *_ in K.CATEGORIES], "category_id bigint")
+    grid = stores.crossJoin(cats)          # fixed 3 x 7 frontier of (store, category)
+    got = c.groupBy("store_id", "category_id").agg(F.count(F.lit(1)).alias("products"))
+    return grid.join(got, ["store_id", "category_id"], "left").fillna(0, ["products"])

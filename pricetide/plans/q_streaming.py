@@ -1 +1,96 @@
-"""placeholder"""
+"""Registered streaming queries T1-T4: each runs its stream to completion
+(``availableNow``) over the driver's parquet files and returns the sink read
+back as a DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricetide import constants as K
+from pricetide.functions import round2
+from pricetide.plans.catalog import query
+from pricetide.plans.q_cleaning import CAT_SQL, OK_SQL, RAW_CTE, STORE_SQL, clean_name_sql
+from pricetide.plans.q_load import SPLIT_CTE
+from pricetide.plans.sqltext import r2
+from pricetide.sources.adapters import event_observations, events_split
+from pricetide.sources.raw import retail_listings
+from pricetide.sources.tables import read_table, table_path
+from pricetide.streaming import jobs as T
+
+
+def _listing_stream(spark, d):
+    """Lineitem files as a stream, joined with the static dimension tables
+    (stream-static joins) into raw listing records."""
+    li_stream = T.file_stream(spark, table_path(d, "lineitem"))
+    # the same derivation as the batch listings, applied to the streamed lineitem
+    return retail_listings(spark, d, lineitem=li_stream)
+
+
+@query("t01_stream_clean_r", f"""WITH {RAW_CTE},
+named AS (SELECT * REPLACE ({clean_name_sql('name')} AS name) FROM raw),
+mapped AS (SELECT *, {CAT_SQL} AS category_id, {STORE_SQL} AS store_id FROM named WHERE length(name) > 0),
+conv AS (SELECT * REPLACE (
+           CASE WHEN upper(currency) = 'USD' THEN {r2(f'price * {K.USD_TO_MXN}')} ELSE price END AS price,
+           CASE WHEN upper(currency) = 'USD' THEN '{K.BASE_CURRENCY}' ELSE currency END AS currency)
+         FROM mapped WHERE category_id IS NOT NULL AND store_id IS NOT NULL AND upper(currency) IN ('USD', 'MXN'))
+SELECT l_orderkey, l_linenumber, name, store_id, category_id, price, currency FROM conv WHERE {OK_SQL}""")
+def t01(spark, d):
+    out = T.stream_clean(spark, _listing_stream(spark, d), T.run_dir(spark, "t01"))
+    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "name", "store_id", "category_id", "price",
+                                          "currency")
+
+
+@query("t02_stream_daily_keys_e", """
+SELECT DISTINCT user_id * 10 + CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+       WHEN 'signup' THEN 4 WHEN 'view' THEN 5 ELSE 0 END AS product_id, CAST(ts AS DATE) AS obs_date
+FROM events""")
+def t02(spark, d):
+    out = T.stream_daily_keys(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t02"))
+    return spark.read.parquet(out).select("product_id", "obs_date")
+
+
+@query("t03_stream_upsert_e", f"WITH {SPLIT_CTE}\nSELECT id, product_id, price, currency, availability, "
+                              "price_change, price_change_pct, scraped_at, obs_date FROM nextph")
+def t03(spark, d):
+    b = events_split(spark, d)
+    root = T.run_dir(spark, "t03")
+    state = T.VersionedState(spark, root)
+    state.write(0, b.stored.products, b.stored.price_history)
+    # incoming rows: the events newer than the cut, as cleaned records
+    ev_all = read_table(spark, d, "events")
+    cut = ev_all.select(F.max("ts") - F.make_interval(hours=F.lit(12))).scalar()
+    stream = T.file_stream(spark, table_path(d, "events"))
+    obs = event_observations(stream)
+    cleaned = obs.select(
+        "name", "store_id", "category_id", "event_id",
+        F.concat(F.lit("brand "), (F.col("user_id") % 5).cast("string")).alias("brand"),
+        F.concat(F.lit("/item/"), F.col("product_id").cast("string")).alias("url"),
+        F.concat(F.lit("EV-"), F.col("product_id").cast("string")).alias("sku"),
+        F.col("value").alias("price"), F.lit(K.BASE_CURRENCY).alias("currency"),
+        (F.col("event_type") != "error").alias("availability"), F.col("ts").alias("scraped_at"))
+
+    def body(df, epoch_id):
+        batch = df.filter(F.col("scraped_at") >= cut)
+        row = F.struct(*[c for c in batch.columns if c not in ("name", "store_id", "event_id")])
+        one = (batch.groupBy("name", "store_id")
+                    .agg(F.max_by(row, F.struct(F.col("scraped_at"), -F.col("price"), F.col("event_id"))).alias("r"))
+                    .select("name", "store_id", "r.*"))
+        T.upsert_batch(state, one, int(epoch_id), lambda _one: ev_all.select(F.max("ts")).scalar())
+
+    q = (cleaned.writeStream.foreachBatch(body).option("checkpointLocation", root + "/_checkpoint")
+         .trigger(availableNow=True).start())
+    T._await(q)
+    return state.read(state.latest_version())[1]
+
+
+@query("t04_stream_window_stats_e", f"""
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, {r2('avg(value)')} AS avg_price,
+       min(value) AS min_price, max(value) AS max_price, count(*) AS price_records,
+       {r2('stddev_samp(value)')} AS volatility
+FROM events GROUP BY 1, 2""")
+def t04(spark, d):
+    out = T.stream_window_stats(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t04"))
+    r = spark.read.parquet(out)
+    return r.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type",
+                    round2(F.col("avg_price")).alias("avg_price"), "min_price", "max_price", "price_records",
+                    round2(F.col("volatility")).alias("volatility"))

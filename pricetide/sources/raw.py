@@ -41,9 +41,10 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
 
-def retail_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw listing per lineitem (plus the row keys l_orderkey, l_linenumber)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+def retail_listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """One raw listing per lineitem (plus the row keys l_orderkey, l_linenumber).
+    ``lineitem`` may be a stream; the other tables are static dimensions."""
+    li = (lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")

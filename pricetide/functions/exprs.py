@@ -16,7 +16,7 @@ __all__ = [
     "round2", "round4", "round_n", "price_change", "price_change_pct", "iso_weekday",
     "weekday_name", "WS_CLASS", "strip_ws", "clean_name", "listing_name", "KEEP_CLASS",
     "parse_price", "join_price_parts", "absolutize_url", "canonical_url", "extract_sku",
-    "clamp", "in_range", "parse_scraped_at", "null_if_blank", "contains_any",
+    "clamp", "in_range", "parse_scraped_at", "null_if_blank", "contains_any", "with_computed",
 ]
 
 # Python's notion of whitespace (str.isspace), written as a regex class both
@@ -61,8 +61,14 @@ def weekday_name(day_no: Column, names: dict[int, str] | None = None) -> Column:
     return F.element_at(m, day_no)
 
 
+# the same whitespace as literal characters (for TRIM, which needs no regex)
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Remove leading and trailing whitespace (Python's definition)."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def clean_name(c: Column, max_chars: int = K.NAME_MAX_CHARS) -> Column:
@@ -186,3 +192,17 @@ def contains_any(text: Column, phrases: list[str]) -> Column:
     if not phrases:
         return F.lit(False)
     return F.exists(F.array(*[F.lit(p) for p in phrases]), lambda p: F.instr(text, p) > 0)
+
+
+def with_computed(df, cols: dict):
+    """Add expensive computed columns exactly once.
+
+    Catalyst substitutes a projected expression into every later filter that
+    mentions it (filter push-down through projections), so a regex chain
+    followed by ``filter(length(name) > 0)`` would run twice per row.  A
+    one-element ``inline`` (a Generate node) keeps the computation in one place:
+    filters on its output cannot be pushed below it.  Returns the columns of
+    ``df`` not in ``cols`` followed by the new columns."""
+    struct = F.struct(*[c.alias(n) for n, c in cols.items()])
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, F.inline(F.array(struct)))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide import constants as K
-from pricetide.functions import clamp, clean_name, in_range, parse_scraped_at, round2, strip_ws
+from pricetide.functions import clamp, clean_name, in_range, parse_scraped_at, round2, strip_ws, with_computed
 
 
 def _map(d: dict) -> Column:
@@ -39,7 +39,8 @@ def store_ids(stores=K.STORES) -> dict[str, int]:
 def normalize_names(df: DataFrame, col: str = "name") -> DataFrame:
     """Clean the name column and drop rows whose cleaned name is empty
     (NULL names are dropped as well)."""
-    return df.withColumn(col, clean_name(F.col(col))).filter(F.length(F.col(col)) > 0)
+    return (with_computed(df, {col: clean_name(F.col(col))})
+            .filter(F.length(F.col(col)) > 0).select(*df.columns))
 
 
 def lookup_id(value: Column, ids: dict[str, int], aliases: dict[str, str]) -> Column:
@@ -148,13 +149,14 @@ def clean_all(raw: DataFrame, rate: float = K.USD_TO_MXN) -> Cleaned:
 def flag_stateless(raw: DataFrame) -> DataFrame:
     """Row-wise outcome of the stateless steps C1-C4 as boolean flags (names,
     ids and the cleaned name are computed once)."""
-    d = raw.withColumn("name", clean_name(F.col("name")))
-    d = (d.withColumn("category_id", lookup_id(F.col("category"), category_ids(), K.CATEGORY_ALIASES))
-          .withColumn("store_id", lookup_id(F.col("store_name"), store_ids(), K.STORE_ALIASES)))
-    return (d.withColumn("__name_ok", F.coalesce(F.length("name") > 0, F.lit(False)))
-             .withColumn("__cat_ok", F.col("category_id").isNotNull())
-             .withColumn("__store_ok", F.col("store_id").isNotNull())
-             .withColumn("__cur_ok", F.coalesce(F.upper("currency").isin(*K.SUPPORTED_CURRENCIES), F.lit(False))))
+    d = with_computed(raw, {
+        "name": clean_name(F.col("name")),
+        "category_id": lookup_id(F.col("category"), category_ids(), K.CATEGORY_ALIASES),
+        "store_id": lookup_id(F.col("store_name"), store_ids(), K.STORE_ALIASES)})
+    return d.select("*", F.coalesce(F.length("name") > 0, F.lit(False)).alias("__name_ok"),
+                    F.col("category_id").isNotNull().alias("__cat_ok"),
+                    F.col("store_id").isNotNull().alias("__store_ok"),
+                    F.coalesce(F.upper("currency").isin(*K.SUPPORTED_CURRENCIES), F.lit(False)).alias("__cur_ok"))
 
 
 def cleaning_metrics(flagged: DataFrame, deduped: DataFrame) -> DataFrame:

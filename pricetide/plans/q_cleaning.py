@@ -10,7 +10,7 @@ from pricetide.operators import cleaning as CL
 from pricetide.plans.catalog import query
 from pricetide.plans.sqltext import r2
 from pricetide.sources.raw import RETAIL_LISTINGS_SQL, retail_listings
-from pricetide.sources.tables import read_table
+from pricetide.sources.tables import read_table, spread
 
 
 def _sq(s: str) -> str:
@@ -79,7 +79,7 @@ def _staged(spark, d):
 SELECT doc_id, name FROM (SELECT doc_id, {clean_name_sql('text')} AS name FROM documents) x
 WHERE length(name) > 0""")
 def c01(spark, d):
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"))
     return CL.normalize_names(docs.withColumnRenamed("text", "name")).select("doc_id", "name")
 
 

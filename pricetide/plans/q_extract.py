@@ -13,7 +13,7 @@ from pricetide.plans.catalog import query
 from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE, strip_sql
 from pricetide.sources.adapters import retail_star
 from pricetide.sources.raw import RETAIL_LISTINGS_SQL, retail_listings
-from pricetide.sources.tables import read_table
+from pricetide.sources.tables import read_table, spread
 
 R = X.DEFAULT_RULES
 # FIXED VALUES of the registered instances (parameters, not engine rules)
@@ -105,7 +105,7 @@ _LISTINGS = (f"listings AS (SELECT page_id, url AS page_url, card_no, {listing_n
 
 
 def _pages(spark, d):
-    return read_table(spark, d, "pages")
+    return spread(read_table(spark, d, "pages"))
 
 
 @query("x01_frontier_r", f"""WITH st AS (SELECT * FROM (VALUES {", ".join(f"({_sq(k)}, {_sq(t)}, {mp})" for k, t, _, mp in K.FRONTIER)}) AS t(store_key, template, max_pages)),

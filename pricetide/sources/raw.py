@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.functions import round2
-from pricetide.sources.tables import read_table
+from pricetide.sources.tables import read_table, spread
 
 RAW_SCHEMA = ("name string, brand string, price double, currency string, availability boolean, "
               "url string, sku string, store_name string, category string, scraped_at string")
@@ -47,6 +47,8 @@ def retail_listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None
     li = (lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_shipdate")
+    if not li.isStreaming:
+        li = spread(li)       # the per-row text work below is CPU-heavy
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")

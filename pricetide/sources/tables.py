@@ -20,6 +20,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition *only* when a scan yields fewer partitions than
+    the cluster has task slots (e.g. a file written as one row group), so
+    CPU-heavy per-row work (regex cleaning, html extraction) uses every core.
+    A large input already has many splits and is returned unchanged: no extra
+    shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - e.g. remote sessions without RDDs
+        return df
+    return df.repartition(target) if n < target else df
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES, prefix: str = "") -> None:
     """Expose the driver tables as temp views for ``spark.sql``."""
     for n in names:

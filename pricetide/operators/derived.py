@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from pricetide.functions import round2
 
-_ALL = Window.partitionBy()
+
+def _all() -> Window:
+    """The whole (already aggregated, small) result as one window."""
+    return Window.partitionBy()
 
 
 def _pct(c: Column, ps: list[float], exact: bool = True) -> Column:
@@ -37,7 +40,7 @@ def discount_rollup(top: DataFrame) -> DataFrame:
 def market_share(ranking: DataFrame) -> DataFrame:
     """Share of products per store (percent of all ranked products)."""
     return ranking.select("store_name", "product_count",
-                          round2(F.col("product_count") / F.sum("product_count").over(_ALL) * F.lit(100.0))
+                          round2(F.col("product_count") / F.sum("product_count").over(_all()) * F.lit(100.0))
                           .alias("share_pct"))
 
 

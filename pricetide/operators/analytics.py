@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from pricetide import constants as K
 from pricetide.functions import iso_weekday, round2, round4, weekday_name
-from pricetide.sources.adapters import Star
+from pricetide.sources.adapters import Star, newest_per_group
 
 # ----------------------------------------------------------------------------
 # shared building blocks
@@ -31,10 +31,7 @@ def latest_prices(star: Star, days: int | None = None) -> DataFrame:
     ph = star.price_history
     if days is not None:
         ph = ph.filter(F.col("scraped_at") >= star.since(days))
-    cols = [c for c in ph.columns if c != "product_id"]
-    return (ph.groupBy("product_id")
-              .agg(F.max_by(F.struct(*cols), F.struct("scraped_at", "id")).alias("r"))
-              .select("product_id", "r.*"))
+    return newest_per_group(ph, ["product_id"], ["scraped_at", "id"])
 
 
 def _dims(star: Star):

@@ -43,11 +43,17 @@ class Star:
     categories: DataFrame
     products: DataFrame
     price_history: DataFrame
+    clock: DataFrame | None = None   # raw observation times (scraped_at) the history is built from
 
     @property
     def as_of(self) -> Column:
-        """Newest observation time as a scalar sub-query (never the wall clock)."""
-        return self.price_history.select(F.max("scraped_at")).scalar()
+        """Newest observation time as a scalar sub-query (never the wall clock).
+
+        The daily de-duplication keeps the newest row of every day, so the
+        newest raw observation is also the newest history row: reading it from
+        ``clock`` scans one column instead of rebuilding the history."""
+        src = self.clock if self.clock is not None else self.price_history
+        return src.select(F.max("scraped_at")).scalar()
 
     def since(self, days: int) -> Column:
         return self.as_of - F.make_interval(days=F.lit(int(days)))
@@ -69,16 +75,24 @@ def categories_dim(spark: SparkSession) -> DataFrame:
                                  "id bigint, name string, min_price double, max_price double")
 
 
+def newest_per_group(df: DataFrame, keys: list, order_cols: list[str]) -> DataFrame:
+    """The newest row per group (``order_cols`` descending, unique per group).
+
+    ``row_number() = 1`` plans as a WindowGroupLimit: every map task keeps only
+    its newest row per group *before* the shuffle, so a group holding a third
+    of all rows sends a handful of rows, not a third of the data."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+
+
 def with_daily_changes(obs: DataFrame, order_cols: list[str]) -> DataFrame:
     """Keep the latest observation per (product_id, UTC day) and attach the
     change against the previous kept day.
 
     ``obs`` has product_id, price, scraped_at plus payload columns; ``order_cols``
     break ties inside a day (newest wins)."""
-    payload = [c for c in obs.columns if c not in ("product_id",)]
-    day = (obs.groupBy("product_id", F.to_date("scraped_at").alias("obs_date"))
-              .agg(F.max_by(F.struct(*payload), F.struct(*order_cols)).alias("r"))
-              .select("product_id", "obs_date", "r.*"))
+    day = newest_per_group(obs.withColumn("obs_date", F.to_date("scraped_at")), ["product_id", "obs_date"],
+                           order_cols)
     w = Window.partitionBy("product_id").orderBy("scraped_at")
     prev = F.lag("price").over(w)
     return (day.withColumn("price_change", price_change(F.col("price"), prev))
@@ -130,7 +144,7 @@ def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
     ph = with_daily_changes(obs, ["scraped_at", "id"])
     ph = ph.select("id", "product_id", "price", "currency", "availability", "price_change",
                    "price_change_pct", "scraped_at", "obs_date")
-    return Star(stores_dim(spark), categories, products, ph)
+    return Star(stores_dim(spark), categories, products, ph, clock=obs.select("scraped_at"))
 
 
 def retail_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -172,7 +186,7 @@ def retail_star(spark: SparkSession, sf_dir: str) -> Star:
     ph = with_daily_changes(obs, ["scraped_at", "l_orderkey", "l_linenumber"])
     ph = ph.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "product_id", "price",
                    "currency", "availability", "price_change", "price_change_pct", "scraped_at", "obs_date")
-    return Star(stores, categories, products, ph)
+    return Star(stores, categories, products, ph, clock=obs.select("scraped_at"))
 
 
 ADAPTERS = {"e": events_star, "r": retail_star}

@@ -66,25 +66,29 @@ def stddev(c: Column, kind: str = "samp") -> Column:
 
 def kpi_summary(star: Star) -> DataFrame:
     """A1: one row of headline numbers.  Price statistics cover all history
-    rows; discount / increase counts look at each product's latest row."""
-    ph = star.price_history
-    prices = ph.agg(
+    rows; discount / increase counts look at each product's latest row.
+
+    One pass over the history: the latest row is flagged with a per-product
+    window (history is already partitioned by product for its change column,
+    and a product has at most one row per day), then a single aggregate."""
+    w = Window.partitionBy("product_id").orderBy(F.col("scraped_at").desc(), F.col("id").desc())
+    ph = star.price_history.withColumn("__latest", F.row_number().over(w) == 1)
+    count = F.count(F.lit(1))
+    agg = ph.agg(
         F.coalesce(round2(F.avg("price")), F.lit(0.0)).alias("avg_price_mxn"),
         F.coalesce(round2(F.min("price")), F.lit(0.0)).alias("min_price_mxn"),
         F.coalesce(round2(F.max("price")), F.lit(0.0)).alias("max_price_mxn"),
+        F.count_if(F.col("__latest") & (F.col("price_change") < 0)).alias("products_with_discount"),
+        F.count_if(F.col("__latest") & (F.col("price_change") > 0)).alias("products_price_up"),
         F.max("scraped_at").alias("last_update"),
-        F.count(F.lit(1)).alias("total_price_records"))
-    latest = latest_prices(star).agg(
-        F.count_if(F.col("price_change") < 0).alias("products_with_discount"),
-        F.count_if(F.col("price_change") > 0).alias("products_price_up"))
-    counts = (star.products.agg(F.count(F.lit(1)).alias("total_products"))
-              .crossJoin(star.stores.agg(F.count(F.lit(1)).alias("total_stores")))
-              .crossJoin(star.categories.agg(F.count(F.lit(1)).alias("total_categories"))))
-    # every side is a single-row aggregate, so these cross joins are 1 x 1
-    return counts.crossJoin(prices).crossJoin(latest).select(
-        "total_products", "total_stores", "total_categories", "avg_price_mxn", "min_price_mxn",
-        "max_price_mxn", "products_with_discount", "products_price_up", "last_update",
-        "total_price_records")
+        count.alias("total_price_records"))
+    # dimension counts are scalar sub-queries attached to the one-row aggregate
+    return agg.select(
+        star.products.select(count).scalar().alias("total_products"),
+        star.stores.select(count).scalar().alias("total_stores"),
+        star.categories.select(count).scalar().alias("total_categories"),
+        "avg_price_mxn", "min_price_mxn", "max_price_mxn", "products_with_discount", "products_price_up",
+        "last_update", "total_price_records")
 
 
 def resolve_product(star: Star, product_id: int | None = None, product_name: str | None = None) -> Column:
@@ -184,8 +188,8 @@ def price_comparison(star: Star, product_name: str) -> DataFrame:
               .select(F.coalesce(F.col("sname"), F.lit("Unknown")).alias("store_name"), "product_name",
                       round2(F.col("price")).alias("current_price"), "availability",
                       F.col("scraped_at").alias("last_updated"), "product_id"))
-    cheapest = rows.agg(F.min("current_price").alias("cheapest"))   # one row
-    return (rows.crossJoin(cheapest)
+    cheapest = rows.select(F.min("current_price")).scalar()   # scalar sub-query
+    return (rows.withColumn("cheapest", cheapest)
                 .orderBy("current_price", "product_id")
                 .select("store_name", "product_name", "current_price", "availability", "last_updated",
                         round2(F.col("current_price") - F.col("cheapest")).alias("price_diff_vs_cheapest"),

@@ -171,10 +171,11 @@ def cleaning_metrics(flagged: DataFrame, deduped: DataFrame) -> DataFrame:
         F.count_if(n & c & s).alias("rows_after_store_map"),
         F.count_if(n & c & s & (F.upper("currency") == "USD")).alias("prices_converted"),
         F.count_if(n & c & s & cu).alias("rows_after_currency"))
-    b = deduped.agg(F.count(F.lit(1)).alias("rows_after_dedup"),
-                    F.count_if(~price_ok(F.col("price"), F.col("category_id"))).alias("invalid_prices"),
-                    F.count_if(price_ok(F.col("price"), F.col("category_id"))).alias("rows_output"))
-    return (a.crossJoin(b)     # 1 x 1 rows
+    b = deduped.select(F.struct(
+        F.count(F.lit(1)).alias("rows_after_dedup"),
+        F.count_if(~price_ok(F.col("price"), F.col("category_id"))).alias("invalid_prices"),
+        F.count_if(price_ok(F.col("price"), F.col("category_id"))).alias("rows_output"))).scalar()
+    return (a.select("*", *[b.getField(c).alias(c) for c in ("rows_after_dedup", "invalid_prices", "rows_output")])
              .withColumn("duplicates_removed", F.col("rows_after_currency") - F.col("rows_after_dedup"))
              .withColumn("rows_after_validation", F.col("rows_output")))
 

@@ -82,20 +82,21 @@ def series_stats(series: DataFrame) -> DataFrame:
 def trimmed_changes(changes: DataFrame, lo: float = 0.05, hi: float = 0.95, exact: bool = True) -> DataFrame:
     """Percent changes between the ``lo`` and ``hi`` percentiles
     (inclusive), split into decreases (< 0) and increases (>= 0)."""
-    q = changes.agg(_pct(F.col("price_change_pct"), [lo, hi], exact).alias("q"))
-    return (changes.crossJoin(q)        # q: one row
-            .filter((F.col("price_change_pct") >= F.col("q")[0]) & (F.col("price_change_pct") <= F.col("q")[1]))
+    q = changes.select(_pct(F.col("price_change_pct"), [lo, hi], exact)).scalar()   # scalar sub-query
+    return (changes
+            .filter((F.col("price_change_pct") >= q[0]) & (F.col("price_change_pct") <= q[1]))
             .select("price_change_pct",
                     F.when(F.col("price_change_pct") < 0, "decrease").otherwise("increase").alias("direction")))
 
 
 def histogram(values: DataFrame, col: str, n_bins: int = 20) -> DataFrame:
     """Equal-width bins between min and max (the max falls in the last bin)."""
-    mm = values.agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))
-    w = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_bins))
-    b = F.least(F.floor((F.col(col) - F.col("__lo")) / F.nullif(w, F.lit(0.0))), F.lit(n_bins - 1))
+    mm = values.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = mm.getField("lo"), mm.getField("hi")
+    w = (hi - lo) / F.lit(float(n_bins))
+    b = F.least(F.floor((F.col(col) - lo) / F.nullif(w, F.lit(0.0))), F.lit(n_bins - 1))
     b = F.coalesce(b, F.lit(0)).cast("int")
-    return (values.crossJoin(mm).withColumn("bin", b)
+    return (values.withColumn("bin", b)
             .groupBy("bin").agg(F.count(F.lit(1)).alias("count"),
                                 F.min(col).alias("min_value"), F.max(col).alias("max_value")))
 
@@ -106,8 +107,8 @@ def change_summary(changes: DataFrame, trimmed: DataFrame) -> DataFrame:
     a = changes.agg(round2(F.avg("price_change_pct")).alias("mean_pct"),
                     round2(F.percentile(F.col("price_change_pct"), F.lit(0.5))).alias("median_pct"),
                     F.count(F.lit(1)).alias("n_changes"))
-    t = trimmed.agg(F.count_if(F.col("direction") == "decrease").alias("n_decreases"))
-    return a.crossJoin(t).withColumn(
+    t = trimmed.select(F.count_if(F.col("direction") == "decrease")).scalar()
+    return a.withColumn("n_decreases", t).withColumn(
         "decrease_share_pct", round2(F.col("n_decreases") / F.nullif(F.col("n_changes"), F.lit(0)) * F.lit(100.0)))
 
 

@@ -161,8 +161,9 @@ def load_counters(price_actions: DataFrame, found: DataFrame) -> DataFrame:
                           F.count_if(F.col("action") == "update").alias("updated"),
                           F.count_if(F.col("action") == "noop").alias("unchanged"),
                           F.count_if(F.col("action").isin("insert", "update", "noop")).alias("products_saved"))
-    f = found.agg(F.count(F.lit(1)).alias("products_found"))
-    return f.crossJoin(a).withColumn("products_failed", F.col("products_found") - F.col("products_saved"))
+    found_n = found.select(F.count(F.lit(1))).scalar()
+    return (a.select(found_n.alias("products_found"), "*")
+             .withColumn("products_failed", F.col("products_found") - F.col("products_saved")))
 
 
 def source_counts(batch: DataFrame, stores: DataFrame) -> DataFrame:
@@ -175,10 +176,10 @@ def source_counts(batch: DataFrame, stores: DataFrame) -> DataFrame:
 def run_status(counters: DataFrame, per_source: DataFrame) -> DataFrame:
     """Success when something was saved and every source delivered;
     partial_success when something was saved; failure otherwise."""
-    src = per_source.agg(F.count_if(F.col("products") > 0).alias("sources_ok"),
-                         F.count(F.lit(1)).alias("sources_total"))
+    src = per_source.select(F.struct(F.count_if(F.col("products") > 0).alias("ok"),
+                                     F.count(F.lit(1)).alias("total"))).scalar()
     saved = F.col("products_saved") > 0
-    return (counters.crossJoin(src)
+    return (counters.select("*", src.getField("ok").alias("sources_ok"), src.getField("total").alias("sources_total"))
             .withColumn("status", F.when(saved & (F.col("sources_ok") == F.col("sources_total")), K.RUN_STATUS_SUCCESS)
                                    .when(saved, K.RUN_STATUS_PARTIAL).otherwise(K.RUN_STATUS_FAILURE)))
 
@@ -196,8 +197,9 @@ def run_summary(per_category: DataFrame) -> DataFrame:
 
 def run_message(status: DataFrame, summary: DataFrame) -> DataFrame:
     """The run's message: status line, counts, then one part per store."""
-    parts = summary.agg(F.array_join(F.array_sort(F.collect_list("message")), " | ").alias("stores_msg"))
-    return status.crossJoin(parts).withColumn(
+    # one message per store: a bounded list
+    parts = summary.select(F.array_join(F.array_sort(F.collect_list("message")), " | ")).scalar()
+    return status.withColumn("stores_msg", parts).withColumn(
         "message", F.concat_ws(" | ", F.concat(F.lit("status "), F.col("status")),
                                F.format_string("%d found, %d saved, %d failed", "products_found",
                                                "products_saved", "products_failed"),

@@ -14,10 +14,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+_SCANS: dict = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
     """Parquet scan; projections and filters applied later reach the scan
-    (ReadSchema / PushedFilters) through Catalyst."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    (ReadSchema / PushedFilters) through Catalyst.
+
+    The scan *definition* (file listing and footer schema) is reused per
+    session: the given tables are read-only, and every query still plans and
+    reads its own data.  ``refresh=True`` lists the files again."""
+    key = (id(spark), spark.sparkContext.applicationId, table_path(sf_dir, name))
+    if refresh or key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(table_path(sf_dir, name))
+    return _SCANS[key]
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

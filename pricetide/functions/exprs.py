@@ -79,7 +79,8 @@ def clean_name(c: Column, max_chars: int = K.NAME_MAX_CHARS) -> Column:
     """
     s = strip_ws(c.cast("string"))
     s = F.regexp_replace(s, f"{WS_CLASS}+", " ")
-    s = F.regexp_replace(s, r"[\x{0}-\x{1F}]", "")
+    # code points < 32 lie outside the kept ranges, so the control-character
+    # step and the kept-ranges step are one deletion pass
     s = F.regexp_replace(s, f"[^{KEEP_CLASS}]", "")
     s = F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
     return F.substring(s, 1, max_chars)

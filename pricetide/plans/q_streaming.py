@@ -94,3 +94,31 @@ def t04(spark, d):
     return r.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type",
                     round2(F.col("avg_price")).alias("avg_price"), "min_price", "max_price", "price_records",
                     round2(F.col("volatility")).alias("volatility"))
+
+
+@query("t04_stream_sliding_stats_e", f"""WITH w AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, value FROM events
+  UNION ALL
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) - INTERVAL 1 DAY, event_type, value FROM events)
+SELECT window_start, event_type, count(*) AS price_records, max(value) AS max_price, {r2('avg(value)')} AS avg_price
+FROM w GROUP BY 1, 2""")
+def t04_sliding(spark, d):
+    """Two-day windows sliding by one day."""
+    out = T.stream_window_stats(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t04s"),
+                                window="2 days", slide="1 day")
+    r = spark.read.parquet(out)
+    return r.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "price_records",
+                    "max_price", round2(F.col("avg_price")).alias("avg_price"))
+
+
+@query("t04_stream_weekday_stats_e", f"""
+SELECT CAST(isodow(ts) AS INTEGER) AS day_number, {r2('avg(value)')} AS avg_price, min(value) AS min_price,
+       max(value) AS max_price, count(*) AS price_records
+FROM events GROUP BY 1""")
+def t04_weekday(spark, d):
+    """Best-time-to-buy statistics (A6 shape) maintained by a stream."""
+    out = T.complete_to_folder(T.weekday_stats(T.file_stream(spark, table_path(d, "events"))),
+                               T.run_dir(spark, "t04w"))
+    r = spark.read.parquet(out)
+    return r.select("day_number", round2(F.col("avg_price")).alias("avg_price"), "min_price", "max_price",
+                    "price_records")

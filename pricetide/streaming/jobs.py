@@ -186,13 +186,27 @@ def window_stats(events: DataFrame, window: str = "1 day", slide: str | None = N
                    F.stddev_samp("value").alias("volatility")))
 
 
-def stream_window_stats(spark: SparkSession, events_stream: DataFrame, out: str, window: str = "1 day",
-                        slide: str | None = None) -> str:
-    """T4: complete-mode aggregation; every micro-batch replaces the result
-    folder with the full, exact table (equal to the batch result at the end)."""
+def weekday_stats(events: DataFrame) -> DataFrame:
+    """T4 (A6 form): price statistics per ISO weekday of an events stream."""
+    from pricetide.functions import iso_weekday
+    return (events.groupBy(iso_weekday(F.col("ts")).alias("day_number"))
+                  .agg(F.avg("value").alias("avg_price"), F.min("value").alias("min_price"),
+                       F.max("value").alias("max_price"), F.count(F.lit(1)).alias("price_records")))
+
+
+def complete_to_folder(agg: DataFrame, out: str) -> str:
+    """Run a complete-mode aggregation; every micro-batch replaces the result
+    folder with the full, exact table (equal to the batch result at the end).
+    State holds one row per group (windows x types, or weekdays)."""
     def body(df, epoch_id):
         df.write.mode("overwrite").parquet(out + "/data")
-    q = (window_stats(events_stream, window, slide).writeStream.outputMode("complete").foreachBatch(body)
+    q = (agg.writeStream.outputMode("complete").foreachBatch(body)
          .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
     _await(q)
     return out + "/data"
+
+
+def stream_window_stats(spark: SparkSession, events_stream: DataFrame, out: str, window: str = "1 day",
+                        slide: str | None = None) -> str:
+    """T4: tumbling (or sliding, with ``slide``) window statistics."""
+    return complete_to_folder(window_stats(events_stream, window, slide), out)

@@ -120,9 +120,26 @@ def last_day_cut(events: DataFrame) -> Column:
     return events.select(F.to_date(F.max("ts"))).scalar()
 
 
+_STARS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """Star *definitions* are immutable lazy plans: build once per session and
+    folder (saves the Python-side plan construction on every question)."""
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        _STARS[key] = build()
+    return _STARS[key]
+
+
 def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> Star:
     """Star schema of adapter E; ``events`` overrides the table (e.g. a time slice)."""
-    src = events if events is not None else read_table(spark, sf_dir, "events")
+    if events is None:
+        return _memo("e", spark, sf_dir, lambda: _events_star(spark, sf_dir, read_table(spark, sf_dir, "events")))
+    return _events_star(spark, sf_dir, events)
+
+
+def _events_star(spark: SparkSession, sf_dir: str, src: DataFrame) -> Star:
     ev = event_observations(src)
 
     categories = spark.createDataFrame([(i, t) for i, t in enumerate(EVENT_TYPES, 1)],
@@ -148,6 +165,10 @@ def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
 
 
 def retail_star(spark: SparkSession, sf_dir: str) -> Star:
+    return _memo("r", spark, sf_dir, lambda: _retail_star(spark, sf_dir))
+
+
+def _retail_star(spark: SparkSession, sf_dir: str) -> Star:
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -305,12 +305,14 @@ def x19(spark, d):
 @query("x20_drift_pages", f"""WITH t AS (SELECT page_id, split_part(split_part(url, '#', 1), '?', 1) AS page_key,
                   length(html) AS html_len FROM pages),
 u AS (SELECT *, lag(html_len) OVER (PARTITION BY page_key ORDER BY page_id) AS prev_len FROM t)
-SELECT page_id, page_key, html_len, prev_len,
+SELECT page_id, page_key, html_len, CAST(prev_len AS DOUBLE) AS prev_len,
        coalesce(abs(html_len - prev_len) / nullif(prev_len, 0) > {K.DRIFT_THRESHOLD}, FALSE) AS changed FROM u""")
 def x20(spark, d):
     p = _pages(spark, d)
     key = F.substring_index(F.substring_index(F.col("url"), "#", 1), "?", 1)
-    return X.drift(p, key, "page_id")
+    # a missing previous length is NULL: reported as DOUBLE so every client
+    # maps the nullable column the same way
+    return X.drift(p, key, "page_id").withColumn("prev_len", F.col("prev_len").cast("double"))
 
 
 @query("x21_counters_pages", f"""WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},

@@ -30,7 +30,8 @@ def test_segmented_lag_equals_plain_lag(spark):
 
 
 def test_asof_join_matches_brute_force(spark):
-    look = _series(spark, seed=1).select("key", F.col("ts").alias("t"), "price")
+    # the operator requires unique lookup times per key (random minutes can collide)
+    look = _series(spark, seed=1).select("key", F.col("ts").alias("t"), "price").dropDuplicates(["key", "t"])
     probes = _series(spark, seed=2).select("id", "key", "ts")
     got = C.asof_join(probes, look, ["key"], "ts", "t", ["price"], strict=True)
     # brute force: all earlier lookups, newest wins (test-sized data only)

@@ -34,6 +34,8 @@ def query(key: str, sql: str | None = None, dates: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query key {key}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the engine compares wall-clock timestamps in UTC (see session.BASE_CONF)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return _iso_dates(fn(spark, sf_dir))
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[key] = run

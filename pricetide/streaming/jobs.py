@@ -178,9 +178,9 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, state: VersionedState,
 
 def window_stats(events: DataFrame, window: str = "1 day", slide: str | None = None) -> DataFrame:
     """T4 transformation: price statistics per time window and event type."""
-    ev = events.withColumn("event_ts", F.col("ts").cast("timestamp"))
-    w = F.window("event_ts", window, slide) if slide else F.window("event_ts", window)
-    return (ev.groupBy(w.alias("w"), "event_type")
+    # windows over the wall-clock (TIMESTAMP_NTZ) column: no session time zone involved
+    w = F.window("ts", window, slide) if slide else F.window("ts", window)
+    return (events.groupBy(w.alias("w"), "event_type")
               .agg(F.avg("value").alias("avg_price"), F.min("value").alias("min_price"),
                    F.max("value").alias("max_price"), F.count(F.lit(1)).alias("price_records"),
                    F.stddev_samp("value").alias("volatility")))

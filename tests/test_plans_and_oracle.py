@@ -75,3 +75,16 @@ def test_oracle_matches(spark, duck, key):
     s = _canon(sdf.astype(object).where(sdf.notna(), None).to_dict("records"))
     o = _canon(odf.astype(object).where(odf.notna(), None).to_dict("records"))
     assert s == o
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, duck):
+    key = "t04_stream_window_stats_e"
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        sdf = E.queries()[key](spark, SF001).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    odf = duck.execute(E.oracle_sql()[key]).df()
+    s = _canon(sdf.astype(object).where(sdf.notna(), None).to_dict("records"))
+    o = _canon(odf.astype(object).where(odf.notna(), None).to_dict("records"))
+    assert s == o

@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pricetide.llm.common import ship_package, table
 from pricetide.llm.packing import pack_documents
 from pricetide.llm.records import records_round_trip
+from pricetide.llm.neardup import near_duplicates
 from pricetide.llm.sharding import shard_documents
+from pricetide.llm import toxicity
+
+
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,5 +44,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op3_sharding, op5_token_records, op10_packing)}
+    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op5_token_records, op10_packing)}
 ORACLE: dict[str, str] = {}

@@ -153,7 +153,8 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 yield _batch(rows, types, names)
 
     files = record_files(index).select("file", "first")
-    return (files.repartition(F.col("file"), F.col("first"))
+    # a stated number of partitions: the few rows would else be put into one task
+    return (files.repartition(max(1, index.select("file").distinct().count()), "file")
             .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricetide.llm.ann import neighbours
 from pricetide.llm.common import ship_package, table
 from pricetide.llm.packing import pack_documents
 from pricetide.llm.records import records_round_trip
+from pricetide.llm.decontamination import leaks
 from pricetide.llm.neardup import near_duplicates
 from pricetide.llm.sharding import shard_documents
-from pricetide.llm import toxicity
+from pricetide.llm import lm, toxicity
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +33,18 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -44,5 +58,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op5_token_records, op10_packing)}
+    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op5_token_records, op7_nearest_neighbours, op8_decontamination, op9_language_model, op10_packing)}
 ORACLE: dict[str, str] = {}

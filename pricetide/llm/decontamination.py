@@ -78,7 +78,7 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
     for k, p in enumerate(i for i, c in enumerate(mask) if c == "1"):
         s += h[p:p + n] * _ODD[k % 32]
         s = (s ^ (s >> np.uint64(29))) * _ODD[(k + 7) % 32] if k % 8 == 7 else s
-    return mix(s + np.uint64(int(mask, 2)) * _ODD[31])
+    return mix(s + np.uint64((int(mask, 2) * int(_ODD[31])) % (1 << 64)))
 
 
 def masks_for(n_words: int) -> tuple[str, ...]:

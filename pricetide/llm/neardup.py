@@ -264,8 +264,9 @@ def _tile_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, node, class_id, class_size, links: one row per document.  ``links`` counts
-    the verified links of the document's text to other texts."""
+    """doc_id, class_id, class_size, links, node (digest of the text), class_key (smallest
+    digest of the class): one row per document.  ``links`` counts the verified links of the
+    document's text to other texts."""
     from pyspark.sql import SparkSession
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
@@ -319,5 +320,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = (one.join(label, F.col("node") == F.col("member"), "left").join(degree, "node", "left")
              .select("node", "doc_id", "copies", F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links")))
     classes = nodes.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    named = nodes.join(classes, "label").select("node", "class_id", "class_size", "links")
-    return signed.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "class_size", "links", F.hex("node").alias("node"))
+    named = nodes.join(classes, "label").select("node", "class_id", "class_size", "links", "label")
+    return (signed.select("doc_id", "node").join(named, "node")
+            .select("doc_id", "class_id", "class_size", "links", F.hex("node").alias("node"), F.hex("label").alias("class_key")))
+
+
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class, with all its columns: that of the smallest id (null last),
+    of the smallest text digest among equal ids, and one row only where rows repeat."""
+    classes = written(near_duplicates(docs, doc_id, text), "classes")
+    first = (classes.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("m"))
+             .select(F.col("m.doc_id").alias("__d"), F.col("m.node").alias("__n")))
+    same = classes.groupBy(F.col("doc_id").alias("__e"), F.col("node").alias("__o")).agg(F.count(F.lit(1)).alias("__same"))
+    keep = written(first.join(same, F.col("__d").eqNullSafe(F.col("__e")) & (F.col("__n") == F.col("__o"))).select("__d", "__n", "__same"), "kept")
+    digest = F.upper(F.md5(text_or_empty(text).cast("binary")))
+    hit = F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (digest == F.col("__n"))
+    out = docs.join(keep.where(F.col("__same") == 1), hit, "left_semi")
+    repeated = keep.where(F.col("__same") > 1)
+    if repeated.isEmpty():
+        return out
+    one = Window.partitionBy("__d", "__n").orderBy(F.lit(1))
+    return out.unionByName(docs.join(repeated, hit).withColumn("__k", F.row_number().over(one)).where(F.col("__k") == 1).select(*docs.columns))

@@ -13,7 +13,7 @@ from pricetide.llm.records import records_round_trip
 from pricetide.llm.decontamination import leaks
 from pricetide.llm.neardup import near_duplicates
 from pricetide.llm.sharding import shard_documents
-from pricetide.llm import lm, toxicity
+from pricetide.llm import chat, licenses, lm, toxicity
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +29,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -58,5 +66,5 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op5_token_records, op7_nearest_neighbours, op8_decontamination, op9_language_model, op10_packing)}
-ORACLE: dict[str, str] = {}
+    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op4_license_scan, op5_token_records, op6_tool_calls, op7_nearest_neighbours, op8_decontamination, op9_language_model, op10_packing)}
+ORACLE: dict[str, str] = {"op4_license_scan": licenses.oracle(), "op6_tool_calls": chat.oracle()}

@@ -6,12 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricetide.llm import toxicity
 from pricetide.llm.common import ship_package, table, written
+from pricetide.llm.decontamination import drop_contaminated
+from pricetide.llm.neardup import keep_one_of_each
 from pricetide.llm.packing import pack_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that a model fitted on the labels of ``sf_dir`` does not reject."""
+    ship_package(spark)
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    ship_package(spark)
+    return keep_one_of_each(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a passage of a benchmark item."""
+    ship_package(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are left, packed into sequences; one row per piece."""
     ship_package(spark)
@@ -19,6 +41,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
     ("best_fit_packing", pack_sequences),
 ]
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricetide.llm.bitmaps import BITMAP_LOG2, bitmap, in_bitmap
 from pricetide.llm.common import text_or_empty, written
 from pricetide.llm.text import mix
 
@@ -39,12 +40,10 @@ MASKS = ("11011101", "111001011", "1101100011", "101011010001")
 LEAST_WORDS = 10
 IDENTITY = 0.75
 SUBSTITUTION = 2.0
-BITMAP_LOG2 = 27                 # most bits of the bitmap (16 MB)
 BROADCAST_SEEDS = 200_000        # items' seeds up to this number are broadcast (5 MB), more are shuffled
 
 _MARKS = string.punctuation + "“”‘’«»„…–—¿¡"
 _ODD = (np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 class _Cores(dict):
@@ -87,19 +86,6 @@ def masks_for(n_words: int) -> tuple[str, ...]:
     return fit or (("1" * n_words,) if n_words else ())
 
 
-def _bits(s: np.ndarray, log2: int) -> tuple[np.ndarray, np.ndarray]:
-    down = np.uint64(64 - log2)
-    return s >> down, (s * _SECOND) >> down
-
-
-def _in_bitmap(bitmap: np.ndarray, log2: int, s: np.ndarray) -> np.ndarray:
-    """Places that may hold a seed of an item."""
-    first, second = _bits(s, log2)
-    hit = np.flatnonzero((bitmap[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & 1)
-    again = second[hit]
-    return hit[((bitmap[again >> np.uint64(3)] >> (again & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
-
-
 def item_seeds(items: DataFrame) -> DataFrame:
     """item (a number of its own), item_id, words, seeds and their places."""
 
@@ -120,22 +106,6 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "item long, item_id long, words array<long>, seeds array<long>, places array<int>, n_words int")
 
 
-def _bitmap(seed: DataFrame, log2: int) -> np.ndarray:
-    """The bitmap of all seeds: a few tasks each make one, the driver joins them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros((1 << log2) // 8, np.uint8)
-        for batch in batches:
-            for b in _bits(batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64), log2):
-                np.bitwise_or.at(bits, b >> np.uint64(3), np.uint8(1) << (b & np.uint64(7)).astype(np.uint8))
-        yield pa.RecordBatch.from_pydict({"bits": pa.array([bits.tobytes()], pa.binary())})
-
-    out = np.zeros((1 << log2) // 8, np.uint8)
-    for row in seed.select("seed").repartition(4).mapInArrow(run, "bits binary").toLocalIterator():
-        out |= np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
 def _regions(h: np.ndarray, at: np.ndarray, reach: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """(from, to, hits) of stretches of words that hold hits no further than ``reach`` apart."""
     cut = np.flatnonzero(np.diff(at) > 2 * reach) + 1
@@ -192,15 +162,15 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     short = [r["n_words"] for r in known.select("n_words").where(F.col("n_words") < min(map(len, MASKS))).distinct().collect()]   # fewer than 8
     masks = MASKS + tuple("1" * n for n in sorted(short))
     log2 = min(BITMAP_LOG2, max(20, int(256 * max(n_seeds, 1)).bit_length()))
-    shared = spark.sparkContext.broadcast(_bitmap(seed, log2))
+    shared = spark.sparkContext.broadcast(bitmap(seed, log2))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, number = shared.value, TaskContext.get().partitionId() << 33
+        bits, number = shared.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             rows = []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 h = tokens(t)
-                hits = [(s[k], k) for s in (seeds(h, m) for m in masks) for k in [_in_bitmap(bitmap, log2, s)] if len(k)]
+                hits = [(s[k], k) for s in (seeds(h, m) for m in masks) for k in [in_bitmap(bits, log2, s)] if len(k)]
                 if not hits:
                     continue
                 s, at = np.concatenate([x for x, _ in hits]), np.concatenate([k for _, k in hits])

@@ -10,12 +10,14 @@ number, since all cells of a row sum to the shingles) are all that tasks need to
 2. Equal texts are one node.  In every bucket of a band the node with the most company
    in all its buckets is the hub, and every other node is paired with it: rows grow with
    the nodes, not with the square of a bucket.
-3. Pairs whose samples agree often enough are verified exactly on their whole texts:
-   weighted Jaccard similarity of at least 0.8.
+3. Pairs whose samples agree often enough are measured exactly on their whole texts; a
+   weighted Jaccard similarity of at least 0.8 is a link.
 4. Links give components.  Only buckets that still hold several components are looked at
    again: their nodes outside the hub's component (a stated query set) are compared with
-   the samples of all nodes of the bucket, in tiles of bounded size, and what agrees is
-   verified too.  So no pair that shares a band is left out for not being the hub's.
+   all nodes of the bucket, in tiles of bounded size.  1 - similarity is a metric, so two
+   nodes whose distances to the hub differ by more than 0.2 are no pair; the others must
+   agree in FINE finer samples, and what is left is verified too.  So no pair that shares
+   a band is left out for not being the hub's.
 
 The class of a document is the smallest id of its component.
 
@@ -36,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricetide.llm.bitmaps import BITMAP_LOG2, bitmap, in_bitmap
 from pricetide.llm.common import text_or_empty, written
 from pricetide.llm.components import components
 from pricetide.llm.text import mix, shingles, word_hashes
@@ -43,6 +46,7 @@ from pricetide.llm.text import mix, shingles, word_hashes
 SIMILARITY = 0.8
 SAMPLES, ROWS = 64, 4            # 16 bands: a pair at 0.8 misses all of them with 0.0002
 AGREE = 38                       # of 64 samples; a pair at 0.8 has fewer with 0.00003
+FINE, FINE_AGREE = 512, 373      # a pair at 0.8 has fewer with 0.00003
 RARE = 1 / 500                   # share of documents below which a shingle's idf is the highest
 CELLS_LOG2 = 20                  # cells of each of the two rows of the sketch
 SLICE = 1 << 15                  # cells that travel together
@@ -66,14 +70,22 @@ def frequent_cells(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray
     n_cells, least = 1 << CELLS_LOG2, max(2, int(np.ceil(RARE * n_docs)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * n_cells, np.uint32)
+        total = np.zeros(2 * n_cells, np.int64)
+        held: list[np.ndarray] = []
+
+        def add_up() -> None:
+            if held:
+                a, b = _cells(np.concatenate(held))
+                total[:n_cells] += np.bincount(a, minlength=n_cells)
+                total[n_cells:] += np.bincount(b, minlength=n_cells)
+                held.clear()
         for batch in batches:
             for text in batch.column(0):
-                s = np.unique(shingles(word_hashes(text.as_py())))
-                if len(s):
-                    a, b = _cells(s)
-                    np.add.at(total, a, 1)
-                    np.add.at(total, b + n_cells, 1)
+                held.append(np.unique(shingles(word_hashes(text.as_py()))))      # once a document
+                if len(held) == 2000:
+                    add_up()
+        add_up()
+        total = total.astype(np.uint32)
         for i in range(0, 2 * n_cells, SLICE):
             part = total[i:i + SLICE]
             if part.any():
@@ -219,48 +231,74 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
-    """a, b and similarity of the pairs at SIMILARITY or above, on whole texts."""
+    """a, b and the similarity of their whole texts."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(*shared.value)
-        last, last_bag = None, None                 # rows come sorted by a side from the join
+        last, last_bag = None, None                 # rows come sorted by b from the join
         for batch in batches:
-            keep = []
+            sim = []
             for b, tb, ta in zip(batch.column("b").to_pylist(), batch.column("tb").to_pylist(), batch.column("ta").to_pylist()):
                 if b != last:
                     last, last_bag = b, bag(tb, weights)
-                keep.append(weighted_jaccard(bag(ta, weights), last_bag))
-            sim = np.array(keep)
-            ok = pa.array(sim >= SIMILARITY)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sim)], names=["a", "b", "similarity"]).filter(ok)
+                sim.append(weighted_jaccard(bag(ta, weights), last_bag))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sim, pa.float64())], names=["a", "b", "similarity"])
 
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary, similarity double")
 
 
-def _texts(docs: DataFrame, one: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the nodes in ``pairs``: from the first row of each."""
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = docs.select("doc_id", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("node"))
-    wanted = one.select("doc_id", "node").join(need, "node", "left_semi").select(F.col("doc_id").alias("__d"), F.col("node").alias("__n"))
-    found = rows.join(wanted, (rows["node"] == wanted["__n"]) & rows["doc_id"].eqNullSafe(wanted["__d"]), "left_semi")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and text of the nodes ``wanted`` (node, doc_id of its first row).  A bitmap of
+    bounded size drops most other texts before the join."""
+    spark = docs.sparkSession
+    n = wanted.count()
+    log2 = min(BITMAP_LOG2, max(16, int(16 * max(n, 1)).bit_length()))
+    number = F.conv(F.hex(F.substring("node", 1, 7)), 16, 10).cast("long")       # 56 bits of the digest
+    bits = spark.sparkContext.broadcast(bitmap(wanted.select(number.alias("seed")), log2))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in batch.column("text").to_pylist()]
+            number = np.array([int.from_bytes(d[:7], "big") for d in node], np.uint64)
+            at = pa.array(in_bitmap(bits.value, log2, number))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text").take(at), pa.array(node, pa.binary()).take(at)],
+                                             names=["doc_id", "text", "node"])
+
+    rows = docs.mapInArrow(some, "doc_id long, text string, node binary")
+    need = wanted.select(F.col("doc_id").alias("__d"), F.col("node").alias("__n"))
+    found = rows.join(need, (rows["node"] == need["__n"]) & rows["doc_id"].eqNullSafe(need["__d"]), "left_semi")
     return found.groupBy("node").agg(F.first("text").alias("text"))      # rows may repeat
 
 
+def _fine_samples(texts: DataFrame, shared) -> DataFrame:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = Weights(*shared.value)
+        sampler = Sampler(weights, FINE, seed=21)
+        for batch in batches:
+            fine = [(sampler(*bag(t, weights), block=256) >> np.uint64(48)).astype(np.uint16).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(fine, pa.binary())], names=["node", "fine"])
+    return texts.mapInArrow(sign, "node binary, fine binary")
+
+
 def _tile_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a tile that lie in different components and agree often enough."""
+    """Pairs of a tile that lie in different components and may be similar."""
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-    none = pd.DataFrame({"a": [], "b": []})
-    if not len(left) or not len(right):
-        return none
-    x, y = (np.frombuffer(b"".join(r["samples"]), np.uint32).reshape(-1, SAMPLES) for r in (left, right))
-    cx, cy = pd.factorize(pd.concat([left["label"], right["label"]]))[0][:len(left)], pd.factorize(pd.concat([left["label"], right["label"]]))[0][len(left):]
-    a, b = left["node"].to_numpy(), right["node"].to_numpy()
     out = []
-    for i in range(len(a)):
-        out += [(a[i], b[j]) if a[i] < b[j] else (b[j], a[i]) for j in np.flatnonzero((cy != cx[i]) & (_agree(y, x[i]) >= AGREE))]
-    return pd.DataFrame(out, columns=["a", "b"]) if out else none
+    if len(left) and len(right):
+        coarse, fine = (lambda r: np.frombuffer(b"".join(r["samples"]), np.uint32).reshape(-1, SAMPLES)), (lambda r: np.frombuffer(b"".join(r["fine"]), np.uint16).reshape(-1, FINE))
+        x, y, fx, fy = coarse(left), coarse(right), fine(left), fine(right)
+        group = pd.factorize(pd.concat([left["label"], right["label"]]))[0]
+        cx, cy = group[:len(left)], group[len(left):]
+        dx, dy = left["far"].to_numpy(), right["far"].to_numpy()           # NaN: not known
+        a, b = left["node"].to_numpy(), right["node"].to_numpy()
+        for i in range(len(a)):
+            may = np.flatnonzero((cy != cx[i]) & ~(np.abs(dy - dx[i]) > 1 - SIMILARITY + 1e-9))
+            may = may[_agree(y[may], x[i]) >= AGREE]
+            may = may[_agree(fy[may], fx[i]) >= FINE_AGREE]
+            out += [(a[i], b[j]) if a[i] < b[j] else (b[j], a[i]) for j in may.tolist()]
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,35 +323,41 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     company = member.groupBy("node").agg(F.sum("size").alias("company"))
     hubs = (member.join(company, "node").groupBy("band", "key")
             .agg(F.max(F.struct("company", "node"))["node"].alias("hub")))
+    wanted = one.select("doc_id", "node").join(member.select("node").distinct(), "node", "left_semi")
+    texts = written(_texts(rows, written(wanted, "wanted")), "texts")
     spokes = (member.join(hubs, ["band", "key"]).where("node <> hub")
               .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
     sa = sig.select(F.col("node").alias("a"), F.col("samples").alias("sa"))
     sb = sig.select(F.col("node").alias("b"), F.col("samples").alias("sb"))
-    likely = written(spokes.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_likely, "a binary, b binary"), "likely")
-    links = written(_verify(likely, _texts(rows, one, likely), shared), "links")
-    label = components(links.select("a", "b"))
+    likely = spokes.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_likely, "a binary, b binary")
+    star = written(_verify(likely, texts, shared), "star")
+    links = star.where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    label = components(links)
 
     # buckets that still hold several components: what is outside the hub's meets all of it
-    lone = member.join(hubs, ["band", "key"]).join(label, F.col("node") == F.col("member"), "left").select(
+    placed = member.join(hubs, ["band", "key"]).join(label, F.col("node") == F.col("member"), "left").select(
         "band", "key", "node", "hub", F.coalesce("label", "node").alias("label"))
-    hub_label = lone.where("node = hub").select("band", "key", F.col("label").alias("hub_label"))
-    outside = lone.join(hub_label, ["band", "key"]).withColumn("out", F.col("label") != F.col("hub_label"))
-    mixed = outside.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("out").cast("long")).alias("n_out")).where("n_out > 0")
-    inside = outside.join(mixed, ["band", "key"]).join(sig.select("node", "samples"), "node")
+    hub_label = placed.where("node = hub").select("band", "key", F.col("label").alias("hub_label"))
+    placed = placed.join(hub_label, ["band", "key"]).withColumn("out", F.col("label") != F.col("hub_label"))
+    mixed = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("out").cast("long")).alias("n_out")).where("n_out > 0")
+    inside = written(placed.join(mixed, ["band", "key"]), "mixed")
+    fine = _fine_samples(texts.join(inside.select("node").distinct(), "node", "left_semi"), shared)
+    far = star.select(F.col("a").alias("node"), F.col("b").alias("hub"), (1 - F.col("similarity")).alias("far"))
+    both = inside.join(far, ["node", "hub"], "left").join(sig.select("node", "samples").join(fine, "node"), "node")
+    both = both.withColumn("far", F.when(F.col("node") == F.col("hub"), 0.0).otherwise(F.col("far")))
     tiles_of = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / TILE)).cast("int")
     spread = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), tiles_of(c)).cast("int")
-    cols = ["band", "key", "node", "label", "samples"]
-    asks = inside.where("out").select(*cols, F.lit(0).alias("side"), spread("n_out", 1).alias("i"),
-                                      F.explode(F.sequence(F.lit(0), tiles_of("size") - 1)).alias("j"))
-    rest = inside.select(*cols, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), tiles_of("n_out") - 1)).alias("i"),
-                         spread("size", 2).alias("j"))
-    crossed = (asks.unionByName(rest).groupBy("band", "key", "i", "j")
-               .applyInPandas(_tile_pairs, "a binary, b binary").distinct())
-    crossed = written(crossed.join(likely, ["a", "b"], "left_anti")
-                      .join(likely.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "crossed")
-    more = written(_verify(crossed, _texts(rows, one, crossed), shared), "more_links")
-    links = links.unionByName(more)
-    label = components(links.select("a", "b"))
+    cols = ["band", "key", "node", "label", "far", "samples", "fine"]
+    asks = both.where("out").select(*cols, F.lit(0).alias("side"), spread("n_out", 1).alias("i"),
+                                    F.explode(F.sequence(F.lit(0), tiles_of("size") - 1)).alias("j"))
+    rest = both.select(*cols, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), tiles_of("n_out") - 1)).alias("i"),
+                       spread("size", 2).alias("j"))
+    crossed = written(asks.unionByName(rest).groupBy("band", "key", "i", "j")
+                      .applyInPandas(_tile_pairs, "a binary, b binary").distinct(), "crossed")
+    known = star.select("a", "b").unionByName(star.select(F.col("a").alias("b"), F.col("b").alias("a")))
+    more = written(_verify(crossed.join(known, ["a", "b"], "left_anti"), texts, shared), "more_links")
+    links = links.unionByName(more.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
+    label = components(links)
 
     degree = (links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("links")))

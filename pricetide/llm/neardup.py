@@ -13,11 +13,12 @@ number, since all cells of a row sum to the shingles) are all that tasks need to
 3. Pairs whose samples agree often enough are measured exactly on their whole texts; a
    weighted Jaccard similarity of at least 0.8 is a link.
 4. Links give components.  Only buckets that still hold several components are looked at
-   again: their nodes outside the hub's component (a stated query set) are compared with
-   all nodes of the bucket, in tiles of bounded size.  1 - similarity is a metric, so two
-   nodes whose distances to the hub differ by more than 0.2 are no pair; the others must
-   agree in FINE finer samples, and what is left is verified too.  So no pair that shares
-   a band is left out for not being the hub's.
+   again: their nodes outside the largest component (a stated query set) are compared
+   with all nodes of the bucket, in tiles of bounded size, each pair in the first band
+   that it shares.  1 - similarity is a metric, so two nodes whose distances to the hub
+   differ by more than 0.2 are no pair; the others must agree in their samples and then
+   in their shingles, and what is left is verified too.  So no pair that shares a band is
+   left out for not being the hub's.
 
 The class of a document is the smallest id of its component.
 
@@ -46,7 +47,6 @@ from pricetide.llm.text import mix, shingles, word_hashes
 SIMILARITY = 0.8
 SAMPLES, ROWS = 64, 4            # 16 bands: a pair at 0.8 misses all of them with 0.0002
 AGREE = 38                       # of 64 samples; a pair at 0.8 has fewer with 0.00003
-FINE, FINE_AGREE = 512, 373      # a pair at 0.8 has fewer with 0.00003
 RARE = 1 / 500                   # share of documents below which a shingle's idf is the highest
 CELLS_LOG2 = 20                  # cells of each of the two rows of the sketch
 SLICE = 1 << 15                  # cells that travel together
@@ -272,32 +272,56 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("text").alias("text"))      # rows may repeat
 
 
-def _fine_samples(texts: DataFrame, shared) -> DataFrame:
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_bags(texts: DataFrame, shared) -> DataFrame:
+    """node, shingles (32 bits of each, sorted) and weights (16 bits), for tiles."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(*shared.value)
-        sampler = Sampler(weights, FINE, seed=21)
         for batch in batches:
-            fine = [(sampler(*bag(t, weights), block=256) >> np.uint64(48)).astype(np.uint16).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(fine, pa.binary())], names=["node", "fine"])
-    return texts.mapInArrow(sign, "node binary, fine binary")
+            bags = [bag(t, weights) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([(s >> np.uint64(32)).astype(np.uint32).tobytes() for s, _ in bags], pa.binary()),
+                 pa.array([np.minimum(w, 60_000).astype(np.float16).tobytes() for _, w in bags], pa.binary())], names=["node", "shingles", "weights"])
+    return texts.mapInArrow(make, "node binary, shingles binary, weights binary")
+
+
+class _Tile:
+    """One side of a tile."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.node, self.label, self.far = (rows[c].to_numpy() for c in ("node", "label", "far"))
+        self.bands = np.array(rows["bands"].tolist(), np.int64).reshape(len(rows), -1)
+        self.samples = np.frombuffer(b"".join(rows["samples"]), np.uint32).reshape(len(rows), SAMPLES)
+        self.shingles = [np.frombuffer(x, np.uint32) for x in rows["shingles"]]
+        self.weights = [np.frombuffer(x, np.float16).astype(np.float32) for x in rows["weights"]]
+        self.total = np.array([w.sum() for w in self.weights])
+
+
+def _near(x: _Tile, i: int, y: _Tile, which: np.ndarray) -> np.ndarray:
+    """Those of ``which`` whose short bags are about as similar to that of ``i`` as a link needs."""
+    own, w = x.shingles[i], x.weights[i]
+    theirs = np.concatenate([y.shingles[j] for j in which])
+    at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+    both = np.where(own[at] == theirs, np.minimum(w[at], np.concatenate([y.weights[j] for j in which])), 0)
+    starts = np.cumsum([0] + [len(y.shingles[j]) for j in which[:-1]])
+    common = np.add.reduceat(both, starts)
+    return which[common >= (SIMILARITY - 0.01) * (x.total[i] + y.total[which] - common)]
 
 
 def _tile_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a tile that lie in different components and may be similar."""
-    left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
+    """Pairs of a tile that lie in different components and may be similar, in the first
+    band that they share."""
+    x, y = _Tile(rows[rows["side"] == 0]), _Tile(rows[rows["side"] == 1])
     out = []
-    if len(left) and len(right):
-        coarse, fine = (lambda r: np.frombuffer(b"".join(r["samples"]), np.uint32).reshape(-1, SAMPLES)), (lambda r: np.frombuffer(b"".join(r["fine"]), np.uint16).reshape(-1, FINE))
-        x, y, fx, fy = coarse(left), coarse(right), fine(left), fine(right)
-        group = pd.factorize(pd.concat([left["label"], right["label"]]))[0]
-        cx, cy = group[:len(left)], group[len(left):]
-        dx, dy = left["far"].to_numpy(), right["far"].to_numpy()           # NaN: not known
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        for i in range(len(a)):
-            may = np.flatnonzero((cy != cx[i]) & ~(np.abs(dy - dx[i]) > 1 - SIMILARITY + 1e-9))
-            may = may[_agree(y[may], x[i]) >= AGREE]
-            may = may[_agree(fy[may], fx[i]) >= FINE_AGREE]
-            out += [(a[i], b[j]) if a[i] < b[j] else (b[j], a[i]) for j in may.tolist()]
+    if len(x.node) and len(y.node):
+        group = pd.factorize(np.concatenate([x.label, y.label]))[0]
+        cx, cy = group[:len(x.node)], group[len(x.node):]
+        for i in range(len(x.node)):
+            may = np.flatnonzero((cy != cx[i]) & ~(np.abs(y.far - x.far[i]) > 1 - SIMILARITY + 1e-9))      # far is NaN where not known
+            may = may[(y.bands[may] == x.bands[i]).argmax(axis=1) == key[0]]
+            may = may[_agree(y.samples[may], x.samples[i]) >= AGREE]
+            if len(may):
+                a = x.node[i]
+                out += [(a, b) if a < b else (b, a) for b in y.node[_near(x, i, y, may)]]
     return pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -334,20 +358,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = star.where(F.col("similarity") >= SIMILARITY).select("a", "b")
     label = components(links)
 
-    # buckets that still hold several components: what is outside the hub's meets all of it
+    # buckets that still hold several components: what is outside the largest meets all of it
     placed = member.join(hubs, ["band", "key"]).join(label, F.col("node") == F.col("member"), "left").select(
         "band", "key", "node", "hub", F.coalesce("label", "node").alias("label"))
-    hub_label = placed.where("node = hub").select("band", "key", F.col("label").alias("hub_label"))
-    placed = placed.join(hub_label, ["band", "key"]).withColumn("out", F.col("label") != F.col("hub_label"))
-    mixed = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("out").cast("long")).alias("n_out")).where("n_out > 0")
-    inside = written(placed.join(mixed, ["band", "key"]), "mixed")
-    fine = _fine_samples(texts.join(inside.select("node").distinct(), "node", "left_semi"), shared)
+    shares = placed.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (shares.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"))
+             .select("band", "key", F.col("m.label").alias("main"), "size", (F.col("size") - F.col("m.n")).alias("n_out")).where("n_out > 0"))
+    inside = written(placed.join(mixed, ["band", "key"]).withColumn("out", F.col("label") != F.col("main")).drop("main"), "mixed")
+    short = _short_bags(texts.join(inside.select("node").distinct(), "node", "left_semi"), shared)
     far = star.select(F.col("a").alias("node"), F.col("b").alias("hub"), (1 - F.col("similarity")).alias("far"))
-    both = inside.join(far, ["node", "hub"], "left").join(sig.select("node", "samples").join(fine, "node"), "node")
+    both = inside.join(far, ["node", "hub"], "left").join(sig.select("node", "bands", "samples").join(short, "node"), "node")
     both = both.withColumn("far", F.when(F.col("node") == F.col("hub"), 0.0).otherwise(F.col("far")))
     tiles_of = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / TILE)).cast("int")
     spread = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), tiles_of(c)).cast("int")
-    cols = ["band", "key", "node", "label", "far", "samples", "fine"]
+    cols = ["band", "key", "node", "label", "far", "bands", "samples", "shingles", "weights"]
     asks = both.where("out").select(*cols, F.lit(0).alias("side"), spread("n_out", 1).alias("i"),
                                     F.explode(F.sequence(F.lit(0), tiles_of("size") - 1)).alias("j"))
     rest = both.select(*cols, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), tiles_of("n_out") - 1)).alias("i"),

@@ -11,8 +11,8 @@ CLASSES classes of all other words (by their last characters); a batched matrix
 gives the scores of all targets, whose log-sum-exp normalises them exactly.  Within a
 class a word has its smoothed share (c + 0.5) / (n + 0.5 (v + 1)) of the class's tokens.
 
-Training: the parameters start from a bounded sample of documents (WARM_DOCS) on the
-driver; then every task goes once over all its training documents, with noise drawn from
+Training: the parameters start from a bounded sample of documents (WARM_DOCS, gone over
+until WARM_STEPS) on the driver; then every task goes once over all its training documents, with noise drawn from
 the targets' frequencies and shared by a batch, and the tasks' parameters are averaged
 with their tokens as weights.
 
@@ -33,15 +33,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.common import crc32_mod, text_or_empty, written
 
 FREQUENT, SHORT, INPUT, CLASSES = 200_000, 256, 2048, 64
 DIM, CONTEXT = 16, 4
-WARM_DOCS = 1500
-BATCH, NOISE, RATE = 2048, 64, 0.1
+WARM_DOCS, WARM_STEPS = 1500, 400      # a small sample is gone over until so many steps are taken
+BATCH, NOISE, RATE = 2048, 32, 0.1
 END = b""                                # no word is empty
 FLUSH_WORDS = 400_000                    # different words that a counting task holds at once
 
@@ -140,25 +140,39 @@ class Model:
         ends = np.cumsum([p.size for p in self.parts])
         return Model(*[x.reshape(p.shape).astype(np.float32) for x, p in zip(np.split(flat, ends[:-1]), self.parts)])
 
-    def predicted(self, ctx: np.ndarray) -> np.ndarray:
-        r, c, _, _ = self.parts
-        return np.einsum("tkd,kd->td", r[ctx], c, optimize=False)
-
-    def log10_probabilities(self, ctx: np.ndarray, target: np.ndarray, block: int = 4096) -> np.ndarray:
+    def log10_probabilities(self, ctx: np.ndarray, target: np.ndarray, block: int = 2048) -> np.ndarray:
         """Of each target after its context, normalised over all targets."""
-        _, _, q, b = self.parts
+        r, c, q, b = self.parts
+        placed = r[None] * c[:, None]                             # input vectors by position
+        full = np.concatenate([q, b[:, None]], axis=1).T.copy()   # the bias as one more column
+        ones = np.ones(len(q), np.float32)
         out = np.empty(len(target))
         for lo in range(0, len(target), block):
-            t = target[lo:lo + block]
-            scores = self.predicted(ctx[lo:lo + block]) @ q.T
-            scores += b
-            scores -= scores.max(axis=1, keepdims=True)
+            t, at = target[lo:lo + block], ctx[lo:lo + block]
+            hat = np.ones((len(t), DIM + 1), np.float32)
+            hat[:, :DIM] = placed[0][at[:, 0]]
+            for k in range(1, CONTEXT):
+                hat[:, :DIM] += placed[k][at[:, k]]
+            scores = hat @ full
+            top = scores.max()
+            if top - scores.min() > 60:                           # else float32 holds all exponentials
+                top = scores.max(axis=1, keepdims=True)
+            scores -= top
             own = scores[np.arange(len(t)), t].astype(np.float64)
             np.exp(scores, out=scores)
-            out[lo:lo + block] = own - np.log(scores.sum(axis=1, dtype=np.float64))
+            out[lo:lo + block] = own - np.log((scores @ ones).astype(np.float64))
         return out / np.log(10)
 
 
+def _add_rows(size: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """An array of ``size`` rows: the sums of ``rows`` by their place ``at``."""
+    out = np.zeros((size, *rows.shape[1:]), np.float32)
+    order = np.argsort(at.astype(np.uint16), kind="stable")       # a radix sort; there are few places
+    cuts = np.flatnonzero(np.diff(at[order], prepend=-1))
+    out[at[order][cuts]] = np.add.reduceat(rows[order], cuts)
+    return out
+
+
 class Trainer:
     """Noise-contrastive steps with Adagrad, from given parameters."""
 
@@ -176,29 +190,28 @@ class Trainer:
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
         r, c, q, b = self.model.parts
         n = np.float32(len(target))
-        rows = r[ctx]
-        hat = np.einsum("tkd,kd->td", rows, c, optimize=False)
+        rows = [r[ctx[:, k]] for k in range(CONTEXT)]
+        hat = rows[0] * c[0]
+        for k in range(1, CONTEXT):
+            hat += rows[k] * c[k]
         noise = np.minimum(np.searchsorted(self.cum, self.rng.random_sample(NOISE)), len(self.cum) - 1)
-        own = np.einsum("td,td->t", hat, q[target]) + b[target] - self.log_kp[target]
-        other = hat @ q[noise].T + (b[noise] - self.log_kp[noise])
-        up = 1 / (1 + np.exp(np.clip(own, -30, 30)))                   # 1 - P(from the data)
-        down = -1 / (1 + np.exp(-np.clip(other, -30, 30)))
-        dhat = up[:, None] * q[target] + down @ q[noise]
-        dq, db = np.zeros_like(q), np.zeros_like(b)
-        order = np.argsort(target, kind="stable")
-        cuts = np.flatnonzero(np.diff(target[order], prepend=-1))
-        at = target[order][cuts]
-        dq[at] = np.add.reduceat((up[:, None] * hat)[order], cuts)
-        db[at] = np.add.reduceat(up[order], cuts)
+        mine, theirs = q[target], q[noise]
+        own = np.einsum("td,td->t", hat, mine) + (b - self.log_kp)[target]
+        other = hat @ theirs.T
+        other += (b - self.log_kp)[noise]
+        with np.errstate(over="ignore"):                               # 1 / (1 + inf) is 0
+            up = (1 / (1 + np.exp(own)))[:, None]                      # 1 - P(from the data)
+            np.negative(other, out=other)
+            np.exp(other, out=other)
+        other += 1
+        down = np.divide(-1, other, out=other)
+        dhat = up * mine
+        dhat += down @ theirs
+        dq, db = _add_rows(len(q), target, up * hat), _add_rows(len(b), target, up[:, 0])
         np.add.at(dq, noise, down.T @ hat)
         np.add.at(db, noise, down.sum(axis=0))
-        dc = np.einsum("tkd,td->kd", rows, dhat)
-        drows = (dhat[:, None, :] * c[None]).reshape(-1, DIM)
-        flat = ctx.ravel()
-        order = np.argsort(flat, kind="stable")
-        cuts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        dr = np.zeros_like(r)
-        dr[flat[order][cuts]] = np.add.reduceat(drows[order], cuts)
+        dc = np.stack([np.einsum("td,td->d", rows[k], dhat) for k in range(CONTEXT)])
+        dr = _add_rows(len(r), ctx.T.ravel(), np.concatenate([dhat * c[k] for k in range(CONTEXT)]))
         for i, g in enumerate((dr, dc, dq, db)):
             self._move(i, (g / n).astype(np.float32))
 
@@ -230,8 +243,10 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Model:
     spark = docs.sparkSession
     warm = [r["text"] for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.length("text"), "text").limit(WARM_DOCS).select("text").collect()]
     trainer = Trainer(Model.fresh(vocab), vocab.noise, 1)
-    for part in text_groups(warm):
-        trainer.texts(vocab, warm[part])
+    steps = 0
+    while warm and steps < WARM_STEPS:
+        for part in text_groups(warm):
+            steps += -(-trainer.texts(vocab, warm[part]) // BATCH)
     begin = trainer.model.flat()
     shared = spark.sparkContext.broadcast((vocab, begin))
 
@@ -259,6 +274,19 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Model:
     return trainer.model.like(sum(np.frombuffer(r["sums"]) for r in parts) / n) if n else trainer.model
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The words with the highest counts, at most ``most``, by rank: all words from that
+    count on which the number of words allows, so that only they go to the driver."""
+    steps = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most)    # few different counts
+    upto = steps.select("c", F.sum("n").over(Window.orderBy(F.desc("c"))).alias("n"))
+    least = upto.where(F.col("n") <= most).agg(F.min("c")).first()[0]
+    crowded = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).agg(F.max("c")).first()[0]
+    if least is None:
+        return []
+    found = counts.where(F.col("c") >= max(least, (crowded or 0) + 1)).select("word", "c").toArrow()
+    return sorted(zip(found["word"].to_pylist(), found["c"].to_pylist()), key=lambda x: (-x[1], x[0]))
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
@@ -270,7 +298,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     total, distinct = int(facts[0]), int(facts[1])
     ends = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     only = counts.where(F.col("word") != F.lit(bytearray(END)))
-    frequent = [(bytes(r["word"]), r["c"]) for r in only.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    frequent = frequent_words(only, FREQUENT)
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in only.groupBy(cls.alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
         tokens[r["k"]], kinds[r["k"]] = r["c"], r["v"]

@@ -205,5 +205,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """The documents without a passage of an item, with all their columns."""
     # written first, so that its size is known when the join is planned
     out = written(leaks(docs, items, doc_id, text).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")).distinct(), "leaks")
-    key = F.unhex(F.md5(text_or_empty(text).cast("binary")))
-    return docs.join(out, F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (key == F.col("__k")), "left_anti")
+    key = F.unhex(F.md5(F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary")))
+    return docs.join(out, docs[doc_id].cast("long").eqNullSafe(out["__d"]) & (key == out["__k"]), "left_anti")

@@ -1,10 +1,12 @@
 """Operator 1: near-duplicates by improved consistent weighted sampling.
 
 Each text is a bag of five-word shingles with TF-IDF weights tf * idf, where
-idf = ln(1 / max(df / N, RARE)): shingles in less than a share RARE of the documents
-weigh the same, those in more of them less.  Document frequencies are counted over all
-documents in a count-min sketch of fixed size, whose cells from RARE * N on (a bounded
-number, since all cells of a row sum to the shingles) are all that tasks need to know.
+idf = 1 + ln(1 / max(df / N, RARE)): shingles in less than a share RARE of the documents
+weigh the same, those in more of them less, down to a third.  (A steeper idf would take
+the members of a group of near copies apart just because the group is large.)  Document
+frequencies are counted over all documents in a count-min sketch of fixed size, whose
+cells from RARE * N on (a bounded number, since all cells of a row sum to the shingles)
+are all that tasks need to know.
 
 1. Texts get SAMPLES consistent weighted samples.  Bands of ROWS samples each are keys.
 2. Equal texts are one node.  In every bucket of a band the node with the most company
@@ -31,6 +33,7 @@ rows.  Extra columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +50,7 @@ from pricetide.llm.text import mix, shingles, word_hashes
 SIMILARITY = 0.8
 SAMPLES, ROWS = 64, 4            # 16 bands: a pair at 0.8 misses all of them with 0.0002
 AGREE = 38                       # of 64 samples; a pair at 0.8 has fewer with 0.00003
-RARE = 1 / 500                   # share of documents below which a shingle's idf is the highest
+RARE = 1 / 8                     # share of documents below which a shingle's idf is the highest
 CELLS_LOG2 = 20                  # cells of each of the two rows of the sketch
 SLICE = 1 << 15                  # cells that travel together
 TILE = 512                       # nodes on either side of a tile of step 4
@@ -111,10 +114,10 @@ class Weights:
 
     def __init__(self, n_docs: int, cells: np.ndarray, counts: np.ndarray):
         n_cells = 1 << CELLS_LOG2
-        self.top = np.float32(np.log(1 / RARE)) if n_docs else np.float32(1)
+        self.top = np.float32(1 + np.log(1 / RARE))
         idf = np.full(2 * n_cells, self.top, np.float32)
         share = np.minimum(1.0, counts / max(n_docs, 1))
-        idf[cells] = np.maximum(np.log(1 / np.maximum(share, RARE)), 0.01)
+        idf[cells] = 1 + np.log(1 / np.maximum(share, RARE))
         self.first, self.second = idf[:n_cells], idf[n_cells:]
 
     def __call__(self, s: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -401,11 +404,15 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
              .select(F.col("m.doc_id").alias("__d"), F.col("m.node").alias("__n")))
     same = classes.groupBy(F.col("doc_id").alias("__e"), F.col("node").alias("__o")).agg(F.count(F.lit(1)).alias("__same"))
     keep = written(first.join(same, F.col("__d").eqNullSafe(F.col("__e")) & (F.col("__n") == F.col("__o"))).select("__d", "__n", "__same"), "kept")
-    digest = F.upper(F.md5(text_or_empty(text).cast("binary")))
-    hit = F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (digest == F.col("__n"))
-    out = docs.join(keep.where(F.col("__same") == 1), hit, "left_semi")
+    digest = F.upper(F.md5(F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary")))
+
+    def rows_of(some: DataFrame, how: str) -> DataFrame:
+        return docs.join(some, docs[doc_id].cast("long").eqNullSafe(some["__d"]) & (digest == some["__n"]), how)
+    out = rows_of(keep.where(F.col("__same") == 1), "left_semi")
     repeated = keep.where(F.col("__same") > 1)
     if repeated.isEmpty():
         return out
-    one = Window.partitionBy("__d", "__n").orderBy(F.lit(1))
-    return out.unionByName(docs.join(repeated, hit).withColumn("__k", F.row_number().over(one)).where(F.col("__k") == 1).select(*docs.columns))
+    one = Window.partitionBy(repeated["__d"], repeated["__n"]).orderBy(F.lit(1))
+    rank = f"rank_{uuid.uuid4().hex}"                             # no column of the documents has this name
+    return out.unionByName(rows_of(repeated, "inner").select(*[docs[c] for c in docs.columns], F.row_number().over(one).alias(rank))
+                           .where(F.col(rank) == 1).drop(rank))

@@ -97,33 +97,55 @@ SEARCH_QUERIES = {
 # offset rule of the first store: (page - 1) * 48 + 1
 FRONTIER_OFFSET_STEP = 48
 
-# --- FIXED VALUES: url canonicalisation ---
-ITEM_URL_PATTERNS = [r"^(https?://[^/]+/item/[0-9]+\.html)", r"^(https?://[^/]+/[-A-Za-z0-9_]*-g-[0-9]+\.html)"]
-TRACKING_KEYS = [
-    "alg", "spm", "scm", "pdp_ext_f", "pdp_npi", "sourceType", "source", "groupId", "traceId",
-    "refer_page", "search_key", "search_meta", "sku_id", "ads", "page_el", "page_list",
-    "obj_id", "obj_source", "scene", "sub_scene", "mscene", "search_result", "pdp_id",
-    "_bg_ref", "_x_share_id", "_x_sessn_id", "src", "channel",
-]
-
-# --- FIXED VALUES: sku rules (pattern, prefix) tried in order ---
-SKU_RULES = [(r"(MLM-[0-9]+)", ""), (r"/item/([0-9]+)", "AE-"), (r"-g-([0-9]+)", "TEMU-"),
-             (r"/([0-9]{8,})\.html", "TEMU-")]
-
-# --- FIXED VALUES: page classifier phrases (all matched lower-case) ---
-CAPTCHA_KEYWORDS = ["challenge", "captcha", "verificación", "verificacion"]
-CAPTCHA_BODY_PHRASES = ["slide to verify", "verify you are human", "baxia", "captcha", "aliverify",
-                        "verificación de seguridad"]
-CHALLENGE_TITLE_KEYWORDS = ["just a moment", "attention required", "checking your browser",
-                            "verify you are human", "cloudflare", "enable javascript",
-                            "sorry, you have been blocked"]
-CHALLENGE_BODY_PHRASES = ["checking your browser before accessing", "please complete the security check",
-                          "this process is automatic", "you have been blocked", "ray id",
-                          "performance & security by cloudflare"]
-BLOCKED_PHRASES = ["your access has been restricted", "unusual activity detected", "access denied",
-                   "ip has been blocked", "temporarily restricted"]
-NO_RESULTS_PHRASES = ["no results found", "0 results", "no items found", "couldn't find any matching",
-                      "no se encontraron resultados"]
+# --- FIXED VALUES: page and url rules of each store ---
+# sku: (pattern, prefix) tried in order; item_url: an item url keeps this part only;
+# tracking: query keys that go; keep_query: urls that hold this text keep their query,
+# all others lose it; *_marks: page elements; captcha_both: a captcha phrase must stand in
+# title and body; link: product links of a page without cards, link_cap: how many of them;
+# per_page: listings per page, after which (times the pages) no further page is fetched
+# (None: never stops)
+STORE_RULES = {
+    "mercadolibre": {
+        "currency": "MXN", "sku": [(r"(MLM-[0-9]+)", "")], "item_url": None, "tracking": None, "keep_query": "/p/",
+        "captcha_marks": ["div.captcha", "form#captcha"],
+        "captcha_title": ["challenge", "captcha", "verificación", "verificacion"], "captcha_both": [],
+        "challenge_marks": [], "challenge_title": [], "challenge_body": [], "blocked_body": [],
+        "no_results_marks": ["div.ui-search-message"], "no_results_body": [],
+        "link": r"/MLM-[0-9]+", "link_cap": None, "per_page": 48,
+    },
+    "aliexpress": {
+        "currency": "USD", "sku": [(r"/item/([0-9]+)", "AE-")], "item_url": r"^(https?://[^/]+/item/[0-9]+\.html)",
+        "tracking": ["alg", "spm", "scm", "pdp_ext_f", "pdp_npi", "sourceType", "source", "groupId", "traceId"], "keep_query": None,
+        "captcha_marks": ["div.baxia-dialog", "div#nc_1_wrapper"], "captcha_title": [],
+        "captcha_both": ["slide to verify", "verify you are human", "baxia", "captcha", "aliverify", "verificación de seguridad"],
+        "challenge_marks": [], "challenge_title": [], "challenge_body": [], "blocked_body": [],
+        "no_results_marks": ["div.no-result"], "no_results_body": [],
+        "link": r"/item/", "link_cap": 60, "per_page": 60,
+    },
+    "temu": {
+        "currency": "USD", "sku": [(r"-g-([0-9]+)", "TEMU-"), (r"/([0-9]{8,})\.html", "TEMU-")],
+        "item_url": r"^(https?://[^/]+/[-A-Za-z0-9_]*-g-[0-9]+\.html)",
+        "tracking": ["refer_page", "search_key", "search_meta", "sku_id", "ads", "page_el", "page_list", "obj_id", "obj_source",
+                     "scene", "sub_scene", "mscene", "search_result", "pdp_id", "_bg_ref", "_x_share_id", "_x_sessn_id",
+                     "src", "source", "channel"], "keep_query": None,
+        "captcha_marks": ["div.captcha-verify", "div#captcha_verify_container", "iframe[src*='captcha']"],
+        "captcha_title": [], "captcha_both": [],
+        "challenge_marks": ["#challenge-running", "#challenge-stage", "#challenge-success", "#challenge-error",
+                            "div.cf-browser-verification", "div#cf-challenge-running", "div#challenge-running",
+                            "iframe[src*='challenges.cloudflare.com']", "form#challenge-form"],
+        "challenge_title": ["just a moment", "attention required", "checking your browser", "verify you are human",
+                            "cloudflare", "enable javascript", "sorry, you have been blocked"],
+        "challenge_body": ["checking your browser before accessing", "please complete the security check",
+                           "this process is automatic", "you have been blocked", "ray id",
+                           "performance & security by cloudflare"],
+        "blocked_body": ["your access has been restricted", "unusual activity detected", "access denied",
+                         "ip has been blocked", "temporarily restricted"],
+        "no_results_marks": ["div.empty-result"],
+        "no_results_body": ["no results found", "0 results", "no items found", "couldn't find any matching",
+                            "no se encontraron resultados"],
+        "link": r"-g-", "link_cap": 40, "per_page": None,
+    },
+}
 
 # --- FIXED VALUES: page drift threshold (relative length change) ---
 DRIFT_THRESHOLD = 0.10

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pricetide import constants as K
 
 __all__ = [
+    "by_store", "has_mark", "mark_pattern",
     "round2", "round4", "round_n", "price_change", "price_change_pct", "iso_weekday",
     "weekday_name", "WS_CLASS", "strip_ws", "clean_name", "listing_name", "KEEP_CLASS",
     "parse_price", "join_price_parts", "absolutize_url", "canonical_url", "extract_sku",
@@ -71,30 +72,33 @@ def strip_ws(c: Column) -> Column:
     return F.trim(c, F.lit(WS_CHARS))
 
 
+def _capital_first(cleaned: Column, finish) -> Column:
+    """``finish`` of a cleaned text with its first character in upper case.  The text is
+    bound to a lambda variable, so that the chain of expressions that cleans it runs once
+    a row though it is used twice."""
+    return F.transform(F.array(cleaned), lambda s: finish(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))))[0]
+
+
 def clean_name(c: Column, max_chars: int = K.NAME_MAX_CHARS) -> Column:
     """Cleaning-side name normaliser; returns '' for names that must be dropped.
 
     strip -> collapse whitespace -> drop code points < 32 -> drop characters outside
     the kept ranges -> upper-case the first character only -> first ``max_chars``.
     """
-    s = strip_ws(c.cast("string"))
-    s = F.regexp_replace(s, f"{WS_CLASS}+", " ")
+    s = F.regexp_replace(strip_ws(c.cast("string")), f"{WS_CLASS}+", " ")
     # code points < 32 lie outside the kept ranges, so the control-character
     # step and the kept-ranges step are one deletion pass
     s = F.regexp_replace(s, f"[^{KEEP_CLASS}]", "")
-    s = F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
-    return F.substring(s, 1, max_chars)
+    return _capital_first(s, lambda x: F.substring(x, 1, max_chars))
 
 
 def listing_name(c: Column, max_chars: int = K.LISTING_NAME_MAX) -> Column:
     """Extraction-side name normaliser: trim, one space between words, no
     control characters, first character upper-cased, long names cut to
     ``max_chars - 3`` characters plus '...'."""
-    s = F.regexp_replace(strip_ws(c), f"{WS_CLASS}+", " ")
-    s = F.regexp_replace(s, r"[\x{0}-\x{1F}]", "")
-    s = F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
-    return F.when(F.length(s) > max_chars,
-                  F.concat(F.substring(s, 1, max_chars - 3), F.lit("..."))).otherwise(s)
+    s = F.regexp_replace(F.regexp_replace(strip_ws(c), f"{WS_CLASS}+", " "), r"[\x{0}-\x{1F}]", "")
+    cut = lambda x: F.when(F.length(x) > max_chars, F.concat(F.substring(x, 1, max_chars - 3), F.lit("..."))).otherwise(x)
+    return F.transform(F.array(_capital_first(s, lambda x: x)), cut)[0]
 
 
 _NUMBER_RE = r"^[+-]?[0-9]+(\.[0-9]*)?$|^[+-]?\.[0-9]+$"
@@ -140,37 +144,67 @@ def absolutize_url(url: Column, base: Column) -> Column:
     return F.when(url.startswith("/"), F.concat(base, url)).otherwise(url)
 
 
-def canonical_url(url: Column, tracking_keys: list[str] | None = None,
-                  item_patterns: list[str] | None = None) -> Column:
-    """Drop the fragment; item urls keep their path only; other urls lose the
-    query parameters whose key is listed (exact ``key=`` prefix match)."""
-    keys = tracking_keys or K.TRACKING_KEYS
-    pats = item_patterns or K.ITEM_URL_PATTERNS
+def by_store(store_key: Column, rule, rules: dict | None = None) -> Column:
+    """``rule(rules of the store)`` of each row's own store; NULL for an unknown store."""
+    out = F.lit(None)
+    for key, r in (rules or K.STORE_RULES).items():
+        out = F.when(store_key == key, rule(r)).otherwise(out)
+    return out
+
+
+def _canonical(url: Column, r: dict) -> Column:
     no_frag = F.substring_index(url, "#", 1)
     base = F.substring_index(no_frag, "?", 1)
-    query = F.when(F.instr(no_frag, "?") > 0,
-                   F.substring(no_frag, F.instr(no_frag, "?") + 1, 1 << 30))
-    params = F.split(query, "&")
-    keep = F.filter(params, lambda p: ~F.exists(F.array(*[F.lit(k + "=") for k in keys]),
-                                                lambda k: p.startswith(k)))
-    rebuilt = F.when(query.isNull(), no_frag).when(
-        F.size(keep) > 0, F.concat(base, F.lit("?"), F.array_join(keep, "&"))).otherwise(base)
-    out = rebuilt
-    for pat in reversed(pats):
-        item = F.regexp_extract(no_frag, pat, 1)
-        out = F.when(item != "", item).otherwise(out)
-    return out
+    if r["tracking"] is None:
+        return F.when(F.instr(url, r["keep_query"]) > 0, url).otherwise(base)
+    query = F.when(F.instr(no_frag, "?") > 0, F.substring(no_frag, F.instr(no_frag, "?") + 1, 1 << 30))
+    keys = F.array(*[F.lit(k + "=") for k in r["tracking"]])
+    keep = F.filter(F.split(query, "&"), lambda p: ~F.exists(keys, lambda k: p.startswith(k)))
+    out = F.when(query.isNull(), no_frag).when(F.size(keep) > 0, F.concat(base, F.lit("?"), F.array_join(keep, "&"))).otherwise(base)
+    item = F.regexp_extract(no_frag, r["item_url"], 1)
+    return F.when(item != "", item).otherwise(out)
+
+
+def canonical_url(url: Column, store_key: Column, rules: dict | None = None) -> Column:
+    """Each store's own way: the fragment goes; item urls keep their path only; other urls
+    lose the query parameters whose key the store lists (exact ``key=`` match), or their
+    whole query."""
+    return by_store(store_key, lambda r: _canonical(url, r), rules)
 
 
-def extract_sku(url: Column, rules: list[tuple[str, str]] | None = None) -> Column:
-    """First sku rule whose pattern matches the url: prefix + first group."""
+def _sku(url: Column, rules: list[tuple[str, str]]) -> Column:
     out = F.lit(None).cast("string")
-    for pat, prefix in reversed(rules or K.SKU_RULES):
+    for pat, prefix in reversed(rules):
         g = F.regexp_extract(url, pat, 1)
         out = F.when(g != "", F.concat(F.lit(prefix), g)).otherwise(out)
     return out
 
 
+def extract_sku(url: Column, store_key: Column, rules: dict | None = None) -> Column:
+    """The first sku rule of the row's store whose pattern matches: prefix + first group."""
+    return by_store(store_key, lambda r: _sku(url, r["sku"]), rules)
+
+
+def mark_pattern(mark: str) -> str:
+    """A regular expression for a page element given as tag.class, tag#id, #id or
+    tag[attribute*='text']."""
+    import re
+    tag, kind, value = re.fullmatch(r"([a-z]*)([.#\[])(.*)", mark).groups()
+    open_tag = f"<{tag or '[a-z0-9]+'}[^>]* "
+    if kind == ".":
+        return f'{open_tag}class="([^"]* )?{re.escape(value)}( [^"]*)?"'
+    if kind == "#":
+        return f'{open_tag}id="{re.escape(value)}"'
+    attribute, text = re.fullmatch(r"([a-z]+)\*='(.*)'\]", value).groups()
+    return f'{open_tag}{attribute}="[^"]*{re.escape(text)}'
+
+
+def has_mark(html: Column, marks: list[str]) -> Column:
+    if not marks:
+        return F.lit(False)
+    return html.rlike("|".join(mark_pattern(m) for m in marks))
+
+
 def clamp(c: Column, lo: Column, hi: Column) -> Column:
     return F.greatest(lo, F.least(hi, c))
 

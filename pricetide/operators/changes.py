@@ -16,8 +16,19 @@ from pyspark.sql import functions as F
 from pricetide.functions import price_change, price_change_pct, round2
 
 
-def day_bucket(ts: str) -> Column:
-    return F.to_date(F.col(ts))
+def hour_bucket(ts: str) -> Column:
+    """Segments of one hour: a product-day that holds a third of all rows is many tasks."""
+    return F.date_trunc("hour", F.col(ts))
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Left join on equal columns, NULL being equal to NULL as in a window's partitions."""
+    named = right.select(*[F.col(c).alias(f"__r_{c}") if c in cols else F.col(c) for c in right.columns])
+    on = None
+    for c in cols:
+        one = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        on = one if on is None else on & one
+    return left.join(named, on, "left").drop(*[f"__r_{c}" for c in cols])
 
 
 def segmented_lag(df: DataFrame, keys: list[str], order_cols: list[str], value: str,
@@ -25,7 +36,8 @@ def segmented_lag(df: DataFrame, keys: list[str], order_cols: list[str], value:
     """``lag(value) over (partition by keys order by order_cols)`` computed per
     (keys, bucket) plus a carry of the previous bucket's last value.
 
-    ``bucket`` must be monotone in the ordering (e.g. the day of the timestamp)."""
+    ``bucket`` must be monotone in the ordering (e.g. the hour of the timestamp).  Rows
+    with NULL keys are one group, as in a window."""
     b, first, pin, ptail, last = "__bk", "__first", "__prev_in", "__prev_tail", "__last"
     d = df.withColumn(b, bucket)
     w_in = Window.partitionBy(*keys, b).orderBy(*order_cols)
@@ -34,22 +46,25 @@ def segmented_lag(df: DataFrame, keys: list[str], order_cols: list[str], value:
     tails = (d.groupBy(*keys, b)
               .agg(F.max_by(F.col(value), F.struct(*order_cols)).alias(last)))
     tails = tails.select(*keys, b, F.lag(last).over(Window.partitionBy(*keys).orderBy(b)).alias(ptail))
-    d = d.join(tails, [*keys, b], "left")
+    d = _join_null_safe(d, tails, [*keys, b])
     return (d.withColumn(out, F.when(F.col(first), F.col(ptail)).otherwise(F.col(pin)))
              .drop(b, first, pin, ptail))
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,
-              values: list[str], strict: bool = True, bucket=F.to_date, prefix: str = "asof_") -> DataFrame:
+              values: list[str], strict: bool = True, bucket=lambda t: F.date_trunc("hour", t), prefix: str = "asof_") -> DataFrame:
     """For every left row, the ``values`` of the newest right row of the same key
     with ``right_ts < left_ts`` (``<=`` when not strict).  Left rows without a
-    match keep NULLs (left outer as-of join).  Right timestamps must be unique per key.
+    match keep NULLs (left outer as-of join); NULL keys match nothing.  Right timestamps
+    must be unique per key.
 
     Plan: union of probes and lookups windowed per (key, bucket), then a carry of
     the last lookup of earlier buckets through a per-key window over bucket tails."""
     t, side, bk, m, carry = "__t", "__side", "__bk", "__m", "__carry"
     probe_side, look_side = (0, 1) if strict else (1, 0)
     payload = F.struct(*[F.col(v).alias(prefix + v) for v in values], F.col(right_ts).alias(prefix + "ts"))
+    for k in keys:
+        right = right.filter(F.col(k).isNotNull())
     look = right.select(*keys, F.col(right_ts).alias(t), payload.alias(m), F.lit(look_side).alias(side))
     probes = left.withColumn(t, F.col(left_ts)).withColumn(side, F.lit(probe_side)) \
                  .withColumn(m, F.lit(None).cast(look.schema[m].dataType))
@@ -66,7 +81,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = (pb.unionByName(tails).withColumn(carry, F.last(m, ignorenulls=True).over(wc))
                  .filter(F.col(side) == 0).select(*keys, bk, carry))
-    out = u.join(carried, [*keys, bk], "left").withColumn(m, F.coalesce("__in", carry))
+    out = _join_null_safe(u, carried, [*keys, bk]).withColumn(m, F.coalesce("__in", carry))
     cols = [c for c in left.columns] + [F.col(f"{m}.{prefix}{v}").alias(prefix + v) for v in values] + \
            [F.col(f"{m}.{prefix}ts").alias(prefix + "ts")]
     return out.select(*cols)
@@ -81,7 +96,7 @@ def batch_changes(df: DataFrame, keys: list[str], order_cols: list[str], price:
                   bucket: Column | None = None) -> DataFrame:
     """K1: change and percent change against the previous row of the same key
     (first row of a key: NULL)."""
-    bucket = bucket if bucket is not None else F.to_date(F.col(order_cols[0]))
+    bucket = bucket if bucket is not None else hour_bucket(order_cols[0])
     d = segmented_lag(df, keys, order_cols, price, bucket, out="__prev")
     return (d.withColumn("price_change", price_change(F.col(price), F.col("__prev")))
              .withColumn("price_change_pct", price_change_pct(F.col(price), F.col("__prev")))
@@ -131,7 +146,7 @@ def series_changes(df: DataFrame, keys: list[str], order_cols: list[str], price:
                    bucket: Column | None = None) -> DataFrame:
     """K8: change against the previous element of the series; the percent
     change is NULL when the previous price is not positive."""
-    bucket = bucket if bucket is not None else F.to_date(F.col(order_cols[0]))
+    bucket = bucket if bucket is not None else hour_bucket(order_cols[0])
     d = segmented_lag(df, keys, order_cols, price, bucket, out="__prev")
     prev = F.col("__prev")
     return (d.withColumn("price_change", round2(F.col(price) - prev))

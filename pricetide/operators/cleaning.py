@@ -2,9 +2,9 @@
 
 Lookups (category, store, price range) are fixed-size dictionaries, so they
 are evaluated as literal map expressions (``try_element_at`` on a ``map``
-literal): no join, no shuffle, no broadcast.  The two de-duplication phases
-are hash aggregates (``max_by`` / ``min_by`` with partial aggregation), so a
-name or url holding a third of the rows is combined map-side instead of
+literal): no join, no shuffle, no broadcast.  De-duplication by name is a hash
+aggregate (``max_by`` with partial aggregation), by url a row_number with a group
+limit, so a name or url holding a third of the rows is trimmed map-side instead of
 landing in one window partition.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricetide import constants as K
 from pricetide.functions import clamp, clean_name, in_range, parse_scraped_at, round2, strip_ws, with_computed
+from pricetide.session import checkpoint_dir
 
 
 def _map(d: dict) -> Column:
@@ -36,10 +37,11 @@ def store_ids(stores=K.STORES) -> dict[str, int]:
 # ----------------------------------------------------------------------------
 
 
-def normalize_names(df: DataFrame, col: str = "name") -> DataFrame:
+def normalize_names(df: DataFrame, col: str = "name", max_chars: int | None = K.NAME_MAX_CHARS) -> DataFrame:
     """Clean the name column and drop rows whose cleaned name is empty
-    (NULL names are dropped as well)."""
-    return (with_computed(df, {col: clean_name(F.col(col))})
+    (NULL names are dropped as well).  ``max_chars`` is the length limit of product
+    names; None keeps whole texts."""
+    return (with_computed(df, {col: clean_name(F.col(col), (1 << 30) if max_chars is None else max_chars)})
             .filter(F.length(F.col(col)) > 0).select(*df.columns))
 
 
@@ -88,22 +90,15 @@ def dedup_by_name(df: DataFrame) -> DataFrame:
 
 def dedup_by_url(df: DataFrame) -> DataFrame:
     """Among rows with a non-empty url, one row per (url, store_id): newest
-    scraped_at, then the smallest name; rows without url pass through.
-
-    Two partial aggregates: the newest time per key, then the smallest name
-    among the rows at that time (a hot url is combined map-side both times;
-    the join in between is on the per-key maximum, which AQE broadcasts or
-    splits when skewed)."""
-    has_url = F.col("url").isNotNull() & (F.col("url") != "")
-    with_url = df.filter(has_url)
-    newest = with_url.groupBy("url", "store_id").agg(F.max("scraped_at").alias("__mx"))
-    cand = with_url.join(newest, ["url", "store_id"]).filter(F.col("scraped_at") == F.col("__mx")).drop("__mx")
-    cols = [c for c in df.columns if c not in ("url", "store_id")]
-    picked = (cand.groupBy("url", "store_id")
-                  .agg(F.min_by(F.struct(*cols), F.struct(F.col("name"), F.col("price"))).alias("r"))
-                  .select("url", "store_id", "r.*")
-                  .select(*df.columns))
-    return df.filter(~has_url | F.col("url").isNull()).unionByName(picked)
+    scraped_at, then the smallest name; rows without url pass through (C5 has left one
+    row per name and store, so the name makes each of them a group of its own).
+
+    One row_number for all rows: its group limit lets every task keep one row of a hot
+    url before the shuffle."""
+    has_url = F.coalesce(F.col("url") != "", F.lit(False))
+    w = (Window.partitionBy("url", "store_id", F.when(~has_url, F.col("name")))
+         .orderBy(F.desc("scraped_at"), "name", "price"))
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def price_range(category_id: Column, categories=K.CATEGORIES) -> tuple[Column, Column]:
@@ -184,7 +179,9 @@ def rejects(raw: DataFrame) -> DataFrame:
     """C11: every dropped row with the first reason that dropped it:
     empty_name, unmapped_category, unmapped_store, unsupported_currency,
     duplicate, invalid_price."""
-    flagged = flag_stateless(raw)
+    # written once: the stages below read the cleaned rows, not the chain that cleans them
+    checkpoint_dir(raw.sparkSession)
+    flagged = flag_stateless(raw).withColumn("__row", F.monotonically_increasing_id()).checkpoint()
     reason = (F.when(~F.col("__name_ok"), "empty_name")
                .when(~F.col("__cat_ok"), "unmapped_category")
                .when(~F.col("__store_ok"), "unmapped_store")
@@ -193,13 +190,13 @@ def rejects(raw: DataFrame) -> DataFrame:
     early = stateless.filter(F.col("reject_reason").isNotNull())
     kept = convert_currencies(stateless.filter(F.col("reject_reason").isNull())
                               .drop("__name_ok", "__cat_ok", "__store_ok", "__cur_ok", "reject_reason"))
-    deduped = dedup_by_url(dedup_by_name(kept))
-    # multiset difference: exactly the rows the two de-duplication phases removed
-    dups = kept.exceptAll(deduped).withColumn("reject_reason", F.lit("duplicate"))
-    invalid = deduped.filter(~price_ok(F.col("price"), F.col("category_id"))) \
-                     .withColumn("reject_reason", F.lit("invalid_price"))
+    winners = dedup_by_url(dedup_by_name(kept)).select("__row", F.lit(True).alias("__won"))
+    late = (kept.join(winners, "__row", "left")
+            .withColumn("reject_reason", F.when(F.col("__won").isNull(), "duplicate")
+                        .when(~price_ok(F.col("price"), F.col("category_id")), "invalid_price"))
+            .filter(F.col("reject_reason").isNotNull()))
     cols = ["name", "category", "store_name", "currency", "price", "reject_reason"]
-    return early.select(*cols).unionByName(dups.select(*cols)).unionByName(invalid.select(*cols))
+    return early.select(*cols).unionByName(late.select(*cols))
 
 
 def reject_summary(rej: DataFrame) -> DataFrame:
@@ -233,9 +230,11 @@ def parse_times(df: DataFrame, default: Column, col: str = "scraped_at", out: st
 
 
 def null_safe_strings(df: DataFrame, cols: list[str]) -> DataFrame:
-    """C14: blank / missing text -> NULL, other values kept as text."""
+    """C14: every column as text; missing values (NULL, and NaN of a number column) are
+    NULL, all texts stay as they are."""
+    kinds = dict(df.dtypes)
     out = df
     for c in cols:
-        s = F.col(c).cast("string")
-        out = out.withColumn(c, F.when(F.col(c).isNull() | (s == "NaN"), None).otherwise(s))
+        missing = F.isnan(c) if kinds[c] in ("float", "double") else F.lit(False)
+        out = out.withColumn(c, F.when(~missing, F.col(c).cast("string")))
     return out

@@ -1,7 +1,8 @@
 """Extraction over stored pages (X1-X22), as Spark jobs over a pages table.
 
-Input: ``pages(page_id, url, html)``.  Fetching is not part of the engine:
-pages arrive as a table.  HTML is read with regular expressions from the
+Input: ``pages(page_id, store_key, category, page_no, url, html)``; ``page_no`` orders the
+pages of a (store, category).  Each store's pages follow that store's own rules
+(``constants.STORE_RULES``).  Fetching is not part of the engine: pages arrive as a table.  HTML is read with regular expressions from the
 subset Java regex and RE2 share (no look-around); every rule list is ordered
 and the first rule that yields something wins, expressed with ``coalesce`` /
 ``when(size(...) > 0)`` so the whole extraction is one projection per page
@@ -15,10 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide import constants as K
-from pricetide.functions import (absolutize_url, canonical_url, contains_any, extract_sku, join_price_parts,
-                                 listing_name, parse_price)
+from pricetide.functions import absolutize_url, by_store, contains_any, has_mark, join_price_parts, listing_name, parse_price
 
-# FIXED VALUES: default extraction rules for the stored page layout
+# extraction rules for the stored page layout
 DEFAULT_RULES = {
     "cards": [r"(?s)<li>(.*?)</li>", r"(?s)<p>(.*?)</p>"],
     "name": [r"(?s)<a [^>]*>(.*?)</a>", r"(?s)<b>(.*?)</b>"],
@@ -26,6 +26,8 @@ DEFAULT_RULES = {
     "title": r"(?s)<title>(.*?)</title>",
     "price": r"(?:US\$|MX\$|\$|€|¥)\s?([0-9][0-9.,]*)",
     "links": r'<a href="([^"]*)"',
+    "price_int": r'(?s)<span class="fraction">(.*?)</span>',
+    "price_cents": r'(?s)<span class="cents">(.*?)</span>',
 }
 
 
@@ -77,8 +79,9 @@ def cards(pages: DataFrame, patterns: list[str] | None = None) -> DataFrame:
     for p in reversed(pats):
         a = F.regexp_extract_all(F.col("html"), F.lit(p), 1)
         found = F.when(F.size(a) > 0, a).otherwise(found)
-    return (pages.select("page_id", "url", F.posexplode(F.coalesce(found, F.array().cast("array<string>"))))
-            .select("page_id", "url", (F.col("pos") + 1).alias("card_no"), F.col("col").alias("card")))
+    key = [c for c in ("page_id", "store_key", "category", "page_no", "url") if c in pages.columns]
+    return (pages.select(*key, F.posexplode(F.coalesce(found, F.array().cast("array<string>"))))
+            .select(*key, (F.col("pos") + 1).alias("card_no"), F.col("col").alias("card")))
 
 
 def card_fields(cards_df: DataFrame, rules: dict | None = None) -> DataFrame:
@@ -97,8 +100,9 @@ def listings(fields: DataFrame) -> DataFrame:
     availability = price > 0, url absolutised, '' when absent."""
     price = F.coalesce(parse_price(F.col("price_text")), F.lit(0.0))
     url = F.coalesce(absolutize_url(F.col("href"), host_of(F.col("url"))), F.lit(""))
+    key = [c for c in ("store_key", "category", "page_no") if c in fields.columns]
     return (fields.filter(F.col("raw_name").isNotNull())
-            .select("page_id", F.col("url").alias("page_url"), "card_no", listing_name(F.col("raw_name")).alias("name"),
+            .select("page_id", *key, F.col("url").alias("page_url"), "card_no", listing_name(F.col("raw_name")).alias("name"),
                     price.alias("price"),
                     (price > 0).alias("availability"), url.alias("url")))
 
@@ -137,21 +141,25 @@ def infer_brand(name: Column, category_id: Column, brands=K.BRANDS, categories=K
 def page_text(pages: DataFrame, rules: dict | None = None) -> DataFrame:
     r = rules or DEFAULT_RULES
     return pages.select("*", F.lower(F.regexp_extract(F.col("html"), r["title"], 1)).alias("title_lc"),
-                        F.lower(strip_tags(F.col("html"))).alias("body_lc"))
+                        F.lower(strip_tags(F.regexp_replace(F.col("html"), r["title"], " "))).alias("body_lc"))
 
 
-def classify_pages(pages: DataFrame, captcha_kw=K.CAPTCHA_KEYWORDS, captcha_body=K.CAPTCHA_BODY_PHRASES,
-                   challenge_title=K.CHALLENGE_TITLE_KEYWORDS, challenge_body=K.CHALLENGE_BODY_PHRASES,
-                   blocked=K.BLOCKED_PHRASES, no_results=K.NO_RESULTS_PHRASES) -> DataFrame:
-    """Captcha (title keyword or body phrase), challenge page (title
-    keyword or body phrase), blocked (body phrase), no results (body phrase)."""
+def classify_pages(pages: DataFrame, rules: dict | None = None) -> DataFrame:
+    """X12-X15 by the rules of each page's store: captcha (an element mark, a title keyword,
+    or a phrase in title and body both), challenge page (mark, title keyword or body phrase),
+    blocked (body phrase), no results (mark or body phrase)."""
     t = page_text(pages)
-    title, body = F.col("title_lc"), F.col("body_lc")
-    return t.select("page_id", "url",
-                    (contains_any(title, captcha_kw) | contains_any(body, captcha_body)).alias("is_captcha"),
-                    (contains_any(title, challenge_title) | contains_any(body, challenge_body)).alias("is_challenge"),
-                    contains_any(body, blocked).alias("is_blocked"),
-                    contains_any(body, no_results).alias("is_no_results"))
+    title, body, html = F.col("title_lc"), F.col("body_lc"), F.col("html")
+    flags = {
+        "is_captcha": lambda r: (has_mark(html, r["captcha_marks"]) | contains_any(title, r["captcha_title"])
+                                 | (contains_any(title, r["captcha_both"]) & contains_any(body, r["captcha_both"]))),
+        "is_challenge": lambda r: (has_mark(html, r["challenge_marks"]) | contains_any(title, r["challenge_title"])
+                                   | contains_any(body, r["challenge_body"])),
+        "is_blocked": lambda r: contains_any(body, r["blocked_body"]),
+        "is_no_results": lambda r: has_mark(html, r["no_results_marks"]) | contains_any(body, r["no_results_body"]),
+    }
+    key = [c for c in ("page_id", "store_key", "category", "page_no", "url") if c in pages.columns]
+    return t.select(*key, *[F.coalesce(by_store(F.col("store_key"), rule, rules), F.lit(False)).alias(name) for name, rule in flags.items()])
 
 
 def cut_after_block(pages: DataFrame, group: Column, order: str, flag: str) -> DataFrame:
@@ -170,27 +178,44 @@ def cut_after_block(pages: DataFrame, group: Column, order: str, flag: str) -> D
 # ----------------------------------------------------------------------------
 
 
-def fallback_links(pages: DataFrame, card_counts: DataFrame, cap: int = 40, rules: dict | None = None) -> DataFrame:
-    """For pages without cards, the distinct links in page order, at most
-    ``cap`` per page (the cap is the feature; a page is one task's input)."""
-    r = rules or DEFAULT_RULES
+def fallback_links(pages: DataFrame, card_counts: DataFrame, rules: dict | None = None, layout: dict | None = None) -> DataFrame:
+    """For pages without cards, the store's product links in page order, up to the
+    store's number of them, each url once (the number is the feature; a page is one row)."""
+    pattern = (layout or DEFAULT_RULES)["links"]
     empty = pages.join(card_counts.filter(F.col("n_cards") > 0).select("page_id"), "page_id", "left_anti")
-    links = (empty.select("page_id", "url", F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(r["links"]), 1)))
-                  .groupBy("page_id", "url", F.col("col").alias("href")).agg(F.min("pos").alias("pos")))
-    w = Window.partitionBy("page_id").orderBy("pos")
-    return links.withColumn("link_no", F.row_number().over(w)).filter(F.col("link_no") <= cap)
-
-
-def cap_listings(rows: DataFrame, group: Column, page_col: str, pos_col: str, cap: int) -> DataFrame:
-    """Keep the first ``cap`` listings of a group in (page, position)
-    order.  The running count is taken over one row per page (page totals),
-    then applied to the listings of each page."""
-    g = rows.withColumn("__g", group)
-    per_page = g.groupBy("__g", page_col).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("__g").orderBy(page_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_page = per_page.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    return (g.join(per_page.drop("__n"), ["__g", page_col])
-             .filter(F.col("__before") + F.col(pos_col) <= cap).drop("__g", "__before"))
+    every = F.regexp_extract_all(F.col("html"), F.lit(pattern), 1)
+
+    def first(r: dict) -> Column:
+        links = F.filter(every, lambda h: h.rlike(r["link"]))
+        return F.array_distinct(links if r["link_cap"] is None else F.slice(links, 1, r["link_cap"]))
+    links = F.coalesce(by_store(F.col("store_key"), first, rules), F.array().cast("array<string>"))
+    return (empty.select("page_id", "store_key", "url", F.posexplode(links))
+            .select("page_id", "store_key", "url", F.col("col").alias("href"), (F.col("pos") + 1).alias("link_no")))
+
+
+def running_before(rows: DataFrame, keys: list[str], order: str, value: str, width: int = 1024) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``value`` over the group's earlier rows
+    (``order`` is unique in a group).  Sums per segment of ``width`` order values are
+    added up first, so a group of any length is no single window partition."""
+    seg = rows.withColumn("__seg", F.floor(F.col(order) / F.lit(width)))
+    upto = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    base = (seg.groupBy(*keys, "__seg").agg(F.sum(value).alias("__n"))
+            .withColumn("__base", F.coalesce(F.sum("__n").over(upto), F.lit(0))).drop("__n"))
+    inside = Window.partitionBy(*keys, "__seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (seg.withColumn("__in", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(base, [*keys, "__seg"])
+            .withColumn("before", F.col("__base") + F.col("__in")).drop("__seg", "__base", "__in"))
+
+
+def stop_pages(listings_df: DataFrame, pages: DataFrame, max_pages: int, rules: dict | None = None) -> DataFrame:
+    """The listings of the pages that are fetched.  Before each page the store's limit
+    (pages times listings per page) is held against the listings so far; a page that is
+    fetched is kept whole, and a store without a limit never stops."""
+    key = ["store_key", "category"]
+    n = listings_df.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    per_page = pages.select("page_id", *key, "page_no").join(n, "page_id", "left").fillna(0, ["n"])
+    cap = by_store(F.col("store_key"), lambda r: F.lit(None if r["per_page"] is None else r["per_page"] * max_pages).cast("long"), rules)
+    fetched = running_before(per_page, key, "page_no", "n").where(cap.isNull() | (F.col("before") < cap))
+    return listings_df.join(fetched.select("page_id"), "page_id", "left_semi")
 
 
 # ----------------------------------------------------------------------------
@@ -198,38 +223,39 @@ def cap_listings(rows: DataFrame, group: Column, page_col: str, pos_col: str, ca
 # ----------------------------------------------------------------------------
 
 
-def detail_prices(pages: DataFrame, rules: dict | None = None) -> DataFrame:
-    """Url -> first price on the page, currency marker, availability
-    (false when no price)."""
-    r = rules or DEFAULT_RULES
-    txt = F.regexp_extract(F.col("html"), r["price"], 1)
-    cur = F.regexp_extract(F.col("html"), r"(US\$|MX\$|\$|€|¥)\s?[0-9]", 1)
-    price = parse_price(F.nullif(txt, F.lit("")))
-    currency = (F.when(cur == "US$", "USD").when(cur == "MX$", "MXN").when(cur == "€", "EUR")
-                 .when(cur == "¥", "CNY").when(cur == "$", "MXN"))
-    return pages.select("url", price.alias("price"), F.when(price.isNotNull(), currency).alias("currency"),
-                        price.isNotNull().alias("availability"))
+def detail_prices(pages: DataFrame, layout: dict | None = None, rules: dict | None = None) -> DataFrame:
+    """Url -> price of a detail page (integer and cents parts joined where the page has
+    them, else the first price text), the store's currency always, availability (false
+    without a price)."""
+    r = layout or DEFAULT_RULES
+    part = lambda name: F.nullif(F.trim(F.regexp_extract(F.col("html"), r[name], 1)), F.lit(""))
+    price = parse_price(F.coalesce(join_price_parts(part("price_int"), part("price_cents")), part("price")))
+    currency = by_store(F.col("store_key"), lambda s: F.lit(s["currency"]), rules)
+    return pages.select("page_id", "url", price.alias("price"), currency.alias("currency"), price.isNotNull().alias("availability"))
 
 
-def drift(pages: DataFrame, key: Column, order: str, threshold: float = K.DRIFT_THRESHOLD) -> DataFrame:
+def drift(pages: DataFrame, key: Column, order: str, threshold: float = K.DRIFT_THRESHOLD, width: int = 100_000) -> DataFrame:
     """Relative html length change against the previous snapshot of the
-    same key above ``threshold``; no previous snapshot -> false."""
+    same key above ``threshold``; no previous snapshot -> false.  ``width`` order values
+    make a segment (``segmented_lag``)."""
     from pricetide.operators.changes import segmented_lag
     d = pages.select("page_id", "url", key.alias("page_key"), F.col(order).alias("__o"),
                      F.length("html").alias("html_len"))
-    d = segmented_lag(d, ["page_key"], ["__o"], "html_len", F.floor(F.col("__o") / F.lit(100000)), out="prev_len")
+    d = segmented_lag(d, ["page_key"], ["__o"], "html_len", F.floor(F.col("__o") / F.lit(width)), out="prev_len")
     rel = F.abs(F.col("html_len") - F.col("prev_len")) / F.nullif(F.col("prev_len"), F.lit(0))
     return d.select("page_id", "page_key", "html_len", "prev_len",
                     F.coalesce(rel > F.lit(threshold), F.lit(False)).alias("changed")).drop("__o")
 
 
-def extraction_counters(lst: DataFrame, classes: DataFrame, group: Column) -> DataFrame:
-    """Per source: listings found, saved (priced), failed (no price),
-    captcha pages, blocked pages."""
-    a = lst.withColumn("__g", group).groupBy("__g").agg(
+def extraction_counters(lst: DataFrame, classes: DataFrame) -> DataFrame:
+    """Per store: pages, captcha and blocked pages, listings found, saved (priced) and
+    failed (no price), and the categories that were blocked, in order."""
+    a = lst.groupBy("store_key").agg(
         F.count(F.lit(1)).alias("found"), F.count_if(F.col("price") > 0).alias("saved"),
         F.count_if(~(F.col("price") > 0)).alias("failed"))
-    b = classes.withColumn("__g", group).groupBy("__g").agg(
+    stop = F.col("is_captcha") | F.col("is_blocked") | F.col("is_challenge")
+    b = classes.groupBy("store_key").agg(
         F.count_if("is_captcha").alias("captcha_pages"), F.count_if("is_blocked").alias("blocked_pages"),
-        F.count(F.lit(1)).alias("pages"))
-    return b.join(a, "__g", "left").fillna(0, ["found", "saved", "failed"]).withColumnRenamed("__g", "source")
+        F.count(F.lit(1)).alias("pages"),
+        F.array_join(F.array_sort(F.collect_set(F.when(stop, F.col("category")))), ",").alias("blocked_categories"))   # a few categories
+    return b.join(a, "store_key", "left").fillna(0, ["found", "saved", "failed"])

@@ -1,14 +1,8 @@
 """Load (L1-L11) and integrity checks (V1-V7) on plain Parquet tables.
 
 All merge logic is pure: ``current state + incoming batch -> next state +
-action column``.  Writers then replace only what changed: price history is
-partitioned by ``obs_date`` and written with dynamic partition overwrite, so a
-daily run rewrites the days it touched; products are written to a new
-versioned folder (never overwrite a path that is being read).
-
-Joins against history use ``(product_id, obs_date)``; with history stored
-partitioned by ``obs_date`` the join prunes to the incoming days (dynamic
-partition pruning), and the incoming batch is the small side AQE can broadcast.
+action column``.  Writers replace whole folders or the days of a batch, never a
+path that is being read.
 """
 
 from __future__ import annotations
@@ -100,23 +94,30 @@ def upsert_products(current: DataFrame, incoming: DataFrame, created_at: Column)
 
 def load_prices(history: DataFrame, incoming: DataFrame, previous_day: bool = False) -> Upserted:
     """L2 + L3.  ``incoming``: product_id, price, currency, availability,
-    scraped_at (one row per product).
+    scraped_at (one row per product and day; days are loaded in order).
 
-    L3: change against the latest stored row before the write (with
-    ``previous_day=True`` only rows of earlier days count).
+    L3: change against the latest stored row before the write, rows of the batch's
+    earlier days among them (with ``previous_day=True`` only rows of earlier days count),
+    so the result does not depend on how days are cut into batches.
     L2: (product_id, day) absent -> insert; present with a different price ->
     update price, currency, availability, change, pct and keep scraped_at and
     id; same price -> no change."""
     inc = incoming.withColumn("obs_date", F.to_date("scraped_at"))
-    ref = history
+    key, ref = ["product_id"], history
     if previous_day:
-        ref = history.join(inc.select("product_id", F.col("obs_date").alias("__d")), "product_id") \
-                     .filter(F.col("obs_date") < F.col("__d"))
-    latest = (ref.groupBy("product_id")
-                 .agg(F.max_by(F.col("price"), F.struct("scraped_at", "id")).alias("__prev")))
+        key = ["product_id", "obs_date"]
+        ref = (history.withColumnRenamed("obs_date", "__day").join(inc.select(*key), "product_id")
+               .filter(F.col("__day") < F.col("obs_date")))
+    latest = (ref.groupBy(*key).agg(F.max(F.struct("scraped_at", "id", "price")).alias("__l"))
+                 .select(*key, F.col("__l.scraped_at").alias("__stored_ts"), F.col("__l.price").alias("__stored")))
+    in_order = Window.partitionBy("product_id").orderBy("obs_date")
+    inc = inc.withColumn("__before", F.lag(F.struct("scraped_at", "price")).over(in_order))
     same_day = history.select("product_id", "obs_date", F.col("id").alias("__id"),
                               F.col("price").alias("__old_price"), F.col("scraped_at").alias("__old_ts"))
-    j = (inc.join(latest, "product_id", "left").join(same_day, ["product_id", "obs_date"], "left")
+    newer = F.col("__before").isNotNull() & (F.col("__stored_ts").isNull() | (F.col("__before.scraped_at") >= F.col("__stored_ts")))
+    j = (inc.join(latest, key, "left")
+            .withColumn("__prev", F.when(newer, F.col("__before.price")).otherwise(F.col("__stored")))
+            .join(same_day, ["product_id", "obs_date"], "left")
             .withColumn("price_change", price_change(F.col("price"), F.col("__prev")))
             .withColumn("price_change_pct", price_change_pct(F.col("price"), F.col("__prev")))
             .withColumn("action", F.when(F.col("__id").isNull(), "insert")
@@ -154,17 +155,18 @@ def insert_absent(dim: DataFrame, names: DataFrame, key: str = "name") -> DataFr
     return dim.select("id", key).unionByName(added.select("id", key))
 
 
-def load_counters(price_actions: DataFrame, found: DataFrame) -> DataFrame:
-    """Found / inserted / updated / unchanged / saved / failed (one row).
-    Every loaded row counts as saved (insert, update and no-op alike); rows
-    whose product could not be resolved count as failed."""
+def load_counters(price_actions: DataFrame, found: DataFrame, clean: DataFrame | None = None) -> DataFrame:
+    """Found / clean / inserted / updated / unchanged / saved / failed (one row).
+    ``found`` is what the sources delivered, ``clean`` what the cleaning kept (default: the
+    same).  Every loaded row counts as saved (insert, update and no-op alike); failed are
+    the clean rows that were not saved.  Rejects and duplicates are no failures."""
     a = price_actions.agg(F.count_if(F.col("action") == "insert").alias("inserted"),
                           F.count_if(F.col("action") == "update").alias("updated"),
                           F.count_if(F.col("action") == "noop").alias("unchanged"),
                           F.count_if(F.col("action").isin("insert", "update", "noop")).alias("products_saved"))
-    found_n = found.select(F.count(F.lit(1))).scalar()
-    return (a.select(found_n.alias("products_found"), "*")
-             .withColumn("products_failed", F.col("products_found") - F.col("products_saved")))
+    size = lambda df: df.select(F.count(F.lit(1))).scalar()
+    return (a.select(size(found).alias("products_found"), size(found if clean is None else clean).alias("products_clean"), "*")
+             .withColumn("products_failed", F.col("products_clean") - F.col("products_saved")))
 
 
 def source_counts(batch: DataFrame, stores: DataFrame) -> DataFrame:
@@ -186,12 +188,13 @@ def run_status(counters: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def run_summary(per_category: DataFrame) -> DataFrame:
-    """Per store: products, categories that delivered and that did not,
-    and one ' | '-joined message line (categories in name order)."""
+    """Per store: products, categories that delivered and that did not, its error (a
+    store that delivered nothing) and one message line."""
     g = per_category.groupBy("store_name").agg(
         F.sum("products").alias("products"),
         F.count_if(F.col("products") > 0).alias("categories_ok"),
         F.count_if(F.col("products") == 0).alias("categories_fail"))
+    g = g.withColumn("error", F.when(F.col("products") == 0, F.lit("nothing delivered")))
     return g.withColumn("message", F.format_string("%s: %d products (%d categories ok, %d failed)",
                                                    "store_name", "products", "categories_ok", "categories_fail"))
 
@@ -219,6 +222,17 @@ def run_log_row(status_msg: DataFrame, run_id: Column, created_at: Column, elaps
                              created_at.alias("created_at"))
 
 
+def by_source(rows: DataFrame, source: str, keys: list) -> list[DataFrame]:
+    """One input per source, as the runs of the sources leave them: written once,
+    partitioned by source, so each is read by itself."""
+    from pricetide.session import scratch_path
+    import uuid
+    path = scratch_path(rows.sparkSession, f"sources-{uuid.uuid4().hex}")
+    rows.write.partitionBy(source).parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return [back.filter(F.col(source) == k) for k in keys]
+
+
 def consolidate(*frames: DataFrame) -> DataFrame:
     """The per-source results as one frame."""
     out = frames[0]
@@ -242,14 +256,26 @@ def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def write_history(df: DataFrame, path: str) -> None:
-    """Dynamic partition overwrite by obs_date: only the days present in
-    ``df`` are replaced; files are clustered by product inside a day."""
-    (df.repartition("obs_date").sortWithinPartitions("product_id", "scraped_at")
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def row_count(df: DataFrame) -> DataFrame:
+    """The number of rows, as one row."""
+    return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
+def write_history(df: DataFrame, path: str, replace: bool = False) -> None:
+    """Overwrite by obs_date: the days present in ``df`` (with ``replace`` the whole
+    folder, so that a replay leaves no day of an earlier attempt).  The rebalance gives a
+    large day several tasks and puts small days together."""
+    (df.hint("rebalance", F.col("obs_date")).sortWithinPartitions("obs_date", "product_id", "scraped_at")
+       .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
        .partitionBy("obs_date").parquet(path))
 
 
+def write_log(df: DataFrame, path: str) -> None:
+    """The log rows of a run; a run that is repeated replaces its own rows."""
+    (df.withColumn("run", F.col("id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run").parquet(path))
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append-only sink (run log)."""
     df.write.mode("append").parquet(path)
@@ -264,6 +290,7 @@ def uniqueness(tables: dict[str, DataFrame]) -> DataFrame:
     """V1: number of duplicated keys per unique constraint."""
     checks = [("stores.name", "stores", ["name"]), ("categories.name", "categories", ["name"]),
               ("products.name_store", "products", ["name", "store_id"]),
+              ("price_history.id", "price_history", ["id"]),
               ("price_history.product_scraped_at", "price_history", ["product_id", "scraped_at"])]
     out = None
     for label, t, cols in checks:
@@ -289,12 +316,13 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-NOT_NULL = {"stores": ["name", "country"], "categories": ["name"],
+NOT_NULL = {"stores": ["name", "country", "created_at"], "categories": ["name"],
             "products": ["name", "category_id", "store_id", "created_at"],
-            "price_history": ["product_id", "price", "currency", "availability", "scraped_at"]}
+            "price_history": ["product_id", "price", "currency", "availability", "scraped_at"],
+            "pipeline_logs": ["process_name", "status", "created_at"]}
 MAX_LEN = {"stores": {"name": 100, "country": 50}, "categories": {"name": 50},
            "products": {"name": 300, "brand": 100, "sku": 100},
-           "price_history": {"currency": 10}}
+           "price_history": {"currency": 10}, "pipeline_logs": {"process_name": 50, "status": 20}}
 
 
 def null_counts(tables: dict[str, DataFrame], spec=NOT_NULL) -> DataFrame:
@@ -368,9 +396,9 @@ def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
     empty when absent (S5).  Re-running the same run id rewrites the same
     version from the same input (idempotent); running the same batch again as
     a new run changes nothing but the version number.  Returns the run log row,
-    which is also appended to ``state_root/pipeline_logs`` (S6)."""
+    which is also written to ``state_root/pipeline_logs`` (S6)."""
     import time
-    from pricetide.operators.cleaning import clean_all, parse_scraped_at
+    from pricetide.operators.cleaning import category_ids, clean_all, lookup_id, parse_scraped_at, store_ids
     from pricetide.streaming.jobs import VersionedState
     t0 = time.time()
     state = VersionedState(spark, state_root)
@@ -381,7 +409,8 @@ def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
         base = 0
     base = min(base, int(run_id) - 1) if run_id > 0 else base
     products, prices = state.read(base)
-    cleaned = clean_all(raw, rate).data
+    checkpoint_dir(spark)
+    cleaned = clean_all(raw, rate).data.checkpoint()          # read by every step below
     run_time = cleaned.select(F.max(F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss"))
                                     .cast("timestamp_ntz"))).scalar()
     up = upsert_products(products, cleaned, run_time)
@@ -391,13 +420,17 @@ def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
     loaded = load_prices(prices, inc)
     state.write(base + 1, up.table, loaded.table)
     stores = spark.createDataFrame([(int(i), n) for i, n, *_ in K.STORES], "id bigint, name string")
-    status = run_status(load_counters(loaded.actions, raw), source_counts(cleaned, stores))
+    # a source, and a category of a source, is judged by what it delivered
+    delivered = raw.select(lookup_id(F.col("store_name"), store_ids(), K.STORE_ALIASES).alias("store_id"),
+                           lookup_id(F.col("category"), category_ids(), K.CATEGORY_ALIASES).alias("category_id"))
+    status = run_status(load_counters(loaded.actions, raw, cleaned), source_counts(delivered, stores))
     cats = spark.createDataFrame([(int(i),) for i, *_ in K.CATEGORIES], "category_id bigint")
     grid = F.broadcast(stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))) \
         .crossJoin(F.broadcast(cats))                          # fixed 3 x 7 store x category frontier
-    per_cat = grid.join(cleaned.groupBy("store_id", "category_id").agg(F.count(F.lit(1)).alias("products")),
+    per_cat = grid.join(delivered.groupBy("store_id", "category_id").agg(F.count(F.lit(1)).alias("products")),
                         ["store_id", "category_id"], "left").fillna(0, ["products"])
     log = run_log_row(run_message(status, run_summary(per_cat)), F.lit(int(run_id)), run_time,
                       F.lit(int((time.time() - t0) * 1000)), process_name)
-    append_rows(log, os.path.join(state_root, "pipeline_logs"))
+    log = log.checkpoint()
+    write_log(log, os.path.join(state_root, "pipeline_logs"))
     return log

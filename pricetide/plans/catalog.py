@@ -58,7 +58,7 @@ DATE_COLUMNS = {
     "l02_daily_price_upsert_e": ("obs_date",), "l03_change_at_load_e": ("obs_date",),
     "l11_full_run_r": ("obs_date",), "d07_cross_store_evolution_r": ("date",),
     "d19_recent_rows_e": ("obs_date",), "t02_stream_daily_keys_e": ("obs_date",),
-    "t03_stream_upsert_e": ("obs_date",),
+    "t03_stream_upsert_e": ("obs_date",), "s06_append_e": ("obs_date",),
 }
 _DONE: set[str] = set()
 

@@ -21,13 +21,13 @@ def strip_sql(c: str) -> str:
     return f"regexp_replace({c}, '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g')"
 
 
-def clean_name_sql(c: str) -> str:
+def clean_name_sql(c: str, max_chars: int = K.NAME_MAX_CHARS) -> str:
     s = strip_sql(f"CAST({c} AS VARCHAR)")
     s = f"regexp_replace({s}, '{WS_CLASS}+', ' ', 'g')"
     s = f"regexp_replace({s}, '[\\x{{0}}-\\x{{1F}}]', '', 'g')"
     s = f"regexp_replace({s}, '[^{KEEP_CLASS}]', '', 'g')"
     first = f"CASE WHEN substring({s}, 1, 1) = 'ß' THEN 'SS' ELSE upper(substring({s}, 1, 1)) END"
-    return f"substring({first} || substring({s}, 2), 1, {K.NAME_MAX_CHARS})"
+    return f"substring({first} || substring({s}, 2), 1, {max_chars})"
 
 
 def lookup_sql(c: str, ids: dict, aliases: dict) -> str:
@@ -76,11 +76,11 @@ def _staged(spark, d):
 
 
 @query("c01_names_documents", f"""
-SELECT doc_id, name FROM (SELECT doc_id, {clean_name_sql('text')} AS name FROM documents) x
+SELECT doc_id, name FROM (SELECT doc_id, {clean_name_sql('text', 1 << 30)} AS name FROM documents) x
 WHERE length(name) > 0""")
 def c01(spark, d):
     docs = spread(read_table(spark, d, "documents").select("doc_id", "text"))
-    return CL.normalize_names(docs.withColumnRenamed("text", "name")).select("doc_id", "name")
+    return CL.normalize_names(docs.withColumnRenamed("text", "name"), max_chars=None).select("doc_id", "name")
 
 
 @query("c01_names_listings_r", f"""WITH {RAW_CTE}
@@ -210,7 +210,12 @@ def c13(spark, d):
 
 
 @query("c14_null_safe_strings_r", f"""WITH {RAW_CTE}
-SELECT l_orderkey, l_linenumber, brand, url, sku FROM raw""")
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'NaN' ELSE brand END AS brand, url, sku,
+       CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) || '.0' END AS size
+FROM raw""")
 def c14(spark, d):
-    return CL.null_safe_strings(_raw(spark, d), ["brand", "url", "sku"]).select(
-        "l_orderkey", "l_linenumber", "brand", "url", "sku")
+    n = F.col("l_linenumber")
+    raw = _raw(spark, d).withColumn("brand", F.when(n == 1, None).when(n == 2, "NaN").otherwise(F.col("brand")))
+    raw = raw.withColumn("size", F.when(n == 3, float("nan")).otherwise(n.cast("double")))
+    return CL.null_safe_strings(raw, ["brand", "url", "sku", "size"]).select(
+        "l_orderkey", "l_linenumber", "brand", "url", "sku", "size")

@@ -6,19 +6,26 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricetide import constants as K
-from pricetide.functions import WS_CLASS, canonical_url, extract_sku, listing_name, parse_price
+from pricetide.functions import WS_CLASS, canonical_url, extract_sku, listing_name, mark_pattern, parse_price
 from pricetide.operators import cleaning as CL
 from pricetide.operators import extract as X
 from pricetide.plans.catalog import query
 from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE, strip_sql
 from pricetide.sources.adapters import retail_star
 from pricetide.sources.raw import RETAIL_LISTINGS_SQL, retail_listings
-from pricetide.sources.tables import read_table, spread
+from pricetide.sources.pages import store_pages, store_pages_cte
+from pricetide.sources.tables import read_table
 
 R = X.DEFAULT_RULES
 # FIXED VALUES of the registered instances (parameters, not engine rules)
-WORDS = ["que", "the end", "wh"]          # classifier run with words that occur in the pages
-PRODUCT_CARD = [r'(?s)<div class="product-card">(.*?)</div>']   # store card layout (absent in these pages)
+WORDS = ["que", "the end", "wh"]          # words that occur in the pages
+PRODUCT_CARD = [r'(?s)<div class="product-card">(.*?)</div>']   # card layout of some store pages
+SP = store_pages_cte()
+MAX_PAGES = 2
+# the classifier with words that occur in all pages, for every store
+WORD_RULES = {k: {**r, "captcha_marks": [], "captcha_title": WORDS[:1], "captcha_both": WORDS[1:2], "challenge_marks": [],
+                  "challenge_title": WORDS[2:], "challenge_body": WORDS[:1], "blocked_body": WORDS[1:], "no_results_marks": [],
+                  "no_results_body": WORDS[:2]} for k, r in K.STORE_RULES.items()}
 
 
 def _sq(s: str) -> str:
@@ -55,29 +62,44 @@ def parse_price_sql(c: str) -> str:
     return f"(CASE WHEN {val} > 0 THEN {val} END)"
 
 
-def canonical_sql(c: str) -> str:
+def by_store_sql(rule, rules=None) -> str:
+    whens = " ".join(f"WHEN {_sq(k)} THEN {rule(r)}" for k, r in (rules or K.STORE_RULES).items())
+    return f"(CASE store_key {whens} END)"
+
+
+def _canonical_one(c: str, r: dict) -> str:
     nf = f"split_part({c}, '#', 1)"
     base = f"split_part({nf}, '?', 1)"
+    if r["tracking"] is None:
+        return f"(CASE WHEN instr({c}, {_sq(r['keep_query'])}) > 0 THEN {c} ELSE {base} END)"
     q = f"(CASE WHEN instr({nf}, '?') > 0 THEN substring({nf}, instr({nf}, '?') + 1) END)"
-    cond = " OR ".join(f"starts_with(p, {_sq(k + '=')})" for k in K.TRACKING_KEYS)
+    cond = " OR ".join(f"starts_with(p, {_sq(k + '=')})" for k in r["tracking"])
     keep = f"list_filter(string_split({q}, '&'), lambda p: NOT ({cond}))"
-    rebuilt = (f"(CASE WHEN {q} IS NULL THEN {nf} WHEN len({keep}) > 0 THEN {base} || '?' || array_to_string({keep}, '&') "
-               f"ELSE {base} END)")
-    out = rebuilt
-    for pat in reversed(K.ITEM_URL_PATTERNS):
-        item = f"regexp_extract({nf}, {_sq(pat)}, 1)"
-        out = f"(CASE WHEN {item} <> '' THEN {item} ELSE {out} END)"
-    return out
+    item = f"regexp_extract({nf}, {_sq(r['item_url'])}, 1)"
+    return (f"(CASE WHEN {item} <> '' THEN {item} WHEN {q} IS NULL THEN {nf} "
+            f"WHEN len({keep}) > 0 THEN {base} || '?' || array_to_string({keep}, '&') ELSE {base} END)")
 
 
-def sku_sql(c: str) -> str:
+def _sku_one(c: str, r: dict) -> str:
     out = "CAST(NULL AS VARCHAR)"
-    for pat, prefix in reversed(K.SKU_RULES):
+    for pat, prefix in reversed(r["sku"]):
         g = f"regexp_extract({c}, {_sq(pat)}, 1)"
         out = f"(CASE WHEN {g} <> '' THEN {_sq(prefix)} || {g} ELSE {out} END)"
     return out
 
 
+def canonical_sql(c: str) -> str:
+    return by_store_sql(lambda r: _canonical_one(c, r))
+
+
+def sku_sql(c: str) -> str:
+    return by_store_sql(lambda r: _sku_one(c, r))
+
+
+def marks_sql(c: str, marks: list[str]) -> str:
+    return "FALSE" if not marks else f"regexp_matches({c}, {_sq('|'.join(mark_pattern(m) for m in marks))})"
+
+
 def strip_tags_sql(c: str) -> str:
     return f"regexp_replace({c}, '<[^>]*>', ' ', 'g')"
 
@@ -87,8 +109,8 @@ def cards_sql(pats: list[str]) -> str:
     for p in reversed(pats):
         a = f"regexp_extract_all(html, {_sq(p)}, 1)"
         arr = f"(CASE WHEN len({a}) > 0 THEN {a} ELSE {arr} END)"
-    return (f"cards AS (SELECT page_id, url, CAST(generate_subscripts(a, 1) AS INTEGER) AS card_no, unnest(a) AS card "
-            f"FROM (SELECT page_id, url, {arr} AS a FROM pages) x)")
+    return (f"cards AS (SELECT page_id, store_key, category, page_no, url, CAST(generate_subscripts(a, 1) AS INTEGER) AS card_no, unnest(a) AS card "
+            f"FROM (SELECT page_id, store_key, category, page_no, url, {arr} AS a FROM sp) x)")
 
 
 _NAME_CANDS = [f"trim({strip_tags_sql(f'regexp_extract(card, {_sq(p)}, 1)')})" for p in R["name"]] + \
@@ -97,7 +119,7 @@ _FIELDS = (f"fields AS (SELECT *, coalesce({', '.join(f'CASE WHEN length({c}) >
            f"nullif(regexp_extract(card, {_sq(R['href'])}, 1), '') AS href, "
            f"nullif(regexp_extract(card, {_sq(R['price'])}, 1), '') AS price_text FROM cards)")
 _HOST = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
-_LISTINGS = (f"listings AS (SELECT page_id, url AS page_url, card_no, {listing_name_sql('raw_name')} AS name, "
+_LISTINGS = (f"listings AS (SELECT page_id, store_key, category, page_no, url AS page_url, card_no, {listing_name_sql('raw_name')} AS name, "
              f"coalesce({parse_price_sql('price_text')}, 0.0) AS price, "
              f"coalesce({parse_price_sql('price_text')}, 0.0) > 0 AS availability, "
              f"coalesce(CASE WHEN starts_with(href, '/') THEN {_HOST} || href ELSE href END, '') AS url "
@@ -105,7 +127,7 @@ _LISTINGS = (f"listings AS (SELECT page_id, url AS page_url, card_no, {listing_n
 
 
 def _pages(spark, d):
-    return spread(read_table(spark, d, "pages"))
+    return store_pages(spark, d)
 
 
 @query("x01_frontier_r", f"""WITH st AS (SELECT * FROM (VALUES {", ".join(f"({_sq(k)}, {_sq(t)}, {mp})" for k, t, _, mp in K.FRONTIER)}) AS t(store_key, template, max_pages)),
@@ -120,21 +142,21 @@ def x01(spark, d):
     return X.frontier(spark, retail_star(spark, d).categories)
 
 
-@query("x02_cards_pages", f"WITH {cards_sql(R['cards'])}\nSELECT * FROM cards")
+@query("x02_cards_pages", f"WITH {SP},\n{cards_sql(R['cards'])}\nSELECT page_id, url, card_no, card FROM cards")
 def x02(spark, d):
-    return X.cards(_pages(spark, d))
+    return X.cards(_pages(spark, d)).select("page_id", "url", "card_no", "card")
 
 
-@query("x03_fields_pages", f"WITH {cards_sql(R['cards'])},\n{_FIELDS}\n"
+@query("x03_fields_pages", f"WITH {SP},\n{cards_sql(R['cards'])},\n{_FIELDS}\n"
                            "SELECT page_id, card_no, raw_name, href, price_text FROM fields")
 def x03(spark, d):
     return X.card_fields(X.cards(_pages(spark, d))).select("page_id", "card_no", "raw_name", "href", "price_text")
 
 
-@query("x04_listings_pages", f"WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS}\n"
+@query("x04_listings_pages", f"WITH {SP},\n{cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS}\n"
                              "SELECT page_id, card_no, name, price, availability, url FROM listings")
 def x04(spark, d):
-    return X.listings(X.card_fields(X.cards(_pages(spark, d)))).drop("page_url")
+    return X.listings(X.card_fields(X.cards(_pages(spark, d)))).select("page_id", "card_no", "name", "price", "availability", "url")
 
 
 _PARTS = """SELECT p_partkey, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS int_text,
@@ -179,7 +201,8 @@ def x06(spark, d):
     return p.select("p_partkey", text.alias("price_text")).withColumn("price", parse_price(F.col("price_text")))
 
 
-@query("x07_title_names_pages", f"""SELECT page_id, {listing_name_sql(f"regexp_extract(html, {_sq(R['title'])}, 1)")} AS name FROM pages""")
+@query("x07_title_names_pages", f"""WITH {SP}
+SELECT page_id, {listing_name_sql(f"regexp_extract(html, {_sq(R['title'])}, 1)")} AS name FROM sp""")
 def x07(spark, d):
     return _pages(spark, d).select("page_id", listing_name(F.regexp_extract("html", R["title"], 1)).alias("name"))
 
@@ -192,31 +215,42 @@ def _brand_case():
     return "CASE category_id " + " ".join(parts) + " ELSE CAST([] AS VARCHAR[]) END"
 
 
-@query("x08_brand_inference_r", f"""WITH {STAGES_CTE}
+BRAND_WORDS = ["kingston", "AMD", "samsung", "msi", "hp", "lg", "wd", "asus", "no brand"]     # one is put behind each name
+
+
+@query("x08_brand_inference_r", f"""WITH {STAGES_CTE},
+branded AS (SELECT name || ' ' || ([{", ".join(_sq(b) for b in BRAND_WORDS)}])[length(name) % {len(BRAND_WORDS)} + 1] AS name, store_id, category_id
+          FROM d2 WHERE {OK_SQL})
 SELECT name, store_id, category_id,
        list_filter({_brand_case()}, lambda b: instr(upper(name), upper(b)) > 0)[1] AS brand_inferred
-FROM d2 WHERE {OK_SQL}""")
+FROM branded""")
 def x08(spark, d):
     c = CL.clean_all(retail_listings(spark, d)).data
+    word = F.get(F.array(*map(F.lit, BRAND_WORDS)), F.length("name") % len(BRAND_WORDS))
+    c = c.withColumn("name", F.concat("name", F.lit(" "), word))
     return c.select("name", "store_id", "category_id",
                     X.infer_brand(F.col("name"), F.col("category_id")).alias("brand_inferred"))
 
 
-@query("x09_sku_r", f"""WITH raw AS ({RETAIL_LISTINGS_SQL})
-SELECT l_orderkey, l_linenumber, url, {sku_sql('url')} AS sku_extracted FROM raw""")
+_KEYS = list(K.STORE_RULES)
+
+
+@query("x09_sku_r", f"""WITH raw AS ({RETAIL_LISTINGS_SQL}),
+keyed AS (SELECT *, ([{", ".join(map(_sq, _KEYS))}])[l_linenumber % 3 + 1] AS store_key FROM raw)
+SELECT l_orderkey, l_linenumber, url, {sku_sql('url')} AS sku_extracted FROM keyed""")
 def x09(spark, d):
-    return retail_listings(spark, d).select("l_orderkey", "l_linenumber", "url",
-                                             extract_sku(F.col("url")).alias("sku_extracted"))
+    key = F.get(F.array(*map(F.lit, _KEYS)), F.col("l_linenumber") % 3)
+    return retail_listings(spark, d).select("l_orderkey", "l_linenumber", "url", extract_sku(F.col("url"), key).alias("sku_extracted"))
 
 
-@query("x09_sku_pages", f"SELECT page_id, url, {sku_sql('url')} AS sku_extracted FROM pages")
+@query("x09_sku_pages", f"WITH {SP}\nSELECT page_id, url, {sku_sql('url')} AS sku_extracted FROM sp")
 def x09p(spark, d):
-    return _pages(spark, d).select("page_id", "url", extract_sku(F.col("url")).alias("sku_extracted"))
+    return _pages(spark, d).select("page_id", "url", extract_sku(F.col("url"), F.col("store_key")).alias("sku_extracted"))
 
 
-@query("x10_absolute_links_pages", f"""WITH l AS (
+@query("x10_absolute_links_pages", f"""WITH {SP}, l AS (
   SELECT page_id, url, unnest(a) AS href, CAST(generate_subscripts(a, 1) AS INTEGER) AS link_no
-  FROM (SELECT page_id, url, regexp_extract_all(html, {_sq(R['links'])}, 1) AS a FROM pages) x)
+  FROM (SELECT page_id, url, regexp_extract_all(html, {_sq(R['links'])}, 1) AS a FROM sp) x)
 SELECT page_id, link_no, href, CASE WHEN starts_with(href, '/') THEN {_HOST} || href ELSE href END AS abs_url FROM l""")
 def x10(spark, d):
     p = _pages(spark, d)
@@ -225,112 +259,115 @@ def x10(spark, d):
                     X.absolutize_url(F.col("col"), X.host_of(F.col("url"))).alias("abs_url"))
 
 
-@query("x11_canonical_urls_pages", f"SELECT page_id, url, {canonical_sql('url')} AS canonical FROM pages")
+@query("x11_canonical_urls_pages", f"WITH {SP}\nSELECT page_id, url, {canonical_sql('url')} AS canonical FROM sp")
 def x11(spark, d):
-    return _pages(spark, d).select("page_id", "url", canonical_url(F.col("url")).alias("canonical"))
+    return _pages(spark, d).select("page_id", "url", canonical_url(F.col("url"), F.col("store_key")).alias("canonical"))
 
 
-def _classes_sql(cap_kw, cap_body, ch_title, ch_body, blocked, nores):
-    return f"""WITH t AS (SELECT page_id, url, lower(regexp_extract(html, {_sq(R['title'])}, 1)) AS title_lc,
-                  lower({strip_tags_sql('html')}) AS body_lc FROM pages)
-SELECT page_id, url, ({any_sql('title_lc', cap_kw)} OR {any_sql('body_lc', cap_body)}) AS is_captcha,
-       ({any_sql('title_lc', ch_title)} OR {any_sql('body_lc', ch_body)}) AS is_challenge,
-       {any_sql('body_lc', blocked)} AS is_blocked, {any_sql('body_lc', nores)} AS is_no_results
-FROM t"""
+def classes_cte(rules=None) -> str:
+    """CTE ``classes``: the page classifiers by store."""
+    pick = lambda rule: by_store_sql(rule, rules)
+    title, body = lambda ws: any_sql("title_lc", ws), lambda ws: any_sql("body_lc", ws)
+    captcha = pick(lambda r: f"({marks_sql('html', r['captcha_marks'])} OR {title(r['captcha_title'])} OR ({title(r['captcha_both'])} AND {body(r['captcha_both'])}))")
+    challenge = pick(lambda r: f"({marks_sql('html', r['challenge_marks'])} OR {title(r['challenge_title'])} OR {body(r['challenge_body'])})")
+    text = strip_tags_sql("regexp_replace(html, " + _sq(R["title"]) + ", ' ', 'g')")
+    return f"""tx AS (SELECT *, lower(regexp_extract(html, {_sq(R['title'])}, 1)) AS title_lc, lower({text}) AS body_lc FROM sp),
+classes AS (SELECT page_id, store_key, category, page_no, url, {captcha} AS is_captcha, {challenge} AS is_challenge,
+  {pick(lambda r: body(r['blocked_body']))} AS is_blocked,
+  {pick(lambda r: f"({marks_sql('html', r['no_results_marks'])} OR {body(r['no_results_body'])})")} AS is_no_results FROM tx)"""
 
 
-@query("x12_page_classes_pages", _classes_sql(K.CAPTCHA_KEYWORDS, K.CAPTCHA_BODY_PHRASES, K.CHALLENGE_TITLE_KEYWORDS,
-                                              K.CHALLENGE_BODY_PHRASES, K.BLOCKED_PHRASES, K.NO_RESULTS_PHRASES))
-def x12(spark, d):
-    return X.classify_pages(_pages(spark, d))
+_CLASS_COLS = ["page_id", "url", "is_captcha", "is_challenge", "is_blocked", "is_no_results"]
 
 
-_W = dict(captcha_kw=WORDS[:1], captcha_body=WORDS[1:2], challenge_title=WORDS[2:], challenge_body=WORDS[:1],
-          blocked=WORDS[1:], no_results=WORDS[:2])
+@query("x12_page_classes_pages", f"WITH {SP},\n{classes_cte()}\nSELECT {', '.join(_CLASS_COLS)} FROM classes")
+def x12(spark, d):
+    return X.classify_pages(_pages(spark, d)).select(*_CLASS_COLS)
 
 
-@query("x13_page_classes_words_pages", _classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2]))
+@query("x13_page_classes_words_pages", f"WITH {SP},\n{classes_cte(WORD_RULES)}\nSELECT {', '.join(_CLASS_COLS)} FROM classes")
 def x13(spark, d):
-    return X.classify_pages(_pages(spark, d), **_W)
+    return X.classify_pages(_pages(spark, d), WORD_RULES).select(*_CLASS_COLS)
 
 
-@query("x16_block_cutoff_pages", f"""WITH c AS ({_classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2])}),
-g AS (SELECT *, {_HOST} AS host FROM c),
-f AS (SELECT host, min(page_id) AS first_block FROM g WHERE is_blocked GROUP BY host)
-SELECT g.page_id, g.url FROM g LEFT JOIN f ON g.host = f.host WHERE f.first_block IS NULL OR g.page_id < f.first_block""")
+@query("x16_block_cutoff_pages", f"""WITH {SP},\n{classes_cte()},
+stop AS (SELECT store_key, category, min(page_no) AS first_stop FROM classes WHERE is_captcha OR is_blocked OR is_challenge GROUP BY ALL)
+SELECT c.page_id, c.url FROM classes c LEFT JOIN stop s ON c.store_key = s.store_key AND c.category = s.category
+WHERE s.first_stop IS NULL OR c.page_no < s.first_stop""")
 def x16(spark, d):
-    c = X.classify_pages(_pages(spark, d), **_W)
-    return X.cut_after_block(c, X.host_of(F.col("url")), "page_id", "is_blocked").select("page_id", "url")
-
-
-@query("x17_fallback_links_pages", f"""WITH {cards_sql(PRODUCT_CARD)},
-cc AS (SELECT page_id, count(*) AS n_cards FROM cards GROUP BY page_id),
-e AS (SELECT * FROM pages p WHERE NOT EXISTS (SELECT 1 FROM cc WHERE cc.page_id = p.page_id AND cc.n_cards > 0)),
-l AS (SELECT page_id, url, unnest(a) AS href, generate_subscripts(a, 1) - 1 AS pos
-      FROM (SELECT page_id, url, regexp_extract_all(html, {_sq(R['links'])}, 1) AS a FROM e) x),
-u AS (SELECT page_id, url, href, min(pos) AS pos FROM l GROUP BY page_id, url, href)
-SELECT page_id, url, href, CAST(pos AS INTEGER) AS pos, CAST(link_no AS INTEGER) AS link_no FROM (
-  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS link_no FROM u) y WHERE link_no <= 40""")
+    c = X.classify_pages(_pages(spark, d)).withColumn("stop", F.col("is_captcha") | F.col("is_blocked") | F.col("is_challenge"))
+    return X.cut_after_block(c, F.struct("store_key", "category"), "page_no", "stop").select("page_id", "url")
+
+
+_LINKS = f"list_filter(regexp_extract_all(html, {_sq(R['links'])}, 1), lambda h: regexp_matches(h, %s))"
+
+
+def _first_links(r: dict) -> str:
+    links = _LINKS % _sq(r["link"])
+    return links if r["link_cap"] is None else f"list_slice({links}, 1, {r['link_cap']})"
+
+
+@query("x17_fallback_links_pages", f"""WITH {SP},
+{cards_sql(PRODUCT_CARD)},
+e AS (SELECT * FROM sp p WHERE NOT EXISTS (SELECT 1 FROM cards c WHERE c.page_id = p.page_id)),
+l AS (SELECT page_id, store_key, url, unnest(a) AS href, generate_subscripts(a, 1) AS pos
+      FROM (SELECT page_id, store_key, url, {by_store_sql(_first_links)} AS a FROM e) x),
+u AS (SELECT page_id, store_key, url, href, min(pos) AS pos FROM l GROUP BY ALL)
+SELECT page_id, store_key, url, href, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS link_no FROM u""")
 def x17(spark, d):
     p = _pages(spark, d)
     cc = X.cards(p, PRODUCT_CARD).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_cards"))
-    return X.fallback_links(p, cc, cap=40)
+    return X.fallback_links(p, cc)
 
 
-@query("x18_listing_cap_pages", f"""WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},
-g AS (SELECT *, regexp_extract(page_url, '^(https?://[^/?#]+)', 1) AS host FROM listings),
-pp AS (SELECT host, page_id, count(*) AS n FROM g GROUP BY host, page_id),
-pb AS (SELECT host, page_id, coalesce(sum(n) OVER (PARTITION BY host ORDER BY page_id
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pp)
-SELECT g.page_id, g.card_no, g.name FROM g JOIN pb ON g.host = pb.host AND g.page_id = pb.page_id
-WHERE pb.before + g.card_no <= {K.FRONTIER[0][2] * K.FRONTIER[0][3]}""")
+@query("x18_listing_cap_pages", f"""WITH {SP},
+{cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},
+n AS (SELECT page_id, count(*) AS n FROM listings GROUP BY page_id),
+b AS (SELECT sp.page_id, store_key, coalesce(sum(coalesce(n, 0)) OVER (PARTITION BY store_key, category ORDER BY page_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sp LEFT JOIN n ON n.page_id = sp.page_id),
+f AS (SELECT page_id FROM b WHERE coalesce(before < {by_store_sql(lambda r: 'CAST(NULL AS BIGINT)' if r['per_page'] is None else str(r['per_page'] * MAX_PAGES))}, TRUE))
+SELECT l.page_id, l.card_no, l.name FROM listings l JOIN f ON f.page_id = l.page_id""")
 def x18(spark, d):
-    lst = X.listings(X.card_fields(X.cards(_pages(spark, d))))
-    cap = K.FRONTIER[0][2] * K.FRONTIER[0][3]
-    return X.cap_listings(lst, X.host_of(F.col("page_url")), "page_id", "card_no", cap) \
-            .select("page_id", "card_no", "name")
-
-
-@query("x19_detail_prices_pages", f"""WITH t AS (
-  SELECT url, nullif(regexp_extract(html, {_sq(R['price'])}, 1), '') AS txt,
-         regexp_extract(html, '(US\\$|MX\\$|\\$|€|¥)\\s?[0-9]', 1) AS cur FROM pages),
-u AS (SELECT url, {parse_price_sql('txt')} AS price, cur FROM t)
-SELECT url, price, CASE WHEN price IS NOT NULL THEN CASE cur WHEN 'US$' THEN 'USD' WHEN 'MX$' THEN 'MXN'
-       WHEN '€' THEN 'EUR' WHEN '¥' THEN 'CNY' WHEN '$' THEN 'MXN' END END AS currency,
-       price IS NOT NULL AS availability FROM u""")
+    p = _pages(spark, d)
+    lst = X.listings(X.card_fields(X.cards(p)))
+    return X.stop_pages(lst, p, MAX_PAGES).select("page_id", "card_no", "name")
+
+
+def _part(name: str) -> str:
+    return f"nullif(trim(regexp_extract(html, {_sq(R[name])}, 1)), '')"
+
+
+@query("x19_detail_prices_pages", f"""WITH {SP}, t AS (
+  SELECT page_id, url, store_key, coalesce(CASE WHEN {_part('price_cents')} IS NOT NULL AND {_part('price_int')} IS NOT NULL
+           THEN {_part('price_int')} || '.' || {_part('price_cents')} ELSE {_part('price_int')} END, {_part('price')}) AS txt FROM sp),
+u AS (SELECT page_id, url, store_key, {parse_price_sql('txt')} AS price FROM t)
+SELECT page_id, url, price, {by_store_sql(lambda r: _sq(r['currency']))} AS currency, price IS NOT NULL AS availability FROM u""")
 def x19(spark, d):
     return X.detail_prices(_pages(spark, d))
 
 
-@query("x20_drift_pages", f"""WITH t AS (SELECT page_id, split_part(split_part(url, '#', 1), '?', 1) AS page_key,
-                  length(html) AS html_len FROM pages),
+@query("x20_drift_pages", f"""WITH {SP}, t AS (SELECT page_id, {_HOST} AS page_key, length(html) AS html_len FROM sp),
 u AS (SELECT *, lag(html_len) OVER (PARTITION BY page_key ORDER BY page_id) AS prev_len FROM t)
 SELECT page_id, page_key, html_len, CAST(prev_len AS DOUBLE) AS prev_len,
        coalesce(abs(html_len - prev_len) / nullif(prev_len, 0) > {K.DRIFT_THRESHOLD}, FALSE) AS changed FROM u""")
 def x20(spark, d):
-    p = _pages(spark, d)
-    key = F.substring_index(F.substring_index(F.col("url"), "#", 1), "?", 1)
-    # a missing previous length is NULL: reported as DOUBLE so every client
-    # maps the nullable column the same way
-    return X.drift(p, key, "page_id").withColumn("prev_len", F.col("prev_len").cast("double"))
+    # a host's pages in order stand for the snapshots of one page; a missing previous
+    # length is NULL, reported as DOUBLE so every client maps the column the same way
+    return X.drift(_pages(spark, d), X.host_of(F.col("url")), "page_id", width=64).withColumn("prev_len", F.col("prev_len").cast("double"))
 
 
-@query("x21_counters_pages", f"""WITH {cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},
-c AS ({_classes_sql(WORDS[:1], WORDS[1:2], WORDS[2:], WORDS[:1], WORDS[1:], WORDS[:2])}),
-a AS (SELECT regexp_extract(page_url, '^(https?://[^/?#]+)', 1) AS source, count(*) AS found,
-             count(*) FILTER (WHERE price > 0) AS saved, count(*) FILTER (WHERE NOT (price > 0)) AS failed
+@query("x21_counters_pages", f"""WITH {SP},
+{cards_sql(R['cards'])},\n{_FIELDS},\n{_LISTINGS},\n{classes_cte()},
+a AS (SELECT store_key, count(*) AS found, count(*) FILTER (WHERE price > 0) AS saved, count(*) FILTER (WHERE NOT (price > 0)) AS failed
       FROM listings GROUP BY 1),
-b AS (SELECT {_HOST} AS source, count(*) FILTER (WHERE is_captcha) AS captcha_pages,
-             count(*) FILTER (WHERE is_blocked) AS blocked_pages, count(*) AS pages FROM c GROUP BY 1)
-SELECT b.source, b.captcha_pages, b.blocked_pages, b.pages, coalesce(a.found, 0) AS found,
-       coalesce(a.saved, 0) AS saved, coalesce(a.failed, 0) AS failed
-FROM b LEFT JOIN a ON a.source = b.source""")
+b AS (SELECT store_key, count(*) FILTER (WHERE is_captcha) AS captcha_pages, count(*) FILTER (WHERE is_blocked) AS blocked_pages, count(*) AS pages,
+        coalesce(string_agg(DISTINCT category, ',' ORDER BY category) FILTER (WHERE is_captcha OR is_blocked OR is_challenge), '') AS blocked_categories
+      FROM classes GROUP BY 1)
+SELECT b.*, coalesce(a.found, 0) AS found, coalesce(a.saved, 0) AS saved, coalesce(a.failed, 0) AS failed
+FROM b LEFT JOIN a ON a.store_key = b.store_key""")
 def x21(spark, d):
     p = _pages(spark, d)
-    lst = X.listings(X.card_fields(X.cards(p))).withColumnRenamed("url", "listing_url") \
-           .withColumnRenamed("page_url", "url")
-    cls = X.classify_pages(p, **_W)
-    return X.extraction_counters(lst, cls, X.host_of(F.col("url")))
+    return X.extraction_counters(X.listings(X.card_fields(X.cards(p))), X.classify_pages(p))
 
 
 @query("x22_category_counts_r", f"""WITH {STAGES_CTE},

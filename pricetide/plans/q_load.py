@@ -8,9 +8,9 @@ from pricetide import constants as K
 from pricetide.operators import cleaning as CL
 from pricetide.operators import load as L
 from pricetide.plans.catalog import query
-from pricetide.plans.sqltext import _EV_CASE, E_CTE, e_cte, r2
+from pricetide.plans.sqltext import _EV_CASE, E_CTE, R_CTE, e_cte, r2
 from pricetide.sources.adapters import categories_dim, events_split, events_star, retail_star
-from pricetide.sources.raw import STORE_SPELLINGS, retail_listings
+from pricetide.sources.raw import retail_listings
 from pricetide.sources.tables import read_table
 
 # ----------------------------------------------------------------------------
@@ -19,18 +19,28 @@ from pricetide.sources.tables import read_table
 # ----------------------------------------------------------------------------
 _CUT = "(SELECT max(ts) - INTERVAL 12 HOUR FROM events)"
 _RUN = "(SELECT max(ts) FROM events)"
-SPLIT_CTE = f"""base AS (SELECT * FROM events WHERE ts < {_CUT}),
+_NAME = "event_type || ' #' || CAST(user_id AS VARCHAR) || CASE WHEN user_id % 7 = 0 THEN ' new' ELSE '' END"
+
+
+def split_cte(per_day: bool = False) -> str:
+    """CTEs of the split scenario: the next products and prices after the batch ``inc``
+    (one row per product) or, with ``per_day``, after its rows of every day."""
+    return f"""base AS (SELECT * FROM events WHERE ts < {_CUT}),
 {e_cte('base')},
 inc0 AS (
-  SELECT event_id, event_type || ' #' || CAST(user_id AS VARCHAR) AS name, user_id % 3 + 1 AS store_id,
+  SELECT event_id, {_NAME} AS name, user_id % 3 + 1 AS store_id,
          CAST({_EV_CASE} AS BIGINT) AS category_id, 'brand ' || CAST(user_id % 5 AS VARCHAR) AS brand,
          '/item/' || CAST(user_id * 10 + CAST({_EV_CASE} AS BIGINT) AS VARCHAR) AS url,
          'EV-' || CAST(user_id * 10 + CAST({_EV_CASE} AS BIGINT) AS VARCHAR) AS sku,
          value AS price, '{K.BASE_CURRENCY}' AS currency, event_type <> 'error' AS availability, ts AS scraped_at
-  FROM events WHERE ts >= {_CUT}),
+  FROM events WHERE ts >= {_CUT} OR (ts >= {_CUT} - INTERVAL 24 HOUR AND user_id % 5 = 1)),
 inc AS (SELECT * EXCLUDE (irn) FROM (
   SELECT *, row_number() OVER (PARTITION BY name, store_id ORDER BY scraped_at DESC, price ASC, event_id DESC) AS irn
   FROM inc0) x WHERE irn = 1),
+inc_d AS (SELECT * EXCLUDE (irn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, store_id{", CAST(scraped_at AS DATE)" if per_day else ""}
+                               ORDER BY scraped_at DESC, price ASC, event_id DESC) AS irn
+  FROM inc0) x WHERE irn = 1),
 upd AS (
   SELECT p.id, p.name, p.store_id,
          CASE WHEN i.name IS NULL THEN p.brand ELSE i.brand END AS brand,
@@ -44,18 +54,23 @@ newp AS (
          i.name, i.store_id, i.brand, i.url, i.sku, i.category_id, {_RUN} AS created_at, 'insert' AS action
   FROM inc i WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.name = i.name AND p.store_id = i.store_id)),
 nextp AS (SELECT * FROM upd UNION ALL SELECT * FROM newp),
-inc2 AS (SELECT n.id AS product_id, i.price, i.currency, i.availability, i.scraped_at,
+inc1 AS (SELECT n.id AS product_id, i.price, i.currency, i.availability, i.scraped_at,
                 CAST(i.scraped_at AS DATE) AS obs_date
-         FROM inc i JOIN nextp n ON i.name = n.name AND i.store_id = n.store_id),
-prevp AS (SELECT product_id, price AS prev FROM (
+         FROM inc_d i JOIN nextp n ON i.name = n.name AND i.store_id = n.store_id),
+inc2 AS (SELECT *, lag(price) OVER d AS before_price, lag(scraped_at) OVER d AS before_ts FROM inc1
+         WINDOW d AS (PARTITION BY product_id ORDER BY obs_date)),
+storedp AS (SELECT product_id, price AS prev, scraped_at AS prev_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, id DESC) AS prn FROM price_history) x
   WHERE prn = 1),
+prevp AS (SELECT inc2.product_id, inc2.obs_date,
+                 CASE WHEN before_ts IS NOT NULL AND (prev_ts IS NULL OR before_ts >= prev_ts) THEN before_price ELSE prev END AS prev
+          FROM inc2 LEFT JOIN storedp ON inc2.product_id = storedp.product_id),
 j AS (
-  SELECT inc2.*, prevp.prev AS previous_price,
+  SELECT inc2.* EXCLUDE (before_price, before_ts), prevp.prev AS previous_price,
          {r2('inc2.price - prevp.prev')} AS price_change,
          {r2('(inc2.price - prevp.prev) / nullif(prevp.prev, 0.0) * 100.0')} AS price_change_pct,
          CASE WHEN sd.id IS NULL THEN 'insert' WHEN sd.price <> inc2.price THEN 'update' ELSE 'noop' END AS action
-  FROM inc2 LEFT JOIN prevp ON inc2.product_id = prevp.product_id
+  FROM inc2 LEFT JOIN prevp ON inc2.product_id = prevp.product_id AND inc2.obs_date = prevp.obs_date
   LEFT JOIN price_history sd ON sd.product_id = inc2.product_id AND sd.obs_date = inc2.obs_date),
 kept AS (
   SELECT h.id, h.product_id,
@@ -72,6 +87,9 @@ insp AS (
   FROM j WHERE action = 'insert'),
 nextph AS (SELECT * FROM kept UNION ALL SELECT * FROM insp)"""
 
+
+SPLIT_CTE = split_cte()
+
 _PCOLS = "id, name, brand, url, sku, category_id, store_id, created_at"
 _PHCOLS = "id, product_id, price, currency, availability, price_change, price_change_pct, scraped_at, obs_date"
 
@@ -108,7 +126,7 @@ def l04(spark, d):
     return L.upsert_products(b.stored.products, b.incoming, b.run_time).actions
 
 
-_COUNTERS_SQL = """SELECT (SELECT count(*) FROM inc) AS products_found,
+_COUNTERS_SQL = """SELECT (SELECT count(*) FROM inc) AS products_found, (SELECT count(*) FROM inc) AS products_clean,
        count(*) FILTER (WHERE action = 'insert') AS inserted,
        count(*) FILTER (WHERE action = 'update') AS updated,
        count(*) FILTER (WHERE action = 'noop') AS unchanged,
@@ -151,7 +169,7 @@ _PERCAT_SQL = """pc AS (SELECT s.name AS store_name, c.id AS category_id, count(
 summ AS (SELECT store_name, CAST(sum(products) AS BIGINT) AS products, count(*) FILTER (WHERE products > 0) AS categories_ok,
                 count(*) FILTER (WHERE products = 0) AS categories_fail FROM pc GROUP BY store_name),
 summ2 AS (SELECT *, printf('%s: %d products (%d categories ok, %d failed)', store_name, products, categories_ok,
-                           categories_fail) AS message FROM summ)"""
+                           categories_fail) AS message, CASE WHEN products = 0 THEN 'nothing delivered' END AS error FROM summ)"""
 
 
 @query("l09_run_summary_e", f"WITH {SPLIT_CTE},\n{_PERCAT_SQL}\nSELECT * FROM summ2")
@@ -191,9 +209,11 @@ def l05(spark, d):
 
 @query("l10_consolidate_sources_r", None)
 def l10(spark, d):
+    """The three sources' results as separate inputs: each store's spellings."""
     raw = retail_listings(spark, d)
-    frames = [raw.filter(F.col("store_name") == s) for s in STORE_SPELLINGS]
-    return L.consolidate(*frames).groupBy("store_name").agg(F.count(F.lit(1)).alias("rows"))
+    key = CL.lookup_id(F.col("store_name"), CL.store_ids(), K.STORE_ALIASES)
+    sources = L.by_source(raw.withColumn("source", key), "source", [int(i) for i, *_ in K.STORES])
+    return L.consolidate(*sources).groupBy("source", "store_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("l11_full_run_r", None)
@@ -213,14 +233,33 @@ def l11(spark, d):
     return L.load_prices(empty_h, inc).table
 
 
+@query("l11_etl_runs_r", None)
+def l11_runs(spark, d):
+    """The scheduled run, first into an empty state and then once more with the same
+    input: the run log, and what the second run changed in the state (nothing)."""
+    from pricetide.streaming.jobs import VersionedState, run_dir
+    root, raw = run_dir(spark, "l11"), retail_listings(spark, d)
+    logs = L.run_etl(spark, raw, root, 1).unionByName(L.run_etl(spark, raw, root, 2))
+    state = VersionedState(spark, root)
+    (p1, h1), (p2, h2) = state.read(1), state.read(2)
+    changed = (p1.exceptAll(p2).select("id").unionAll(p2.exceptAll(p1).select("id"))
+               .unionAll(h1.exceptAll(h2).select("id")).unionAll(h2.exceptAll(h1).select("id"))).select(F.count(F.lit(1))).scalar()
+    return logs.select("id", "status", "products_found", "products_saved", "products_failed", changed.alias("rows_changed_by_run_2"))
+
+
 # l10 / l11 oracle texts (registered after the functions to reuse the cleaning SQL)
 def _late_oracles():
     from pricetide.plans.catalog import ORACLE
-    from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE
+    from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE, STORE_SQL
     from pricetide.sources.raw import RETAIL_LISTINGS_SQL
     ORACLE["l10_consolidate_sources_r"] = (
-        f"WITH raw AS ({RETAIL_LISTINGS_SQL})\nSELECT store_name, count(*) AS rows FROM raw "
-        f"WHERE store_name IN ({', '.join(repr(s) for s in STORE_SPELLINGS)}) GROUP BY store_name")
+        f"WITH raw AS ({RETAIL_LISTINGS_SQL})\nSELECT {STORE_SQL} AS source, store_name, count(*) AS rows FROM raw "
+        f"WHERE {STORE_SQL} IS NOT NULL GROUP BY ALL")
+    ORACLE["l11_etl_runs_r"] = f"""WITH {STAGES_CTE}
+SELECT CAST(id AS BIGINT) AS id, 'success' AS status, CAST((SELECT count(*) FROM raw) AS INTEGER) AS products_found,
+       CAST((SELECT count(*) FROM d2 WHERE {OK_SQL}) AS INTEGER) AS products_saved, CAST(0 AS INTEGER) AS products_failed,
+       CAST(0 AS BIGINT) AS rows_changed_by_run_2
+FROM (VALUES (1), (2)) AS t(id)"""
     ORACLE["l11_full_run_r"] = f"""WITH {STAGES_CTE},
 cl AS (SELECT * FROM d2 WHERE {OK_SQL}),
 rt AS (SELECT max(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S')) AS t FROM cl),
@@ -245,47 +284,83 @@ def _tables(spark, d):
     return {"stores": s.stores, "categories": s.categories, "products": s.products, "price_history": s.price_history}
 
 
-@query("v01_uniqueness_e", f"""WITH {E_CTE}
-SELECT 'stores.name' AS constraint_name, (SELECT count(*) FROM (SELECT name FROM stores GROUP BY name HAVING count(*) > 1) x) AS violations
-UNION ALL SELECT 'categories.name', (SELECT count(*) FROM (SELECT name FROM categories GROUP BY name HAVING count(*) > 1) x)
-UNION ALL SELECT 'products.name_store', (SELECT count(*) FROM (SELECT name, store_id FROM products GROUP BY name, store_id HAVING count(*) > 1) x)
-UNION ALL SELECT 'price_history.product_scraped_at', (SELECT count(*) FROM (SELECT product_id, scraped_at FROM price_history GROUP BY product_id, scraped_at HAVING count(*) > 1) x)""")
+# The events star with violations of every rule (valid in Spark SQL and DuckDB).
+DAMAGED = {
+    "stores": """SELECT id, name, country, CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ) AS created_at FROM {stores}
+        UNION ALL SELECT CAST(4 AS BIGINT), 'Temu', CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP_NTZ)
+        UNION ALL SELECT CAST(5 AS BIGINT), repeat('x', 101), repeat('y', 51), CAST(NULL AS TIMESTAMP_NTZ)""",
+    "categories": """SELECT id, name FROM {categories} UNION ALL SELECT CAST(6 AS BIGINT), 'purchase'
+        UNION ALL SELECT CAST(7 AS BIGINT), repeat('c', 51) UNION ALL SELECT CAST(8 AS BIGINT), CAST(NULL AS STRING)""",
+    "products": """SELECT id, CASE WHEN id % 97 = 0 THEN NULL WHEN id % 89 = 0 THEN repeat(name, 40) ELSE name END AS name,
+          CASE WHEN id % 53 = 0 THEN repeat(brand, 20) ELSE brand END AS brand, url, CASE WHEN id % 47 = 0 THEN repeat(sku, 30) ELSE sku END AS sku,
+          CASE WHEN id % 83 = 0 THEN 99 WHEN id % 43 = 0 THEN NULL ELSE category_id END AS category_id,
+          CASE WHEN id % 73 = 0 THEN 77 WHEN id % 41 = 0 THEN NULL ELSE store_id END AS store_id,
+          CASE WHEN id % 37 = 0 THEN NULL ELSE created_at END AS created_at FROM {products}
+        UNION ALL SELECT id + 100000000, name, brand, url, sku, category_id, store_id, created_at FROM {products} WHERE id % 101 = 0""",
+    "price_history": """SELECT CASE WHEN id % 71 = 0 THEN 1 ELSE id END AS id, CASE WHEN id % 79 = 0 THEN -1 WHEN id % 31 = 0 THEN NULL ELSE product_id END AS product_id,
+          CASE WHEN id % 29 = 0 THEN NULL ELSE price END AS price, CASE WHEN id % 61 = 0 THEN 'pesos de plata' WHEN id % 23 = 0 THEN NULL ELSE currency END AS currency,
+          CASE WHEN id % 59 = 0 THEN NULL ELSE availability END AS availability, CASE WHEN id % 67 = 0 THEN NULL ELSE scraped_at END AS scraped_at FROM {price_history}
+        UNION ALL SELECT id + 100000000, product_id, price, currency, availability, scraped_at FROM {price_history} WHERE id % 103 = 0""",
+    "pipeline_logs": """SELECT CASE WHEN product_id % 3 = 0 THEN NULL WHEN product_id % 5 = 0 THEN repeat('p', 51) ELSE 'price_etl' END AS process_name,
+          CASE WHEN product_id % 7 = 0 THEN NULL WHEN product_id % 11 = 0 THEN repeat('s', 21) ELSE 'success' END AS status,
+          CASE WHEN product_id % 13 = 0 THEN NULL ELSE scraped_at END AS created_at FROM {price_history}""",
+}
+
+
+def _damaged(spark, d):
+    good = _tables(spark, d)
+    return {t: spark.sql(sql, **{n: df for n, df in good.items() if "{" + n + "}" in sql}) for t, sql in DAMAGED.items()}
+
+
+def _damaged_sql(*bodies: str) -> str:
+    ctes = ",\n".join(f"bad_{t} AS ({sql.format(**{n: n for n in DAMAGED}).replace('TIMESTAMP_NTZ', 'TIMESTAMP')})" for t, sql in DAMAGED.items())
+    return f"WITH {E_CTE},\n{ctes}\n" + "\nUNION ALL ".join(bodies)
+
+
+def _twice(label: str, t: str, cols: str) -> str:
+    return (f"SELECT '{label}' AS constraint_name, (SELECT count(*) FROM (SELECT {cols} FROM bad_{t} GROUP BY {cols} HAVING count(*) > 1) x) AS violations")
+
+
+@query("v01_uniqueness_e", _damaged_sql(
+    _twice("stores.name", "stores", "name"), _twice("categories.name", "categories", "name"), _twice("products.name_store", "products", "name, store_id"),
+    _twice("price_history.id", "price_history", "id"), _twice("price_history.product_scraped_at", "price_history", "product_id, scraped_at")))
 def v01(spark, d):
-    return L.uniqueness(_tables(spark, d))
+    return L.uniqueness(_damaged(spark, d))
 
 
-@query("v02_orphans_e", f"""WITH {E_CTE}
-SELECT 'products.category_id' AS constraint_name, (SELECT count(*) FROM products p WHERE NOT EXISTS (SELECT 1 FROM categories c WHERE c.id = p.category_id)) AS violations
-UNION ALL SELECT 'products.store_id', (SELECT count(*) FROM products p WHERE NOT EXISTS (SELECT 1 FROM stores s WHERE s.id = p.store_id))
-UNION ALL SELECT 'price_history.product_id', (SELECT count(*) FROM price_history h WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id = h.product_id))""")
-def v02(spark, d):
-    return L.orphans(_tables(spark, d))
+@query("v01_uniqueness_r", f"""WITH {R_CTE}
+""" + "\nUNION ALL ".join(_twice(*x).replace("bad_", "") for x in (
+    ("stores.name", "stores", "name"), ("categories.name", "categories", "name"), ("products.name_store", "products", "name, store_id"),
+    ("price_history.id", "price_history", "id"), ("price_history.product_scraped_at", "price_history", "product_id, scraped_at"))))
+def v01_r(spark, d):
+    s = retail_star(spark, d)
+    return L.uniqueness({"stores": s.stores, "categories": s.categories, "products": s.products, "price_history": s.price_history})
 
 
-def _nn_sql():
-    parts = []
-    for t, cols in L.NOT_NULL.items():
-        for c in cols:
-            parts.append(f"SELECT '{t}.{c}' AS column_name, (SELECT count(*) FROM {t} WHERE {c} IS NULL) AS violations")
-    return f"WITH {E_CTE}\n" + "\nUNION ALL ".join(parts)
+def _lost(label: str, child: str, parent: str) -> str:
+    t, col = label.split(".")
+    return (f"SELECT '{label}' AS constraint_name, (SELECT count(*) FROM bad_{child} c WHERE NOT EXISTS "
+            f"(SELECT 1 FROM bad_{parent} p WHERE p.id = c.{col})) AS violations")
 
 
-def _len_sql():
-    parts = []
-    for t, cols in L.MAX_LEN.items():
-        for c, n in cols.items():
-            parts.append(f"SELECT '{t}.{c}' AS column_name, (SELECT count(*) FROM {t} WHERE length({c}) > {n}) AS violations")
-    return f"WITH {E_CTE}\n" + "\nUNION ALL ".join(parts)
+@query("v02_orphans_e", _damaged_sql(_lost("products.category_id", "products", "categories"), _lost("products.store_id", "products", "stores"),
+                                     _lost("price_history.product_id", "price_history", "products")))
+def v02(spark, d):
+    return L.orphans(_damaged(spark, d))
+
+
+def _where(t: str, c: str, cond: str) -> str:
+    return f"SELECT '{t}.{c}' AS column_name, (SELECT count(*) FROM bad_{t} WHERE {cond}) AS violations"
 
 
-@query("v03_not_null_e", _nn_sql())
+@query("v03_not_null_e", _damaged_sql(*[_where(t, c, f"{c} IS NULL") for t, cols in L.NOT_NULL.items() for c in cols]))
 def v03(spark, d):
-    return L.null_counts(_tables(spark, d))
+    return L.null_counts(_damaged(spark, d))
 
 
-@query("v04_length_e", _len_sql())
+@query("v04_length_e", _damaged_sql(*[_where(t, c, f"length({c}) > {n}") for t, cols in L.MAX_LEN.items() for c, n in cols.items()]))
 def v04(spark, d):
-    return L.length_violations(_tables(spark, d))
+    return L.length_violations(_damaged(spark, d))
 
 
 @query("v05_delete_cascade_e", f"""WITH {E_CTE}
@@ -325,3 +400,70 @@ def v07(spark, d):
     stores = region.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
                            F.when(F.col("r_regionkey") % 2 == 0, F.col("r_name")).alias("country"))
     return L.fill_defaults(stores, "stores", F.current_timestamp()).select("id", "name", "country")
+
+
+@query("v07_default_fill_e", f"""WITH {E_CTE}
+SELECT id, coalesce(CASE WHEN id % 3 <> 0 THEN currency END, '{K.BASE_CURRENCY}') AS currency,
+       coalesce(CASE WHEN id % 5 <> 0 THEN availability END, TRUE) AS availability,
+       coalesce(CASE WHEN id % 7 <> 0 THEN scraped_at END, (SELECT max(ts) FROM events)) AS scraped_at FROM price_history""")
+def v07_e(spark, d):
+    s = events_star(spark, d)
+    gap = lambda c, k: F.when(F.col("id") % k != 0, F.col(c)).alias(c)
+    rows = s.price_history.select("id", gap("currency", 3), gap("availability", 5), gap("scraped_at", 7))
+    return L.fill_defaults(rows, "price_history", s.as_of)
+
+
+# ----------------------------------------------------------------------------
+# Sources and sinks
+# ----------------------------------------------------------------------------
+
+
+_RAW_COLS = "name, brand, price, currency, availability, url, sku, store_name, category, scraped_at"
+
+
+@query("s01_raw_records_r", None)
+def s01(spark, d):
+    """Raw records written as JSON lines and read with the fixed schema."""
+    from pricetide.sources.raw import read_raw
+    from pricetide.streaming.jobs import run_dir
+    path = run_dir(spark, "s01")
+    retail_listings(spark, d).select(*_RAW_COLS.split(", ")).write.json(path)
+    return read_raw(spark, path, "json")
+
+
+@query("s05_create_if_absent_e", f"WITH {E_CTE}\nSELECT CAST(id AS BIGINT) AS id, name FROM categories")
+def s05(spark, d):
+    """A table that is made if absent, filled, and left as it is when made again."""
+    from pricetide.streaming.jobs import run_dir
+    path, schema = run_dir(spark, "s05"), "id bigint, name string"
+    empty = L.ensure_table(spark, path, schema)
+    assert empty.isEmpty()
+    events_star(spark, d).categories.write.mode("append").parquet(path)
+    return L.ensure_table(spark, path, schema)
+
+
+@query("s06_append_e", f"WITH {E_CTE}\nSELECT {_PHCOLS} FROM price_history")
+def s06(spark, d):
+    """Price history appended in two parts, partitioned by day."""
+    from pricetide.streaming.jobs import VersionedState, run_dir
+    path, h = run_dir(spark, "s06"), events_star(spark, d).price_history
+    for part in (0, 1):
+        L.append_rows(h.filter(F.col("product_id") % 2 == part), path)
+    return spark.read.schema(VersionedState.PRICES).parquet(path)
+
+
+@query("s08_row_counts_r", f"""WITH {R_CTE}
+SELECT 'products' AS table_name, count(*) AS rows FROM products UNION ALL SELECT 'price_history', count(*) FROM price_history""")
+def s08(spark, d):
+    s = retail_star(spark, d)
+    one = lambda name, df: L.row_count(df).select(F.lit(name).alias("table_name"), "rows")
+    return one("products", s.products).unionByName(one("price_history", s.price_history))
+
+
+def _raw_oracle():
+    from pricetide.plans.catalog import ORACLE
+    from pricetide.sources.raw import RETAIL_LISTINGS_SQL
+    ORACLE["s01_raw_records_r"] = f"WITH raw AS ({RETAIL_LISTINGS_SQL})\nSELECT {_RAW_COLS} FROM raw"
+
+
+_raw_oracle()

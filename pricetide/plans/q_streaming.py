@@ -10,9 +10,9 @@ from pricetide import constants as K
 from pricetide.functions import round2
 from pricetide.plans.catalog import query
 from pricetide.plans.q_cleaning import CAT_SQL, OK_SQL, RAW_CTE, STORE_SQL, clean_name_sql
-from pricetide.plans.q_load import SPLIT_CTE
+from pricetide.plans.q_load import split_cte
 from pricetide.plans.sqltext import r2
-from pricetide.sources.adapters import event_observations, events_split
+from pricetide.sources.adapters import events_split, split_incoming
 from pricetide.sources.raw import retail_listings
 from pricetide.sources.tables import read_table, table_path
 from pricetide.streaming import jobs as T
@@ -49,7 +49,7 @@ def t02(spark, d):
     return spark.read.parquet(out).select("product_id", "obs_date")
 
 
-@query("t03_stream_upsert_e", f"WITH {SPLIT_CTE}\nSELECT id, product_id, price, currency, availability, "
+@query("t03_stream_upsert_e", f"WITH {split_cte(per_day=True)}\nSELECT id, product_id, price, currency, availability, "
                               "price_change, price_change_pct, scraped_at, obs_date FROM nextph")
 def t03(spark, d):
     b = events_split(spark, d)
@@ -60,7 +60,7 @@ def t03(spark, d):
     ev_all = read_table(spark, d, "events")
     cut = ev_all.select(F.max("ts") - F.make_interval(hours=F.lit(12))).scalar()
     stream = T.file_stream(spark, table_path(d, "events"))
-    obs = event_observations(stream)
+    obs = split_incoming(stream, cut)
     cleaned = obs.select(
         "name", "store_id", "category_id", "event_id",
         F.concat(F.lit("brand "), (F.col("user_id") % 5).cast("string")).alias("brand"),
@@ -69,17 +69,8 @@ def t03(spark, d):
         F.col("value").alias("price"), F.lit(K.BASE_CURRENCY).alias("currency"),
         (F.col("event_type") != "error").alias("availability"), F.col("ts").alias("scraped_at"))
 
-    def body(df, epoch_id):
-        batch = df.filter(F.col("scraped_at") >= cut)
-        row = F.struct(*[c for c in batch.columns if c not in ("name", "store_id", "event_id")])
-        one = (batch.groupBy("name", "store_id")
-                    .agg(F.max_by(row, F.struct(F.col("scraped_at"), -F.col("price"), F.col("event_id"))).alias("r"))
-                    .select("name", "store_id", "r.*"))
-        T.upsert_batch(state, one, int(epoch_id), lambda _one: ev_all.select(F.max("ts")).scalar())
-
-    q = (cleaned.writeStream.foreachBatch(body).option("checkpointLocation", root + "/_checkpoint")
-         .trigger(availableNow=True).start())
-    T._await(q)
+    # one row per product and day of the batch: the newest, then the lowest price
+    T.stream_upsert(spark, cleaned, state, root + "/_checkpoint", lambda _one: ev_all.select(F.max("ts")).scalar())
     return state.read(state.latest_version())[1]
 
 

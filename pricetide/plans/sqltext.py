@@ -80,7 +80,7 @@ products AS (
         GROUP BY product_id, l_partkey, store_id) pr
   JOIN part p ON pr.l_partkey = p.p_partkey JOIN categories c ON c.name = p.p_type),
 ph_day AS (
-  SELECT product_id, l_orderkey * 10 + l_linenumber AS id,
+  SELECT product_id, product_id * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS id,
          {r2("l_extendedprice / nullif(l_quantity, 0.0)")} AS price, l_shipdate AS scraped_at,
          CAST(l_shipdate AS DATE) AS obs_date,
          row_number() OVER (PARTITION BY product_id, CAST(l_shipdate AS DATE)

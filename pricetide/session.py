@@ -43,11 +43,14 @@ def build_session(master: str | None = None, app: str = "pricetide",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared folder is always used.
+    Only when the setting is absent in a local session (tests) a scratch folder is
+    created and registered; on a cluster the configured shared folder is always used, and
+    its absence is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="pricetide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -205,7 +205,9 @@ def _retail_star(spark: SparkSession, sf_dir: str) -> Star:
         round2(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("price"),
         F.lit(K.BASE_CURRENCY).alias("currency"), F.lit(True).alias("availability"))
     ph = with_daily_changes(obs, ["scraped_at", "l_orderkey", "l_linenumber"])
-    ph = ph.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "product_id", "price",
+    # one row per product and day is left, so the two make the history's key
+    day = F.datediff("obs_date", F.lit("1970-01-01").cast("date"))
+    ph = ph.select((F.col("product_id") * 100_000 + day).alias("id"), "product_id", "price",
                    "currency", "availability", "price_change", "price_change_pct", "scraped_at", "obs_date")
     return Star(stores, categories, products, ph, clock=obs.select("scraped_at"))
 
@@ -223,6 +225,15 @@ class Batch:
     run_time: Column
 
 
+def split_incoming(ev: DataFrame, cut: Column) -> DataFrame:
+    """The incoming observations of the split scenarios: those from the cut on, and for
+    some users the day before (rows that are stored already: no-ops); some users' products
+    come under a new name (inserts)."""
+    hit = (F.col("ts") >= cut) | ((F.col("ts") >= cut - F.make_interval(hours=F.lit(24))) & (F.col("user_id") % 5 == 1))
+    return event_observations(ev.filter(hit)).withColumn(
+        "name", F.concat("name", F.when(F.col("user_id") % 7 == 0, " new").otherwise("")))
+
+
 def events_split(spark: SparkSession, sf_dir: str, hours: int = 12) -> Batch:
     """Stored state = events older than ``max(ts) - hours``; incoming batch =
     the newer events, reduced to one row per (name, store_id) with the
@@ -231,7 +242,7 @@ def events_split(spark: SparkSession, sf_dir: str, hours: int = 12) -> Batch:
     ev = read_table(spark, sf_dir, "events")
     cut = ev.select(F.max("ts") - F.make_interval(hours=F.lit(int(hours)))).scalar()
     stored = events_star(spark, sf_dir, ev.filter(F.col("ts") < cut))
-    obs = event_observations(ev.filter(F.col("ts") >= cut))
+    obs = split_incoming(ev, cut)
     row = F.struct(F.col("category_id"), F.concat(F.lit("brand "), (F.col("user_id") % 5).cast("string")).alias("brand"),
                    F.concat(F.lit("/item/"), F.col("product_id").cast("string")).alias("url"),
                    F.concat(F.lit("EV-"), F.col("product_id").cast("string")).alias("sku"),

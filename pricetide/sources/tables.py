@@ -30,18 +30,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = Fals
     return _SCANS[key]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition *only* when a scan yields fewer partitions than
-    the cluster has task slots (e.g. a file written as one row group), so
-    CPU-heavy per-row work (regex cleaning, html extraction) uses every core.
-    A large input already has many splits and is returned unchanged: no extra
-    shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. remote sessions without RDDs
-        return df
-    return df.repartition(target) if n < target else df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition to a stated number, for CPU-heavy per-row work on few
+    splits (e.g. a file written as one row group).  The number is an argument or the
+    session's ``pricetide.scan.partitions``; without either the scan is left as it is."""
+    stated = partitions or df.sparkSession.conf.get("pricetide.scan.partitions", None)
+    return df.repartition(int(stated)) if stated else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES, prefix: str = "") -> None:

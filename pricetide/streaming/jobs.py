@@ -43,7 +43,8 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     is watched as its folder filtered to that file name."""
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)       # any file system that Spark reads
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
         return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
     return reader.parquet(path)
 
@@ -124,7 +125,7 @@ class VersionedState:
         """Write both tables of a version, then its commit marker (a version
         without a marker is ignored, so a crash mid-way never exposes it)."""
         products.write.mode("overwrite").parquet(self.path("products", version))
-        L.write_history(prices, self.path("price_history", version))
+        L.write_history(prices, self.path("price_history", version), replace=True)
         (self.spark.createDataFrame([(int(version),)], "version int")
          .write.mode("overwrite").parquet(self.path("_commits", version)))
 
@@ -150,21 +151,26 @@ def upsert_batch(state: VersionedState, batch: DataFrame, epoch_id: int, run_tim
     version ``epoch_id`` from version ``epoch_id`` - 1 (version 0 = initial)."""
     prev = epoch_id  # state versions are 1-based per epoch: epoch e reads v(e) and writes v(e+1)
     products, prices = state.read(prev)
-    row = F.struct(*[c for c in batch.columns if c not in ("name", "store_id")])
-    order = F.struct(F.col("scraped_at"), -F.col("price"))
-    one = batch.groupBy("name", "store_id").agg(F.max_by(row, order).alias("r")).select("name", "store_id", "r.*")
-    up = L.upsert_products(products, one, run_time_col(one))
-    inc = (one.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
-              .select("product_id", "price", "currency", "availability", "scraped_at"))
+    keys, day = ["name", "store_id"], F.to_date("scraped_at")
+    # ties of time and price go to the largest of the other columns
+    rest = sorted(c for c in batch.columns if c not in (*keys, "scraped_at", "price"))
+    order = F.struct(F.col("scraped_at"), -F.col("price"), *rest)
+    daily = (batch.groupBy(*keys, day.alias("__day")).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), order).alias("r"))
+             .select(*keys, "__day", "r.*"))
+    newest = (daily.groupBy(*keys).agg(F.max_by(F.struct("brand", "url", "sku", "category_id", "scraped_at"), "__day").alias("r"))
+              .select(*keys, "r.*"))
+    up = L.upsert_products(products, newest, run_time_col(newest))
+    inc = (daily.join(up.table.select(F.col("id").alias("product_id"), *keys), keys)
+                .select("product_id", "price", "currency", "availability", "scraped_at"))
     nxt = L.load_prices(prices, inc)
     state.write(prev + 1, up.table, nxt.table)
 
 
-def stream_upsert(spark: SparkSession, stream: DataFrame, state: VersionedState, ckpt: str) -> int:
-    """Run ``upsert_batch`` for every micro-batch; returns the last version."""
+def stream_upsert(spark: SparkSession, stream: DataFrame, state: VersionedState, ckpt: str, created_at=None) -> int:
+    """Run ``upsert_batch`` for every micro-batch; returns the last version.
+    ``created_at`` gives the time of new products (default: the batch's newest)."""
     def body(df, epoch_id):
-        upsert_batch(state, df, int(epoch_id),
-                     lambda one: one.select(F.max("scraped_at")).scalar())
+        upsert_batch(state, df, int(epoch_id), created_at or (lambda one: one.select(F.max("scraped_at")).scalar()))
     q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     _await(q)

@@ -78,3 +78,22 @@ def test_change_vs_stored(spark):
     got = rows(C.change_vs_stored(inc, stored, ["name", "store_id"], ["scraped_at"]), "name", "price",
                "price_change", "price_change_pct")
     assert got == [("a", 11.0, 1.0, 10.0), ("a", 15.0, 1.0, 10.0), ("n", 3.0, None, None)]
+
+
+def test_null_keys_are_one_group_for_lag_and_match_nothing_as_of(spark):
+    import datetime as dt
+    at = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    df = spark.createDataFrame([(None, at(1), 1.0), (None, at(2), 3.0), ("a", at(1), 5.0), ("a", at(1, 1), 6.0)], "k string, ts timestamp_ntz, v double")
+    got = {(r.k, r.v): r.prev for r in C.segmented_lag(df, ["k"], ["ts"], "v", F.date_trunc("hour", F.col("ts"))).collect()}
+    assert got == {(None, 1.0): None, (None, 3.0): 1.0, ("a", 5.0): None, ("a", 6.0): 5.0}
+    out = C.asof_join(df.withColumnRenamed("ts", "t"), df, ["k"], "t", "ts", ["v"], strict=False).collect()
+    assert {(r.k, r.v): r.asof_v for r in out} == {(None, 1.0): None, (None, 3.0): None, ("a", 5.0): 5.0, ("a", 6.0): 6.0}
+
+
+def test_a_product_day_with_a_third_of_all_rows(spark):
+    rows_ = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 50)).alias("k"),
+                                     (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_interval(secs=F.col("id") * 10)).alias("ts"),
+                                     F.col("id").cast("double").alias("v"))
+    got = C.segmented_lag(rows_, ["k"], ["ts"], "v", F.date_trunc("hour", F.col("ts")))
+    plain = rows_.withColumn("want", F.expr("lag(v) OVER (PARTITION BY k ORDER BY ts)"))
+    assert got.join(plain, ["k", "ts"]).where("NOT prev <=> want").isEmpty() and got.count() == 6000

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.functions import (canonical_url, clean_name, extract_sku, listing_name, parse_price,
+from pricetide.functions import (canonical_url, clean_name, extract_sku, has_mark, listing_name, parse_price,
                                  price_change, price_change_pct, round2, strip_ws)
 
 
@@ -52,27 +52,49 @@ def test_strip_ws_unicode(spark):
     assert _one(spark, strip_ws, "　  a b \x1c") == "a b"
 
 
-@pytest.mark.parametrize("url,expected", [
-    ("https://www.x.com/item/123.html?spm=1#x", "https://www.x.com/item/123.html"),
-    ("https://www.t.com/some-thing-g-1234.html?src=a", "https://www.t.com/some-thing-g-1234.html"),
-    ("https://a.com/w?alg_x=1&spm=2", "https://a.com/w?alg_x=1"),
-    ("https://a.com/w?spm=2&scm=3", "https://a.com/w"),
-    ("https://a.com/w#top", "https://a.com/w"),
-    ("https://a.com/w?page=2&ref=x", "https://a.com/w?page=2&ref=x"),
+def _by_store(spark, fn, store, url):
+    df = spark.createDataFrame([(store, url)], "store_key string, url string")
+    return df.select(fn(F.col("url"), F.col("store_key"))).first()[0]
+
+
+@pytest.mark.parametrize("store,url,expected", [
+    ("aliexpress", "https://www.x.com/item/123.html?spm=1#x", "https://www.x.com/item/123.html"),
+    ("temu", "https://www.t.com/some-thing-g-1234.html?src=a", "https://www.t.com/some-thing-g-1234.html"),
+    ("aliexpress", "https://www.t.com/some-thing-g-1234.html?src=a", "https://www.t.com/some-thing-g-1234.html?src=a"),
+    ("aliexpress", "https://a.com/w?alg_x=1&spm=2", "https://a.com/w?alg_x=1"),
+    ("aliexpress", "https://a.com/w?spm=2&scm=3", "https://a.com/w"),
+    ("temu", "https://a.com/w?spm=2&search_key=3", "https://a.com/w?spm=2"),
+    ("aliexpress", "https://a.com/w?spm=2&search_key=3", "https://a.com/w?search_key=3"),
+    ("temu", "https://a.com/w#top", "https://a.com/w"),
+    ("temu", "https://a.com/w?page=2&ref=x", "https://a.com/w?page=2&ref=x"),
+    ("mercadolibre", "https://a.com/w?page=2&ref=x#y", "https://a.com/w"),
+    ("mercadolibre", "https://a.com/p/MLM1?page=2#y", "https://a.com/p/MLM1?page=2#y"),
+    ("other", "https://a.com/w", None),
 ])
-def test_canonical_url(spark, url, expected):
-    assert _one(spark, canonical_url, url) == expected
+def test_canonical_url(spark, store, url, expected):
+    assert _by_store(spark, canonical_url, store, url) == expected
+
+
+@pytest.mark.parametrize("store,url,expected", [
+    ("mercadolibre", "https://articulo.mercadolibre.com.mx/MLM-123456-x", "MLM-123456"),
+    ("mercadolibre", "https://articulo.mercadolibre.com.mx/item/123", None),
+    ("aliexpress", "https://www.aliexpress.com/item/1005001.html", "AE-1005001"),
+    ("temu", "https://www.temu.com/abc-g-601099.html", "TEMU-601099"),
+    ("temu", "https://www.temu.com/x/12345678.html", "TEMU-12345678"),
+    ("aliexpress", "https://www.temu.com/x/12345678.html", None),
+    ("temu", "https://a.com/none", None),
+])
+def test_sku(spark, store, url, expected):
+    assert _by_store(spark, extract_sku, store, url) == expected
 
 
-@pytest.mark.parametrize("url,expected", [
-    ("https://articulo.mercadolibre.com.mx/MLM-123456-x", "MLM-123456"),
-    ("https://www.aliexpress.com/item/1005001.html", "AE-1005001"),
-    ("https://www.temu.com/abc-g-601099.html", "TEMU-601099"),
-    ("https://www.temu.com/x/12345678.html", "TEMU-12345678"),
-    ("https://a.com/none", None),
+@pytest.mark.parametrize("mark,html,hit", [
+    ("div.captcha", '<div class="box captcha">', True), ("div.captcha", '<div class="captcha-verify">', False),
+    ("div.captcha", '<p class="captcha">', False), ("#challenge-stage", '<b id="challenge-stage">', True),
+    ("div#x", '<div id="xy">', False), ("iframe[src*='captcha']", '<iframe src="/a/captcha?1">', True),
 ])
-def test_sku(spark, url, expected):
-    assert _one(spark, extract_sku, url) == expected
+def test_marks(spark, mark, html, hit):
+    assert spark.createDataFrame([(html,)], "h string").select(has_mark(F.col("h"), [mark])).first()[0] is hit
 
 
 def test_scalar_change(spark):

@@ -37,7 +37,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -287,45 +286,70 @@ def _short_bags(texts: DataFrame, shared) -> DataFrame:
     return texts.mapInArrow(make, "node binary, shingles binary, weights binary")
 
 
-class _Tile:
-    """One side of a tile."""
+class _Rows:
+    """Rows of tiles as arrays."""
 
-    def __init__(self, rows: pd.DataFrame):
-        self.node, self.label, self.far = (rows[c].to_numpy() for c in ("node", "label", "far"))
-        self.bands = np.array(rows["bands"].tolist(), np.int64).reshape(len(rows), -1)
-        self.samples = np.frombuffer(b"".join(rows["samples"]), np.uint32).reshape(len(rows), SAMPLES)
-        self.shingles = [np.frombuffer(x, np.uint32) for x in rows["shingles"]]
-        self.weights = [np.frombuffer(x, np.float16).astype(np.float32) for x in rows["weights"]]
+    def __init__(self, batch: pa.RecordBatch):
+        get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        self.place = np.column_stack([get(c).astype(np.int64) for c in ("band", "key", "i", "j")])
+        self.side, self.far = get("side"), get("far")                       # far is NaN where not known
+        self.node, self.label = batch.column("node").to_pylist(), np.array(batch.column("label").to_pylist(), object)
+        self.bands = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, -1)
+        self.samples = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
+        self.shingles = [np.frombuffer(x, np.uint32) for x in batch.column("shingles").to_pylist()]
+        self.weights = [np.frombuffer(x, np.float16).astype(np.float32) for x in batch.column("weights").to_pylist()]
         self.total = np.array([w.sum() for w in self.weights])
 
+    def starts(self) -> np.ndarray:
+        """Where each tile begins."""
+        return np.concatenate([[0], np.flatnonzero((self.place[1:] != self.place[:-1]).any(axis=1)) + 1])
 
-def _near(x: _Tile, i: int, y: _Tile, which: np.ndarray) -> np.ndarray:
+
+def _near(rows: _Rows, i: int, which: np.ndarray) -> np.ndarray:
     """Those of ``which`` whose short bags are about as similar to that of ``i`` as a link needs."""
-    own, w = x.shingles[i], x.weights[i]
-    theirs = np.concatenate([y.shingles[j] for j in which])
+    own, w = rows.shingles[i], rows.weights[i]
+    theirs = np.concatenate([rows.shingles[j] for j in which])
     at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
-    both = np.where(own[at] == theirs, np.minimum(w[at], np.concatenate([y.weights[j] for j in which])), 0)
-    starts = np.cumsum([0] + [len(y.shingles[j]) for j in which[:-1]])
+    both = np.where(own[at] == theirs, np.minimum(w[at], np.concatenate([rows.weights[j] for j in which])), 0)
+    starts = np.cumsum([0] + [len(rows.shingles[j]) for j in which[:-1]])
     common = np.add.reduceat(both, starts)
-    return which[common >= (SIMILARITY - 0.01) * (x.total[i] + y.total[which] - common)]
+    return which[common >= (SIMILARITY - 0.01) * (rows.total[i] + rows.total[which] - common)]
 
 
-def _tile_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a tile that lie in different components and may be similar, in the first
-    band that they share."""
-    x, y = _Tile(rows[rows["side"] == 0]), _Tile(rows[rows["side"] == 1])
+def _pairs_within(rows: _Rows, lo: int, hi: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of a tile (rows ``lo`` to ``hi``) that lie in different components and may be
+    similar, in the first band that they share."""
+    side = rows.side[lo:hi]
+    x, y = lo + np.flatnonzero(side == 0), lo + np.flatnonzero(side == 1)
     out = []
-    if len(x.node) and len(y.node):
-        group = pd.factorize(np.concatenate([x.label, y.label]))[0]
-        cx, cy = group[:len(x.node)], group[len(x.node):]
-        for i in range(len(x.node)):
-            may = np.flatnonzero((cy != cx[i]) & ~(np.abs(y.far - x.far[i]) > 1 - SIMILARITY + 1e-9))      # far is NaN where not known
-            may = may[(y.bands[may] == x.bands[i]).argmax(axis=1) == key[0]]
-            may = may[_agree(y.samples[may], x.samples[i]) >= AGREE]
-            if len(may):
-                a = x.node[i]
-                out += [(a, b) if a < b else (b, a) for b in y.node[_near(x, i, y, may)]]
-    return pd.DataFrame(out, columns=["a", "b"])
+    for i in x.tolist():
+        may = y[(rows.label[y] != rows.label[i]) & ~(np.abs(rows.far[y] - rows.far[i]) > 1 - SIMILARITY + 1e-9)]
+        may = may[(rows.bands[may] == rows.bands[i]).argmax(axis=1) == rows.place[lo, 0]]
+        may = may[_agree(rows.samples[may], rows.samples[i]) >= AGREE]
+        if len(may):
+            a = rows.node[i]
+            out += [(a, b) if a < b else (b, a) for b in (rows.node[j] for j in _near(rows, i, may))]
+    return out
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by tile; the last tile of a batch waits for the next batch."""
+    def pairs(rows: _Rows, cuts: list[int]) -> pa.RecordBatch:
+        found = [p for lo, hi in zip(cuts, cuts[1:]) for p in _pairs_within(rows, lo, hi)]
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        rows = _Rows(batch)
+        cuts = rows.starts().tolist()
+        yield pairs(rows, cuts)
+        rest = batch.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield pairs(_Rows(rest), [0, rest.num_rows])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,8 +403,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                                     F.explode(F.sequence(F.lit(0), tiles_of("size") - 1)).alias("j"))
     rest = both.select(*cols, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), tiles_of("n_out") - 1)).alias("i"),
                        spread("size", 2).alias("j"))
-    crossed = written(asks.unionByName(rest).groupBy("band", "key", "i", "j")
-                      .applyInPandas(_tile_pairs, "a binary, b binary").distinct(), "crossed")
+    tile = ["band", "key", "i", "j"]
+    crossed = written(asks.unionByName(rest).repartition(*tile).sortWithinPartitions(*tile)
+                      .mapInArrow(_tile_pairs, "a binary, b binary").distinct(), "crossed")
     known = star.select("a", "b").unionByName(star.select(F.col("a").alias("b"), F.col("b").alias("a")))
     more = written(_verify(crossed.join(known, ["a", "b"], "left_anti"), texts, shared), "more_links")
     links = links.unionByName(more.where(F.col("similarity") >= SIMILARITY).select("a", "b"))

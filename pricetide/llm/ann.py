@@ -167,10 +167,10 @@ def neighbours(table: DataFrame, k: int = 20, query_step: int = 20, vec_id: str
     divisible by ``query_step``."""
     spark = table.sparkSession
     rows = clean_vectors(table, vec_id, vector)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).collect()
-    if not sample:
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow().combine_chunks()
+    if not sample.num_rows:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    index = fit(np.array([r["vec_id"] for r in sample]), np.array([r["v"] for r in sample], np.float64), k)
+    index = fit(sample["vec_id"].to_numpy(), _matrix(sample["v"].combine_chunks()), k)
     shared = spark.sparkContext.broadcast(index)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

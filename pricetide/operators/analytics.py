@@ -28,9 +28,7 @@ from pricetide.sources.adapters import Star, newest_per_group
 
 def latest_prices(star: Star, days: int | None = None) -> DataFrame:
     """Latest observation per product (optionally among the last ``days``)."""
-    ph = star.price_history
-    if days is not None:
-        ph = ph.filter(F.col("scraped_at") >= star.since(days))
+    ph = star.price_history if days is None else star.recent(days)
     return newest_per_group(ph, ["product_id"], ["scraped_at", "id"])
 
 
@@ -107,7 +105,7 @@ def price_evolution(star: Star, product_id: int | None = None, product_name: str
     """A2: one product's observations in the look-back, oldest first."""
     pid = resolve_product(star, product_id, product_name)
     np_ = named_products(star)
-    ph = star.price_history.filter((F.col("product_id") == pid) & (F.col("scraped_at") >= star.since(days)))
+    ph = star.recent(days).filter(F.col("product_id") == pid)
     return (ph.join(np_, "product_id")
               .orderBy("scraped_at")
               .select(F.to_date("scraped_at").alias("date"), "price", "price_change", "price_change_pct",
@@ -131,7 +129,7 @@ def store_ranking(star: Star, category_id: int | None = None) -> DataFrame:
 
 def category_volatility(star: Star, days: int = K.DEFAULT_DAYS, kind: str = "samp") -> DataFrame:
     """A4: standard deviation and mean of percent changes per category."""
-    ph = star.price_history.filter((F.col("scraped_at") >= star.since(days)) & F.col("price_change_pct").isNotNull())
+    ph = star.recent(days).filter(F.col("price_change_pct").isNotNull())
     g = (ph.join(named_products(star), "product_id")
            .groupBy("category_name")
            .agg(stddev(F.col("price_change_pct"), kind).alias("sd"),
@@ -161,7 +159,7 @@ def top_discounts(star: Star, n: int = 10, days: int = K.DEFAULT_DAYS, category_
 def best_time_to_buy(star: Star, category_id: int | None = None, days: int = K.WEEKDAY_DAYS) -> DataFrame:
     """Price statistics per ISO weekday; ``is_best`` marks the first day
     (lowest number) with the lowest rounded average."""
-    ph = star.price_history.filter(F.col("scraped_at") >= star.since(days))
+    ph = star.recent(days)
     p = star.products.select(F.col("id").alias("product_id"), "category_id")
     if category_id is not None:
         p = p.filter(F.col("category_id") == F.lit(int(category_id)))
@@ -208,7 +206,7 @@ def category_summary(star: Star) -> DataFrame:
 
 def price_changes(star: Star, days: int = K.DEFAULT_DAYS, category_id: int | None = None) -> DataFrame:
     """Every percent change in the look-back with names, newest first."""
-    ph = star.price_history.filter((F.col("scraped_at") >= star.since(days)) & F.col("price_change_pct").isNotNull())
+    ph = star.recent(days).filter(F.col("price_change_pct").isNotNull())
     return (ph.join(named_products(star, category_id), "product_id")
               .orderBy(F.col("scraped_at").desc(), F.col("id").desc())
               .select("product_name", "store_name", "category_name", "price_change_pct", "price", "scraped_at"))
@@ -255,7 +253,7 @@ def most_volatile_products(star: Star, category_id: int, top_n: int = 5, days: i
     """The ``top_n`` products of a category with the largest standard
     deviation of percent change in the look-back; current price is the latest
     price over all history."""
-    ph = star.price_history.filter((F.col("scraped_at") >= star.since(days)) & F.col("price_change_pct").isNotNull())
+    ph = star.recent(days).filter(F.col("price_change_pct").isNotNull())
     np_ = named_products(star, category_id)
     g = (ph.join(np_, "product_id")
            .groupBy("product_id", "product_name", "store_name")
@@ -272,8 +270,7 @@ def most_volatile_products(star: Star, category_id: int, top_n: int = 5, days: i
 
 def product_detail(star: Star, product_id: int, days: int = K.DEFAULT_DAYS) -> DataFrame:
     """One product's history in the look-back, oldest first."""
-    ph = star.price_history.filter((F.col("product_id") == F.lit(int(product_id))) &
-                                   (F.col("scraped_at") >= star.since(days)))
+    ph = star.recent(days).filter(F.col("product_id") == F.lit(int(product_id)))
     return (ph.orderBy("scraped_at")
               .select(F.col("scraped_at").alias("date"), round2(F.col("price")).alias("price"), "availability",
                       "price_change", "price_change_pct"))

@@ -6,10 +6,9 @@ formatting).  Every one is a DataFrame transformation: no driver loop, no
 collect.  Windows without a partition only run over already-aggregated rows
 (one row per store / category / weekday / histogram bin).
 
-Exact percentiles use Spark's ``percentile`` aggregate, which partially
-aggregates a value -> count map: its memory is bounded by the number of
-distinct values (prices and percent changes are rounded to cents), not by the
-number of rows.  ``exact=False`` switches to ``percentile_approx``.
+Exact percentiles are found by counting: equal values are counted first, the counts of
+``SLICES`` value ranges locate each rank, and only the values of those ranges are ordered.
+No task holds all values of a group.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.functions import round2
+from pricetide.session import checkpoint_dir
 
 
 def _all() -> Window:
@@ -25,9 +25,40 @@ def _all() -> Window:
     return Window.partitionBy()
 
 
-def _pct(c: Column, ps: list[float], exact: bool = True) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in ps])
-    return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, 10000)
+SLICES = 4096
+
+
+def percentiles(values: DataFrame, col: str, ps: list[float], groups: list[str] | None = None) -> DataFrame:
+    """``groups`` and ``q``, the exact percentiles ``ps`` of ``col`` (linear between the two
+    ranks around a position, NULLs left out); one row per group, or one without groups."""
+    keys = groups or ["__all"]
+    base = values if groups else values.withColumn("__all", F.lit(0))
+    counted = base.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    whole = counted.groupBy(*keys).agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    share = (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    sliced = counted.join(whole, keys).withColumn("slice", F.coalesce(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)), F.lit(0)))
+    upto = lambda *k: Window.partitionBy(*keys, *k).rowsBetween(Window.unboundedPreceding, -1)
+    # at most SLICES rows per group
+    slices = sliced.groupBy(*keys, "slice").agg(F.sum("n").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(upto().orderBy("slice")), F.lit(0)))
+    ranks = (whole.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) * (F.col("total") - 1) for p in ps])).alias("i", "at"))
+             .select(*keys, "i", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")))
+    wanted = ranks.join(slices, keys).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("m")))
+    inner = sliced.join(wanted.select(*keys, "slice", "before").distinct(), [*keys, "slice"])
+    inner = inner.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(upto("slice").orderBy("v")), F.lit(0))).drop("before")
+    hit = (wanted.select(*keys, "slice", "i", "at", "rank").join(inner.select(*keys, "slice", "v", "n", "first"), [*keys, "slice"])
+           .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))))
+    low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
+    at = F.first("at")
+    one = F.when(F.floor(at) == F.ceil(at), low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
+    q = hit.groupBy(*keys, "i").agg(one.alias("value"))
+    out = q.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda s: s["value"]).alias("q"))   # a few per group
+    return out if groups else out.drop("__all")
+
+
+def held(changes: DataFrame) -> DataFrame:
+    """The percent changes alone, written to the shared folder: read several times below."""
+    checkpoint_dir(changes.sparkSession)
+    return changes.select("price_change_pct").checkpoint()
 
 
 def discount_rollup(top: DataFrame) -> DataFrame:
@@ -79,10 +110,10 @@ def series_stats(series: DataFrame) -> DataFrame:
                       round2(F.avg("price")).alias("mean_price"))
 
 
-def trimmed_changes(changes: DataFrame, lo: float = 0.05, hi: float = 0.95, exact: bool = True) -> DataFrame:
+def trimmed_changes(changes: DataFrame, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """Percent changes between the ``lo`` and ``hi`` percentiles
     (inclusive), split into decreases (< 0) and increases (>= 0)."""
-    q = changes.select(_pct(F.col("price_change_pct"), [lo, hi], exact)).scalar()   # scalar sub-query
+    q = percentiles(changes, "price_change_pct", [lo, hi]).scalar()   # scalar sub-query
     return (changes
             .filter((F.col("price_change_pct") >= q[0]) & (F.col("price_change_pct") <= q[1]))
             .select("price_change_pct",
@@ -104,20 +135,20 @@ def histogram(values: DataFrame, col: str, n_bins: int = 20) -> DataFrame:
 def change_summary(changes: DataFrame, trimmed: DataFrame) -> DataFrame:
     """Mean and median percent change (all rows) and the share of
     trimmed decreases among all changes."""
-    a = changes.agg(round2(F.avg("price_change_pct")).alias("mean_pct"),
-                    round2(F.percentile(F.col("price_change_pct"), F.lit(0.5))).alias("median_pct"),
-                    F.count(F.lit(1)).alias("n_changes"))
+    median = percentiles(changes, "price_change_pct", [0.5]).scalar()
+    a = changes.agg(round2(F.avg("price_change_pct")).alias("mean_pct"), F.count(F.lit(1)).alias("n_changes"))
+    a = a.select("mean_pct", round2(median[0]).alias("median_pct"), "n_changes")
     t = trimmed.select(F.count_if(F.col("direction") == "decrease")).scalar()
     return a.withColumn("n_decreases", t).withColumn(
         "decrease_share_pct", round2(F.col("n_decreases") / F.nullif(F.col("n_changes"), F.lit(0)) * F.lit(100.0)))
 
 
-def box_stats(prices: DataFrame, group: str = "category_name", exact: bool = True) -> DataFrame:
+def box_stats(prices: DataFrame, group: str = "category_name") -> DataFrame:
     """Quartiles, mean and standard deviation per group, ordered by median."""
-    g = prices.groupBy(group).agg(_pct(F.col("price"), [0.25, 0.5, 0.75], exact).alias("q"),
-                                  round2(F.avg("price")).alias("mean_price"),
+    g = prices.groupBy(group).agg(round2(F.avg("price")).alias("mean_price"),
                                   round2(F.stddev_samp("price")).alias("stddev_price"),
                                   F.count(F.lit(1)).alias("n"))
+    g = g.join(percentiles(prices, "price", [0.25, 0.5, 0.75], [group]), group)
     return (g.select(group, round2(F.col("q")[0]).alias("q1"), round2(F.col("q")[1]).alias("median"),
                      round2(F.col("q")[2]).alias("q3"), "mean_price", "stddev_price", "n")
              .orderBy("median", group))

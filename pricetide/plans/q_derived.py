@@ -137,7 +137,7 @@ d9 AS (SELECT price_change_pct, CASE WHEN price_change_pct < 0 THEN 'decrease' E
 
 @query("d09_trimmed_changes_e", with_star("e", "SELECT * FROM d9", _D9))
 def d09(spark, d):
-    return D.trimmed_changes(A.price_changes(E(spark, d), 30))
+    return D.trimmed_changes(D.held(A.price_changes(E(spark, d), 30)))
 
 
 @query("d10_histogram_e", with_star("e", """
@@ -145,7 +145,7 @@ SELECT CAST(coalesce(least(floor((price_change_pct - lo) / nullif((hi - lo) / 20
        count(*) AS count, min(price_change_pct) AS min_value, max(price_change_pct) AS max_value
 FROM d9, (SELECT min(price_change_pct) AS lo, max(price_change_pct) AS hi FROM d9) mm GROUP BY 1""", _D9))
 def d10(spark, d):
-    return D.histogram(D.trimmed_changes(A.price_changes(E(spark, d), 30)), "price_change_pct", 20)
+    return D.histogram(D.trimmed_changes(D.held(A.price_changes(E(spark, d), 30))), "price_change_pct", 20)
 
 
 @query("d11_change_summary_e", with_star("e", f"""
@@ -154,7 +154,7 @@ SELECT {r2('avg(price_change_pct)')} AS mean_pct, {r2('quantile_cont(price_chang
        {r2("(SELECT count(*) FROM d9 WHERE direction = 'decrease') / nullif(count(*), 0) * 100.0")} AS decrease_share_pct
 FROM a9""", _D9))
 def d11(spark, d):
-    ch = A.price_changes(E(spark, d), 30)
+    ch = D.held(A.price_changes(E(spark, d), 30))
     return D.change_summary(ch, D.trimmed_changes(ch))
 
 
@@ -243,7 +243,7 @@ JOIN price_history ph ON ph.product_id = v.product_id WHERE ph.scraped_at >= {si
 def d20(spark, d):
     star = E(spark, d)
     top = A.most_volatile_products(star, 3, 5, 30).select("product_id")
-    hist = star.price_history.filter(F.col("scraped_at") >= star.since(30))
+    hist = star.recent(30)
     return (hist.join(F.broadcast(top), "product_id")     # top: 5 rows
             .select("product_id", F.col("scraped_at").alias("date"), A.round2(F.col("price")).alias("price"),
                     "price_change_pct"))

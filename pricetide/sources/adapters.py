@@ -43,6 +43,7 @@ class Star:
     categories: DataFrame
     products: DataFrame
     price_history: DataFrame
+    monthly: DataFrame | None = None  # the stored history with its partition column ``month``
     clock: DataFrame | None = None   # raw observation times (scraped_at) the history is built from
 
     @property
@@ -58,11 +59,37 @@ class Star:
     def since(self, days: int) -> Column:
         return self.as_of - F.make_interval(days=F.lit(int(days)))
 
+    def recent(self, days: int) -> DataFrame:
+        """The history of the last ``days``.  The stored history is partitioned by month
+        (column ``month``), so that the look-back reaches the scan."""
+        start, ph = self.since(days), self.price_history
+        if self.monthly is not None:
+            ph = self.monthly.filter(F.col("month") >= _month(start)).drop("month")
+        return ph.filter(F.col("scraped_at") >= start)
+
     def register(self, prefix: str) -> None:
         for name in ("stores", "categories", "products", "price_history"):
             getattr(self, name).createOrReplaceTempView(prefix + name)
 
 
+def _month(ts: Column) -> Column:
+    return (F.year(ts) * 100 + F.month(ts)).cast("int")
+
+
+def _stored(spark: SparkSession, star: Star) -> Star:
+    """The star with its history, change columns and all, written once to the shared folder
+    and read from there by every question; the clock is the stored history's newest time."""
+    import uuid
+
+    from pricetide.session import scratch_path
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex}")
+    rows = star.price_history.withColumn("month", _month(F.col("obs_date")))
+    (rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", "scraped_at")
+         .write.partitionBy("month").parquet(path))
+    back = spark.read.schema(rows.schema).parquet(path)
+    return Star(star.stores, star.categories, star.products, back.drop("month"), back)
+
+
 def stores_dim(spark: SparkSession) -> DataFrame:
     """The three stores: a fixed 3-row dimension."""
     return spark.createDataFrame([(int(i), n, c) for i, n, c, *_ in K.STORES],
@@ -135,7 +162,7 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
 def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> Star:
     """Star schema of adapter E; ``events`` overrides the table (e.g. a time slice)."""
     if events is None:
-        return _memo("e", spark, sf_dir, lambda: _events_star(spark, sf_dir, read_table(spark, sf_dir, "events")))
+        return _memo("e", spark, sf_dir, lambda: _stored(spark, _events_star(spark, sf_dir, read_table(spark, sf_dir, "events"))))
     return _events_star(spark, sf_dir, events)
 
 
@@ -165,7 +192,7 @@ def _events_star(spark: SparkSession, sf_dir: str, src: DataFrame) -> Star:
 
 
 def retail_star(spark: SparkSession, sf_dir: str) -> Star:
-    return _memo("r", spark, sf_dir, lambda: _retail_star(spark, sf_dir))
+    return _memo("r", spark, sf_dir, lambda: _stored(spark, _retail_star(spark, sf_dir)))
 
 
 def _retail_star(spark: SparkSession, sf_dir: str) -> Star:

@@ -2,8 +2,9 @@
 
 Calls and results are joined by (conversation, call id).  Calls that use others come
 after them: a call's depth is 0 without known dependencies, else one more than that of
-its deepest one; rounds of joins work the depths out, each over the calls still without
-one, as many as the longest chain is long.  What is left then goes round in a circle.
+its deepest one.  Chains of calls with one dependency each are shortened by pointer
+jumping, in as many rounds as the logarithm of their length; rounds of joins over the
+calls with several dependencies work out the rest.  What is left goes round in a circle.
 A call's place counts the calls of its conversation by (depth, turn, id).  Arguments are
 checked against the tool's schema (known tool, JSON object, required parameters, types,
 no unknown parameters), and each call is written as canonical JSON: sorted keys, no
@@ -61,21 +62,50 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
 def depths(calls: DataFrame) -> DataFrame:
     """conv_id, call_id, depth (null: in a circle or behind one) of unique calls
     (conv_id, call_id, depends_on)."""
-    ids = calls.select("conv_id", "call_id")
-    need = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("on"))
-    known = need.join(ids.select(F.col("conv_id").alias("c"), F.col("call_id").alias("on")), "on").where("conv_id = c").drop("c")
-    known = written(known, "needs")
-    done = written(ids.join(known, ["conv_id", "call_id"], "left_anti").withColumn("depth", F.lit(0)), "depth")
-    open_, last, level = known, done, 0
-    while True:
-        level += 1
-        solved = last.select("conv_id", F.col("call_id").alias("on"))
-        left = written(open_.join(solved, ["conv_id", "on"], "left_anti"), "open")
-        ready = (open_.select("conv_id", "call_id").distinct().join(left.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti"))
-        last = written(ready.withColumn("depth", F.lit(level)), "depth")
-        if last.isEmpty():
-            return done.unionByName(left.select("conv_id", "call_id").distinct().withColumn("depth", F.lit(None).cast("int")))
-        done, open_ = done.unionByName(last), left
+    key = ["conv_id", "call_id"]
+    ids = calls.select(*key)
+    need = calls.select(*key, F.explode(F.array_distinct("depends_on")).alias("on"))
+    known = written(need.join(ids.select("conv_id", F.col("call_id").alias("on")), ["conv_id", "on"]).select(*key, "on"), "needs")
+    number = known.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    roots = ids.join(number, key, "left_anti")
+    several = written(known.join(number.where("n > 1"), key, "left_semi"), "several")
+
+    # calls with one dependency: the call that their chain begins behind, and how far it is
+    chain = written(known.join(number.where("n = 1"), key, "left_semi").select(*key, "on", F.lit(1).cast("long").alias("far")), "chain")
+    rounds = chain.count().bit_length()                     # a chain is no longer than that doubles
+    for _ in range(rounds):
+        on = chain.select("conv_id", F.col("call_id").alias("on"), F.col("on").alias("next"), F.col("far").alias("more"))
+        step = written(chain.join(on, ["conv_id", "on"], "left")
+                       .select(*key, F.coalesce("next", "on").alias("on"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"), F.col("next").isNotNull().alias("went")), "chain")
+        chain = step.drop("went")
+        if step.where("went").isEmpty():
+            break
+    # what still points into a chain goes round in a circle
+    chain = chain.join(chain.select("conv_id", F.col("call_id").alias("on")), ["conv_id", "on"], "left_anti")
+
+    done = written(roots.select(*key, F.lit(0).cast("long").alias("depth")), "depth")
+    if not several.isEmpty():
+        first = chain.select("conv_id", F.col("call_id").alias("on"), F.col("on").alias("start"), "far")
+        # dependencies as the calls that their chains begin behind; one in a circle is never solved
+        open_ = written(several.join(first, ["conv_id", "on"], "left")
+                        .select(*key, F.coalesce("start", "on").alias("on"), (F.coalesce("far", F.lit(0)) + 1).alias("far"), F.lit(0).cast("long").alias("depth")), "open")
+        last = done
+        while True:
+            solved = last.select("conv_id", F.col("call_id").alias("on"), F.col("depth").alias("base"))
+            tried = written(open_.join(solved, ["conv_id", "on"], "left"), "tried")
+            upto = tried.groupBy(*key).agg(F.max(F.coalesce(F.col("base") + F.col("far"), F.lit(0))).alias("reached"), F.max("depth").alias("depth"),
+                                           F.count_if(F.col("base").isNull()).alias("left"))
+            upto = written(upto.select(*key, F.greatest("reached", "depth").alias("depth"), "left"), "upto")
+            last = written(upto.where("left = 0").select(*key, "depth"), "depth")
+            if last.isEmpty():
+                break
+            done = written(done.unionByName(last), "depth")
+            open_ = written(tried.where("base IS NULL").drop("base", "depth").join(upto.select(*key, "depth"), key), "open")
+    behind = (chain.join(done.select("conv_id", F.col("call_id").alias("on"), "depth"), ["conv_id", "on"])
+              .select(*key, (F.col("depth") + F.col("far")).alias("depth")))
+    solved = done.unionByName(behind)
+    lost = ids.join(solved, key, "left_anti").select(*key, F.lit(None).cast("long").alias("depth"))
+    return solved.unionByName(lost).withColumn("depth", F.col("depth").cast("int"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -> DataFrame:

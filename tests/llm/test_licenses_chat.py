@@ -1,4 +1,5 @@
 import json
+import random
 
 import duckdb
 import pytest
@@ -73,15 +74,29 @@ def test_linking_order_and_validation(sp):
 
 
 def test_a_long_conversation_and_empty_tables(sp):
-    calls = [(1, f"c{i}", i, "search", '{"query":"q","limit":1}', [f"c{i - 1}"] if i in (1, 2, 3) else None) for i in range(3000)]
+    calls = [(1, f"c{i}", i, "search", '{"query":"q","limit":1}', [f"c{i - 1}"] if 0 < i < 300 else None) for i in range(3000)]
     out = linked(sp, calls, [(1, f"c{i}", i, "r") for i in range(3000)]).orderBy("place").collect()
     assert [r["place"] for r in out] == list(range(1, 3001))
-    assert [r["call_id"] for r in out] == [f"c{i}" for i in [0] + list(range(4, 3000)) + [1, 2, 3]]
+    assert [r["call_id"] for r in out] == [f"c{i}" for i in [0] + list(range(300, 3000)) + list(range(1, 300))]
     assert linked(sp, [], []).count() == 0
     turns = sp.createDataFrame([(None, None, None, None), (1, 0, "user", None), (1, 0, "user", None)], "conv_id long, turn long, role string, text string")
     assert chat.link_conversations(turns).count() == 2
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_depths_are_those_of_a_plain_search(sp, seed):
+    rnd = random.Random(seed)
+    needs = {f"c{i}": sorted({f"c{rnd.randrange(max(1, i))}" for _ in range(rnd.choice([0, 1, 1, 1, 2, 3]))} - {f"c{i}"}) for i in range(60)}
+    needs["c7"], needs["c9"] = ["c9"], ["c7", "c1"]                  # a circle
+    def depth(c, seen=()):
+        if c in seen:
+            return None
+        under = [depth(d, (*seen, c)) for d in needs[c]]
+        return None if None in under else 1 + max(under, default=-1)
+    df = sp.createDataFrame([(1, c, d) for c, d in needs.items()], "conv_id long, call_id string, depends_on array<string>")
+    assert {r["call_id"]: r["depth"] for r in chat.depths(df).collect()} == {c: depth(c) for c in needs}
+
+
 @pytest.mark.parametrize("name,make,sql,table", [("op4", licenses.scan_documents, licenses.oracle, "documents"), ("op6", chat.link_conversations, chat.oracle, "conversations")])
 def test_sql(sp, name, make, sql, table):
     df = make(sp.read.parquet(f"{SF001}/{table}.parquet"))

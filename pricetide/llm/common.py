@@ -42,7 +42,8 @@ _shipped: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Sends this package's Python files to the executors (once per application), so that
-    tasks can import it wherever the driver was started from."""
+    tasks can import it wherever the driver was started from.  Batches are made of fewer
+    rows than Spark's default, as texts are long."""
     import os
     import tempfile
     import zipfile
@@ -51,6 +52,7 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     root = os.path.dirname(os.path.abspath(pricetide.__file__))
     zip_path = os.path.join(tempfile.mkdtemp(prefix="pricetide-ship-"), "pricetide_package.zip")
     with zipfile.ZipFile(zip_path, "w") as z:

@@ -49,7 +49,7 @@ _ODD = (np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.
 class _Cores(dict):
     """Hashes of words without the marks around them, 0 for marks alone; emptied when full."""
 
-    MOST = 1_000_000
+    MOST = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.MOST:

@@ -15,7 +15,7 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 class _WordHashes(dict):
     """Hashes of the words met so far; emptied when it holds ``MOST``, so it stays small."""
 
-    MOST = 1_000_000
+    MOST = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.MOST:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-BATCH_BYTES = 8 << 20         # text bytes that are encoded at once
+BATCH_BYTES = 4 << 20         # text bytes that are encoded at once
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -130,7 +130,7 @@ class _KnownWords:
     """The words that this worker has encoded, with their ids; no more are added beyond
     ``MOST`` words, which bounds its memory, and those that are missing are encoded anew."""
 
-    MOST = 1_000_000
+    MOST = 400_000
 
     def __init__(self, path: str):
         self.path = path
@@ -171,14 +171,14 @@ def encode_texts(col: pa.Array, path: str, end_id: int | None = END_ID) -> tuple
     per_word = size[code]
     upto = np.concatenate([[0], np.cumsum(per_word)])          # ids before each word
     total = int(upto[-1])
-    take = np.repeat(first[code] - upto[:-1], per_word)
-    take += np.arange(total)
+    take = np.repeat((first[code] - upto[:-1]).astype(np.int32), per_word)      # ids of a slice: far below 2^31
+    take += np.arange(total, dtype=np.int32)
     ids = flat[take] if total else np.zeros(0, np.uint32)
     row = upto[np.searchsorted(cuts, off)]                      # ids before each row
     if end_id is None:
         return ids, row
     out = np.full(total + n, end_id, np.uint32)
-    out[np.arange(total) + np.repeat(np.arange(n), np.diff(row))] = ids
+    out[np.delete(np.arange(total + n, dtype=np.int32), row[1:] + np.arange(n))] = ids
     return out, row + np.arange(n + 1)
 
 

@@ -41,7 +41,7 @@ WINDOW_WORDS = 2
 WORD_CHARS = 32                    # longer words are cut, so that a text without spaces has windows too
 ORDINARY_BYTES, TOXIC_BYTES = 1 << 19, 1 << 13
 TELLING, STRONG = 1.0, 3.0         # least log likelihood ratios of windows that count
-MOST_KNOWN = 400_000               # windows whose result a worker keeps
+MOST_KNOWN = 150_000               # windows whose result a worker keeps
 LOW, HIGH = -6, 16                 # saved bytes that the table tells apart
 _PAD = b"\n" * 40                  # keeps windows from being stored as they are
 _GRAM = 5

@@ -102,9 +102,9 @@ def _pack_group(capacity: int):
     return pack
 
 
-def _packed(rows: DataFrame, n_groups: int, capacity: int) -> DataFrame:
+def _packed(rows: DataFrame, n_groups: int, capacity: int, level: int) -> DataFrame:
     schema = "uid long, length long, grp long, seq long, offset long, fill long"
-    return (rows.select("uid", "length", F.pmod(F.xxhash64("uid"), F.lit(n_groups)).alias("grp"))
+    return (rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(n_groups)).alias("grp"))
             .groupBy("grp").applyInPandas(_pack_group(capacity), schema))
 
 
@@ -118,15 +118,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
     n, level = todo.count(), 0
     while n:
         groups = -(-n // group_pieces)
-        out = written(_packed(todo, groups, capacity), "packed")
-        level += 1
+        level += 1                                              # each round deals the pieces in another way
+        out = written(_packed(todo, groups, capacity, level), "packed")
         keep = out if groups == 1 else out.where(F.col("fill") >= F.lit(int(reopen * capacity)))
         done.append(keep.withColumn("level", F.lit(level)))
         if groups == 1:
             break
         todo = out.where(F.col("fill") < F.lit(int(reopen * capacity))).select("uid", "length")
         left = todo.count()
-        if left * 2 > n:                                        # hardly anything fills up: what is open stays
+        if left > 0.9 * n:                                      # hardly anything fills up: what is open stays
             done[-1] = out.withColumn("level", F.lit(level))
             break
         n = left

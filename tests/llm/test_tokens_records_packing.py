@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from pricetide.llm import packing, records, tokens
-from pricetide.session import checkpoint_dir
+from pricetide.llm.common import shared_folder
 
 from .frames import awkward, docs
 
@@ -38,7 +38,7 @@ def test_known_words_stay_bounded():
 
 def test_records_round_trip(sp):
     rows = awkward()
-    folder = checkpoint_dir(sp) + "/records-test"
+    folder = shared_folder(sp, "records-test")
     index = records.write_records(docs(sp, rows, extra=("start", "n_tokens")), folder, file_bytes=50_000)
     got = records.read_records(sp, folder).collect()
     assert len(got) == len(rows)
@@ -131,5 +131,6 @@ def test_packing_keeps_every_id_and_gets_few_sequences(sp):
     out = packing.pack_documents(docs(sp, rows, extra=("offset", "length"))).collect()
     total = sum(len(brute(t)) for _, t in rows)
     assert check_packing(rows, out) <= 1.02 * total / 2048 + 1
+    # groups of 40 pieces, two a sequence, leave more open than groups of thousands do
     small_groups = packing.pack_documents(docs(sp, rows), group_pieces=40).collect()
-    assert check_packing(rows, small_groups) <= 1.05 * total / 2048 + 2
+    assert check_packing(rows, small_groups) <= 1.10 * total / 2048

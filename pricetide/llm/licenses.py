@@ -2,21 +2,30 @@
 
 A file's header is the bag of words of all its lines that mention a licence (whole texts
 are looked through).  Headers and the templates below become sparse TF-IDF vectors, the
-document frequencies counted over all headers and templates, and the template of the
-highest cosine of at least LEAST names the licence.  A file without one takes that of
-the nearest directory on its path that has a licence file (LICENSE*, LICENCE*, COPYING*,
-NOTICE*, in any case) with a licence of its own.  Inheritance is worked out once per
-directory by joins on path prefixes, so a directory that holds a third of all files is
-one row there.
+document frequencies counted over all headers and templates.  Besides the header, every
+mention line, every run of two or three lines around one and the head block (the lines up
+to the first empty one) is a vector by itself, so that other mentions of the file do not
+dilute a notice; the template of the highest cosine of at least LEAST to any of them names
+the licence.  A licence file (LICENSE*, LICENCE*, COPYING*, NOTICE*, in any case) is first
+held against the whole licence texts of licence_texts/, with document frequencies of
+these texts; the nearest one names the licence at a cosine of at least WHOLE.  A file without
+a licence takes that of the nearest directory on its path that has a licence file with a
+licence of its own.  Inheritance is worked out once per directory by joins on path
+prefixes, so a directory that holds a third of all files is one row there.
 
 Only Spark expressions run here.  Null and empty texts have no header; a null path has
 no directory but the root; several licence files of a directory: the smallest path counts;
 rows that repeat are rows of the result.  Ties of templates: the smallest name.  An empty
 table gives no rows.  Extra columns are not looked at.
+
+The SQL below knows headers as a whole only: it says the same for files with one mention
+line at most, which is what the tables here have.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +52,8 @@ MENTION = "(?i)licen[cs]e|copyright|permission is hereby|public domain|spdx"
 WORD_BREAK = "[^a-z0-9.+-]+"
 LICENCE_FILE = "(?i)^(licen[cs]e|copying|notice)"
 LEAST = 0.6
+TEXTS = Path(__file__).parent / "licence_texts"      # whole texts, each named by its licence
+WHOLE = 0.9                                          # some of the texts are as near to each other; the nearest names the licence
 
 
 def words(text: Column) -> Column:
@@ -57,35 +68,74 @@ def header(text: Column) -> Column:
     return F.when(text.rlike(MENTION), F.array_join(lines, " "))
 
 
+def passages(text: Column) -> Column:
+    """The header of a text, each mention line, the runs of up to three lines that begin or
+    end with one, and the head block; the header comes first."""
+    def found(ls: Column) -> Column:
+        cut = lambda lo, n: F.array_join(F.slice(ls, lo, n), " ")  # noqa: E731  lo counts from 1
+        at = F.filter(F.sequence(F.lit(1), F.size(ls)), lambda i: F.element_at(ls, i).rlike(MENTION))
+        runs = F.transform(at, lambda i: F.array(cut(i, F.lit(1)), cut(i, F.lit(2)), cut(i, F.lit(3)),
+                                                 cut(F.greatest(i - 1, F.lit(1)), F.lit(2)), cut(F.greatest(i - 2, F.lit(1)), F.lit(3))))
+        return F.flatten(runs)
+    head = F.regexp_extract(text, r"^(?s:\s*(.*?))(\n[ \t\r]*\n|\z)", 1)
+    # a lambda variable holds the lines, so that they are cut once per text
+    lines = F.transform(F.array(F.split(text, "\n")), found)
+    return F.array_distinct(F.concat(F.array(header(text)), F.element_at(lines, 1), F.when(head.rlike(MENTION), F.array(head)).otherwise(F.array())))
+
+
 def header_cosines(files: DataFrame, row: str, text: str, least: float = LEAST) -> DataFrame:
-    """row, licence and cosine of the rows whose header is near enough to a template."""
+    """row, licence and cosine of the rows with a passage that is near enough to a template."""
     spark: SparkSession = files.sparkSession
-    heads = files.select(F.col(row).alias("row"), header(F.col(text)).alias("h")).where("h IS NOT NULL")
-    tf = heads.select("row", F.explode(words(F.col("h"))).alias("w")).groupBy("row", "w").agg(F.count(F.lit(1)).alias("tf"))
+    heads = (files.where(F.col(text).rlike(MENTION))
+             .select(F.col(row).alias("row"), F.posexplode(passages(F.col(text))).alias("part", "h")))
+    tf = heads.select("row", "part", F.explode(words(F.col("h"))).alias("w")).groupBy("row", "part", "w").agg(F.count(F.lit(1)).alias("tf"))
+    whole = tf.where(F.col("part") == 0)                                            # the headers
     fixed = spark.createDataFrame([(i, name, t) for i, (name, t) in enumerate(TEMPLATES)], "t int, licence string, notice string")
     t_tf = fixed.select("t", "licence", F.explode(words(F.col("notice"))).alias("w")).groupBy("t", "licence", "w").agg(F.count(F.lit(1)).alias("tf"))
-    n = tf.select("row").distinct().count() + len(TEMPLATES)
-    df = (tf.select("w").unionAll(t_tf.select("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    weight = F.col("tf") * (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0)
-    vec = tf.join(df, "w").select("row", "w", weight.alias("x"))
+    n = whole.select("row").distinct().count() + len(TEMPLATES)
+    df = (whole.select("w").unionAll(t_tf.select("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.col("tf") * (F.log(F.lit(1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0)
+    vec = tf.join(df, "w", "left").select("row", "part", "w", weight.alias("x"))    # lines beside a mention have words of no header
     t_vec = t_tf.join(df, "w").select("t", "licence", "w", weight.alias("y"))       # some hundred rows
+    return nearest_templates(vec, t_vec, least)
+
+
+def nearest_templates(vec: DataFrame, t_vec: DataFrame, least: float) -> DataFrame:
+    """row, licence and cosine of the template nearest to any part of a row, from the weights
+    x of (row, part, w) and y of (t, licence, w)."""
     t_vec = F.broadcast(t_vec.join(t_vec.groupBy("t").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("t_norm")), "t"))
-    norm = vec.groupBy("row").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dot = vec.join(t_vec, "w").groupBy("row", "t", "licence", "t_norm").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    norm = vec.groupBy("row", "part").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dot = vec.join(t_vec, "w").groupBy("row", "part", "t", "licence", "t_norm").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 4)
     best = F.min(F.struct((-cosine).alias("minus"), "licence"))
-    return (dot.join(norm, "row").where(cosine >= least).groupBy("row").agg(best.alias("b"))
+    return (dot.join(norm, ["row", "part"]).where(cosine >= least).groupBy("row").agg(best.alias("b"))
             .select("row", F.col("b.licence").alias("licence"), (-F.col("b.minus")).alias("cosine")))
 
 
+def whole_text_cosines(files: DataFrame, row: str, text: str) -> DataFrame:
+    """row, licence and cosine of the rows whose text is one of the whole licence texts."""
+    spark: SparkSession = files.sparkSession
+    texts = [(i, f.stem, f.read_text("utf-8")) for i, f in enumerate(sorted(TEXTS.glob("*.txt")))]
+    fixed = spark.createDataFrame(texts, "t int, licence string, notice string")
+    t_tf = fixed.select("t", "licence", F.explode(words(F.col("notice"))).alias("w")).groupBy("t", "licence", "w").agg(F.count(F.lit(1)).alias("tf"))
+    df = F.broadcast(t_tf.groupBy("w").agg(F.count(F.lit(1)).alias("df")))          # some thousand rows
+    tf = (files.where(F.col(text).rlike(MENTION)).select(F.col(row).alias("row"), F.lit(0).alias("part"), F.explode(words(F.col(text))).alias("w"))
+          .groupBy("row", "part", "w").agg(F.count(F.lit(1)).alias("tf")))
+    weight = F.col("tf") * (F.log(F.lit(1.0 + len(texts)) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0)
+    vec = tf.join(df, "w", "left").select("row", "part", "w", weight.alias("x"))
+    return nearest_templates(vec, t_tf.join(df, "w").select("t", "licence", "w", weight.alias("y")), WHOLE)
+
+
 def scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST, keep: tuple[str, ...] = ()) -> DataFrame:
     """path, licence, cosine, origin (header, inherited or none), from_path and the columns ``keep``: one row per file."""
     base = files.select(F.coalesce(F.col(path).cast("string"), F.lit("")).alias("__path"), F.col(text).cast("string").alias("__text"),
                         *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.monotonically_increasing_id().alias("__row"))
-    own = header_cosines(base, "__row", "__text", least)
+    name = F.regexp_extract("__path", "([^/]*)$", 1)
+    stating = whole_text_cosines(base.where(name.rlike(LICENCE_FILE)), "__row", "__text")
+    own = (header_cosines(base, "__row", "__text", least).join(stating.select("row", F.struct("licence", "cosine").alias("s")), "row", "full")
+           .select("row", F.coalesce("s.licence", "licence").alias("licence"), F.coalesce("s.cosine", "cosine").alias("cosine")))
     folder = F.regexp_replace("__path", "/?[^/]*$", "")
     rows = base.drop("__text").withColumn("__dir", folder).join(own, F.col("__row") == F.col("row"), "left").drop("row")
-    name = F.regexp_extract("__path", "([^/]*)$", 1)
     stated = (rows.where(F.col("licence").isNotNull() & name.rlike(LICENCE_FILE)).groupBy(F.col("__dir").alias("at"))
               .agg(F.min(F.struct("__path", "licence")).alias("s"))
               .select("at", F.col("s.__path").alias("from_path"), F.col("s.licence").alias("theirs")))

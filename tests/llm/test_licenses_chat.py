@@ -41,6 +41,23 @@ def test_every_template_names_its_licence(sp):
     assert got == {f"f{i}": name for i, (name, _) in enumerate(licenses.TEMPLATES)}
 
 
+def test_whole_licence_files_and_diluted_notices(sp):
+    body = lambda name: (licenses.TEXTS / f"{name}.txt").read_text()
+    names = sorted(f.stem for f in licenses.TEXTS.glob("*.txt"))
+    rows = [(f"{name}/COPYING", body(name), "") for name in names] + [(f"{name}/src/deep/x.c", "int x;", "") for name in names]
+    mit = body("MIT").replace("<year> <copyright holders>", "2019-2024 Some One and others") + "\nSome files are by others, see their own notes.\n"
+    rows += [("mine/LICENSE", mit, ""), ("mine/y.c", "int y;", "")]
+    others = ["the copyright of figures stays with their makers", "see the license folder for licences of fonts", "copyright notices are kept", "a licence for names is not given", "copyright 2011 someone else entirely"]
+    rows += [("n/x.c", "\n".join(["code", *others[:3], "Released under the MIT License.", "more code", *others[3:]]), ""),
+             ("n/run.c", "\n".join(["start", "Licensed under the Apache", "License, Version 2.0.", "other", *others]), ""),
+             ("n/head.c", "This work is\nlicensed under the\nGNU General Public\nLicense, version 3.\n\ncode\n" + "\n".join(others), ""),
+             ("n/none.c", "\n".join(others), "")]
+    got = {r["path"]: (r["licence"], r["origin"]) for r in licenses.scan(files(sp, rows)).collect()}
+    want = {f"{name}/COPYING": (name, "header") for name in names} | {f"{name}/src/deep/x.c": (name, "inherited") for name in names}
+    assert got == want | {"mine/LICENSE": ("MIT", "header"), "mine/y.c": ("MIT", "inherited"), "n/x.c": ("MIT", "header"), "n/run.c": ("Apache-2.0", "header"),
+                          "n/head.c": ("GPL-3.0", "header"), "n/none.c": (None, "none")}
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, depends_on array<string>, json string"
 RESULTS = "conv_id long, call_id string, turn long, content string"
 

@@ -78,3 +78,18 @@ def test_empty_and_untrained(sp):
     only = [(i, "a b") for i in range(40) if held_out(i)][:3]
     out = lm.score_documents(docs(sp, only)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in out} == {(0, 0, 0.0)}
+
+
+def test_a_step_draws_64_noise_samples():
+    vocab = lm.Vocabulary([(b"a", 5), (b"b", 3)], 2, 10, 3, np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
+    trainer = lm.Trainer(lm.Model.fresh(vocab), vocab.noise, 1)
+    drawn = []
+
+    class Draws:
+        def random_sample(self, n):
+            drawn.append(n)
+            return np.linspace(0, 0.99, n)
+
+    trainer.rng = Draws()
+    trainer.step(np.full((6, lm.CONTEXT), vocab.start), np.array([0, 1, 0, 0, 1, vocab.end]))
+    assert drawn == [64]

@@ -4,9 +4,10 @@ Words are compared in lower case without the marks around them.  A mask picks WE
 positions of a run of words and ignores the others, so that a passage with substituted
 words still agrees with its source under some mask at some place.  The hashes of all
 places of the test items and of the documents are joined; around each hit the passage is
-laid on the item without gaps and the best stretch (a match counts 1, a substitution
--SUBSTITUTION) decides: at least LEAST_WORDS words (or the whole item, if shorter), of
-which a share of IDENTITY agree.
+laid on the item without gaps.  Stretches all of whose beginnings and ends have a positive
+score (a match counts 1, a substitution -SUBSTITUTION) are tested one by one: at least
+LEAST_WORDS words (or the whole item, if shorter), of which a share of IDENTITY agree; the
+best one that passes is reported.
 
 A bitmap of the items' hashes, of a size bounded by BITMAP_LOG2, lets tasks drop nearly
 all places of clean text before the join; the join itself is exact.  Documents that have
@@ -123,6 +124,33 @@ def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
     return start, end - start, int(same[start:end].sum())
 
 
+def passing_stretch(same: np.ndarray, least: int) -> tuple[int, int, int]:
+    """(start, length, matches) of the stretch of the highest score among those of at least
+    ``least`` words and a share of IDENTITY, all of whose beginnings and ends score above 0;
+    length 0 if there is none."""
+    start, length, matches = best_stretch(same)
+    if length >= least and matches >= IDENTITY * length:
+        return start, length, matches
+    found, top = (0, 0, 0), 0.0
+    upto = np.concatenate([[0], np.cumsum(same)])
+    if upto[-1] < IDENTITY * least:
+        return found
+    # the best stretch from or to the middle of a run of matches is shorter than that of the whole run
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
+    first, last = edges[::2], edges[1::2]
+    score = upto * (1.0 + SUBSTITUTION) - np.arange(len(upto)) * SUBSTITUTION
+    for r, i in enumerate(first):
+        under = np.flatnonzero(score[first[r + 1:]] <= score[i])
+        ends = last[r:r + 1 + under[0]] if len(under) else last[r:]
+        up = score[ends]
+        higher = up > np.concatenate([[-np.inf], np.maximum.accumulate(up)[:-1]])
+        n, same_n = ends - i, upto[ends] - upto[i]
+        ok = np.flatnonzero(higher & (n >= least) & (same_n >= IDENTITY * n))
+        if len(ok) and up[ok[-1]] - score[i] > top:
+            top, found = up[ok[-1]] - score[i], (int(i), int(n[ok[-1]]), int(same_n[ok[-1]]))
+    return found
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -130,13 +158,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, items = batch.column("region"), batch.column("words")
         for k, (doc, key, start, item, item_id, n, shifts) in enumerate(zip(*cols)):
             d, w = words[k].values.to_numpy(zero_copy_only=False), items[k].values.to_numpy(zero_copy_only=False)
-            best = (0, 0, 0, 0)
+            best, least = (0, 0, 0, 0), max(1, min(LEAST_WORDS, n))
             for s in shifts:                       # word j of the item lies on word j + s of the region
                 lo, hi = max(0, -s), min(len(w), len(d) - s)
-                at, length, matches = best_stretch(w[lo:hi] == d[lo + s:hi + s])
+                at, length, matches = passing_stretch(w[lo:hi] == d[lo + s:hi + s], least)
                 best = max(best, (matches, length, -(lo + at), start + lo + at + s))
             matches, length, item_at, doc_at = best
-            if length >= min(LEAST_WORDS, n) and length > 0 and matches >= IDENTITY * length:
+            if length:
                 rows.append((doc, key, item, item_id, n, length, matches, -item_at, doc_at))
         got = list(zip(*rows)) if rows else [()] * 9
         types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64())

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from pricetide.llm import decontamination as dc
@@ -80,3 +81,39 @@ def test_a_hot_passage(sp):
     rows = [(d, " ".join(words(rnd, 30)) + " " + passage) for d in range(300)]
     items = sp.createDataFrame([(1, passage), (2, passage)], "item_id long, text string")
     assert dc.leaks(docs(sp, rows), items).count() == 600
+
+
+def plain_passing(same, least):
+    """The highest score of a stretch that passes, by trying all."""
+    gain = [1.0 if x else -dc.SUBSTITUTION for x in same]
+    top = 0.0
+    for i in range(len(same)):
+        for j in range(i + least, len(same) + 1):
+            g = gain[i:j]
+            if (sum(same[i:j]) >= dc.IDENTITY * (j - i) and all(sum(g[:k]) > 0 for k in range(1, len(g) + 1))
+                    and all(sum(g[k:]) > 0 for k in range(len(g)))):
+                top = max(top, sum(g))
+    return top
+
+
+def test_stretches_that_pass_are_those_of_a_plain_search():
+    rnd = random.Random(5)
+    for n in list(range(1, 40)) * 4:
+        same = [rnd.random() < 0.72 for _ in range(n)]
+        start, length, matches = dc.passing_stretch(np.array(same), min(10, n))
+        assert matches - dc.SUBSTITUTION * (length - matches) == plain_passing(same, min(10, n))
+        assert matches == sum(same[start:start + length])
+
+
+def test_a_shorter_stretch_that_passes(sp):
+    rnd = random.Random(3)
+    item = [f"{w}{k}" for k, w in enumerate(words(rnd, 59))]
+    text = item[:10] + [w if k % 49 * 34 // 49 != (k % 49 + 1) * 34 // 49 else "other" for k, w in enumerate(item[10:])]
+    same = np.array([a == b for a, b in zip(item, text)])
+    _, length, matches = dc.best_stretch(same)
+    assert matches < dc.IDENTITY * length
+    items = sp.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    df = docs(sp, [(1, " ".join(text)), (2, "clean text")])
+    r = dc.leaks(df, items).collect()
+    assert [(x["doc_id"], x["overlap"] >= 10, x["matches"] >= dc.IDENTITY * x["overlap"]) for x in r] == [(1, True, True)]
+    assert [x["doc_id"] for x in dc.drop_contaminated(df, items).collect()] == [2]

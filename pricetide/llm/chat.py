@@ -37,6 +37,7 @@ SCHEMAS: Schemas = {
 }
 _TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"]}
 SEGMENT = 1024                   # turns that are ranked together
+DEPTHS = 1024                    # depths whose numbers are added up together
 
 
 def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
@@ -142,14 +143,29 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas | None = None) -
     return _placed(rows.select("conv_id", "call_id", "turn", "name", "depth", "status", F.array_join("errors", ",").alias("errors"), record.alias("json")))
 
 
+def counts_before(sizes: DataFrame) -> DataFrame:
+    """c, d2, s2 (conversation, depth and segment) and n_before, the rows in front of each,
+    from n rows per conv_id, d and segment. Segments are added up within their depth, depths
+    within blocks of DEPTHS, and blocks: a chain with one call per depth is no single window."""
+    def in_front(by: list[str], order: str) -> Column:
+        return F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    depths_n = sizes.groupBy("conv_id", "d", F.floor(F.col("d") / DEPTHS).alias("block")).agg(F.sum("n").alias("n"))
+    blocks = (depths_n.groupBy("conv_id", "block").agg(F.sum("n").alias("n"))
+              .select(F.col("conv_id").alias("c3"), F.col("block").alias("b3"), in_front(["conv_id"], "block").alias("of_blocks")))
+    upto = (depths_n.select("conv_id", "d", "block", in_front(["conv_id", "block"], "d").alias("of_depths"))
+            .join(blocks, F.col("conv_id").eqNullSafe(F.col("c3")) & (F.col("block") == F.col("b3")))
+            .select(F.col("conv_id").alias("c4"), F.col("d").alias("d4"), (F.col("of_depths") + F.col("of_blocks")).alias("of_both")))
+    return (sizes.select("conv_id", "d", "segment", in_front(["conv_id", "d"], "segment").alias("of_segments"))
+            .join(upto, F.col("conv_id").eqNullSafe(F.col("c4")) & (F.col("d") == F.col("d4")))
+            .select(F.col("conv_id").alias("c"), F.col("d").alias("d2"), F.col("segment").alias("s2"), (F.col("of_segments") + F.col("of_both")).alias("n_before")))
+
+
 def _placed(rows: DataFrame) -> DataFrame:
     """Adds place. Rows are ranked within segments of SEGMENT turns, and segments counted
     before: a conversation of any length is spread over tasks."""
     part = ["conv_id", F.coalesce("depth", F.lit(1 << 30)).alias("d"), F.floor(F.coalesce("turn", F.lit(-1)) / SEGMENT).alias("segment")]
     rows = rows.select("*", part[1], part[2])
-    sizes = rows.groupBy("conv_id", "d", "segment").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("d", "segment").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("conv_id").alias("c"), F.col("d").alias("d2"), F.col("segment").alias("s2"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"))
+    sizes = counts_before(rows.groupBy("conv_id", "d", "segment").agg(F.count(F.lit(1)).alias("n")))
     within = Window.partitionBy("conv_id", "d", "segment").orderBy("turn", "call_id", "status", "json")
     return (rows.withColumn("k", F.row_number().over(within))
             .join(sizes, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("d") == F.col("d2")) & (F.col("segment") == F.col("s2")))

@@ -1,6 +1,6 @@
 """Operator 3: reproducible shuffle and sharding by a Feistel permutation (native).
 
-Rows get global numbers 0 .. N-1: the rank of the row's bucket (a hash of its id)
+Rows get global numbers 0 .. N-1: the rank of the row's bucket (a hash of all its keys)
 plus its rank within the bucket.  A generalised Feistel network over Z_a x Z_b, with
 a = ceil(sqrt N) and b = ceil(N / a), permutes 0 .. a*b-1, and cycle walking (apply it
 again while the result is N or more) makes that a permutation of 0 .. N-1.  At most
@@ -29,9 +29,9 @@ ROUNDS = 6
 BLOCK = 1 << 16
 
 
-def row_numbers(rows: DataFrame, keys: list[str], by: str, buckets: int = BUCKETS) -> DataFrame:
+def row_numbers(rows: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
     """``keys`` and ``row_no``, the global number of each row (0 .. N-1)."""
-    bucket = F.pmod(F.xxhash64(by), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     # one row per bucket: the window runs over at most ``buckets`` rows, as does the broadcast
     base = (rows.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__n"))
@@ -80,12 +80,12 @@ def permuted(x: Column, n: int, seed: int) -> Column:
     return F.when(p < n_col, p).otherwise(walk)
 
 
-def shard_rows(rows: DataFrame, keys: list[str], by: str, shards: int, seed: int = 17) -> DataFrame:
+def shard_rows(rows: DataFrame, keys: list[str], shards: int, seed: int = 17) -> DataFrame:
     """``keys``, row_no, shard and slot of each row."""
     n = rows.count()
     if n == 0:
         return rows.select(*keys, F.lit(0).cast("long").alias("row_no"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    place = row_numbers(rows, keys, by).withColumn("__p", permuted(F.col("row_no"), n, seed))
+    place = row_numbers(rows, keys).withColumn("__p", permuted(F.col("row_no"), n, seed))
     return place.select(*keys, "row_no", F.pmod("__p", F.lit(shards)).cast("int").alias("shard"),
                         _div(F.col("__p"), shards).alias("slot"))
 
@@ -95,6 +95,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 17, doc_id: s
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        (F.octet_length(text_or_empty(text)) + 1).cast("long").alias("size"),
                        F.crc32(text_or_empty(text).cast("binary")).alias("text_crc32"))
-    return (shard_rows(rows, ["doc_id", "size", "text_crc32"], "doc_id", shards, seed)
+    return (shard_rows(rows, ["doc_id", "size", "text_crc32"], shards, seed)
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"), "row_no"))

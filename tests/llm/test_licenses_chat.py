@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import duckdb
 import pytest
@@ -100,6 +101,18 @@ def test_a_long_conversation_and_empty_tables(sp):
     assert chat.link_conversations(turns).count() == 2
 
 
+def test_counts_before_of_long_chains(sp, monkeypatch):
+    monkeypatch.setattr(chat, "DEPTHS", 4)
+    rnd = random.Random(4)
+    keys = sorted({(c, rnd.choice([*range(30), 1 << 30]), rnd.randrange(5)) for c in (0, 1, 2) for _ in range(120)})
+    sizes = [(c or None, d, s, rnd.randint(1, 9)) for c, d, s in keys]        # 0: a conversation without a number
+    out = chat.counts_before(sp.createDataFrame(sizes, "conv_id long, d long, segment long, n long"))
+    assert {(r["c"], r["d2"], r["s2"]): r["n_before"] for r in out.collect()} == {
+        (c, d, s): sum(n for c2, d2, s2, n in sizes if c2 == c and (d2, s2) < (d, s)) for c, d, s, _ in sizes}
+    chain = linked(sp, [(1, f"c{i}", i, "search", "{}", [f"c{i - 1}"]) for i in range(9)], [])
+    assert not re.search(r"windowspecdefinition\(conv_id#\d+L?, d#\d+L? ASC", chain._jdf.queryExecution().toString())
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_depths_are_those_of_a_plain_search(sp, seed):
     rnd = random.Random(seed)

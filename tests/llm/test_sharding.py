@@ -70,3 +70,9 @@ def test_no_python_and_empty(sp):
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
     assert shard_documents(docs(sp, [])).count() == 0
+
+
+def test_rows_without_an_id_share_no_bucket(sp):
+    out = shard_documents(docs(sp, [(None, "x" * i) for i in range(500)])).orderBy("row_no").collect()
+    assert [r["row_no"] for r in out] == list(range(500))
+    assert [r["size"] for r in out] != sorted(r["size"] for r in out)      # a single bucket is ordered by its keys

@@ -13,7 +13,7 @@ from pricetide.llm.records import records_round_trip
 from pricetide.llm.decontamination import leaks
 from pricetide.llm.neardup import near_duplicates
 from pricetide.llm.sharding import shard_documents
-from pricetide.llm import chat, licenses, lm, toxicity
+from pricetide.llm import chat, hardneg, licenses, lm, simhash, toxicity, trie
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(hardneg.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -66,5 +78,7 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op4_license_scan, op5_token_records, op6_tool_calls, op7_nearest_neighbours, op8_decontamination, op9_language_model, op10_packing)}
-ORACLE: dict[str, str] = {"op4_license_scan": licenses.oracle(), "op6_tool_calls": chat.oracle()}
+    f.__name__: _ready(f) for f in (op1_near_duplicates, op2_toxicity, op3_sharding, op4_license_scan, op5_token_records, op6_tool_calls, op7_nearest_neighbours, op8_decontamination, op9_language_model, op10_packing,
+                                    op11_simhash, op12_hard_negatives, op13_prefix_trie)}
+ORACLE: dict[str, str] = {"op4_license_scan": licenses.oracle(), "op6_tool_calls": chat.oracle(),
+                          "op12_hard_negatives": hardneg.oracle(), "op13_prefix_trie": trie.oracle()}

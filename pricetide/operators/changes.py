@@ -103,15 +103,20 @@ def batch_changes(df: DataFrame, keys: list[str], order_cols: list[str], price:
              .drop("__prev"))
 
 
+def change_counts() -> list[Column]:
+    """K6 counters over rows with price_change."""
+    c = F.col("price_change")
+    return [F.count(F.lit(1)).alias("products_processed"),
+            F.count_if(c.isNotNull()).alias("changes_calculated"),
+            F.count_if(c.isNull()).alias("first_records"),
+            F.count_if(c > 0).alias("price_increases"),
+            F.count_if(c < 0).alias("price_decreases"),
+            F.count_if(c == 0).alias("price_unchanged")]
+
+
 def change_counters(changed: DataFrame) -> DataFrame:
     """K6: processed / calculated / first / up / down / unchanged (one row)."""
-    c = F.col("price_change")
-    return changed.agg(F.count(F.lit(1)).alias("products_processed"),
-                       F.count_if(c.isNotNull()).alias("changes_calculated"),
-                       F.count_if(c.isNull()).alias("first_records"),
-                       F.count_if(c > 0).alias("price_increases"),
-                       F.count_if(c < 0).alias("price_decreases"),
-                       F.count_if(c == 0).alias("price_unchanged"))
+    return changed.agg(*change_counts())
 
 
 def change_vs_stored(incoming: DataFrame, stored_latest: DataFrame, keys: list[str],

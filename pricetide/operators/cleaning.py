@@ -133,12 +133,32 @@ class Cleaned:
 def clean_all(raw: DataFrame, rate: float = K.USD_TO_MXN) -> Cleaned:
     """C1 -> C2 -> C3 -> C4 -> C5 -> C6 -> C7, plus the C10 counters."""
     flagged = flag_stateless(raw)
+    deduped = dedup_flagged(flagged, rate)
+    return Cleaned(validate_prices(deduped), cleaning_metrics(flagged, deduped))
+
+
+def dedup_flagged(flagged: DataFrame, rate: float = K.USD_TO_MXN) -> DataFrame:
+    """C4-C6 over the rows that passed C1-C4's checks."""
     staged = (flagged.filter("__name_ok AND __cat_ok AND __store_ok AND __cur_ok")
                      .drop("__name_ok", "__cat_ok", "__store_ok", "__cur_ok"))
-    staged = convert_currencies(staged, rate)
-    deduped = dedup_by_url(dedup_by_name(staged))
-    data = validate_prices(deduped)
-    return Cleaned(data, cleaning_metrics(flagged, deduped))
+    return dedup_by_url(dedup_by_name(convert_currencies(staged, rate)))
+
+
+def clean_observed(raw: DataFrame, rate: float = K.USD_TO_MXN, more: list[Column] = ()) -> tuple[DataFrame, dict]:
+    """C9 with its C10 counters taken in the same passes (``Dataset.observe``): the cleaned
+    rows, and the counters with ``more`` aggregates over the flagged rows.
+
+    Both observations sit in the last stage of a write, where Spark counts each task once,
+    retries or not; no row is read again to be counted."""
+    from pyspark.sql import Observation
+    from pricetide.session import written
+    rows, kept = Observation(), Observation()
+    flagged = written(flag_stateless(raw).observe(rows, *row_counts(), *more), "flagged")
+    data = written(validate_prices(dedup_flagged(flagged, rate).observe(kept, *dedup_counts())), "cleaned")
+    n = {**rows.get, **kept.get}
+    n["duplicates_removed"] = n["rows_after_currency"] - n["rows_after_dedup"]
+    n["rows_after_validation"] = n["rows_output"]
+    return data, n
 
 
 def flag_stateless(raw: DataFrame) -> DataFrame:
@@ -154,23 +174,35 @@ def flag_stateless(raw: DataFrame) -> DataFrame:
                     F.coalesce(F.upper("currency").isin(*K.SUPPORTED_CURRENCIES), F.lit(False)).alias("__cur_ok"))
 
 
+def row_counts() -> list[Column]:
+    """C10 counters over the rows of ``flag_stateless``."""
+    n, c, s, cu = (F.col(x) for x in ("__name_ok", "__cat_ok", "__store_ok", "__cur_ok"))
+    return [F.count(F.lit(1)).alias("rows_input"),
+            F.count_if(n).alias("rows_after_normalize"),
+            F.count_if(n & ~c).alias("unmapped_categories"),
+            F.count_if(n & c).alias("rows_after_category_map"),
+            F.count_if(n & c & ~s).alias("unmapped_stores"),
+            F.count_if(n & c & s).alias("rows_after_store_map"),
+            F.count_if(n & c & s & (F.upper("currency") == "USD")).alias("prices_converted"),
+            F.count_if(n & c & s & cu).alias("rows_after_currency")]
+
+
+def dedup_counts() -> list[Column]:
+    """C10 counters over the de-duplicated rows."""
+    ok = price_ok(F.col("price"), F.col("category_id"))
+    return [F.count(F.lit(1)).alias("rows_after_dedup"), F.count_if(~ok).alias("invalid_prices"), F.count_if(ok).alias("rows_output")]
+
+
+METRICS = ["rows_input", "rows_after_normalize", "unmapped_categories", "rows_after_category_map", "unmapped_stores",
+           "rows_after_store_map", "prices_converted", "rows_after_currency", "rows_after_dedup", "invalid_prices",
+           "rows_output", "duplicates_removed", "rows_after_validation"]
+
+
 def cleaning_metrics(flagged: DataFrame, deduped: DataFrame) -> DataFrame:
     """The counters of a cleaning run (one row)."""
-    n, c, s, cu = (F.col(x) for x in ("__name_ok", "__cat_ok", "__store_ok", "__cur_ok"))
-    a = flagged.agg(
-        F.count(F.lit(1)).alias("rows_input"),
-        F.count_if(n).alias("rows_after_normalize"),
-        F.count_if(n & ~c).alias("unmapped_categories"),
-        F.count_if(n & c).alias("rows_after_category_map"),
-        F.count_if(n & c & ~s).alias("unmapped_stores"),
-        F.count_if(n & c & s).alias("rows_after_store_map"),
-        F.count_if(n & c & s & (F.upper("currency") == "USD")).alias("prices_converted"),
-        F.count_if(n & c & s & cu).alias("rows_after_currency"))
-    b = deduped.select(F.struct(
-        F.count(F.lit(1)).alias("rows_after_dedup"),
-        F.count_if(~price_ok(F.col("price"), F.col("category_id"))).alias("invalid_prices"),
-        F.count_if(price_ok(F.col("price"), F.col("category_id"))).alias("rows_output"))).scalar()
-    return (a.select("*", *[b.getField(c).alias(c) for c in ("rows_after_dedup", "invalid_prices", "rows_output")])
+    b = deduped.select(F.struct(*dedup_counts())).scalar()
+    return (flagged.agg(*row_counts())
+             .select("*", *[b.getField(c).alias(c) for c in ("rows_after_dedup", "invalid_prices", "rows_output")])
              .withColumn("duplicates_removed", F.col("rows_after_currency") - F.col("rows_after_dedup"))
              .withColumn("rows_after_validation", F.col("rows_output")))
 

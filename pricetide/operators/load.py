@@ -63,38 +63,89 @@ class Upserted:
     actions: DataFrame      # one row per incoming key with its action
 
 
+def merge_products(current: DataFrame, incoming: DataFrame, created_at: Column, max_id: Column | int,
+                   extra: list[str] = ()) -> DataFrame:
+    """L1 (+L4): one row per key of ``incoming`` as it is stored next, with ``action`` (update
+    or insert), ``changed`` (some column differs) and the columns ``extra`` of ``current``.
+
+    Key (name, store_id): existing keys get brand, url, sku and category_id from the batch
+    (id and created_at kept); new keys get the next ids (ordered by name, store_id).  The
+    stored side is only looked up: where it is bucketed by the key it is not shuffled."""
+    key, facts = ["name", "store_id"], ["brand", "url", "sku", "category_id"]
+    inc = incoming.select(*key, *facts)
+    cur = current.select(*key, "id", "created_at", *[F.col(c).alias("__old_" + c) for c in facts], *extra)
+    both = inc.join(cur, key, "left")
+    differs = F.lit(False)
+    for c in facts:
+        differs = differs | ~F.col(c).eqNullSafe(F.col("__old_" + c))
+    known = both.where("id IS NOT NULL").select("id", *key, *facts, "created_at", F.lit("update").alias("action"), differs.alias("changed"), *extra)
+    new = assign_ids(both.where("id IS NULL").select(*key, *facts, *extra), key, max_id)
+    new = new.withColumn("created_at", created_at).withColumn("action", F.lit("insert")).withColumn("changed", F.lit(True))
+    return known.unionByName(new.select(*known.columns))
+
+
 def upsert_products(current: DataFrame, incoming: DataFrame, created_at: Column) -> Upserted:
-    """L1 (+L4): key (name, store_id).  Existing keys get brand, url, sku and
-    category_id from the batch (id and created_at kept); new keys are inserted
-    with the next ids (ordered by name, store_id).  ``incoming`` must hold one
-    row per key (the cleaning chain guarantees it)."""
+    """L1 (+L4) on whole frames: all products after the batch (see ``merge_products``).
+    ``incoming`` must hold one row per key (the cleaning chain guarantees it)."""
     key = ["name", "store_id"]
-    inc = incoming.select(*key, "brand", "url", "sku", "category_id")
-    cur = current.select(*PRODUCT_COLS)
-    existing = (cur.join(inc.select(*key, *[F.col(c).alias("__new_" + c) for c in ("brand", "url", "sku", "category_id")]),
-                         key, "left")
-                   .withColumn("__hit", F.col("__new_category_id").isNotNull()))
-    updated = existing.select(
-        "id", *key,
-        *[F.when(F.col("__hit"), F.col("__new_" + c)).otherwise(F.col(c)).alias(c)
-          for c in ("brand", "url", "sku", "category_id")],
-        "created_at", F.when(F.col("__hit"), "update").otherwise("keep").alias("action"))
-    new = inc.join(cur.select(*key), key, "left_anti")
     max_id = current.select(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
-    new = assign_ids(new, key, max_id).withColumn("created_at", created_at).withColumn("action", F.lit("insert"))
-    table = updated.unionByName(new.select(*updated.columns))
-    actions = table.filter(F.col("action") != "keep").select("id", *key, "action")
-    return Upserted(table.select(*PRODUCT_COLS), actions)
+    merged = merge_products(current, incoming, created_at, max_id)
+    kept = current.select(*PRODUCT_COLS).join(incoming.select(*key), key, "left_anti")
+    return Upserted(kept.select(*PRODUCT_COLS).unionByName(merged.select(*PRODUCT_COLS)), merged.select("id", *key, "action"))
 
 
 # ----------------------------------------------------------------------------
 # L2 + L3: one observation per product per day
 # ----------------------------------------------------------------------------
 
+ACTION_COLS = ["product_id", "obs_date", "price", "previous_price", "price_change", "price_change_pct", "action"]
+
+
+def price_actions(stored: DataFrame, incoming: DataFrame, latest: DataFrame, key: list[str] = ("product_id",)) -> DataFrame:
+    """What happens to each row of ``incoming``: ACTION_COLS, its other columns, and the stored
+    row of its day (__id, __old_price, __old_ts).
+
+    ``stored`` needs to hold the history of the batch's days only; ``latest`` (product_id,
+    scraped_at, price) is the newest stored row of each product (or, with ``key``, of each
+    product and day of the batch)."""
+    inc = incoming.withColumn("obs_date", F.to_date("scraped_at"))
+    latest = latest.select(*key, F.col("scraped_at").alias("__stored_ts"), F.col("price").alias("__stored"))
+    in_order = Window.partitionBy("product_id").orderBy("obs_date")
+    inc = inc.withColumn("__before", F.lag(F.struct("scraped_at", "price")).over(in_order))
+    same_day = stored.select("product_id", "obs_date", F.col("id").alias("__id"),
+                             F.col("price").alias("__old_price"), F.col("scraped_at").alias("__old_ts"))
+    newer = F.col("__before").isNotNull() & (F.col("__stored_ts").isNull() | (F.col("__before.scraped_at") >= F.col("__stored_ts")))
+    return (inc.join(latest, list(key), "left")
+            .withColumn("previous_price", F.when(newer, F.col("__before.price")).otherwise(F.col("__stored")))
+            .join(same_day, ["product_id", "obs_date"], "left")
+            .withColumn("price_change", price_change(F.col("price"), F.col("previous_price")))
+            .withColumn("price_change_pct", price_change_pct(F.col("price"), F.col("previous_price")))
+            .withColumn("action", F.when(F.col("__id").isNull(), "insert")
+                                   .when(F.col("__old_price") != F.col("price"), "update")
+                                   .otherwise("noop"))
+            .drop("__before", "__stored", "__stored_ts"))
+
+
+def updated_prices(stored: DataFrame, actions: DataFrame) -> DataFrame:
+    """``stored`` with the updates among ``actions``: price, currency, availability, change and
+    pct are replaced, scraped_at and id kept."""
+    cols = ["price", "currency", "availability", "price_change", "price_change_pct"]
+    upd = actions.filter(F.col("action") == "update").select("product_id", "obs_date", *[F.col(c).alias("__u_" + c) for c in cols])
+    hit = F.col("__u_price").isNotNull()
+    return stored.join(upd, ["product_id", "obs_date"], "left").select(
+        "id", "product_id", *[F.when(hit, F.col("__u_" + c)).otherwise(F.col(c)).alias(c) for c in cols], "scraped_at", "obs_date")
+
+
+def new_prices(actions: DataFrame, max_id: Column | int) -> DataFrame:
+    """The inserts among ``actions`` with the next ids."""
+    ins = actions.filter(F.col("action") == "insert").select(*[c for c in PRICE_COLS if c != "id"])
+    return assign_ids(ins, ["product_id", "obs_date"], max_id).select(*PRICE_COLS)
+
 
 def load_prices(history: DataFrame, incoming: DataFrame, previous_day: bool = False) -> Upserted:
-    """L2 + L3.  ``incoming``: product_id, price, currency, availability,
-    scraped_at (one row per product and day; days are loaded in order).
+    """L2 + L3 on whole frames (``operators.state`` does the same by days).  ``incoming``:
+    product_id, price, currency, availability, scraped_at (one row per product and day; days
+    are loaded in order).
 
     L3: change against the latest stored row before the write, rows of the batch's
     earlier days among them (with ``previous_day=True`` only rows of earlier days count),
@@ -102,44 +153,18 @@ def load_prices(history: DataFrame, incoming: DataFrame, previous_day: bool = Fa
     L2: (product_id, day) absent -> insert; present with a different price ->
     update price, currency, availability, change, pct and keep scraped_at and
     id; same price -> no change."""
-    inc = incoming.withColumn("obs_date", F.to_date("scraped_at"))
     key, ref = ["product_id"], history
     if previous_day:
         key = ["product_id", "obs_date"]
-        ref = (history.withColumnRenamed("obs_date", "__day").join(inc.select(*key), "product_id")
+        inc = incoming.select("product_id", F.to_date("scraped_at").alias("obs_date"))
+        ref = (history.withColumnRenamed("obs_date", "__day").join(inc, "product_id")
                .filter(F.col("__day") < F.col("obs_date")))
     latest = (ref.groupBy(*key).agg(F.max(F.struct("scraped_at", "id", "price")).alias("__l"))
-                 .select(*key, F.col("__l.scraped_at").alias("__stored_ts"), F.col("__l.price").alias("__stored")))
-    in_order = Window.partitionBy("product_id").orderBy("obs_date")
-    inc = inc.withColumn("__before", F.lag(F.struct("scraped_at", "price")).over(in_order))
-    same_day = history.select("product_id", "obs_date", F.col("id").alias("__id"),
-                              F.col("price").alias("__old_price"), F.col("scraped_at").alias("__old_ts"))
-    newer = F.col("__before").isNotNull() & (F.col("__stored_ts").isNull() | (F.col("__before.scraped_at") >= F.col("__stored_ts")))
-    j = (inc.join(latest, key, "left")
-            .withColumn("__prev", F.when(newer, F.col("__before.price")).otherwise(F.col("__stored")))
-            .join(same_day, ["product_id", "obs_date"], "left")
-            .withColumn("price_change", price_change(F.col("price"), F.col("__prev")))
-            .withColumn("price_change_pct", price_change_pct(F.col("price"), F.col("__prev")))
-            .withColumn("action", F.when(F.col("__id").isNull(), "insert")
-                                   .when(F.col("__old_price") != F.col("price"), "update")
-                                   .otherwise("noop")))
-    upd = j.filter(F.col("action") == "update").select(
-        "product_id", "obs_date", *[F.col(c).alias("__u_" + c) for c in
-                                    ("price", "currency", "availability", "price_change", "price_change_pct")])
-    kept = history.join(upd, ["product_id", "obs_date"], "left")
-    hit = F.col("__u_price").isNotNull()
-    kept = kept.select("id", "product_id",
-                       *[F.when(hit, F.col("__u_" + c)).otherwise(F.col(c)).alias(c)
-                         for c in ("price", "currency", "availability", "price_change", "price_change_pct")],
-                       "scraped_at", "obs_date")
-    ins = j.filter(F.col("action") == "insert")
+                 .select(*key, F.col("__l.scraped_at").alias("scraped_at"), F.col("__l.price").alias("price")))
+    actions = price_actions(history, incoming, latest, key)
     max_id = history.select(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
-    ins = assign_ids(ins.select("product_id", "price", "currency", "availability", "price_change",
-                                "price_change_pct", "scraped_at", "obs_date"), ["product_id", "obs_date"], max_id)
-    table = kept.unionByName(ins.select(*PRICE_COLS))
-    actions = j.select("product_id", "obs_date", "price", F.col("__prev").alias("previous_price"),
-                       "price_change", "price_change_pct", "action")
-    return Upserted(table.select(*PRICE_COLS), actions)
+    table = updated_prices(history, actions).unionByName(new_prices(actions, max_id))
+    return Upserted(table.select(*PRICE_COLS), actions.select(*ACTION_COLS))
 
 
 # ----------------------------------------------------------------------------
@@ -155,16 +180,16 @@ def insert_absent(dim: DataFrame, names: DataFrame, key: str = "name") -> DataFr
     return dim.select("id", key).unionByName(added.select("id", key))
 
 
-def load_counters(price_actions: DataFrame, found: DataFrame, clean: DataFrame | None = None) -> DataFrame:
+def load_counters(price_actions: DataFrame, found: DataFrame | int, clean: DataFrame | int | None = None) -> DataFrame:
     """Found / clean / inserted / updated / unchanged / saved / failed (one row).
     ``found`` is what the sources delivered, ``clean`` what the cleaning kept (default: the
-    same).  Every loaded row counts as saved (insert, update and no-op alike); failed are
+    same); either may be given as its number of rows.  Every loaded row counts as saved (insert, update and no-op alike); failed are
     the clean rows that were not saved.  Rejects and duplicates are no failures."""
     a = price_actions.agg(F.count_if(F.col("action") == "insert").alias("inserted"),
                           F.count_if(F.col("action") == "update").alias("updated"),
                           F.count_if(F.col("action") == "noop").alias("unchanged"),
                           F.count_if(F.col("action").isin("insert", "update", "noop")).alias("products_saved"))
-    size = lambda df: df.select(F.count(F.lit(1))).scalar()
+    size = lambda x: F.lit(x).cast("bigint") if isinstance(x, int) else x.select(F.count(F.lit(1))).scalar()
     return (a.select(size(found).alias("products_found"), size(found if clean is None else clean).alias("products_clean"), "*")
              .withColumn("products_failed", F.col("products_clean") - F.col("products_saved")))
 
@@ -172,7 +197,7 @@ def load_counters(price_actions: DataFrame, found: DataFrame, clean: DataFrame |
 def source_counts(batch: DataFrame, stores: DataFrame) -> DataFrame:
     """Per store: rows delivered (0 for a store that returned nothing)."""
     got = batch.groupBy("store_id").agg(F.count(F.lit(1)).alias("products"))
-    return (F.broadcast(stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name")))
+    return (stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))
             .join(got, "store_id", "left").fillna(0, ["products"]))
 
 
@@ -187,26 +212,31 @@ def run_status(counters: DataFrame, per_source: DataFrame) -> DataFrame:
                                    .when(saved, K.RUN_STATUS_PARTIAL).otherwise(K.RUN_STATUS_FAILURE)))
 
 
-def run_summary(per_category: DataFrame) -> DataFrame:
-    """Per store: products, categories that delivered and that did not, its error (a
-    store that delivered nothing) and one message line."""
+def run_summary(per_category: DataFrame, errors: dict[str, str] | None = None) -> DataFrame:
+    """Per store: products, categories that delivered and that did not, its error (the
+    text in ``errors`` by store name; else a store that delivered nothing) and one message line."""
     g = per_category.groupBy("store_name").agg(
         F.sum("products").alias("products"),
         F.count_if(F.col("products") > 0).alias("categories_ok"),
         F.count_if(F.col("products") == 0).alias("categories_fail"))
-    g = g.withColumn("error", F.when(F.col("products") == 0, F.lit("nothing delivered")))
-    return g.withColumn("message", F.format_string("%s: %d products (%d categories ok, %d failed)",
-                                                   "store_name", "products", "categories_ok", "categories_fail"))
+    told = F.lit(None).cast("string")
+    for store, text in (errors or {}).items():
+        told = F.when(F.col("store_name") == store, F.lit(text)).otherwise(told)
+    g = g.withColumn("error", F.coalesce(told, F.when(F.col("products") == 0, F.lit("nothing delivered"))))
+    return g.withColumn("message", F.when(told.isNotNull(), F.format_string("%s: failed (%s)", "store_name", "error"))
+                        .otherwise(F.format_string("%s: %d products (%d categories ok, %d failed)",
+                                                   "store_name", "products", "categories_ok", "categories_fail")))
 
 
 def run_message(status: DataFrame, summary: DataFrame) -> DataFrame:
-    """The run's message: status line, counts, then one part per store."""
+    """The run's message: status line, counts from found over clean to saved, then one
+    part per store."""
     # one message per store: a bounded list
     parts = summary.select(F.array_join(F.array_sort(F.collect_list("message")), " | ")).scalar()
     return status.withColumn("stores_msg", parts).withColumn(
         "message", F.concat_ws(" | ", F.concat(F.lit("status "), F.col("status")),
-                               F.format_string("%d found, %d saved, %d failed", "products_found",
-                                               "products_saved", "products_failed"),
+                               F.format_string("%d found -> %d clean -> %d saved, %d failed", "products_found",
+                                               "products_clean", "products_saved", "products_failed"),
                                F.col("stores_msg")))
 
 
@@ -386,51 +416,76 @@ def fill_defaults(df: DataFrame, table: str, now: Column) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 
+LOG = ("id bigint, process_name string, status string, message string, execution_time_ms int, products_found int, "
+       "products_saved int, products_failed int, created_at timestamp_ntz")
+
+
 def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
-            rate: float = K.USD_TO_MXN, process_name: str = "price_etl") -> DataFrame:
-    """Raw listings -> clean (C9) -> product upsert (L1/L4) -> daily price
-    load (L2/L3) -> next state version + run log row (L6-L8).
-
-    State lives under ``state_root`` as versioned Parquet (see
-    :class:`pricetide.streaming.jobs.VersionedState`); version 0 is created
-    empty when absent (S5).  Re-running the same run id rewrites the same
-    version from the same input (idempotent); running the same batch again as
-    a new run changes nothing but the version number.  Returns the run log row,
-    which is also written to ``state_root/pipeline_logs`` (S6)."""
+            rate: float = K.USD_TO_MXN, process_name: str = "price_etl", source_errors: dict[str, str] | None = None) -> DataFrame:
+    """Raw listings -> clean (C9) -> change within the batch (K1) -> product upsert
+    (L1/L4) and daily price load (L2/L3) -> next state version, run log row (L6-L8) and run
+    summary (L9).
+
+    State lives under ``state_root`` (see :class:`pricetide.operators.state.VersionedState`);
+    version 0 is created empty when absent (S5).  A run writes the next version; the newest
+    run, repeated under its id, writes its own version again from the same base
+    (idempotent), and repeating an older run is an error.  The same batch as a new run
+    changes nothing but the version number.
+
+    Found, clean, cleaner and calculator counters are observed while the rows pass; nothing
+    is read again to be counted.  ``source_errors`` (store name -> text) tells which
+    extractions failed.  Returns the run log row, which is also written to
+    ``state_root/pipeline_logs`` (S6); ``run_summaries`` reads the summaries.  Where the
+    state can't be opened the row says so (failure) and nothing is written."""
     import time
-    from pricetide.operators.cleaning import category_ids, clean_all, lookup_id, parse_scraped_at, store_ids
-    from pricetide.streaming.jobs import VersionedState
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    from pyspark.sql import Observation
+    from pricetide.operators.changes import batch_changes, change_counts
+    from pricetide.operators.cleaning import METRICS, clean_observed, parse_scraped_at
+    from pricetide.operators.state import VersionedState
+    from pricetide.session import written
     t0 = time.time()
-    state = VersionedState(spark, state_root)
-    base = state.latest_version()
-    if base < 0:
-        state.write(0, spark.createDataFrame([], VersionedState.PRODUCTS),
-                    spark.createDataFrame([], VersionedState.PRICES))
-        base = 0
-    base = min(base, int(run_id) - 1) if run_id > 0 else base
-    products, prices = state.read(base)
-    checkpoint_dir(spark)
-    cleaned = clean_all(raw, rate).data.checkpoint()          # read by every step below
-    run_time = cleaned.select(F.max(F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss"))
-                                    .cast("timestamp_ntz"))).scalar()
-    up = upsert_products(products, cleaned, run_time)
-    inc = (cleaned.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
-           .select("product_id", "price", "currency", "availability",
-                   parse_scraped_at(F.col("scraped_at"), run_time).alias("scraped_at")))
-    loaded = load_prices(prices, inc)
-    state.write(base + 1, up.table, loaded.table)
-    stores = spark.createDataFrame([(int(i), n) for i, n, *_ in K.STORES], "id bigint, name string")
-    # a source, and a category of a source, is judged by what it delivered
-    delivered = raw.select(lookup_id(F.col("store_name"), store_ids(), K.STORE_ALIASES).alias("store_id"),
-                           lookup_id(F.col("category"), category_ids(), K.CATEGORY_ALIASES).alias("category_id"))
-    status = run_status(load_counters(loaded.actions, raw, cleaned), source_counts(delivered, stores))
-    cats = spark.createDataFrame([(int(i),) for i, *_ in K.CATEGORIES], "category_id bigint")
-    grid = F.broadcast(stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))) \
-        .crossJoin(F.broadcast(cats))                          # fixed 3 x 7 store x category frontier
-    per_cat = grid.join(delivered.groupBy("store_id", "category_id").agg(F.count(F.lit(1)).alias("products")),
-                        ["store_id", "category_id"], "left").fillna(0, ["products"])
-    log = run_log_row(run_message(status, run_summary(per_cat)), F.lit(int(run_id)), run_time,
-                      F.lit(int((time.time() - t0) * 1000)), process_name)
-    log = log.checkpoint()
+    elapsed = lambda: int((time.time() - t0) * 1000)
+    try:
+        state = VersionedState(spark, state_root)
+        if state.latest_version() < 0:
+            state.write(0, spark.createDataFrame([], VersionedState.PRODUCTS), spark.createDataFrame([], VersionedState.PRICES))
+        version = state.place_of(run_id)
+    except (Py4JJavaError, PySparkException) as e:
+        text = f"status {K.RUN_STATUS_FAILURE} | state not opened: {str(e).splitlines()[0]}"[:K.LOG_MESSAGE_MAX]
+        return spark.createDataFrame([(int(run_id), process_name, K.RUN_STATUS_FAILURE, text, elapsed(), 0, 0, 0, None)], LOG)
+    # what each source, and each category of a source, delivered: a fixed number of counters
+    stores, cats = [(int(i), n) for i, n, *_ in K.STORES], [int(i) for i, *_ in K.CATEGORIES]
+    delivered = [F.count_if((F.col("store_id") == i) & (F.col("category_id") == c)).alias(f"from_{i}_{c}") for i, _ in stores for c in cats]
+    delivered += [F.count_if(F.col("store_id") == i).alias(f"from_{i}") for i, _ in stores]
+    times = F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    cleaned, n = clean_observed(raw, rate, delivered)
+    run_time = F.lit(cleaned.agg(F.max(times)).first()[0]).cast("timestamp_ntz")
+    seen = Observation()
+    cleaned = cleaned.withColumn("scraped_at", parse_scraped_at(F.col("scraped_at"), run_time))
+    changed = batch_changes(cleaned, ["name", "store_id"], ["scraped_at", "price", "url"])
+    batch = written(changed.observe(seen, *change_counts()), "batch").drop("price_change", "price_change_pct")
+    calculated = seen.get
+    merged = state.merge(batch.select("name", "store_id", "category_id", "brand", "url", "sku", "price", "currency",
+                                      "availability", "scraped_at"), run_time, version, run_id)
+    per_source = spark.createDataFrame([(i, name, n[f"from_{i}"]) for i, name in stores], "store_id bigint, store_name string, products bigint")
+    per_cat = spark.createDataFrame([(name, c, n[f"from_{i}_{c}"]) for i, name in stores for c in cats],
+                                    "store_name string, category_id bigint, products bigint")
+    status = run_status(load_counters(merged.prices, n["rows_input"], n["rows_output"]), per_source)
+    sources = run_summary(per_cat, source_errors)
+    told = run_message(status, sources).checkpoint()
+    log = run_log_row(told, F.lit(int(run_id)), run_time, F.lit(elapsed()), process_name).checkpoint()
     write_log(log, os.path.join(state_root, "pipeline_logs"))
+    stat = lambda names, of: F.struct(*[F.lit(of[c]).cast("bigint").alias(c) for c in names])
+    one = sources.select(F.array_sort(F.collect_list(F.struct("store_name", "products", "categories_ok", "categories_fail", "error")))).scalar()
+    summary = told.select(F.lit(int(run_id)).cast("bigint").alias("id"), "status", "products_found", "products_clean", "products_saved",
+                          "products_failed", F.lit(elapsed()).alias("execution_time_ms"), one.alias("sources"),
+                          stat(METRICS, n).alias("cleaner_stats"), stat(list(calculated), calculated).alias("calculator_stats"), "message")
+    write_log(summary, os.path.join(state_root, "run_summaries"))
     return log
+
+
+def run_summaries(spark: SparkSession, state_root: str) -> DataFrame:
+    """The summaries of all runs: counts, sources, cleaner_stats (C10), calculator_stats (K6), message."""
+    return spark.read.parquet(os.path.join(state_root, "run_summaries")).drop("run")

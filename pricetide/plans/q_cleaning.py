@@ -137,8 +137,7 @@ def c09(spark, d):
     return CL.clean_all(_raw(spark, d)).data.select(*_OUT.split(", "), "price_original")
 
 
-@query("c10_clean_metrics_r", f"""WITH {STAGES_CTE}
-SELECT (SELECT count(*) FROM raw) AS rows_input,
+METRICS_SQL = f"""SELECT (SELECT count(*) FROM raw) AS rows_input,
        (SELECT count(*) FROM named WHERE length(name) > 0) AS rows_after_normalize,
        (SELECT count(*) FROM mapped WHERE category_id IS NULL) AS unmapped_categories,
        (SELECT count(*) FROM mapped WHERE category_id IS NOT NULL) AS rows_after_category_map,
@@ -151,7 +150,10 @@ SELECT (SELECT count(*) FROM raw) AS rows_input,
        (SELECT count(*) FROM d2 WHERE NOT {OK_SQL}) AS invalid_prices,
        (SELECT count(*) FROM d2 WHERE {OK_SQL}) AS rows_output,
        (SELECT count(*) FROM conv) - (SELECT count(*) FROM d2) AS duplicates_removed,
-       (SELECT count(*) FROM d2 WHERE {OK_SQL}) AS rows_after_validation""")
+       (SELECT count(*) FROM d2 WHERE {OK_SQL}) AS rows_after_validation"""
+
+
+@query("c10_clean_metrics_r", f"WITH {STAGES_CTE}\n{METRICS_SQL}")
 def c10(spark, d):
     return CL.clean_all(_raw(spark, d)).metrics
 

@@ -95,35 +95,34 @@ _PHCOLS = "id, product_id, price, currency, availability, price_change, price_ch
 
 
 def _run_split(spark, d):
+    """The stored star as the state's first version, and the batch merged into it."""
+    from pricetide.operators.state import VersionedState
+    from pricetide.streaming.jobs import run_dir
     b = events_split(spark, d)
-    up = L.upsert_products(b.stored.products, b.incoming, b.run_time)
-    inc2 = (b.incoming.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
-            .select("product_id", "price", "currency", "availability", "scraped_at"))
-    prices = L.load_prices(b.stored.price_history, inc2)
-    return b, up, prices
+    state = VersionedState(spark, run_dir(spark, "split"))
+    state.write(0, b.stored.products, b.stored.price_history)
+    return b, state, state.merge(b.incoming, b.run_time)
 
 
 @query("l01_product_upsert_e", f"WITH {SPLIT_CTE}\nSELECT {_PCOLS} FROM nextp")
 def l01(spark, d):
-    b = events_split(spark, d)
-    return L.upsert_products(b.stored.products, b.incoming, b.run_time).table
+    return _run_split(spark, d)[1].read(1)[0]
 
 
 @query("l02_daily_price_upsert_e", f"WITH {SPLIT_CTE}\nSELECT {_PHCOLS} FROM nextph")
 def l02(spark, d):
-    return _run_split(spark, d)[2].table
+    return _run_split(spark, d)[1].prices(1)
 
 
 @query("l03_change_at_load_e", f"""WITH {SPLIT_CTE}
 SELECT product_id, obs_date, price, previous_price, price_change, price_change_pct, action FROM j""")
 def l03(spark, d):
-    return _run_split(spark, d)[2].actions
+    return _run_split(spark, d)[2].prices
 
 
 @query("l04_surrogate_keys_e", f"WITH {SPLIT_CTE}\nSELECT id, name, store_id, action FROM nextp WHERE action <> 'keep'")
 def l04(spark, d):
-    b = events_split(spark, d)
-    return L.upsert_products(b.stored.products, b.incoming, b.run_time).actions
+    return _run_split(spark, d)[2].products
 
 
 _COUNTERS_SQL = """SELECT (SELECT count(*) FROM inc) AS products_found, (SELECT count(*) FROM inc) AS products_clean,
@@ -137,8 +136,8 @@ FROM j"""
 
 @query("l06_load_counters_e", f"WITH {SPLIT_CTE}\n{_COUNTERS_SQL}")
 def l06(spark, d):
-    b, up, prices = _run_split(spark, d)
-    return L.load_counters(prices.actions, b.incoming)
+    b, _, merged = _run_split(spark, d)
+    return L.load_counters(merged.prices, b.incoming)
 
 
 _SRC_SQL = """src AS (SELECT s.id AS store_id, s.name AS store_name, count(i.name) AS products
@@ -152,8 +151,8 @@ st2 AS (SELECT *, CASE WHEN products_saved > 0 AND sources_ok = sources_total TH
 
 @query("l07_run_status_e", f"WITH {SPLIT_CTE},\n{_SRC_SQL}\nSELECT * FROM st2")
 def l07(spark, d):
-    b, up, prices = _run_split(spark, d)
-    return L.run_status(L.load_counters(prices.actions, b.incoming), L.source_counts(b.incoming, b.stored.stores))
+    b, _, merged = _run_split(spark, d)
+    return L.run_status(L.load_counters(merged.prices, b.incoming), L.source_counts(b.incoming, b.stored.stores))
 
 
 def _per_category(b):
@@ -182,7 +181,7 @@ def l09(spark, d):
 {_SRC_SQL},
 {_PERCAT_SQL},
 msg AS (SELECT st2.*, concat_ws(' | ', 'status ' || status,
-                 printf('%d found, %d saved, %d failed', products_found, products_saved, products_failed),
+                 printf('%d found -> %d clean -> %d saved, %d failed', products_found, products_clean, products_saved, products_failed),
                  (SELECT string_agg(message, ' | ' ORDER BY message) FROM summ2)) AS message FROM st2)
 SELECT CAST(1 AS BIGINT) AS id, 'price_etl' AS process_name, status, substring(message, 1, {K.LOG_MESSAGE_MAX}) AS message,
        CAST(0 AS INTEGER) AS execution_time_ms, CAST(products_found AS INTEGER) AS products_found,
@@ -190,8 +189,8 @@ SELECT CAST(1 AS BIGINT) AS id, 'price_etl' AS process_name, status, substring(m
        {_RUN} AS created_at
 FROM msg""")
 def l08(spark, d):
-    b, up, prices = _run_split(spark, d)
-    status = L.run_status(L.load_counters(prices.actions, b.incoming), L.source_counts(b.incoming, b.stored.stores))
+    b, _, merged = _run_split(spark, d)
+    status = L.run_status(L.load_counters(merged.prices, b.incoming), L.source_counts(b.incoming, b.stored.stores))
     msg = L.run_message(status, L.run_summary(_per_category(b)))
     return L.run_log_row(msg, F.lit(1), b.run_time, F.lit(0))
 
@@ -219,38 +218,48 @@ def l10(spark, d):
 @query("l11_full_run_r", None)
 def l11(spark, d):
     """First run into an empty state: clean -> upsert products -> load prices."""
-    cleaned = CL.clean_all(retail_listings(spark, d)).data
-    run_time = cleaned.select(F.max(F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))).scalar()
-    empty_p = spark.createDataFrame([], "id bigint, name string, brand string, url string, sku string, "
-                                        "category_id bigint, store_id bigint, created_at timestamp_ntz")
-    empty_h = spark.createDataFrame([], "id bigint, product_id bigint, price double, currency string, "
-                                        "availability boolean, price_change double, price_change_pct double, "
-                                        "scraped_at timestamp_ntz, obs_date date")
-    up = L.upsert_products(empty_p, cleaned, run_time)
-    inc = (cleaned.join(up.table.select(F.col("id").alias("product_id"), "name", "store_id"), ["name", "store_id"])
-           .select("product_id", "price", "currency", "availability",
-                   CL.parse_scraped_at(F.col("scraped_at"), run_time).alias("scraped_at")))
-    return L.load_prices(empty_h, inc).table
+    from pricetide.operators.state import VersionedState
+    from pricetide.streaming.jobs import run_dir
+    root = run_dir(spark, "l11")
+    L.run_etl(spark, retail_listings(spark, d), root, 1)
+    return VersionedState(spark, root).prices(1)
+
+
+def _three_runs(spark, d):
+    """The scheduled run into an empty state as run 10, with the same input as run 20, and
+    run 20 once more (a replay)."""
+    from pricetide.streaming.jobs import run_dir
+    root, raw = run_dir(spark, "l11"), retail_listings(spark, d)
+    return root, [L.run_etl(spark, raw, root, k) for k in (10, 20, 20)][:2]
 
 
 @query("l11_etl_runs_r", None)
 def l11_runs(spark, d):
-    """The scheduled run, first into an empty state and then once more with the same
-    input: the run log, and what the second run changed in the state (nothing)."""
-    from pricetide.streaming.jobs import VersionedState, run_dir
-    root, raw = run_dir(spark, "l11"), retail_listings(spark, d)
-    logs = L.run_etl(spark, raw, root, 1).unionByName(L.run_etl(spark, raw, root, 2))
+    """The run log, the number of versions, and what the second run and its replay changed
+    in the state (nothing)."""
+    from pricetide.operators.state import VersionedState
+    root, logs = _three_runs(spark, d)
     state = VersionedState(spark, root)
     (p1, h1), (p2, h2) = state.read(1), state.read(2)
     changed = (p1.exceptAll(p2).select("id").unionAll(p2.exceptAll(p1).select("id"))
                .unionAll(h1.exceptAll(h2).select("id")).unionAll(h2.exceptAll(h1).select("id"))).select(F.count(F.lit(1))).scalar()
-    return logs.select("id", "status", "products_found", "products_saved", "products_failed", changed.alias("rows_changed_by_run_2"))
+    return logs[0].unionByName(logs[1]).select("id", "status", "products_found", "products_saved", "products_failed", changed.alias("rows_changed_by_run_20"),
+                                               F.lit(state.latest_version()).cast("bigint").alias("versions"))
+
+
+@query("l09_run_counters_r", None)
+def l09_counters(spark, d):
+    """The summaries of runs 10 and 20: cleaner and calculator counters, counts in the message."""
+    root, _ = _three_runs(spark, d)
+    return L.run_summaries(spark, root).select(
+        "id", "status", "products_clean", F.element_at(F.split("message", r" \| "), 2).alias("counts"),
+        F.size("sources").cast("bigint").alias("n_sources"), "cleaner_stats.*", "calculator_stats.*")
 
 
 # l10 / l11 oracle texts (registered after the functions to reuse the cleaning SQL)
 def _late_oracles():
     from pricetide.plans.catalog import ORACLE
-    from pricetide.plans.q_cleaning import OK_SQL, STAGES_CTE, STORE_SQL
+    from pricetide.plans.q_cleaning import METRICS_SQL, OK_SQL, STAGES_CTE, STORE_SQL
     from pricetide.sources.raw import RETAIL_LISTINGS_SQL
     ORACLE["l10_consolidate_sources_r"] = (
         f"WITH raw AS ({RETAIL_LISTINGS_SQL})\nSELECT {STORE_SQL} AS source, store_name, count(*) AS rows FROM raw "
@@ -258,8 +267,16 @@ def _late_oracles():
     ORACLE["l11_etl_runs_r"] = f"""WITH {STAGES_CTE}
 SELECT CAST(id AS BIGINT) AS id, 'success' AS status, CAST((SELECT count(*) FROM raw) AS INTEGER) AS products_found,
        CAST((SELECT count(*) FROM d2 WHERE {OK_SQL}) AS INTEGER) AS products_saved, CAST(0 AS INTEGER) AS products_failed,
-       CAST(0 AS BIGINT) AS rows_changed_by_run_2
-FROM (VALUES (1), (2)) AS t(id)"""
+       CAST(0 AS BIGINT) AS rows_changed_by_run_20, CAST(2 AS BIGINT) AS versions
+FROM (VALUES (10), (20)) AS t(id)"""
+    ORACLE["l09_run_counters_r"] = f"""WITH {STAGES_CTE},
+m AS ({METRICS_SQL})
+SELECT CAST(t.id AS BIGINT) AS id, 'success' AS status, m.rows_output AS products_clean,
+       printf('%d found -> %d clean -> %d saved, 0 failed', m.rows_input, m.rows_output, m.rows_output) AS counts,
+       CAST({len(K.STORES)} AS BIGINT) AS n_sources, m.*, m.rows_output AS products_processed, CAST(0 AS BIGINT) AS changes_calculated,
+       m.rows_output AS first_records, CAST(0 AS BIGINT) AS price_increases, CAST(0 AS BIGINT) AS price_decreases,
+       CAST(0 AS BIGINT) AS price_unchanged
+FROM (VALUES (10), (20)) AS t(id), m"""
     ORACLE["l11_full_run_r"] = f"""WITH {STAGES_CTE},
 cl AS (SELECT * FROM d2 WHERE {OK_SQL}),
 rt AS (SELECT max(try_strptime(scraped_at, '%Y-%m-%d %H:%M:%S')) AS t FROM cl),

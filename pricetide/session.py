@@ -58,6 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def written(df, name: str):
+    """``df`` as a Parquet table in the shared folder, read again."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)

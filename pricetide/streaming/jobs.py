@@ -6,9 +6,9 @@ files as they land:
 * T1 ``stream_clean``: file source -> the stateless cleaning steps -> file sink.
 * T2 ``stream_daily_keys``: one observation per (product, UTC day) with a
   watermark bounding the de-duplication state (first arrival wins).
-* T3 ``stream_upsert``: ``foreachBatch`` running the batch merge (L1-L3) into
-  versioned Parquet state; an epoch writes its own version folder, so a
-  replayed epoch after a failure rewrites the same output (idempotent).
+* T3 ``stream_upsert``: ``foreachBatch`` running the batch merge (L1-L3) into the
+  stored state; an epoch writes its own version of the days that it touches, so a
+  replayed epoch after a failure rewrites the same files (idempotent).
 * T4 ``stream_window_stats``: per-day windowed price statistics, complete
   mode, each micro-batch's full result written by ``foreachBatch``.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pricetide import constants as K
 from pricetide.operators import cleaning as CL
-from pricetide.operators import load as L
+from pricetide.operators.state import VersionedState
 from pricetide.session import checkpoint_dir
 from pricetide.sources.adapters import _event_type_no
 
@@ -106,64 +106,11 @@ def stream_daily_keys(spark: SparkSession, events_stream: DataFrame, out: str, w
 # ----------------------------------------------------------------------------
 
 
-class VersionedState:
-    """Products and price history as versioned Parquet folders.  Version n
-    is written by epoch n from version n-1 (version 0 = initial state)."""
-
-    PRODUCTS = ("id bigint, name string, brand string, url string, sku string, category_id bigint, "
-                "store_id bigint, created_at timestamp_ntz")
-    PRICES = ("id bigint, product_id bigint, price double, currency string, availability boolean, "
-              "price_change double, price_change_pct double, scraped_at timestamp_ntz, obs_date date")
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def path(self, table: str, version: int) -> str:
-        return os.path.join(self.root, table, f"v{version:06d}")
-
-    def write(self, version: int, products: DataFrame, prices: DataFrame) -> None:
-        """Write both tables of a version, then its commit marker (a version
-        without a marker is ignored, so a crash mid-way never exposes it)."""
-        products.write.mode("overwrite").parquet(self.path("products", version))
-        L.write_history(prices, self.path("price_history", version), replace=True)
-        (self.spark.createDataFrame([(int(version),)], "version int")
-         .write.mode("overwrite").parquet(self.path("_commits", version)))
-
-    def read(self, version: int) -> tuple[DataFrame, DataFrame]:
-        p = self.spark.read.schema(self.PRODUCTS).parquet(self.path("products", version))
-        h = self.spark.read.schema(self.PRICES).parquet(self.path("price_history", version))
-        return p, h
-
-    def latest_version(self) -> int:
-        """Highest committed version (-1 when none); reads the tiny commit table."""
-        from pyspark.errors import AnalysisException
-        try:
-            row = (self.spark.read.schema("version int").parquet(os.path.join(self.root, "_commits", "v*"))
-                   .agg(F.max("version")).first())
-        except AnalysisException:
-            return -1
-        return -1 if row is None or row[0] is None else int(row[0])
-
-
 def upsert_batch(state: VersionedState, batch: DataFrame, epoch_id: int, run_time_col) -> None:
-    """T3 body: one micro-batch of cleaned rows (name, store_id, category_id,
-    brand, url, sku, price, currency, availability, scraped_at) merged into
-    version ``epoch_id`` from version ``epoch_id`` - 1 (version 0 = initial)."""
-    prev = epoch_id  # state versions are 1-based per epoch: epoch e reads v(e) and writes v(e+1)
-    products, prices = state.read(prev)
-    keys, day = ["name", "store_id"], F.to_date("scraped_at")
-    # ties of time and price go to the largest of the other columns
-    rest = sorted(c for c in batch.columns if c not in (*keys, "scraped_at", "price"))
-    order = F.struct(F.col("scraped_at"), -F.col("price"), *rest)
-    daily = (batch.groupBy(*keys, day.alias("__day")).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), order).alias("r"))
-             .select(*keys, "__day", "r.*"))
-    newest = (daily.groupBy(*keys).agg(F.max_by(F.struct("brand", "url", "sku", "category_id", "scraped_at"), "__day").alias("r"))
-              .select(*keys, "r.*"))
-    up = L.upsert_products(products, newest, run_time_col(newest))
-    inc = (daily.join(up.table.select(F.col("id").alias("product_id"), *keys), keys)
-                .select("product_id", "price", "currency", "availability", "scraped_at"))
-    nxt = L.load_prices(prices, inc)
-    state.write(prev + 1, up.table, nxt.table)
+    """T3 body: one micro-batch of cleaned rows (see ``VersionedState.merge``) merged into
+    version ``epoch_id`` as version ``epoch_id`` + 1 (version 0 = initial); an epoch that is
+    repeated writes the same version again."""
+    state.merge(batch, run_time_col(batch), version=epoch_id + 1, run_id=epoch_id)
 
 
 def stream_upsert(spark: SparkSession, stream: DataFrame, state: VersionedState, ckpt: str, created_at=None) -> int:

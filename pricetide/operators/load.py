@@ -38,8 +38,8 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: Column | int, out: s
     renumber them.  ``order_cols`` must be unique."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
+    s = (ranged.sortWithinPartitions(*order_cols)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)
@@ -74,7 +74,8 @@ def merge_products(current: DataFrame, incoming: DataFrame, created_at: Column,
     key, facts = ["name", "store_id"], ["brand", "url", "sku", "category_id"]
     inc = incoming.select(*key, *facts)
     cur = current.select(*key, "id", "created_at", *[F.col(c).alias("__old_" + c) for c in facts], *extra)
-    both = inc.join(cur, key, "left")
+    checkpoint_dir(inc.sparkSession)
+    both = inc.join(cur, key, "left").checkpoint()        # looked up once for both parts
     differs = F.lit(False)
     for c in facts:
         differs = differs | ~F.col(c).eqNullSafe(F.col("__old_" + c))

@@ -92,10 +92,11 @@ class VersionedState:
         return int(found)
 
     def _commit(self, version: int, run_id: int | None, first: int, max_product_id: int, max_price_id: int, days: dict) -> None:
-        row = (int(version), None if run_id is None else int(run_id), int(first), self.buckets, int(max_product_id), int(max_price_id),
-               [(d, int(v)) for d, v in sorted(days.items())])
-        self.spark.createDataFrame([row], self.COMMIT).coalesce(1).write.mode("overwrite").parquet(
-            os.path.join(self.root, "commits", f"v{version:06d}"))
+        live = ", ".join(f"named_struct('obs_date', DATE'{d}', 'version', {int(v)})" for d, v in sorted(days.items()))
+        values = [int(version), "NULL" if run_id is None else int(run_id), int(first), self.buckets, int(max_product_id), int(max_price_id), f"array({live})"]
+        fields = [f.split(" ", 1) for f in self.COMMIT.split(", ", 6)]
+        row = ", ".join(f"CAST({v} AS {kind}) AS {name}" for v, (name, kind) in zip(values, fields))
+        self.spark.sql(f"SELECT {row}").write.mode("overwrite").parquet(os.path.join(self.root, "commits", f"v{version:06d}"))
 
     # ------------------------------------------------------------ tables
 
@@ -125,12 +126,7 @@ class VersionedState:
     def prices(self, version: int, days: list | None = None) -> DataFrame:
         """The history as of a version, or its rows of ``days``: only their folders are listed and read."""
         live = {d["obs_date"]: d["version"] for d in self.commit_of(version)["days"]}
-        base = os.path.join(self.root, "prices")
-        paths = [f"{base}/obs_date={d}/version={v}" for d, v in live.items() if days is None or d in days]
-        schema = self.PRICES + ", version int"
-        if not paths:
-            return self.spark.createDataFrame([], self.PRICES)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*L.PRICE_COLS)
+        return self._rows_of({d: v for d, v in live.items() if days is None or d in days})
 
     def read(self, version: int) -> tuple[DataFrame, DataFrame]:
         return self.products(version).select(*L.PRODUCT_COLS), self.prices(version)
@@ -140,30 +136,42 @@ class VersionedState:
     def _write_products(self, version: int, rows: DataFrame) -> None:
         fields = [f.split() for f in self.STORED.split(", ")]
         names = ", ".join(n for n, _ in fields)
-        # cut off from the table itself, which Spark does not let a plan both read and overwrite
-        rows = rows.select(*[F.col(n).cast(kind).alias(n) for n, kind in fields]).repartition(self.buckets, *KEY).checkpoint()
+        rows = rows.select(*[F.col(n).cast(kind).alias(n) for n, kind in fields]).repartition(self.buckets, *KEY)
         # the rows of a micro-batch belong to a session of their own (the catalog is shared)
         rows.sparkSession.sql(f"INSERT OVERWRITE TABLE {self._table()} PARTITION (version = {int(version)}) ({names}) "
                               f"SELECT {names} FROM {{rows}}", rows=rows)
 
-    def _write_prices(self, version: int, rows: DataFrame) -> None:
-        """Days of a version.  The rebalance gives a large day several tasks and puts small ones together."""
+    def _write_prices(self, version: int, rows: DataFrame) -> tuple[list, int]:
+        """Days of a version; gives the days and the highest id.  The rebalance gives a large
+        day several tasks and puts small ones together."""
+        from pyspark.sql import Observation
+        seen = Observation()
         (rows.hint("rebalance", F.col("obs_date")).sortWithinPartitions("obs_date", "product_id", "scraped_at")
+         .observe(seen, F.collect_set("obs_date").alias("days"), F.max("id").alias("top"))        # one entry per calendar day
          .withColumn("version", F.lit(int(version))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("obs_date", "version").parquet(os.path.join(self.root, "prices")))
+        return list(seen.get["days"]), seen.get["top"] or 0
+
+    def _rows_of(self, days: dict) -> DataFrame:
+        base = os.path.join(self.root, "prices")
+        paths = [f"{base}/obs_date={d}/version={v}" for d, v in sorted(days.items())]
+        if not paths:
+            return self.spark.createDataFrame([], self.PRICES)
+        return self.spark.read.schema(self.PRICES + ", version int").option("basePath", base).parquet(*paths).select(*L.PRICE_COLS)
 
     def write(self, version: int, products: DataFrame, prices: DataFrame, run_id: int | None = None) -> None:
         """A whole state as a version (the initial one, or one that is brought in)."""
         checkpoint_dir(self.spark)
-        prices = prices.select(*L.PRICE_COLS).checkpoint()
-        self._write_prices(version, prices)
-        latest = prices.groupBy("product_id").agg(F.max(F.struct("scraped_at", "id", "price")).alias("l")).select(
+        days, top_price = self._write_prices(version, prices.select(*L.PRICE_COLS))
+        days = {d: version for d in days}
+        latest = self._rows_of(days).groupBy("product_id").agg(F.max(F.struct("scraped_at", "id", "price")).alias("l")).select(
             "product_id", F.col("l.id").alias("last_id"), F.col("l.price").alias("last_price"), F.col("l.scraped_at").alias("last_at"))
         full = products.select(*L.PRODUCT_COLS).join(latest, F.col("id") == F.col("product_id"), "left").drop("product_id")
+        if version > 0:                          # may come from this state: a plan can't read a table and overwrite it
+            full = full.checkpoint()
         self._write_products(version, full)
-        top = lambda df: df.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        days = {r[0]: version for r in prices.select("obs_date").distinct().collect()}
-        self._commit(version, run_id, version, top(self.spark.table(self._table()).where(F.col("version") == int(version))), top(prices), days)
+        top = self.spark.table(self._table()).where(F.col("version") == int(version)).agg(F.max("id")).first()[0] or 0
+        self._commit(version, run_id, version, top, top_price, days)
 
     def merge(self, batch: DataFrame, created_at: Column, version: int | None = None, run_id: int | None = None) -> Merged:
         """The next version: ``batch`` (cleaned rows: KEY, category_id, brand, url, sku, price,
@@ -180,7 +188,7 @@ class VersionedState:
         daily = (batch.groupBy(*KEY, day).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in KEY]), order).alias("r"))
                  .select(*KEY, "obs_date", "r.*")).checkpoint()
         newest = daily.groupBy(*KEY).agg(F.max_by(F.struct("brand", "url", "sku", "category_id"), "obs_date").alias("r")).select(*KEY, "r.*")
-        keyed = L.merge_products(self.products(version - 1), newest, created_at, base["max_product_id"], LATEST).checkpoint()
+        keyed = L.merge_products(self.products(version - 1), newest, created_at, base["max_product_id"], LATEST)
 
         inc = (daily.join(keyed.select(F.col("id").alias("product_id"), *KEY), KEY)
                .select("product_id", "price", "currency", "availability", "scraped_at"))
@@ -188,12 +196,12 @@ class VersionedState:
         stored = self.prices(version - 1, batch_days)
         latest = keyed.where("last_at IS NOT NULL").select(F.col("id").alias("product_id"), F.col("last_at").alias("scraped_at"), F.col("last_price").alias("price"))
         actions = L.price_actions(stored, inc, latest).checkpoint()
-        changed = [r[0] for r in actions.where("action <> 'noop'").select("obs_date").distinct().collect()]
+        changed, n_added, top_product = actions.agg(F.collect_set(F.when(F.col("action") != "noop", F.col("obs_date"))),
+                                                    F.count_if(F.col("action") == "insert"), F.max("product_id")).first()
         some = F.col("obs_date").isin(changed) if changed else F.lit(False)
-        added = L.new_prices(actions, base["max_price_id"]).checkpoint()
+        added = L.new_prices(actions, base["max_price_id"])
         if changed:
-            self._write_prices(version, L.updated_prices(stored.where(some), actions).unionByName(added.select(*L.PRICE_COLS)))
-        counts = added.agg(F.count(F.lit(1))).first()[0], keyed.agg(F.count_if(F.col("action") == "insert")).first()[0]
+            self._write_prices(version, L.updated_prices(stored.where(some), actions).unionByName(added))
 
         moved = (added.select("product_id", "scraped_at", "id", "price")
                  .unionByName(actions.where("action = 'update'").select("product_id", F.col("__old_ts").alias("scraped_at"), F.col("__id").alias("id"), "price"))
@@ -205,8 +213,8 @@ class VersionedState:
         first = base["first"]
         if version - first >= COMPACT:
             first, keep = version, self.products(version - 1)
-            rows = keep.join(rows.select(*KEY), KEY, "left_anti").select(rows.columns).unionByName(rows)
+            rows = keep.join(rows.select(*KEY), KEY, "left_anti").select(rows.columns).unionByName(rows).checkpoint()
         self._write_products(version, rows)
         days = {d["obs_date"]: d["version"] for d in base["days"]} | {d: version for d in changed}
-        self._commit(version, run_id, first, base["max_product_id"] + counts[1], base["max_price_id"] + counts[0], days)
+        self._commit(version, run_id, first, max(base["max_product_id"], top_product or 0), base["max_price_id"] + n_added, days)
         return Merged(version, keyed.select("id", *KEY, "action"), actions.select(*L.ACTION_COLS))

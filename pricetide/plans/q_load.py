@@ -22,9 +22,10 @@ _RUN = "(SELECT max(ts) FROM events)"
 _NAME = "event_type || ' #' || CAST(user_id AS VARCHAR) || CASE WHEN user_id % 7 = 0 THEN ' new' ELSE '' END"
 
 
-def split_cte(per_day: bool = False) -> str:
+def split_cte(per_day: bool = False, by_days: bool = False) -> str:
     """CTEs of the split scenario: the next products and prices after the batch ``inc``
-    (one row per product) or, with ``per_day``, after its rows of every day."""
+    (one row per product) or, with ``per_day``, after its rows of every day.  With ``by_days``
+    each day is a batch, so new ids go by the day first."""
     return f"""base AS (SELECT * FROM events WHERE ts < {_CUT}),
 {e_cte('base')},
 inc0 AS (
@@ -50,7 +51,7 @@ upd AS (
          p.created_at, CASE WHEN i.name IS NULL THEN 'keep' ELSE 'update' END AS action
   FROM products p LEFT JOIN inc i ON p.name = i.name AND p.store_id = i.store_id),
 newp AS (
-  SELECT (SELECT coalesce(max(id), 0) FROM products) + row_number() OVER (ORDER BY i.name, i.store_id) AS id,
+  SELECT (SELECT coalesce(max(id), 0) FROM products) + row_number() OVER (ORDER BY {"(SELECT min(CAST(f.scraped_at AS DATE)) FROM inc0 f WHERE f.name = i.name AND f.store_id = i.store_id), " if by_days else ""}i.name, i.store_id) AS id,
          i.name, i.store_id, i.brand, i.url, i.sku, i.category_id, {_RUN} AS created_at, 'insert' AS action
   FROM inc i WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.name = i.name AND p.store_id = i.store_id)),
 nextp AS (SELECT * FROM upd UNION ALL SELECT * FROM newp),
@@ -82,7 +83,7 @@ kept AS (
          h.scraped_at, h.obs_date
   FROM price_history h LEFT JOIN j ON j.product_id = h.product_id AND j.obs_date = h.obs_date),
 insp AS (
-  SELECT (SELECT coalesce(max(id), 0) FROM price_history) + row_number() OVER (ORDER BY product_id, obs_date) AS id,
+  SELECT (SELECT coalesce(max(id), 0) FROM price_history) + row_number() OVER (ORDER BY {"obs_date, product_id" if by_days else "product_id, obs_date"}) AS id,
          product_id, price, currency, availability, price_change, price_change_pct, scraped_at, obs_date
   FROM j WHERE action = 'insert'),
 nextph AS (SELECT * FROM kept UNION ALL SELECT * FROM insp)"""
@@ -94,14 +95,24 @@ _PCOLS = "id, name, brand, url, sku, category_id, store_id, created_at"
 _PHCOLS = "id, product_id, price, currency, availability, price_change, price_change_pct, scraped_at, obs_date"
 
 
-def _run_split(spark, d):
-    """The stored star as the state's first version, and the batch merged into it."""
+def _split_state(spark, d):
+    """The batch, and the stored star as the first version of a state (stored once per
+    session and folder, as the stars are)."""
     from pricetide.operators.state import VersionedState
+    from pricetide.sources.adapters import _memo
     from pricetide.streaming.jobs import run_dir
-    b = events_split(spark, d)
-    state = VersionedState(spark, run_dir(spark, "split"))
-    state.write(0, b.stored.products, b.stored.price_history)
-    return b, state, state.merge(b.incoming, b.run_time)
+
+    def stored():
+        b, state = events_split(spark, d), VersionedState(spark, run_dir(spark, "split"))
+        state.write(0, b.stored.products, b.stored.price_history)
+        return b, state
+    return _memo("split", spark, d, stored)
+
+
+def _run_split(spark, d):
+    """The batch merged into the state: run 1, again for each query."""
+    b, state = _split_state(spark, d)
+    return b, state, state.merge(b.incoming, b.run_time, version=1, run_id=1)
 
 
 @query("l01_product_upsert_e", f"WITH {SPLIT_CTE}\nSELECT {_PCOLS} FROM nextp")

@@ -12,7 +12,7 @@ from pricetide.plans.catalog import query
 from pricetide.plans.q_cleaning import CAT_SQL, OK_SQL, RAW_CTE, STORE_SQL, clean_name_sql
 from pricetide.plans.q_load import split_cte
 from pricetide.plans.sqltext import r2
-from pricetide.sources.adapters import events_split, split_incoming
+from pricetide.sources.adapters import events_split, newest_per_group, split_incoming
 from pricetide.sources.raw import retail_listings
 from pricetide.sources.tables import read_table, table_path
 from pricetide.streaming import jobs as T
@@ -40,28 +40,65 @@ def t01(spark, d):
                                           "currency")
 
 
-@query("t02_stream_daily_keys_e", """
-SELECT DISTINCT user_id * 10 + CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
-       WHEN 'signup' THEN 4 WHEN 'view' THEN 5 ELSE 0 END AS product_id, CAST(ts AS DATE) AS obs_date
-FROM events""")
-def t02(spark, d):
-    out = T.stream_daily_keys(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t02"))
-    return spark.read.parquet(out).select("product_id", "obs_date")
+# Arrival of events: in N_ARRIVALS batches of DAYS days each; every 43rd event one batch later
+# (within the watermark), every 41st of the first batches four batches later (beyond it).
+N_ARRIVALS, DAYS, LATE_WATERMARK = 6, 5, "6 days"
+_ARRIVAL_SQL = f"""seen AS (
+  SELECT *, least({N_ARRIVALS - 1}, date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) // {DAYS}) AS due FROM events),
+arrived AS (
+  SELECT * EXCLUDE (due), CAST(due + CASE WHEN event_id % 41 = 0 AND due <= {N_ARRIVALS - 5} THEN 4 WHEN event_id % 43 = 0 AND due < {N_ARRIVALS - 1} THEN 1 ELSE 0 END AS INT) AS batch,
+         event_id % 41 = 0 AND due <= {N_ARRIVALS - 5} AS late FROM seen)"""
+
+
+def _arriving(spark, d):
+    ev = read_table(spark, d, "events")
+    first = ev.select(F.to_date(F.min("ts"))).scalar()
+    due = F.least(F.lit(N_ARRIVALS - 1), F.floor(F.date_diff(F.to_date("ts"), first) / DAYS))
+    id_ = F.col("event_id")
+    return ev.withColumn("due", due).withColumn(
+        "batch", (F.col("due") + F.when((id_ % 41 == 0) & (F.col("due") <= N_ARRIVALS - 5), 4)
+                  .when((id_ % 43 == 0) & (F.col("due") < N_ARRIVALS - 1), 1).otherwise(0)).cast("int")).drop("due")
+
+
+def _product(c):
+    from pricetide.sources.adapters import _event_type_no
+    return F.col("user_id") * 10 + _event_type_no(c)
 
 
-@query("t03_stream_upsert_e", f"WITH {split_cte(per_day=True)}\nSELECT id, product_id, price, currency, availability, "
+@query("t02_stream_daily_keys_e", f"""WITH {_ARRIVAL_SQL},
+keyed AS (SELECT *, user_id * 10 + CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+            WHEN 'signup' THEN 4 WHEN 'view' THEN 5 ELSE 0 END AS product_id, CAST(ts AS DATE) AS obs_date FROM arrived),
+sent AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY product_id, obs_date, batch ORDER BY ts DESC, event_id DESC) = 1)
+SELECT product_id, obs_date, event_id, value, (SELECT count(*) FROM sent WHERE late) AS late_rows FROM sent WHERE NOT late
+QUALIFY row_number() OVER (PARTITION BY product_id, obs_date ORDER BY batch) = 1""")
+def t02(spark, d):
+    """First arrival per product and day.  Events arrive in several micro-batches, each with
+    its newest row per product and day; the watermark moves, and rows that come later than it
+    are dropped and counted."""
+    rows = _arriving(spark, d).withColumn("product", _product(F.col("event_type"))).withColumn("day", F.to_date("ts"))
+    sent = newest_per_group(rows, ["product", "day", "batch"], ["ts", "event_id"]).drop("product", "day")
+    root = T.run_dir(spark, "t02")
+    runs = T.arrivals(sent, "batch", N_ARRIVALS, root + "/in", lambda: T.daily_keys_and_late_rows(
+        spark, T.file_stream(spark, root + "/in", T.MANY_FILES), root, LATE_WATERMARK))
+    late = F.lit(sum(n for _, n in runs)).cast("bigint")
+    return spark.read.parquet(runs[-1][0]).select("product_id", "obs_date", "event_id", "value", late.alias("late_rows"))
+
+
+@query("t03_stream_upsert_e", f"WITH {split_cte(per_day=True, by_days=True)}\nSELECT id, product_id, price, currency, availability, "
                               "price_change, price_change_pct, scraped_at, obs_date FROM nextph")
 def t03(spark, d):
+    """The batch's days arrive as files of their own: a micro-batch each."""
     b = events_split(spark, d)
     root = T.run_dir(spark, "t03")
     state = T.VersionedState(spark, root)
     state.write(0, b.stored.products, b.stored.price_history)
     # incoming rows: the events newer than the cut, as cleaned records
     ev_all = read_table(spark, d, "events")
+    newest = ev_all.select(F.max("ts")).scalar()
     cut = ev_all.select(F.max("ts") - F.make_interval(hours=F.lit(12))).scalar()
-    stream = T.file_stream(spark, table_path(d, "events"))
-    obs = split_incoming(stream, cut)
-    cleaned = obs.select(
+    obs = split_incoming(ev_all, cut)
+    ago = F.date_diff(F.to_date(newest), F.to_date("ts"))              # 36 hours: three days at most
+    cleaned = lambda: T.file_stream(spark, root + "/in", T.MANY_FILES).select(
         "name", "store_id", "category_id", "event_id",
         F.concat(F.lit("brand "), (F.col("user_id") % 5).cast("string")).alias("brand"),
         F.concat(F.lit("/item/"), F.col("product_id").cast("string")).alias("url"),
@@ -70,33 +107,46 @@ def t03(spark, d):
         (F.col("event_type") != "error").alias("availability"), F.col("ts").alias("scraped_at"))
 
     # one row per product and day of the batch: the newest, then the lowest price
-    T.stream_upsert(spark, cleaned, state, root + "/_checkpoint", lambda _one: ev_all.select(F.max("ts")).scalar())
-    return state.read(state.latest_version())[1]
+    T.arrivals(obs.withColumn("batch", 2 - ago), "batch", 3, root + "/in",
+               lambda: T.stream_upsert(spark, cleaned(), state, root + "/_checkpoint", lambda _one: newest))
+    return state.prices(state.latest_version())
+
+
+_EXACT_AVG = "CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(value)"
+
+
+def _finished_sql(window: str) -> str:
+    return f"{window} <= (SELECT max(ts) FROM events) - INTERVAL 6 DAY"
 
 
-@query("t04_stream_window_stats_e", f"""
-SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, {r2('avg(value)')} AS avg_price,
+@query("t04_stream_window_stats_e", f"""WITH {_ARRIVAL_SQL}
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, {r2(_EXACT_AVG)} AS avg_price,
        min(value) AS min_price, max(value) AS max_price, count(*) AS price_records,
        {r2('stddev_samp(value)')} AS volatility
-FROM events GROUP BY 1, 2""")
+FROM arrived WHERE NOT late GROUP BY 1, 2 HAVING {_finished_sql("CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY")}""")
 def t04(spark, d):
-    out = T.stream_window_stats(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t04"))
+    """Finished one-day windows of events that arrive in several micro-batches; late rows are dropped."""
+    root = T.run_dir(spark, "t04")
+    out = T.arrivals(_arriving(spark, d), "batch", N_ARRIVALS, root + "/in", lambda: T.stream_finished_windows(
+        spark, T.file_stream(spark, root + "/in", T.MANY_FILES), root, LATE_WATERMARK))[-1]
     r = spark.read.parquet(out)
     return r.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type",
                     round2(F.col("avg_price")).alias("avg_price"), "min_price", "max_price", "price_records",
                     round2(F.col("volatility")).alias("volatility"))
 
 
-@query("t04_stream_sliding_stats_e", f"""WITH w AS (
-  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, value FROM events
+@query("t04_stream_sliding_stats_e", f"""WITH {_ARRIVAL_SQL},
+w AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, value FROM arrived WHERE NOT late
   UNION ALL
-  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) - INTERVAL 1 DAY, event_type, value FROM events)
-SELECT window_start, event_type, count(*) AS price_records, max(value) AS max_price, {r2('avg(value)')} AS avg_price
-FROM w GROUP BY 1, 2""")
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) - INTERVAL 1 DAY, event_type, value FROM arrived WHERE NOT late)
+SELECT window_start, event_type, count(*) AS price_records, max(value) AS max_price, {r2(_EXACT_AVG)} AS avg_price
+FROM w WHERE {_finished_sql("window_start + INTERVAL 2 DAY")} GROUP BY 1, 2""")
 def t04_sliding(spark, d):
-    """Two-day windows sliding by one day."""
-    out = T.stream_window_stats(spark, T.file_stream(spark, table_path(d, "events")), T.run_dir(spark, "t04s"),
-                                window="2 days", slide="1 day")
+    """Finished two-day windows sliding by one day."""
+    root = T.run_dir(spark, "t04s")
+    out = T.arrivals(_arriving(spark, d), "batch", N_ARRIVALS, root + "/in", lambda: T.stream_finished_windows(
+        spark, T.file_stream(spark, root + "/in", T.MANY_FILES), root, LATE_WATERMARK, window="2 days", slide="1 day"))[-1]
     r = spark.read.parquet(out)
     return r.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "price_records",
                     "max_price", round2(F.col("avg_price")).alias("avg_price"))

@@ -13,9 +13,9 @@ Both keep one observation per product per UTC day (the latest one of the
 day) and compute the change against the previous kept observation, which is
 what the daily idempotent load produces.
 
-Scale notes: the day-dedup is a hash aggregate with ``max_by`` (partial
-aggregation before the shuffle, so a product holding a third of the rows is
-combined map-side).  The change column is a ``lag`` window partitioned by
+Scale notes: the day-dedup is a row number with a group limit (every map task
+keeps one row per product and day before the shuffle, so a product holding a third
+of the rows sends a handful).  The change column is a ``lag`` window partitioned by
 product over the *deduplicated* rows, at most one row per product per day, so
 a window partition never exceeds the number of days in the history.
 """
@@ -151,14 +151,25 @@ _STARS: dict = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """Star *definitions* are immutable lazy plans: build once per session and
-    folder (saves the Python-side plan construction on every question)."""
+    """What is stored once per session and folder: the stars' history, and the state that the
+    load starts from.  Files that arrive later are not in it (``forget`` has it built anew)."""
     key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _STARS:
         _STARS[key] = build()
     return _STARS[key]
 
 
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Drops what is kept for a folder, its file listings too: the next question stores the
+    stars anew from the files that are there then."""
+    from pricetide.sources import tables
+    app = (id(spark), spark.sparkContext.applicationId)
+    for key in [k for k in _STARS if k[1:] == (*app, sf_dir)]:
+        del _STARS[key]
+    for key in [k for k in tables._SCANS if k[:2] == app and k[2].startswith(sf_dir)]:
+        del tables._SCANS[key]
+
+
 def events_star(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> Star:
     """Star schema of adapter E; ``events`` overrides the table (e.g. a time slice)."""
     if events is None:

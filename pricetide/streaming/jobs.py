@@ -9,8 +9,9 @@ files as they land:
 * T3 ``stream_upsert``: ``foreachBatch`` running the batch merge (L1-L3) into the
   stored state; an epoch writes its own version of the days that it touches, so a
   replayed epoch after a failure rewrites the same files (idempotent).
-* T4 ``stream_window_stats``: per-day windowed price statistics, complete
-  mode, each micro-batch's full result written by ``foreachBatch``.
+* T4 ``stream_finished_windows``: windowed price statistics in append mode: a window
+  is emitted once, when the watermark passes its end, and its state is dropped then.
+  (``stream_window_stats`` gives all windows, open ones too, in complete mode.)
 
 All checkpoints and sinks live under the shared folder named by
 ``spark.checkpoint.dir`` (see :func:`pricetide.session.checkpoint_dir`).
@@ -36,6 +37,9 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
 
 
+MANY_FILES = 1_000_000           # all that have come are one micro-batch
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
     """Parquet file source with the schema of the files already present.
 
@@ -94,11 +98,27 @@ def daily_keys(events: DataFrame, watermark: str = "3 days") -> DataFrame:
 
 
 def stream_daily_keys(spark: SparkSession, events_stream: DataFrame, out: str, watermark: str = "3 days") -> str:
+    return daily_keys_and_late_rows(spark, events_stream, out, watermark)[0]
+
+
+def daily_keys_and_late_rows(spark: SparkSession, events_stream: DataFrame, out: str, watermark: str = "3 days") -> tuple[str, int]:
+    """The sink's folder and how many rows came too late (from the query's progress)."""
     q = (daily_keys(events_stream, watermark).writeStream.format("parquet")
          .option("checkpointLocation", out + "/_checkpoint").option("path", out + "/data")
          .trigger(availableNow=True).start())
     _await(q)
-    return out + "/data"
+    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    return out + "/data", late
+
+
+def arrivals(rows: DataFrame, batch: str, n: int, folder: str, run) -> list:
+    """``rows`` as files in order of arrival: batch 0, 1, ... n - 1 of the column ``batch`` is
+    added to ``folder``, then ``run()`` is called, as a scheduled job that takes what has come."""
+    out = []
+    for i in range(n):
+        rows.where(F.col(batch) == i).drop(batch).write.mode("append").parquet(folder)
+        out.append(run())
+    return out
 
 
 # ----------------------------------------------------------------------------
@@ -134,11 +154,22 @@ def window_stats(events: DataFrame, window: str = "1 day", slide: str | None = N
     # windows over the wall-clock (TIMESTAMP_NTZ) column: no session time zone involved
     w = F.window("ts", window, slide) if slide else F.window("ts", window)
     return (events.groupBy(w.alias("w"), "event_type")
-              .agg(F.avg("value").alias("avg_price"), F.min("value").alias("min_price"),
-                   F.max("value").alias("max_price"), F.count(F.lit(1)).alias("price_records"),
+              .agg((F.sum(F.col("value").cast("decimal(18,6)")).cast("double") / F.count("value")).alias("avg_price"),   # the same in any order of rows
+                   F.min("value").alias("min_price"), F.max("value").alias("max_price"), F.count(F.lit(1)).alias("price_records"),
                    F.stddev_samp("value").alias("volatility")))
 
 
+def stream_finished_windows(spark: SparkSession, events_stream: DataFrame, out: str, watermark: str, window: str = "1 day",
+                            slide: str | None = None) -> str:
+    """T4: statistics of each finished window, appended once.  State holds the windows that
+    the watermark has not passed; rows that are later than that are dropped."""
+    timed = events_stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    q = (window_stats(timed, window, slide).writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", out + "/_checkpoint").option("path", out + "/data").trigger(availableNow=True).start())
+    _await(q)
+    return out + "/data"
+
+
 def weekday_stats(events: DataFrame) -> DataFrame:
     """T4 (A6 form): price statistics per ISO weekday of an events stream."""
     from pricetide.functions import iso_weekday

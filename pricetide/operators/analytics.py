@@ -4,9 +4,9 @@ Every function takes a :class:`~pricetide.sources.adapters.Star` and returns a
 lazy DataFrame.  ``as_of`` is the newest observation (a scalar sub-query), so a
 look-back of ``days`` means ``scraped_at >= as_of - days``.
 
-Plan shape: the "latest row per product" is a hash aggregate with ``max_by``
-(partial aggregation before the shuffle; a hot product is combined map-side),
-dimension tables of bounded size (stores, categories) are broadcast, and
+Plan shape: the "latest row per product" is read from the stored star, bucketed by
+product (else it is a row number with a group limit, which trims every map task to one row
+per product); stores and categories are joined as their measured size suggests, and
 products (which grow with the data) are joined on product id with the strategy
 AQE picks from measured sizes.  Top-n questions end in ``orderBy().limit()``
 which plans as a distributed TakeOrderedAndProject.
@@ -27,17 +27,19 @@ from pricetide.sources.adapters import Star, newest_per_group
 
 
 def latest_prices(star: Star, days: int | None = None) -> DataFrame:
-    """Latest observation per product (optionally among the last ``days``)."""
+    """Latest observation per product (optionally among the last ``days``).  Where the star
+    keeps it, it is read, not found anew: the newest row of all is the newest of a
+    look-back, or the product has no row in it."""
+    if star.latest is not None:
+        return star.latest if days is None else star.latest.filter(F.col("scraped_at") >= star.since(days))
     ph = star.price_history if days is None else star.recent(days)
     return newest_per_group(ph, ["product_id"], ["scraped_at", "id"])
 
 
 def _dims(star: Star):
-    # stores and categories are dimension tables whose row count is the number
-    # of stores / categories: bounded, so broadcasting them is safe.
-    stores = F.broadcast(star.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name")))
-    cats = F.broadcast(star.categories.select(F.col("id").alias("category_id"),
-                                              F.col("name").alias("category_name")))
+    # the planner broadcasts them by their measured size: categories may grow with the data
+    stores = star.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))
+    cats = star.categories.select(F.col("id").alias("category_id"), F.col("name").alias("category_name"))
     return stores, cats
 
 
@@ -66,20 +68,16 @@ def kpi_summary(star: Star) -> DataFrame:
     """A1: one row of headline numbers.  Price statistics cover all history
     rows; discount / increase counts look at each product's latest row.
 
-    One pass over the history: the latest row is flagged with a per-product
-    window (history is already partitioned by product for its change column,
-    and a product has at most one row per day), then a single aggregate."""
-    w = Window.partitionBy("product_id").orderBy(F.col("scraped_at").desc(), F.col("id").desc())
-    ph = star.price_history.withColumn("__latest", F.row_number().over(w) == 1)
+    One aggregate over the history and one over the latest rows."""
+    now = latest_prices(star).select(F.struct(F.count_if(F.col("price_change") < 0).alias("down"), F.count_if(F.col("price_change") > 0).alias("up"))).scalar()
     count = F.count(F.lit(1))
-    agg = ph.agg(
+    agg = star.price_history.agg(
         F.coalesce(round2(F.avg("price")), F.lit(0.0)).alias("avg_price_mxn"),
         F.coalesce(round2(F.min("price")), F.lit(0.0)).alias("min_price_mxn"),
         F.coalesce(round2(F.max("price")), F.lit(0.0)).alias("max_price_mxn"),
-        F.count_if(F.col("__latest") & (F.col("price_change") < 0)).alias("products_with_discount"),
-        F.count_if(F.col("__latest") & (F.col("price_change") > 0)).alias("products_price_up"),
         F.max("scraped_at").alias("last_update"),
         count.alias("total_price_records"))
+    agg = agg.select("*", now.getField("down").alias("products_with_discount"), now.getField("up").alias("products_price_up"))
     # dimension counts are scalar sub-queries attached to the one-row aggregate
     return agg.select(
         star.products.select(count).scalar().alias("total_products"),
@@ -180,7 +178,7 @@ def price_comparison(star: Star, product_name: str) -> DataFrame:
     the cheapest one (ties: all cheapest rows are flagged)."""
     p = star.products.filter(F.col("name").ilike(f"%{product_name}%")) \
         .select(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "store_id")
-    stores = F.broadcast(star.stores.select(F.col("id").alias("store_id"), F.col("name").alias("sname")))
+    stores = star.stores.select(F.col("id").alias("store_id"), F.col("name").alias("sname"))
     rows = (p.join(latest_prices(star), "product_id")
               .join(stores, "store_id", "left")
               .select(F.coalesce(F.col("sname"), F.lit("Unknown")).alias("store_name"), "product_name",

@@ -6,9 +6,10 @@ formatting).  Every one is a DataFrame transformation: no driver loop, no
 collect.  Windows without a partition only run over already-aggregated rows
 (one row per store / category / weekday / histogram bin).
 
-Exact percentiles are found by counting: equal values are counted first, the counts of
-``SLICES`` value ranges locate each rank, and only the values of those ranges are ordered.
-No task holds all values of a group.
+Exact percentiles are found by counting: equal values are counted first, the distinct values
+are dealt to slices whose bounds come from a sample of them, the slices' counts locate each
+rank, and only the slices that hold one are ordered.  No task holds all values of a group,
+however they are spread.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.functions import round2
-from pricetide.session import checkpoint_dir
+from pricetide.session import checkpoint_dir, written
 
 
 def _all() -> Window:
@@ -25,27 +26,34 @@ def _all() -> Window:
     return Window.partitionBy()
 
 
-SLICES = 4096
+def ranged(counted: DataFrame, keys: list[str], slices: int | None = None) -> DataFrame:
+    """``counted`` (keys, v) in slices of about equal size, numbered in the order of (keys, v) in
+    the column part.  Spark takes the slices' bounds from a sample of the rows, so they
+    follow the data: an outlier moves no bound.  Written, as the numbers must not change."""
+    by = counted.repartitionByRange(slices, *keys, "v") if slices else counted.repartitionByRange(*keys, "v")
+    return written(by.withColumn("part", F.spark_partition_id()), "slices")
 
 
-def percentiles(values: DataFrame, col: str, ps: list[float], groups: list[str] | None = None) -> DataFrame:
+def percentiles(values: DataFrame, col: str, ps: list[float], groups: list[str] | None = None,
+                slices: int | None = None) -> DataFrame:
     """``groups`` and ``q``, the exact percentiles ``ps`` of ``col`` (linear between the two
-    ranks around a position, NULLs left out); one row per group, or one without groups."""
+    ranks around a position, NULLs left out); one row per group, or one without groups.
+    ``slices`` (default: the session's shuffle partitions) bounds a task's share of the
+    distinct values to about twice 1 / slices."""
     keys = groups or ["__all"]
     base = values if groups else values.withColumn("__all", F.lit(0))
     counted = base.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    whole = counted.groupBy(*keys).agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    share = (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    sliced = counted.join(whole, keys).withColumn("slice", F.coalesce(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)), F.lit(0)))
-    upto = lambda *k: Window.partitionBy(*keys, *k).rowsBetween(Window.unboundedPreceding, -1)
-    # at most SLICES rows per group
-    slices = sliced.groupBy(*keys, "slice").agg(F.sum("n").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(upto().orderBy("slice")), F.lit(0)))
-    ranks = (whole.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) * (F.col("total") - 1) for p in ps])).alias("i", "at"))
-             .select(*keys, "i", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")))
-    wanted = ranks.join(slices, keys).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("m")))
-    inner = sliced.join(wanted.select(*keys, "slice", "before").distinct(), [*keys, "slice"])
-    inner = inner.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(upto("slice").orderBy("v")), F.lit(0))).drop("before")
-    hit = (wanted.select(*keys, "slice", "i", "at", "rank").join(inner.select(*keys, "slice", "v", "n", "first"), [*keys, "slice"])
+    placed = ranged(counted, keys, slices)
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*keys, "part").agg(F.sum("n").alias("m"))             # a row per slice (and group)
+    sizes = sizes.select(*keys, "part", "m", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"), F.sum("m").over(Window.partitionBy(*keys)).alias("total"))
+    ranks = (sizes.select("*", F.posexplode(F.array(*[F.lit(float(p)) * (F.col("total") - 1) for p in ps])).alias("i", "at"))
+             .select(*keys, "part", "m", "before", "i", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")))
+    wanted = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("m"))).drop("m")
+    inner = placed.join(wanted.select(*keys, "part", "before").distinct(), [*keys, "part"])
+    within = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    inner = inner.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(within), F.lit(0))).drop("before")
+    hit = (wanted.drop("before").join(inner, [*keys, "part"])
            .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))))
     low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
     at = F.first("at")

@@ -4,9 +4,10 @@ They differ from the DataFrame versions as the standalone SQL they stand for doe
 look-back window, population standard deviation, distinct product counts and LIKE.
 
 All but the two history questions read one relation, ``shelf``: the newest observation of
-every product with the names of its store and category.  It is found by the latest time
-of each product (a partial aggregate, so a hot product sends one row per task) and a join
-on (product, time), which is unique.
+every product with the names of its store and category.  The newest rows are a table of
+the stored star; a star without it has them found by the latest time of each product
+(a partial aggregate, so a hot product sends one row per task) and a join on (product,
+time), which is unique.
 
 User values are bound as parameters (``:name`` markers, ``spark.sql(args=...)``), never
 spliced into the text.
@@ -24,13 +25,18 @@ from pricetide.sources.adapters import Star
 
 TABLES = ("stores", "categories", "products", "price_history")
 
+# the newest row of each product, for engines and stars that do not keep it
+NEWEST = """
+newest AS (
+  SELECT h.* FROM price_history h
+  INNER JOIN (SELECT product_id, MAX(scraped_at) AS scraped_at FROM price_history GROUP BY product_id) top
+          ON top.product_id = h.product_id AND top.scraped_at = h.scraped_at)"""
+
 SHELF = """
-newest AS (SELECT product_id, MAX(scraped_at) AS scraped_at FROM price_history GROUP BY product_id),
 shelf AS (
   SELECT item.id AS product_id, item.name AS product_name, shop.name AS store_name, kind.name AS category_name,
          seen.price, seen.price_change, seen.price_change_pct, seen.scraped_at
-  FROM price_history seen
-  INNER JOIN newest ON newest.product_id = seen.product_id AND newest.scraped_at = seen.scraped_at
+  FROM newest seen
   INNER JOIN products item ON item.id = seen.product_id
   INNER JOIN stores shop ON shop.id = item.store_id
   INNER JOIN categories kind ON kind.id = item.category_id)"""
@@ -44,8 +50,9 @@ class Question:
     values: dict[str, Any] = field(default_factory=dict)
     shelf: bool = True
 
-    def ctes(self) -> str:
-        return SHELF if self.shelf else ""
+    def ctes(self, kept: bool = False) -> str:
+        """Relations of the body; with ``kept`` there is a table ``newest`` already."""
+        return (SHELF if kept else f"{NEWEST},{SHELF}") if self.shelf else ""
 
     def literal(self) -> str:
         """The body with the values as literals, for engines without these markers."""
@@ -140,6 +147,8 @@ def product_names() -> Question:
 def run(spark: SparkSession, star: Star, question: Question) -> DataFrame:
     """Runs a question through Spark SQL; the star's tables are views for this query only
     (keyword arguments of ``spark.sql``), so no names are left behind."""
-    ctes = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in TABLES) + (f",{question.ctes()}" if question.shelf else "")
     frames = {t: getattr(star, t) for t in TABLES}
+    if question.shelf and star.latest is not None:
+        frames["newest"] = star.latest
+    ctes = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in frames) + (f",{question.ctes('newest' in frames)}" if question.shelf else "")
     return spark.sql(f"WITH {ctes}\n{question.body}", args=question.values or None, **frames)

@@ -35,6 +35,9 @@ from pricetide.sources.tables import read_table
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
+ROW_GROUP = 20_000               # rows of a row group of the stored history: a product's rows are few
+
+
 @dataclass
 class Star:
     """Lazy DataFrames of the star schema plus the reference clock ``as_of``."""
@@ -44,6 +47,7 @@ class Star:
     products: DataFrame
     price_history: DataFrame
     monthly: DataFrame | None = None  # the stored history with its partition column ``month``
+    latest: DataFrame | None = None  # the newest row of each product, where it is stored
     clock: DataFrame | None = None   # raw observation times (scraped_at) the history is built from
 
     @property
@@ -76,18 +80,40 @@ def _month(ts: Column) -> Column:
     return (F.year(ts) * 100 + F.month(ts)).cast("int")
 
 
-def _stored(spark: SparkSession, star: Star) -> Star:
-    """The star with its history, change columns and all, written once to the shared folder
-    and read from there by every question; the clock is the stored history's newest time."""
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``df`` as a table in the shared folder, bucketed and sorted by a column: joins and
+    groupings on it need no shuffle of this side."""
     import uuid
 
     from pricetide.session import scratch_path
+    spark = df.sparkSession
+    table = f"pricetide_{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, by).write.bucketBy(n, by).sortBy(by)
+     .option("path", scratch_path(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
+def _stored(spark: SparkSession, star: Star) -> Star:
+    """The star as questions read it, written once to the shared folder: the history, change
+    columns and all, by month; the products and their newest rows, bucketed by product.
+
+    Within a month rows are sorted by product, with a bloom filter on it, so that the
+    look-up of one product reads the row groups that may hold it and no others.  The
+    clock is the stored history's newest time."""
+    import uuid
+
+    from pricetide.session import scratch_path, written
     path = scratch_path(spark, f"history-{uuid.uuid4().hex}")
     rows = star.price_history.withColumn("month", _month(F.col("obs_date")))
-    (rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", "scraped_at")
-         .write.partitionBy("month").parquet(path))
+    (rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", "product_id", "scraped_at")
+         .write.option("parquet.bloom.filter.enabled#product_id", "true").option("parquet.block.row.count.limit", ROW_GROUP)
+         .partitionBy("month").parquet(path))
     back = spark.read.schema(rows.schema).parquet(path)
-    return Star(star.stores, star.categories, star.products, back.drop("month"), back)
+    history = back.drop("month")
+    latest = bucketed(newest_per_group(history, ["product_id"], ["scraped_at", "id"]), "latest", "product_id")
+    # small tables of known size: the planner broadcasts them while they are small
+    return Star(written(star.stores, "stores"), written(star.categories, "categories"), bucketed(star.products, "products", "id"), history, back, latest)
 
 
 def stores_dim(spark: SparkSession) -> DataFrame:

@@ -1,11 +1,10 @@
 """Change detection (K1-K8) and the two skew-safe ordered primitives it needs.
 
-``segmented_lag`` and ``asof_join`` never put a whole key into one window
-partition.  Rows are windowed per (key, time bucket); the value that crosses a
-bucket boundary comes from a per-(key, bucket) partial aggregate (``max_by``,
-combined map-side) and a window over those bucket tails, which holds one row
-per non-empty bucket of a key.  A product holding a third of all rows is
-therefore spread over as many tasks as it has buckets.
+``segmented_lag`` and ``asof_join`` order the rows of a key.  Keys of up to ``MOST`` rows are
+window partitions.  The rows of larger ones are dealt to slices by range over (key, order),
+with bounds that Spark takes from a sample, so a product, a product-hour or a single time
+that holds a third of all rows is many tasks; the value that crosses a slice's bound
+comes from one carry row per slice and key.
 """
 
 from __future__ import annotations
@@ -14,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.functions import price_change, price_change_pct, round2
+from pricetide.session import written
 
 
-def hour_bucket(ts: str) -> Column:
-    """Segments of one hour: a product-day that holds a third of all rows is many tasks."""
-    return F.date_trunc("hour", F.col(ts))
+MOST = 1_000_000                 # rows of a key that one task orders
+MANY_KEYS = 100_000              # larger keys are broadcast up to so many, else joined by shuffle
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
@@ -31,35 +30,67 @@ def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataF
     return left.join(named, on, "left").drop(*[f"__r_{c}" for c in cols])
 
 
-def segmented_lag(df: DataFrame, keys: list[str], order_cols: list[str], value: str,
-                  bucket: Column, out: str = "prev") -> DataFrame:
-    """``lag(value) over (partition by keys order by order_cols)`` computed per
-    (keys, bucket) plus a carry of the previous bucket's last value.
+def by_size(df: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys with up to ``most`` rows, and those of larger ones (None: there are
+    none).  One partial aggregate finds the keys; only their number goes to the driver."""
+    large = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most)
+                    .select(*[F.col(k).alias(f"__r_{k}") for k in keys]), "large_keys")
+    n = large.count()
+    if n == 0:
+        return df, None
+    large = F.broadcast(large) if n <= MANY_KEYS else large
+    on = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        on = one if on is None else on & one
+    return df.join(large, on, "left_anti"), df.join(large, on, "left_semi")
+
+
+def _sliced(df: DataFrame, by: list[str], slices: int | None) -> DataFrame:
+    """``df`` in slices in the order of ``by``, numbered (column __bk); written, as the numbers must not change."""
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    return written(ranged.withColumn("__bk", F.spark_partition_id()), "sliced")
 
-    ``bucket`` must be monotone in the ordering (e.g. the hour of the timestamp).  Rows
-    with NULL keys are one group, as in a window."""
+
+def segmented_lag(df: DataFrame, keys: list[str], order_cols: list[str], value: str,
+                  bucket: Column | None = None, out: str = "prev", most: int = MOST, slices: int | None = None) -> DataFrame:
+    """``lag(value) over (partition by keys order by order_cols)``.
+
+    Keys of more than ``most`` rows are cut into slices (``slices``: default the session's
+    shuffle partitions), with a carry of the previous slice's last value.  With ``bucket``
+    (monotone in the ordering, of bounded size) all keys are cut by it.  Rows with NULL
+    keys are one group, as in a window."""
+    if bucket is not None:
+        return _lag_by_bucket(df.withColumn("__bk", bucket), keys, order_cols, value, out)
+    few, many = by_size(df, keys, most)
+    lagged = few.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    if many is None:
+        return lagged
+    return lagged.unionByName(_lag_by_bucket(_sliced(many, [*keys, *order_cols], slices), keys, order_cols, value, out))
+
+
+def _lag_by_bucket(d: DataFrame, keys: list[str], order_cols: list[str], value: str, out: str) -> DataFrame:
     b, first, pin, ptail, last = "__bk", "__first", "__prev_in", "__prev_tail", "__last"
-    d = df.withColumn(b, bucket)
     w_in = Window.partitionBy(*keys, b).orderBy(*order_cols)
-    d = (d.withColumn(pin, F.lag(value).over(w_in))
-          .withColumn(first, F.row_number().over(w_in) == 1))
     tails = (d.groupBy(*keys, b)
               .agg(F.max_by(F.col(value), F.struct(*order_cols)).alias(last)))
     tails = tails.select(*keys, b, F.lag(last).over(Window.partitionBy(*keys).orderBy(b)).alias(ptail))
+    d = (d.withColumn(pin, F.lag(value).over(w_in))
+          .withColumn(first, F.row_number().over(w_in) == 1))
     d = _join_null_safe(d, tails, [*keys, b])
     return (d.withColumn(out, F.when(F.col(first), F.col(ptail)).otherwise(F.col(pin)))
              .drop(b, first, pin, ptail))
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,
-              values: list[str], strict: bool = True, bucket=lambda t: F.date_trunc("hour", t), prefix: str = "asof_") -> DataFrame:
+              values: list[str], strict: bool = True, prefix: str = "asof_", most: int = MOST, slices: int | None = None) -> DataFrame:
     """For every left row, the ``values`` of the newest right row of the same key
     with ``right_ts < left_ts`` (``<=`` when not strict).  Left rows without a
     match keep NULLs (left outer as-of join); NULL keys match nothing.  Right timestamps
     must be unique per key.
 
-    Plan: union of probes and lookups windowed per (key, bucket), then a carry of
-    the last lookup of earlier buckets through a per-key window over bucket tails."""
+    Plan: a window over the union of probes and lookups of each key; keys of more than
+    ``most`` rows are cut into slices, with a carry of the last lookup of earlier ones."""
     t, side, bk, m, carry = "__t", "__side", "__bk", "__m", "__carry"
     probe_side, look_side = (0, 1) if strict else (1, 0)
     payload = F.struct(*[F.col(v).alias(prefix + v) for v in values], F.col(right_ts).alias(prefix + "ts"))
@@ -68,20 +99,19 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
     look = right.select(*keys, F.col(right_ts).alias(t), payload.alias(m), F.lit(look_side).alias(side))
     probes = left.withColumn(t, F.col(left_ts)).withColumn(side, F.lit(probe_side)) \
                  .withColumn(m, F.lit(None).cast(look.schema[m].dataType))
-    u = probes.unionByName(look, allowMissingColumns=True).withColumn(bk, bucket(F.col(t)))
-    w = (Window.partitionBy(*keys, bk).orderBy(t, side)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("__in", F.last(m, ignorenulls=True).over(w)).filter(F.col(side) == probe_side)
-    # last lookup of every earlier bucket (per key): one row per bucket
-    tails = look.groupBy(*keys, bucket(F.col(t)).alias(bk)).agg(F.max_by(m, t).alias(m)) \
-                .withColumn(side, F.lit(1))
-    pb = probes.select(*keys, bucket(F.col(t)).alias(bk)).distinct() \
-               .withColumn(m, F.lit(None).cast(look.schema[m].dataType)).withColumn(side, F.lit(0))
-    wc = (Window.partitionBy(*keys).orderBy(bk, side)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = (pb.unionByName(tails).withColumn(carry, F.last(m, ignorenulls=True).over(wc))
-                 .filter(F.col(side) == 0).select(*keys, bk, carry))
-    out = _join_null_safe(u, carried, [*keys, bk]).withColumn(m, F.coalesce("__in", carry))
+    both = probes.unionByName(look, allowMissingColumns=True)
+    upto = lambda *by: (Window.partitionBy(*keys, *by).orderBy(t, side)
+                        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    few, many = by_size(both, keys, most)
+    out = few.withColumn(m, F.last(m, ignorenulls=True).over(upto())).filter(F.col(side) == probe_side)
+    if many is not None:
+        cut = _sliced(many, [*keys, t, side], slices)
+        tails = cut.groupBy(*keys, bk).agg(F.max_by(m, F.when(F.col(side) == look_side, F.col(t))).alias(m))     # a row per slice and key
+        earlier = Window.partitionBy(*keys).orderBy(bk).rowsBetween(Window.unboundedPreceding, -1)
+        carried = tails.select(*keys, bk, F.last(m, ignorenulls=True).over(earlier).alias(carry))
+        cut = cut.withColumn("__in", F.last(m, ignorenulls=True).over(upto(bk))).filter(F.col(side) == probe_side)
+        cut = _join_null_safe(cut, carried, [*keys, bk]).withColumn(m, F.coalesce("__in", carry)).drop(bk, "__in", carry)
+        out = out.unionByName(cut)
     cols = [c for c in left.columns] + [F.col(f"{m}.{prefix}{v}").alias(prefix + v) for v in values] + \
            [F.col(f"{m}.{prefix}ts").alias(prefix + "ts")]
     return out.select(*cols)
@@ -96,7 +126,6 @@ def batch_changes(df: DataFrame, keys: list[str], order_cols: list[str], price:
                   bucket: Column | None = None) -> DataFrame:
     """K1: change and percent change against the previous row of the same key
     (first row of a key: NULL)."""
-    bucket = bucket if bucket is not None else hour_bucket(order_cols[0])
     d = segmented_lag(df, keys, order_cols, price, bucket, out="__prev")
     return (d.withColumn("price_change", price_change(F.col(price), F.col("__prev")))
              .withColumn("price_change_pct", price_change_pct(F.col(price), F.col("__prev")))
@@ -151,7 +180,6 @@ def series_changes(df: DataFrame, keys: list[str], order_cols: list[str], price:
                    bucket: Column | None = None) -> DataFrame:
     """K8: change against the previous element of the series; the percent
     change is NULL when the previous price is not positive."""
-    bucket = bucket if bucket is not None else hour_bucket(order_cols[0])
     d = segmented_lag(df, keys, order_cols, price, bucket, out="__prev")
     prev = F.col("__prev")
     return (d.withColumn("price_change", round2(F.col(price) - prev))

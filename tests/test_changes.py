@@ -97,3 +97,41 @@ def test_a_product_day_with_a_third_of_all_rows(spark):
     got = C.segmented_lag(rows_, ["k"], ["ts"], "v", F.date_trunc("hour", F.col("ts")))
     plain = rows_.withColumn("want", F.expr("lag(v) OVER (PARTITION BY k ORDER BY ts)"))
     assert got.join(plain, ["k", "ts"]).where("NOT prev <=> want").isEmpty() and got.count() == 6000
+
+
+def _hot(spark, n=9000):
+    """One product-hour with a third of all rows, most of them at one and the same second."""
+    at = F.lit("2024-01-01 05:00:00").cast("timestamp_ntz")
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 40)).alias("k"),
+        F.when((F.col("id") % 3 == 0) & (F.col("id") % 30 > 0), at).otherwise(at + F.make_interval(secs=F.col("id") % 3500)).alias("ts"),
+        (F.col("id") * 7919 % n).alias("id"), F.col("id").cast("double").alias("v"))
+
+
+def test_a_product_hour_with_a_third_of_all_rows_is_many_tasks(spark):
+    df = _hot(spark)
+    few, many = C.by_size(df, ["k"], 500)
+    assert rows(many.select("k").distinct(), "k") == [("hot",)] and few.count() + many.count() == 9000
+    cut = C._sliced(many, ["k", "ts", "id"], 12).groupBy("__bk").count()
+    assert cut.count() >= 10 and cut.agg(F.max("count")).first()[0] < 2 * 3000 / 12
+    got = C.segmented_lag(df, ["k"], ["ts", "id"], "v", most=500, slices=12)
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "id")))
+    assert got.exceptAll(want.select(got.columns)).isEmpty() and got.count() == 9000
+
+
+def test_as_of_over_a_hot_key(spark):
+    df = _hot(spark)
+    look = df.dropDuplicates(["k", "ts"]).select("k", F.col("ts").alias("t"), "v")
+    for strict in (True, False):
+        got = C.asof_join(df, look, ["k"], "ts", "t", ["v"], strict, most=300, slices=9)
+        want = C.asof_join(df, look, ["k"], "ts", "t", ["v"], strict)
+        assert got.exceptAll(want).isEmpty() and got.count() == 9000
+        plan = want._jdf.queryExecution().optimizedPlan().toString()
+        assert "__bk" not in plan                          # no key is large: one window
+
+
+def test_null_keys_may_be_the_hot_ones(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"), F.col("id").alias("ts"), F.col("id").cast("double").alias("v"))
+    got = C.segmented_lag(df, ["k"], ["ts"], "v", most=150, slices=5)
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("ts")))
+    assert got.exceptAll(want).isEmpty() and got.count() == 900

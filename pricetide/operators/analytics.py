@@ -69,22 +69,25 @@ def kpi_summary(star: Star) -> DataFrame:
     rows; discount / increase counts look at each product's latest row.
 
     One aggregate over the history and one over the latest rows."""
+    return headline(star, star.price_history.agg(
+        F.count(F.lit(1)).alias("n"), F.min("price").alias("low"),
+        F.max("price").alias("high"), F.max("scraped_at").alias("newest"), F.avg("price").alias("mean")))
+
+
+def headline(star: Star, facts: DataFrame) -> DataFrame:
+    """A1's row from the one-row ``facts`` of the history: total (sum of prices) or mean, n, low, high, newest."""
+    mean = F.col("mean") if "mean" in facts.columns else F.col("total") / F.nullif(F.col("n"), F.lit(0))
     now = latest_prices(star).select(F.struct(F.count_if(F.col("price_change") < 0).alias("down"), F.count_if(F.col("price_change") > 0).alias("up"))).scalar()
     count = F.count(F.lit(1))
-    agg = star.price_history.agg(
-        F.coalesce(round2(F.avg("price")), F.lit(0.0)).alias("avg_price_mxn"),
-        F.coalesce(round2(F.min("price")), F.lit(0.0)).alias("min_price_mxn"),
-        F.coalesce(round2(F.max("price")), F.lit(0.0)).alias("max_price_mxn"),
-        F.max("scraped_at").alias("last_update"),
-        count.alias("total_price_records"))
-    agg = agg.select("*", now.getField("down").alias("products_with_discount"), now.getField("up").alias("products_price_up"))
+    zero = lambda c: F.coalesce(round2(c), F.lit(0.0))
     # dimension counts are scalar sub-queries attached to the one-row aggregate
-    return agg.select(
+    return facts.select(
         star.products.select(count).scalar().alias("total_products"),
         star.stores.select(count).scalar().alias("total_stores"),
         star.categories.select(count).scalar().alias("total_categories"),
-        "avg_price_mxn", "min_price_mxn", "max_price_mxn", "products_with_discount", "products_price_up",
-        "last_update", "total_price_records")
+        zero(mean).alias("avg_price_mxn"), zero(F.col("low")).alias("min_price_mxn"), zero(F.col("high")).alias("max_price_mxn"),
+        now.getField("down").alias("products_with_discount"), now.getField("up").alias("products_price_up"),
+        F.col("newest").alias("last_update"), F.coalesce("n", F.lit(0)).cast("bigint").alias("total_price_records"))
 
 
 def resolve_product(star: Star, product_id: int | None = None, product_name: str | None = None) -> Column:

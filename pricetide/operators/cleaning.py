@@ -207,10 +207,20 @@ def cleaning_metrics(flagged: DataFrame, deduped: DataFrame) -> DataFrame:
              .withColumn("rows_after_validation", F.col("rows_output")))
 
 
-def rejects(raw: DataFrame) -> DataFrame:
+REJECT_COLS = ["name", "category", "store_name", "currency", "price", "reject_reason"]
+
+
+def malformed(damaged: DataFrame) -> DataFrame:
+    """C11 rows of records that could not be read (``read_raw_checked``): their text as the name."""
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    return damaged.select(F.col("corrupt_record").alias("name"), none("category", "string"), none("store_name", "string"),
+                          none("currency", "string"), none("price", "double"), F.lit("malformed_record").alias("reject_reason"))
+
+
+def rejects(raw: DataFrame, damaged: DataFrame | None = None) -> DataFrame:
     """C11: every dropped row with the first reason that dropped it:
     empty_name, unmapped_category, unmapped_store, unsupported_currency,
-    duplicate, invalid_price."""
+    duplicate, invalid_price; with ``damaged``, malformed_record too."""
     # written once: the stages below read the cleaned rows, not the chain that cleans them
     checkpoint_dir(raw.sparkSession)
     flagged = flag_stateless(raw).withColumn("__row", F.monotonically_increasing_id()).checkpoint()
@@ -227,8 +237,8 @@ def rejects(raw: DataFrame) -> DataFrame:
             .withColumn("reject_reason", F.when(F.col("__won").isNull(), "duplicate")
                         .when(~price_ok(F.col("price"), F.col("category_id")), "invalid_price"))
             .filter(F.col("reject_reason").isNotNull()))
-    cols = ["name", "category", "store_name", "currency", "price", "reject_reason"]
-    return early.select(*cols).unionByName(late.select(*cols))
+    out = early.select(*REJECT_COLS).unionByName(late.select(*REJECT_COLS))
+    return out if damaged is None else out.unionByName(malformed(damaged))
 
 
 def reject_summary(rej: DataFrame) -> DataFrame:

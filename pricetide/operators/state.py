@@ -1,18 +1,20 @@
 """The stored state of the daily load (S7): a version costs what its batch touches.
 
-* ``products``: products with their latest observation (last_id, last_price, last_at), a
-  Parquet table bucketed by its key (name, store_id) and partitioned by version.  A version
+* ``products``: products with their latest observation (columns last_...), a Parquet table bucketed by its key (name, store_id) and partitioned by version.  A version
   adds the rows that it changed; the newest row of a key counts.  A batch is joined to it,
   and the newest rows are found, without a shuffle of the stored side.  After ``COMPACT``
   versions all newest rows are written once more, and older ones are no longer read.
 * ``prices``: the history, partitioned by day and version.  A version writes the days in
   which a row changed, as a whole; other days stay as they are.
-* ``commits``: one row per version, written last: run id, highest ids, and which version of
-  which day counts (one entry per calendar day).  What has no commit is never read, and a
-  version that is written again replaces its own files only.
+* ``commits``: one row per version, written last: run id, highest ids, and for each calendar
+  day which version of it counts and its roll-up (rows, sum, lowest and highest price,
+  newest time).  What has no commit is never read, and a version that is written again
+  replaces its own files only.
 
 So a merge reads the products, the batch's days and one commit, and no aggregate over the
-history is taken: the latest observation and the highest ids are kept, not searched.
+history is taken: the latest observation and the highest ids are kept, not searched.  The
+questions over latest rows (A3, A8, A12, A13, ...) read ``star(version).latest``, and the
+headline numbers (A1) add up the days' roll-ups (``kpis``): both follow each batch.
 """
 
 from __future__ import annotations
@@ -25,10 +27,13 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.operators import load as L
+from pricetide.operators.analytics import headline
 from pricetide.session import checkpoint_dir
+from pricetide.sources.adapters import Star
 
 KEY = ["name", "store_id"]
-LATEST = ["last_id", "last_price", "last_at"]
+SEEN = ["scraped_at", "id", "price", "currency", "availability", "price_change", "price_change_pct"]      # of a price row, newest first
+LATEST = ["last_" + c for c in SEEN]
 COMPACT = 16                     # versions whose changes are read together at most
 
 
@@ -47,8 +52,9 @@ class VersionedState:
     PRICES = ("id bigint, product_id bigint, price double, currency string, availability boolean, "
               "price_change double, price_change_pct double, scraped_at timestamp_ntz, obs_date date")
     COMMIT = ("version int, run_id bigint, first int, buckets int, max_product_id bigint, max_price_id bigint, "
-              "days array<struct<obs_date: date, version: int>>")
-    STORED = PRODUCTS + ", last_id bigint, last_price double, last_at timestamp_ntz"
+              "days array<struct<obs_date: date, version: int, n: bigint, total: double, low: double, high: double, newest: timestamp_ntz>>")
+    STORED = PRODUCTS + (", last_scraped_at timestamp_ntz, last_id bigint, last_price double, last_currency string, "
+                         "last_availability boolean, last_price_change double, last_price_change_pct double")
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         """``buckets`` (default: the session's shuffle partitions) holds for a new state."""
@@ -92,7 +98,13 @@ class VersionedState:
         return int(found)
 
     def _commit(self, version: int, run_id: int | None, first: int, max_product_id: int, max_price_id: int, days: dict) -> None:
-        live = ", ".join(f"named_struct('obs_date', DATE'{d}', 'version', {int(v)})" for d, v in sorted(days.items()))
+        def one(d):
+            low, high = (f"CAST({x!r} AS DOUBLE)" if x is not None else "NULL" for x in (d["low"], d["high"]))
+            total = f"CAST({d['total']!r} AS DOUBLE)" if d["total"] is not None else "NULL"
+            newest = f"TIMESTAMP_NTZ'{d['newest']}'" if d["newest"] is not None else "NULL"
+            return (f"named_struct('obs_date', DATE'{d['obs_date']}', 'version', {int(d['version'])}, 'n', {int(d['n'])}, "
+                    f"'total', {total}, 'low', {low}, 'high', {high}, 'newest', {newest})")
+        live = ", ".join(one(days[d]) for d in sorted(days))
         values = [int(version), "NULL" if run_id is None else int(run_id), int(first), self.buckets, int(max_product_id), int(max_price_id), f"array({live})"]
         fields = [f.split(" ", 1) for f in self.COMMIT.split(", ", 6)]
         row = ", ".join(f"CAST({v} AS {kind}) AS {name}" for v, (name, kind) in zip(values, fields))
@@ -131,6 +143,20 @@ class VersionedState:
     def read(self, version: int) -> tuple[DataFrame, DataFrame]:
         return self.products(version).select(*L.PRODUCT_COLS), self.prices(version)
 
+    def star(self, version: int, stores: DataFrame, categories: DataFrame) -> Star:
+        """The state as questions read it; the latest rows are the kept ones."""
+        rows = self.products(version)
+        latest = rows.where("last_id IS NOT NULL").select(
+            F.col("last_id").alias("id"), F.col("id").alias("product_id"), *[F.col(f"last_{c}").alias(c) for c in L.PRICE_COLS if c in SEEN and c != "id"],
+            F.to_date("last_scraped_at").alias("obs_date")).select(*L.PRICE_COLS)
+        return Star(stores, categories, rows.select(*L.PRODUCT_COLS), self.prices(version), latest=latest)
+
+    def kpis(self, version: int, stores: DataFrame, categories: DataFrame) -> DataFrame:
+        """A1 from the days' roll-ups and the latest rows; the history is not read."""
+        commits = self._commits().where(F.col("version") == int(version)).select(F.explode("days").alias("d")).select("d.*")
+        return headline(self.star(version, stores, categories), commits.agg(
+            F.sum("total").alias("total"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("newest").alias("newest")))
+
     # ------------------------------------------------------------ writing
 
     def _write_products(self, version: int, rows: DataFrame) -> None:
@@ -141,16 +167,20 @@ class VersionedState:
         rows.sparkSession.sql(f"INSERT OVERWRITE TABLE {self._table()} PARTITION (version = {int(version)}) ({names}) "
                               f"SELECT {names} FROM {{rows}}", rows=rows)
 
-    def _write_prices(self, version: int, rows: DataFrame) -> tuple[list, int]:
-        """Days of a version; gives the days and the highest id.  The rebalance gives a large
-        day several tasks and puts small ones together."""
+    def _write_prices(self, version: int, rows: DataFrame) -> tuple[dict, int]:
+        """Days of a version; gives their entries for the commit and the highest id.  The
+        rebalance gives a large day several tasks and puts small ones together."""
         from pyspark.sql import Observation
         seen = Observation()
         (rows.hint("rebalance", F.col("obs_date")).sortWithinPartitions("obs_date", "product_id", "scraped_at")
          .observe(seen, F.collect_set("obs_date").alias("days"), F.max("id").alias("top"))        # one entry per calendar day
          .withColumn("version", F.lit(int(version))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("obs_date", "version").parquet(os.path.join(self.root, "prices")))
-        return list(seen.get["days"]), seen.get["top"] or 0
+        written = self._rows_of({d: version for d in seen.get["days"]})
+        exact = F.sum(F.col("price").cast("decimal(18,6)")).cast("double")                          # the same in any order of rows
+        found = written.groupBy("obs_date").agg(F.count(F.lit(1)).alias("n"), exact.alias("total"), F.min("price").alias("low"),
+                                                F.max("price").alias("high"), F.max("scraped_at").alias("newest")).collect()
+        return {r["obs_date"]: {**r.asDict(), "version": version} for r in found}, seen.get["top"] or 0
 
     def _rows_of(self, days: dict) -> DataFrame:
         base = os.path.join(self.root, "prices")
@@ -163,9 +193,8 @@ class VersionedState:
         """A whole state as a version (the initial one, or one that is brought in)."""
         checkpoint_dir(self.spark)
         days, top_price = self._write_prices(version, prices.select(*L.PRICE_COLS))
-        days = {d: version for d in days}
-        latest = self._rows_of(days).groupBy("product_id").agg(F.max(F.struct("scraped_at", "id", "price")).alias("l")).select(
-            "product_id", F.col("l.id").alias("last_id"), F.col("l.price").alias("last_price"), F.col("l.scraped_at").alias("last_at"))
+        latest = (self._rows_of({d: version for d in days}).groupBy("product_id").agg(F.max(F.struct(*SEEN)).alias("l"))
+                  .select("product_id", *[F.col(f"l.{c}").alias(f"last_{c}") for c in SEEN]))
         full = products.select(*L.PRODUCT_COLS).join(latest, F.col("id") == F.col("product_id"), "left").drop("product_id")
         if version > 0:                          # may come from this state: a plan can't read a table and overwrite it
             full = full.checkpoint()
@@ -194,27 +223,27 @@ class VersionedState:
                .select("product_id", "price", "currency", "availability", "scraped_at"))
         batch_days = [r[0] for r in daily.select("obs_date").distinct().collect()]        # one entry per calendar day
         stored = self.prices(version - 1, batch_days)
-        latest = keyed.where("last_at IS NOT NULL").select(F.col("id").alias("product_id"), F.col("last_at").alias("scraped_at"), F.col("last_price").alias("price"))
+        latest = keyed.where("last_scraped_at IS NOT NULL").select(F.col("id").alias("product_id"), F.col("last_scraped_at").alias("scraped_at"), F.col("last_price").alias("price"))
         actions = L.price_actions(stored, inc, latest).checkpoint()
         changed, n_added, top_product = actions.agg(F.collect_set(F.when(F.col("action") != "noop", F.col("obs_date"))),
                                                     F.count_if(F.col("action") == "insert"), F.max("product_id")).first()
         some = F.col("obs_date").isin(changed) if changed else F.lit(False)
         added = L.new_prices(actions, base["max_price_id"])
+        written = {}
         if changed:
-            self._write_prices(version, L.updated_prices(stored.where(some), actions).unionByName(added))
+            written, _ = self._write_prices(version, L.updated_prices(stored.where(some), actions).unionByName(added))
 
-        moved = (added.select("product_id", "scraped_at", "id", "price")
-                 .unionByName(actions.where("action = 'update'").select("product_id", F.col("__old_ts").alias("scraped_at"), F.col("__id").alias("id"), "price"))
-                 .groupBy("product_id").agg(F.max(F.struct("scraped_at", "id", "price")).alias("l")))
-        newer = F.col("l").isNotNull() & (F.col("last_at").isNull() | (F.struct("l.scraped_at", "l.id") >= F.struct("last_at", "last_id")))
-        take = lambda new, old: F.when(newer, F.col(f"l.{new}")).otherwise(F.col(old)).alias(old)
+        updated = actions.where("action = 'update'").withColumn("scraped_at", F.col("__old_ts")).withColumn("id", F.col("__id"))
+        moved = (added.select("product_id", *SEEN).unionByName(updated.select("product_id", *SEEN))
+                 .groupBy("product_id").agg(F.max(F.struct(*SEEN)).alias("l")))
+        newer = F.col("l").isNotNull() & (F.col("last_scraped_at").isNull() | (F.struct("l.scraped_at", "l.id") >= F.struct("last_scraped_at", "last_id")))
         rows = (keyed.join(moved, keyed["id"] == moved["product_id"], "left").where("changed OR l IS NOT NULL")
-                .select(*L.PRODUCT_COLS, take("id", "last_id"), take("price", "last_price"), take("scraped_at", "last_at")))
+                .select(*L.PRODUCT_COLS, *[F.when(newer, F.col(f"l.{c}")).otherwise(F.col(f"last_{c}")).alias(f"last_{c}") for c in SEEN]))
         first = base["first"]
         if version - first >= COMPACT:
             first, keep = version, self.products(version - 1)
             rows = keep.join(rows.select(*KEY), KEY, "left_anti").select(rows.columns).unionByName(rows).checkpoint()
         self._write_products(version, rows)
-        days = {d["obs_date"]: d["version"] for d in base["days"]} | {d: version for d in changed}
+        days = {d["obs_date"]: d.asDict() for d in base["days"]} | written
         self._commit(version, run_id, first, max(base["max_product_id"], top_product or 0), base["max_price_id"] + n_added, days)
         return Merged(version, keyed.select("id", *KEY, "action"), actions.select(*L.ACTION_COLS))

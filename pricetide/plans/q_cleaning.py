@@ -158,8 +158,7 @@ def c10(spark, d):
     return CL.clean_all(_raw(spark, d)).metrics
 
 
-@query("c11_reject_summary_r", f"""WITH {STAGES_CTE},
-early AS (
+REJECTS_SQL = f"""early AS (
   SELECT CASE WHEN length(n.name) = 0 OR n.name IS NULL THEN 'empty_name'
               WHEN {CAT_SQL.replace('category', 'n.category')} IS NULL THEN 'unmapped_category'
               WHEN {STORE_SQL.replace('store_name', 'n.store_name')} IS NULL THEN 'unmapped_store'
@@ -173,11 +172,34 @@ rej AS (
   UNION ALL SELECT 'duplicate', NULL FROM conv
   UNION ALL SELECT 'invalid_price', NULL FROM d2 WHERE NOT {OK_SQL})
 SELECT reason AS reject_reason, value, count(*) - CASE WHEN reason = 'duplicate' THEN (SELECT count(*) FROM d2) ELSE 0 END AS rows
-FROM rej GROUP BY reason, value""")
+FROM rej GROUP BY reason, value"""
+
+
+@query("c11_reject_summary_r", f"WITH {STAGES_CTE},\n{REJECTS_SQL}")
 def c11(spark, d):
     return CL.reject_summary(CL.rejects(_raw(spark, d)))
 
 
+# a record is cut in the middle, or its price is no number
+_CUT_LINE, _BAD_PRICE = "l_orderkey % 97 = 3", "l_orderkey % 89 = 5 AND l_linenumber > 1"
+
+
+@query("c11_damaged_records_r", f"""WITH {STAGES_CTE.replace(RAW_CTE, f"raw AS (SELECT * FROM ({RETAIL_LISTINGS_SQL}) r WHERE NOT ({_CUT_LINE} OR {_BAD_PRICE}))")},
+rejected AS ({REJECTS_SQL.replace("early AS (", "SELECT * FROM (WITH early AS (", 1)}) z)
+SELECT * FROM rejected
+UNION ALL SELECT 'malformed_record', NULL, count(*) FROM ({RETAIL_LISTINGS_SQL}) r WHERE {_CUT_LINE} OR {_BAD_PRICE} HAVING count(*) > 0""")
+def c11_damaged(spark, d):
+    """Rejects of a source with damaged JSON lines: what can't be read is a reject as well."""
+    from pricetide.sources.raw import RAW_SCHEMA, read_raw_checked
+    from pricetide.streaming.jobs import run_dir
+    path = run_dir(spark, "c11")
+    line = F.to_json(F.struct(*[c.split()[0] for c in RAW_SCHEMA.split(", ")]))
+    cut = F.when(F.expr(_CUT_LINE), F.substring(line, 1, 40)).when(F.expr(_BAD_PRICE), F.regexp_replace(line, '"price":[^,]*', '"price":"sold out"'))
+    _raw(spark, d).select(F.coalesce(cut, line).alias("value")).write.text(path)
+    good, damaged = read_raw_checked(spark, path)
+    return CL.reject_summary(CL.rejects(good, damaged))
+
+
 @query("c11_out_of_range_examples_r", f"""WITH {STAGES_CTE},
 bad AS (SELECT DISTINCT category_id, name FROM d2 WHERE price > 0 AND ({LO_SQL}) IS NOT NULL
         AND NOT (price BETWEEN {LO_SQL} AND {HI_SQL}))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricetide import constants as K
+from pricetide.operators import analytics as A
 from pricetide.operators import cleaning as CL
 from pricetide.operators import load as L
 from pricetide.plans.catalog import query
-from pricetide.plans.sqltext import _EV_CASE, E_CTE, R_CTE, e_cte, r2
+from pricetide.plans.sqltext import _EV_CASE, COMMON_CTE, E_CTE, R_CTE, e_cte, r2
 from pricetide.sources.adapters import categories_dim, events_split, events_star, retail_star
 from pricetide.sources.raw import retail_listings
 from pricetide.sources.tables import read_table
@@ -136,6 +137,51 @@ def l04(spark, d):
     return _run_split(spark, d)[2].products
 
 
+def _after_batch(body: str) -> str:
+    """A question's SQL over the products and prices after the batch."""
+    common = COMMON_CTE.replace("FROM price_history", "FROM nextph").replace("FROM products p", "FROM nextp p")
+    return f"WITH {SPLIT_CTE},{common}\n{body}"
+
+
+def _questions_sql() -> dict[str, str]:
+    from pricetide.plans import q_analytics as Q
+    body = lambda sql: sql.split("ON p.category_id = c.id)", 1)[1]
+    kpi = body(Q._sql_kpi("e")).replace("FROM products", "FROM nextp").replace("FROM price_history", "FROM nextph")
+    kpi = kpi.replace(r2("avg(price)"), r2("CAST(sum(CAST(price AS DECIMAL(18,6))) AS DOUBLE) / count(*)"))
+    return {"a01_kpi_rollup_e": kpi, "a08_category_rollup_e": body(Q._sql_category_summary("e")),
+            "a12_store_category_rollup_e": body(Q._sql_store_category("e")), "a13_store_rollup_e": body(Q._sql_store_stats("e"))}
+
+
+def _batch_star(spark, d):
+    b, state, merged = _run_split(spark, d)
+    return state, merged.version, b.stored.stores, b.stored.categories
+
+
+@query("a01_kpi_rollup_e")
+def a01_rollup(spark, d):
+    """Headline numbers after the batch, from the days' roll-ups and the latest rows that the merge kept up."""
+    state, *rest = _batch_star(spark, d)
+    return state.kpis(*rest)
+
+
+@query("a08_category_rollup_e")
+def a08_rollup(spark, d):
+    state, *rest = _batch_star(spark, d)
+    return A.category_summary(state.star(*rest))
+
+
+@query("a12_store_category_rollup_e")
+def a12_rollup(spark, d):
+    state, *rest = _batch_star(spark, d)
+    return A.store_category_comparison(state.star(*rest))
+
+
+@query("a13_store_rollup_e")
+def a13_rollup(spark, d):
+    state, *rest = _batch_star(spark, d)
+    return A.store_detailed_stats(state.star(*rest))
+
+
 _COUNTERS_SQL = """SELECT (SELECT count(*) FROM inc) AS products_found, (SELECT count(*) FROM inc) AS products_clean,
        count(*) FILTER (WHERE action = 'insert') AS inserted,
        count(*) FILTER (WHERE action = 'update') AS updated,
@@ -270,6 +316,7 @@ def l09_counters(spark, d):
 # l10 / l11 oracle texts (registered after the functions to reuse the cleaning SQL)
 def _late_oracles():
     from pricetide.plans.catalog import ORACLE
+    ORACLE.update({key: _after_batch(body) for key, body in _questions_sql().items()})
     from pricetide.plans.q_cleaning import METRICS_SQL, OK_SQL, STAGES_CTE, STORE_SQL
     from pricetide.sources.raw import RETAIL_LISTINGS_SQL
     ORACLE["l10_consolidate_sources_r"] = (

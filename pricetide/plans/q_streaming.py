@@ -40,24 +40,25 @@ def t01(spark, d):
                                           "currency")
 
 
-# Arrival of events: in N_ARRIVALS batches of DAYS days each; every 43rd event one batch later
-# (within the watermark), every 41st of the first batches four batches later (beyond it).
-N_ARRIVALS, DAYS, LATE_WATERMARK = 6, 5, "6 days"
+# Arrival of events: in N_ARRIVALS batches of DAYS days each; every fourth event of a batch's
+# last day one batch later (within the watermark), every 41st of the first batch's first half
+# two batches later (beyond it).
+N_ARRIVALS, DAYS, LATE_WATERMARK = 3, 10, "2 days"
 _ARRIVAL_SQL = f"""seen AS (
-  SELECT *, least({N_ARRIVALS - 1}, date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) // {DAYS}) AS due FROM events),
+  SELECT *, date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS day_no FROM events),
+dated AS (SELECT *, least({N_ARRIVALS - 1}, day_no // {DAYS}) AS due, event_id % 41 = 0 AND day_no < {DAYS // 2} AS late FROM seen),
 arrived AS (
-  SELECT * EXCLUDE (due), CAST(due + CASE WHEN event_id % 41 = 0 AND due <= {N_ARRIVALS - 5} THEN 4 WHEN event_id % 43 = 0 AND due < {N_ARRIVALS - 1} THEN 1 ELSE 0 END AS INT) AS batch,
-         event_id % 41 = 0 AND due <= {N_ARRIVALS - 5} AS late FROM seen)"""
+  SELECT * EXCLUDE (due, day_no), CAST(due + CASE WHEN late THEN 2 WHEN event_id % 4 = 0 AND day_no = due * {DAYS} + {DAYS - 1} AND due < {N_ARRIVALS - 1} THEN 1 ELSE 0 END AS INT) AS batch
+  FROM dated)"""
 
 
 def _arriving(spark, d):
     ev = read_table(spark, d, "events")
     first = ev.select(F.to_date(F.min("ts"))).scalar()
-    due = F.least(F.lit(N_ARRIVALS - 1), F.floor(F.date_diff(F.to_date("ts"), first) / DAYS))
-    id_ = F.col("event_id")
-    return ev.withColumn("due", due).withColumn(
-        "batch", (F.col("due") + F.when((id_ % 41 == 0) & (F.col("due") <= N_ARRIVALS - 5), 4)
-                  .when((id_ % 43 == 0) & (F.col("due") < N_ARRIVALS - 1), 1).otherwise(0)).cast("int")).drop("due")
+    id_, no = F.col("event_id"), F.col("day_no")
+    ev = ev.withColumn("day_no", F.date_diff(F.to_date("ts"), first)).withColumn("due", F.least(F.lit(N_ARRIVALS - 1), F.floor(no / DAYS)))
+    last_day = (id_ % 4 == 0) & (no == F.col("due") * DAYS + DAYS - 1) & (F.col("due") < N_ARRIVALS - 1)
+    return ev.withColumn("batch", (F.col("due") + F.when((id_ % 41 == 0) & (no < DAYS // 2), 2).when(last_day, 1).otherwise(0)).cast("int")).drop("due", "day_no")
 
 
 def _product(c):
@@ -116,7 +117,7 @@ _EXACT_AVG = "CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(value)"
 
 
 def _finished_sql(window: str) -> str:
-    return f"{window} <= (SELECT max(ts) FROM events) - INTERVAL 6 DAY"
+    return f"{window} <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"
 
 
 @query("t04_stream_window_stats_e", f"""WITH {_ARRIVAL_SQL}

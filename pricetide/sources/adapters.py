@@ -117,9 +117,9 @@ def _stored(spark: SparkSession, star: Star) -> Star:
 
 
 def stores_dim(spark: SparkSession) -> DataFrame:
-    """The three stores: a fixed 3-row dimension."""
-    return spark.createDataFrame([(int(i), n, c) for i, n, c, *_ in K.STORES],
-                                 "id bigint, name string, country string")
+    """The three stores: a fixed 3-row dimension (``load.fill_defaults`` gives created_at, V7)."""
+    return spark.createDataFrame([(int(i), n, c, None) for i, n, c, *_ in K.STORES],
+                                 "id bigint, name string, country string, created_at timestamp_ntz")
 
 
 def categories_dim(spark: SparkSession) -> DataFrame:

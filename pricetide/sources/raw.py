@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.functions import round2
+from pricetide.session import written
 from pricetide.sources.tables import read_table, spread
 
 RAW_SCHEMA = ("name string, brand string, price double, currency string, availability boolean, "
@@ -33,6 +34,20 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).format(fmt).option("header", "true").load(path)
 
 
+CORRUPT = "corrupt_record"
+
+
+def read_raw_checked(spark: SparkSession, path: str, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
+    """S1 on sources that may be damaged: the readable records, and the records (column
+    ``corrupt_record``, whole text) that do not fit the fixed schema: cut lines, or a
+    value of another type.  Every record is in one of the two."""
+    rows = (spark.read.schema(f"{RAW_SCHEMA}, {CORRUPT} string").format(fmt).option("header", "true")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).load(path))
+    rows = written(rows, "records")          # parsed once; Spark refuses plans that parse for the damaged text alone
+    bad = F.col(CORRUPT).isNotNull()
+    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(CORRUPT)
+
+
 def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 

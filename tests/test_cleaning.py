@@ -69,3 +69,17 @@ def test_clean_all_metrics_add_up(spark):
     assert res.data.count() == m["rows_output"]
     rej = {(r.reject_reason): r.rows for r in CL.reject_summary(CL.rejects(df)).collect()}
     assert rej["duplicate"] == 1 and rej["invalid_price"] == 1 and rej["empty_name"] == 1
+
+
+def test_damaged_records_are_rejects(spark, tmp_path):
+    from pricetide.sources.raw import read_raw_checked
+    path = str(tmp_path / "raw")
+    good = '{"name":"gpu a","price":1500.0,"currency":"MXN","store_name":"Temu","category":"GPUs","url":""}'
+    lines = [good, good.replace("gpu a", "gpu b"), good[:30], good.replace("1500.0", '"sold out"'), "no json", '{"name":"only a name"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    ok, damaged = read_raw_checked(spark, path)
+    assert sorted(r.name for r in ok.collect()) == ["gpu a", "gpu b", "only a name"]
+    assert sorted(r.corrupt_record for r in damaged.collect()) == sorted(lines[2:5])
+    assert damaged.count() == 3 and ok.count() == 3
+    got = {r.reject_reason: r.rows for r in CL.reject_summary(CL.rejects(ok, damaged)).collect()}
+    assert got == {"malformed_record": 3, "unmapped_category": 1}

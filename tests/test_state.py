@@ -90,7 +90,7 @@ def test_latest_row_follows_updates_and_late_days(spark):
     st = new_state(spark)
     st.merge(batch(spark, [("a", "x", 1.0, "2024-01-05 10:00:00")]), run_time())
     st.merge(batch(spark, [("a", "x", 3.0, "2024-01-05 18:00:00")]), run_time())                 # same day: the stored time stays
-    assert rows(st.products(2), "last_id", "last_price", "last_at") == [(1, 3.0, dt.datetime(2024, 1, 5, 10))]
+    assert rows(st.products(2), "last_id", "last_price", "last_scraped_at") == [(1, 3.0, dt.datetime(2024, 1, 5, 10))]
     m = st.merge(batch(spark, [("a", "x", 9.0, "2024-01-02 10:00:00")]), run_time())             # an older day does not become the latest
     assert rows(m.prices, "previous_price") == [(3.0,)]
     assert rows(st.products(3), "last_id", "last_price") == [(1, 3.0)]
@@ -138,3 +138,18 @@ def test_run_summary_counts_and_source_errors(spark):
 def test_a_state_that_cannot_be_opened_is_a_failure(spark):
     log = L.run_etl(spark, spark.createDataFrame([], RAW_SCHEMA), "nosuchfs://x/state", 7).first()
     assert (log.id, log.status) == (7, "failure") and "state not opened" in log.message
+
+
+def test_rollups_equal_the_full_questions_after_each_batch(spark):
+    from pricetide.operators import analytics as A
+    from pricetide.sources.adapters import Star, categories_dim, stores_dim
+    st, dims = new_state(spark), (stores_dim(spark), categories_dim(spark))
+    days = [[("a", "x", 1.1, "2024-01-01 10:00:00"), ("b", "x", 5.0, "2024-01-02 10:00:00")], [("a", "x", 2.2, "2024-01-02 09:00:00")],
+            [("a", "x", 3.3, "2024-01-02 19:00:00"), ("c", "x", 0.5, "2024-01-01 10:00:00")], [("b", "y", 4.0, "2024-01-04 10:00:00")]]
+    for v, day in enumerate(days, 1):
+        st.merge(batch(spark, day), run_time())
+        kept, found = st.star(v, *dims), Star(*dims, st.read(v)[0], st.prices(v))
+        for question in (A.category_summary, A.store_category_comparison, A.store_detailed_stats, A.store_ranking):
+            assert rows(question(kept)) == rows(question(found))
+        assert rows(st.kpis(v, *dims)) == rows(A.kpi_summary(found))
+        assert rows(A.latest_prices(kept)) == rows(A.latest_prices(found).select(kept.latest.columns))

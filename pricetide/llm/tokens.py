@@ -16,11 +16,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 BATCH_BYTES = 4 << 20         # text bytes that are encoded at once
+TOGETHER = 500                # new words that are encoded as one text
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -108,8 +109,10 @@ def _encode_words(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     parts: list[tuple[np.ndarray, np.ndarray]] = []             # (word of each id, ids)
     where = np.flatnonzero(plain)
     if len(where):
-        joined = "\n".join(words.take(pa.array(where)).to_pylist())
-        ids = np.array(tok.encode(joined, add_special_tokens=False).ids, np.uint32)
+        some = words.take(pa.array(where)).to_pylist()
+        joined = ["\n".join(some[i:i + TOGETHER]) + "\n" for i in range(0, len(some), TOGETHER)]
+        # the fast form leaves out where in the text each id lies, which is not needed
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(joined, add_special_tokens=False)])
         ends = np.cumsum(lengths[ids])
         stop = np.cumsum(size[where] + 1)                       # byte after each separator
         word = np.searchsorted(stop, ends - 1, "right")
@@ -127,28 +130,67 @@ def _encode_words(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _KnownWords:
-    """The words that this worker has encoded, with their ids; no more are added beyond
-    ``MOST`` words, which bounds its memory, and those that are missing are encoded anew."""
+    """The words that this worker has encoded, with their ids, in one lasting table: 128-bit
+    digests in order, and the place of the ids.  Beyond ``MOST`` words, which bounds its
+    memory, the half that was met least often (then longest ago) makes room."""
 
-    MOST = 400_000
+    MOST = 1_000_000
 
     def __init__(self, path: str):
-        self.path = path
-        self.words = pa.array([], pa.large_string())
-        self.ids, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.path, self.turn = path, 0
+        self.kind = np.uint16 if load_tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        self.ids = np.zeros(0, self.kind)
+        # sorted by words: digest (two halves), first id, ids, times met and last slice met
+        self.words, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.met, self.last = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
 
     def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(all ids, first id of each word, ids of each word)."""
-        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(at < 0)
-        fresh = words.take(pa.array(new))
-        ids, size = _encode_words(fresh, self.path)
-        at[new] = len(self.words) + np.arange(len(new))
-        ids, size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
-        if len(size) <= self.MOST:
-            self.words = pa.concat_arrays([self.words, fresh])
-            self.ids, self.size = ids, size
-        return ids, (np.cumsum(size) - size)[at], size[at]
+        """(all ids, first id of each word, ids of each word) for distinct words."""
+        self.turn += 1
+        digests = b"".join(map(xxhash.xxh3_128_digest, words.cast(pa.large_binary()).to_pylist()))
+        key, check = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+        at = np.searchsorted(self.words, key)
+        near = np.minimum(at, max(len(self.words) - 1, 0))
+        hit = (self.words[near] == key) & (self.check[near] == check) if len(self.words) else np.zeros(len(key), bool)
+        known, new = near[hit], np.flatnonzero(~hit)
+        self.met[known] += 1
+        self.last[known] = self.turn
+        fresh, count = _encode_words(words.take(pa.array(new)), self.path)
+        first, size = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
+        first[hit], size[hit] = self.first[known], self.size[known]
+        first[new], size[new] = len(self.ids) + np.cumsum(count) - count, count
+        ids = self.ids = np.concatenate([self.ids, fresh.astype(self.kind)])
+        self._add(key[new], check[new], first[new], count)
+        return ids, first, size
+
+    def _add(self, key: np.ndarray, check: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at = np.searchsorted(self.words, key)
+        # one word per key: a word that shares its key with another is encoded each time
+        taken = np.concatenate([[False], key[1:] == key[:-1]]) if len(key) else np.zeros(0, bool)
+        if len(self.words):
+            taken |= self.words[np.minimum(at, len(self.words) - 1)] == key
+        order, key, at = order[~taken], key[~taken], at[~taken]
+        one = np.ones(len(key), np.uint32)
+        more = {"words": key, "check": check[order], "first": first[order].astype(np.uint32), "size": size[order].astype(np.uint32),
+                "met": one, "last": one * np.uint32(self.turn)}
+        for name, values in more.items():
+            setattr(self, name, np.insert(getattr(self, name), at, values))
+        if len(self.words) > self.MOST:
+            self._make_room()
+
+    def _make_room(self) -> None:
+        keep = np.zeros(len(self.words), bool)
+        keep[np.lexsort((self.last, self.met))[-(self.MOST // 2):]] = True
+        for name in ("words", "check", "first", "size", "met", "last"):
+            setattr(self, name, getattr(self, name)[keep])
+        size = self.size.astype(np.int64)
+        start = np.cumsum(size) - size
+        self.ids = self.ids[np.repeat(self.first.astype(np.int64) - start, size) + np.arange(int(size.sum()))]
+        self.first = start.astype(np.uint32)
+        self.met = (self.met + 1) // 2                      # what was frequent long ago gives way in time
 
 
 _known_words = lru_cache(maxsize=1)(_KnownWords)
@@ -173,7 +215,7 @@ def encode_texts(col: pa.Array, path: str, end_id: int | None = END_ID) -> tuple
     total = int(upto[-1])
     take = np.repeat((first[code] - upto[:-1]).astype(np.int32), per_word)      # ids of a slice: far below 2^31
     take += np.arange(total, dtype=np.int32)
-    ids = flat[take] if total else np.zeros(0, np.uint32)
+    ids = flat[take].astype(np.uint32) if total else np.zeros(0, np.uint32)
     row = upto[np.searchsorted(cuts, off)]                      # ids before each row
     if end_id is None:
         return ids, row

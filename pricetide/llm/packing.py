@@ -56,6 +56,9 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(cut, PIECES)
 
+SEQ_BITS = 15                    # of a sequence's number within its group: a group has no more pieces
+MOST_TASKS = 100_000
+
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, offset) of each piece, taken in the given order.
@@ -104,14 +107,17 @@ def _pack_group(capacity: int):
 
 def _packed(rows: DataFrame, n_groups: int, capacity: int, level: int) -> DataFrame:
     schema = "uid long, length long, grp long, seq long, offset long, fill long"
-    return (rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(n_groups)).alias("grp"))
-            .groupBy("grp").applyInPandas(_pack_group(capacity), schema))
+    dealt = rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(n_groups)).alias("grp"))
+    # a stated number of partitions: groups are few bytes and would else be put into one task
+    return (dealt.repartition(min(n_groups, MOST_TASKS), "grp").groupBy("grp").applyInPandas(_pack_group(capacity), schema))
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES,
          reopen: float = 0.995) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a table of pieces (column ``length`` of 1 to
     ``capacity``); the table is written to the shared folder first."""
+    if not 0 < group_pieces <= 1 << SEQ_BITS:
+        raise ValueError(f"group_pieces must be from 1 to {1 << SEQ_BITS}")
     base = written(items.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
     todo = base.where(F.col("length") < capacity).select(F.col("__uid").alias("uid"), "length")
     done: list[DataFrame] = []
@@ -137,7 +143,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
     for d in done[1:]:
         places = places.unionByName(d)
     places = places.select(F.col("uid").alias("__uid"), "offset", (
-        ((F.col("level") * F.lit(1 << 40) + F.col("grp")) * F.lit(1 << 15) + F.col("seq")) * 2).alias("sequence_id"))
+        ((F.col("level") * F.lit(1 << 40) + F.col("grp")) * F.lit(1 << SEQ_BITS) + F.col("seq")) * 2).alias("sequence_id"))
     return full.unionByName(base.where(F.col("length") < capacity).join(places, "__uid")).drop("__uid")
 
 

@@ -74,10 +74,19 @@ def _store(folder: str):
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI: Spark takes a plain path as one of its default file system, so the
+    tasks' own readers and writers must do the same."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
                   tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes ``folder``/data and ``folder``/index; returns the index."""
     path = tokenizer or tokenizer_path()
+    folder = _qualified(docs.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _store(folder)
@@ -125,34 +134,38 @@ def _batch(rows: list[tuple], types: tuple, names: tuple) -> pa.RecordBatch:
 
 
 def record_files(index: DataFrame) -> DataFrame:
-    """One row per file with ``first``: the ids in all files before it.  The window runs
-    over the files (each of hundreds of megabytes), not over records."""
-    files = index.groupBy("part", "file_no", "file").agg(F.sum("n_tokens").alias("ids"))
+    """One row per file with its records, ids and ``first``: the ids in all files before it.
+    The window runs over the files (each of hundreds of megabytes), not over records."""
+    files = index.groupBy("part", "file_no", "file").agg(F.sum("n_tokens").alias("ids"), F.count(F.lit(1)).alias("records"))
     upto = Window.orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("first", F.coalesce(F.sum("ids").over(upto), F.lit(0)))
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each record, read from the files as streams."""
+    """doc_id, start, n_tokens, ids_crc32 of each record, read from the files as streams.  A file
+    that does not hold the records and ids of its index rows, no more and no less, is an error."""
+    folder = _qualified(spark, folder)
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _store(folder)
         types, names = (pa.int64(), pa.int64(), pa.int64(), pa.int64()), ("doc_id", "start", "n_tokens", "ids_crc32")
         for batch in batches:
-            for name, start in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist()):
-                rows = []
+            for name, start, n_ids, n_records in zip(*[batch.column(c).to_pylist() for c in ("file", "first", "ids", "records")]):
+                rows, end = [], start + n_ids
                 with fs.open_input_stream(f"{base}/data/{name}", buffer_size=1 << 20) as stream:
                     while (record := read_frame(stream)) is not None:
                         d, ids = record
                         rows.append((d, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                        start += len(ids)
+                        start, n_records = start + len(ids), n_records - 1
                         if len(rows) == 10_000:
                             yield _batch(rows, types, names)
                             rows = []
+                if n_records or start != end:
+                    raise ValueError(f"{name} does not hold the records of its index")
                 yield _batch(rows, types, names)
 
-    files = record_files(index).select("file", "first")
+    files = record_files(index).select("file", "first", "ids", "records")
     # a stated number of partitions: the few rows would else be put into one task
     return (files.repartition(max(1, index.select("file").distinct().count()), "file")
             .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))

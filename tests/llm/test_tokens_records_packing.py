@@ -36,6 +36,43 @@ def test_known_words_stay_bounded():
     assert len(known.words) <= 3
 
 
+def test_known_words_keep_the_frequent_ones():
+    known = tokens._KnownWords(tokens.tokenizer_path())
+    known.MOST = 40
+    look = lambda ws: known.look_up(pa.array(ws, pa.large_string()))
+    for turn in range(12):
+        words = [" often", " always"] + [f" rare{turn}x{i}" for i in range(15)]
+        ids, first, size = look(words)
+        for w, f, s in zip(words, first, size):
+            assert ids[f:f + s].tolist() == brute(w)[:-1]
+    assert len(known.words) <= 40 and len(known.ids) < 40 * 8
+    before = len(known.words)
+    look([" often", " always"])
+    assert len(known.words) == before                        # both were still known
+
+
+def test_a_cut_file_is_noticed(sp):
+    import glob
+    folder = shared_folder(sp, "records-cut")
+    index = records.write_records(docs(sp, [(i, f"text {i}") for i in range(20)]).repartition(1), folder).collect()
+    last = max((r for r in index), key=lambda r: (r["file"], r["position"]))
+    path = glob.glob(f"{folder.removeprefix('file:')}/data/{last['file']}")[0]
+    with open(path, "r+b") as f:
+        f.truncate(last["position"])                         # at a frame's boundary
+    with pytest.raises(Exception, match="does not hold the records of its index"):
+        records.read_records(sp, folder).collect()
+
+
+def test_plain_paths_are_those_of_spark(sp):
+    assert records._qualified(sp, "/tmp/some folder/x").startswith("file:///tmp/some")
+    assert records._qualified(sp, "file:/tmp/x") == "file:///tmp/x"
+
+
+def test_group_size_is_bounded(sp):
+    with pytest.raises(ValueError, match="group_pieces"):
+        packing.pack_documents(docs(sp, [(1, "a")]), group_pieces=35_000)
+
+
 def test_records_round_trip(sp):
     rows = awkward()
     folder = shared_folder(sp, "records-test")

@@ -1,8 +1,7 @@
 """Load (L1-L11) and integrity checks (V1-V7) on plain Parquet tables.
 
-All merge logic is pure: ``current state + incoming batch -> next state +
-action column``.  Writers replace whole folders or the days of a batch, never a
-path that is being read.
+The merge logic works on frames: ``current state + incoming batch -> what changes + action
+column``; ``operators.state`` stores its results by version.
 """
 
 from __future__ import annotations
@@ -292,15 +291,6 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def write_history(df: DataFrame, path: str, replace: bool = False) -> None:
-    """Overwrite by obs_date: the days present in ``df`` (with ``replace`` the whole
-    folder, so that a replay leaves no day of an earlier attempt).  The rebalance gives a
-    large day several tasks and puts small days together."""
-    (df.hint("rebalance", F.col("obs_date")).sortWithinPartitions("obs_date", "product_id", "scraped_at")
-       .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
-       .partitionBy("obs_date").parquet(path))
-
-
 def write_log(df: DataFrame, path: str) -> None:
     """The log rows of a run; a run that is repeated replaces its own rows."""
     (df.withColumn("run", F.col("id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

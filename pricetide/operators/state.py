@@ -1,9 +1,10 @@
 """The stored state of the daily load (S7): a version costs what its batch touches.
 
-* ``products``: products with their latest observation (columns last_...), a Parquet table bucketed by its key (name, store_id) and partitioned by version.  A version
-  adds the rows that it changed; the newest row of a key counts.  A batch is joined to it,
-  and the newest rows are found, without a shuffle of the stored side.  After ``COMPACT``
-  versions all newest rows are written once more, and older ones are no longer read.
+* ``products``: products with their latest observation (columns last_...), a Parquet table
+  bucketed by its key (name, store_id) and partitioned by version.  A version adds the rows
+  that it changed; the newest row of a key counts.  A batch is joined to it, and the newest
+  rows are found, without a shuffle of the stored side.  After ``COMPACT`` versions all
+  newest rows are written once more, and older ones are no longer read.
 * ``prices``: the history, partitioned by day and version.  A version writes the days in
   which a row changed, as a whole; other days stay as they are.
 * ``commits``: one row per version, written last: run id, highest ids, and for each calendar
@@ -60,6 +61,7 @@ class VersionedState:
         """``buckets`` (default: the session's shuffle partitions) holds for a new state."""
         self.spark, self.root = spark, root
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._known: dict[int, Row] = {}
 
     # ------------------------------------------------------------ commits
 
@@ -73,11 +75,13 @@ class VersionedState:
         return self.spark.read.schema(self.COMMIT).parquet(os.path.join(self.root, "commits", "v*"))
 
     def commit_of(self, version: int) -> Row:
-        c = self._commits()
-        row = None if c is None else c.where(F.col("version") == int(version)).first()
-        if row is None:
-            raise ValueError(f"no version {version} in {self.root}")
-        return row
+        if version not in self._known:
+            c = self._commits()
+            row = None if c is None else c.where(F.col("version") == int(version)).first()
+            if row is None:
+                raise ValueError(f"no version {version} in {self.root}")
+            self._known[version] = row
+        return self._known[version]
 
     def latest_version(self) -> int:
         """Highest committed version (-1 when none)."""
@@ -108,6 +112,7 @@ class VersionedState:
         values = [int(version), "NULL" if run_id is None else int(run_id), int(first), self.buckets, int(max_product_id), int(max_price_id), f"array({live})"]
         fields = [f.split(" ", 1) for f in self.COMMIT.split(", ", 6)]
         row = ", ".join(f"CAST({v} AS {kind}) AS {name}" for v, (name, kind) in zip(values, fields))
+        self._known.pop(version, None)
         self.spark.sql(f"SELECT {row}").write.mode("overwrite").parquet(os.path.join(self.root, "commits", f"v{version:06d}"))
 
     # ------------------------------------------------------------ tables

@@ -77,13 +77,13 @@ def test_stored_products_are_not_shuffled(spark):
 
 
 def test_compaction_keeps_every_product(spark, monkeypatch):
-    monkeypatch.setattr(S, "COMPACT", 3)
+    monkeypatch.setattr(S, "COMPACT", 2)
     st = new_state(spark)
-    for v in range(8):
+    for v in range(5):
         st.merge(batch(spark, [(f"p{v}", "x", float(v), f"2024-01-0{v + 1} 10:00:00"), ("a", f"b{v}", 10.0 + v, f"2024-01-0{v + 1} 11:00:00")]), run_time())
-    assert st.commit_of(8)["first"] == 6 and st.products(8).count() == 9
-    assert rows(st.products(8).where("name = 'a'"), "brand", "last_price") == [("b7", 17.0)]
-    assert rows(st.products(5).where("name = 'a'"), "brand") == [("b4",)]
+    assert st.commit_of(5)["first"] == 4 and st.products(5).count() == 6
+    assert rows(st.products(5).where("name = 'a'"), "brand", "last_price") == [("b4", 14.0)]
+    assert rows(st.products(3).where("name = 'a'"), "brand") == [("b2",)]
 
 
 def test_latest_row_follows_updates_and_late_days(spark):

@@ -158,7 +158,8 @@ def prefix_trie(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
 
 def oracle() -> str:
-    """DuckDB: crc32 bit by bit over the decimal id, prefixes as lists."""
+    """DuckDB: crc32 bit by bit over the decimal id, prefixes as lists.  parent_conv_id is a
+    DOUBLE here, as pandas makes one of Spark's nullable long when results are compared."""
     return """
 WITH turns AS (
   SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce("text", '')} AS e,
@@ -188,7 +189,7 @@ nodes AS (
   FROM prefixes GROUP BY p, d),
 kids AS (
   SELECT a.p, a.d, count(b.d) AS n_children FROM nodes a LEFT JOIN nodes b ON b.d = a.d + 1 AND b.p[1:a.d] = a.p GROUP BY a.p, a.d)
-SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, any_value(up.conv_id) AS parent_conv_id, any_value(n.n_convs) AS n_convs,
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CAST(any_value(up.conv_id) AS DOUBLE) AS parent_conv_id, any_value(n.n_convs) AS n_convs,
        any_value(k.n_children) AS n_children, CAST(count(*) FILTER (bk.n_children = 0) AS BIGINT) AS n_leaves,
        CAST(sum(b.saved) AS BIGINT) AS saved_tokens, any_value(n.ends_sha256) AS ends_sha256
 FROM nodes n JOIN kids k ON k.p = n.p AND k.d = n.d

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pricetide.operators import load as L
 from pricetide.operators.analytics import headline
-from pricetide.session import checkpoint_dir
+from pricetide.session import bucket_count, checkpoint_dir
 from pricetide.sources.adapters import Star
 
 KEY = ["name", "store_id"]
@@ -58,9 +58,9 @@ class VersionedState:
                          "last_availability boolean, last_price_change double, last_price_change_pct double")
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
-        """``buckets`` (default: the session's shuffle partitions) holds for a new state."""
+        """``buckets`` (default: as the session suggests) holds for a new state."""
         self.spark, self.root = spark, root
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or bucket_count(spark)
         self._known: dict[int, Row] = {}
 
     # ------------------------------------------------------------ commits

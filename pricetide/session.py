@@ -66,6 +66,12 @@ def written(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of a stored table: the session's shuffle partitions, but no more than twice the
+    cluster's cores (a small session with Spark's default of 200 would write tiny files)."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)

@@ -85,10 +85,10 @@ def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
     groupings on it need no shuffle of this side."""
     import uuid
 
-    from pricetide.session import scratch_path
+    from pricetide.session import bucket_count, scratch_path
     spark = df.sparkSession
     table = f"pricetide_{name}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = bucket_count(spark)
     (df.repartition(n, by).write.bucketBy(n, by).sortBy(by)
      .option("path", scratch_path(spark, table)).saveAsTable(table))
     return spark.table(table)

@@ -1,12 +1,15 @@
 """Operator 1: near-duplicates by improved consistent weighted sampling.
 
 Each text is a bag of five-word shingles with TF-IDF weights tf * idf, where
-idf = 1 + ln(1 / max(df / N, RARE)): shingles in less than a share RARE of the documents
-weigh the same, those in more of them less, down to a third.  (A steeper idf would take
-the members of a group of near copies apart just because the group is large.)  Document
-frequencies are counted over all documents in a count-min sketch of fixed size, whose
-cells from RARE * N on (a bounded number, since all cells of a row sum to the shingles)
-are all that tasks need to know.
+idf = 1 + ln(N / df), in steps of a quarter, over the whole range of df.  N and df count one
+document of each group of copies, near ones included: otherwise a group's own shingles
+would weigh little just because the group is large, and the few words that tell its
+members apart would weigh much.  Such a group is told by four keys of two min-hashes each;
+a text counts if no text of a smaller digest shares one of its keys (copies at 0.9 share
+one with 0.999, texts that have a third in common with 0.4).  df is counted in a count-min
+sketch of fixed size over all these texts, so it is never too small, and too large by what
+else falls into both of a shingle's cells: about one document in 3,000 at any input size,
+below which the idf is flat.  Shingles of none of these texts weigh as those of one.
 
 1. Texts get SAMPLES consistent weighted samples.  Bands of ROWS samples each are keys.
 2. Equal texts are one node.  In every bucket of a band the node with the most company
@@ -49,13 +52,13 @@ from pricetide.llm.text import mix, shingles, word_hashes
 SIMILARITY = 0.8
 SAMPLES, ROWS = 64, 4            # 16 bands: a pair at 0.8 misses all of them with 0.0002
 AGREE = 38                       # of 64 samples; a pair at 0.8 has fewer with 0.00003
-RARE = 1 / 8                     # share of documents below which a shingle's idf is the highest
+STEPS = 4                        # steps of the idf per unit
+KEYS, PER_KEY = 4, 2             # keys of min-hashes that tell groups of copies
 CELLS_LOG2 = 20                  # cells of each of the two rows of the sketch
 SLICE = 1 << 15                  # cells that travel together
 TILE = 512                       # nodes on either side of a tile of step 4
 
 _ROW2 = np.uint64(0xD6E8FEB86659FD93)
-_EMPTY = hashlib.md5(b"").digest()
 
 
 # ---------------------------------------------------------------- document frequencies
@@ -66,62 +69,117 @@ def _cells(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (s >> down).astype(np.int64), ((s * _ROW2) >> down).astype(np.int64)
 
 
-def frequent_cells(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, documents) of the cells that at least RARE * N documents fall into; cells of
-    the second row are counted on from those of the first."""
-    n_cells, least = 1 << CELLS_LOG2, max(2, int(np.ceil(RARE * n_docs)))
+_KEY_ODD = mix(np.arange(1, KEYS * PER_KEY + 1, dtype=np.uint64) * _ROW2) | np.uint64(1)
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
+
+
+def copy_keys(s: np.ndarray) -> np.ndarray:
+    """KEYS keys of the shingles ``s`` of a text, each of PER_KEY min-hashes."""
+    low = np.array([(s * odd).min() for odd in _KEY_ODD]).reshape(KEYS, PER_KEY)
+    keys = np.arange(KEYS, dtype=np.uint64)
+    for i in range(PER_KEY):
+        keys = mix(keys * _ROW2 + low[:, i])
+    return keys
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        node, keys = [], []
+        for text in batch.column("text").to_pylist():
+            node.append(_digest(text))
+            s = shingles(word_hashes(text))
+            keys.append(copy_keys(s).astype(np.int64) if len(s) else None)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                                         names=["doc_id", "node", "keys"])
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """node, doc_id (the smallest), same (rows that have this id and text), copies, keys."""
+    pairs = (rows.mapInArrow(_keyed, "doc_id long, node binary, keys array<long>")
+             .groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("same"), F.first("keys").alias("keys")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")).alias("m")
+    return pairs.groupBy("node").agg(first, F.sum("same").alias("copies"), F.first("keys").alias("keys")).select(
+        "node", "m.doc_id", "m.same", "copies", "keys")
+
+
+def representatives(nodes: DataFrame) -> DataFrame:
+    """The nodes that have the smallest digest under every one of their keys."""
+    firsts = (nodes.select("node", F.posexplode("keys").alias("at", "key"))
+              .groupBy("at", "key").agg(F.min("node").alias("node")))
+    every = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == KEYS)
+    return nodes.join(every.select("node"), "node", "left_semi").select("node", "doc_id", "same")
+
+
+def idf_level(n: int, df: np.ndarray) -> np.ndarray:
+    """Steps of idf = 1 + ln(n / df)."""
+    n = max(n, 1)
+    return np.rint(STEPS * (1 + np.log(n / np.clip(df, 1, n)))).astype(np.uint8)
+
+
+def idf_levels(texts: DataFrame, n: int) -> np.ndarray:
+    """The idf of each cell, in steps, from the columns text and same (as often as a row
+    repeats, by so much less does it count); cells of the second row come after the first's."""
+    n_cells, most = 1 << CELLS_LOG2, 1 << 20
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * n_cells, np.int64)
+        total = np.zeros(2 * n_cells)
         held: list[np.ndarray] = []
+        share: list[float] = []
 
         def add_up() -> None:
             if held:
                 a, b = _cells(np.concatenate(held))
-                total[:n_cells] += np.bincount(a, minlength=n_cells)
-                total[n_cells:] += np.bincount(b, minlength=n_cells)
+                w = None if min(share) == 1 else np.repeat(share, [len(s) for s in held])
+                total[:n_cells] += np.bincount(a, w, n_cells)
+                total[n_cells:] += np.bincount(b, w, n_cells)
                 held.clear()
+                share.clear()
+        size = 0
         for batch in batches:
-            for text in batch.column(0):
-                held.append(np.unique(shingles(word_hashes(text.as_py()))))      # once a document
-                if len(held) == 2000:
+            for text, same in zip(batch.column("text"), batch.column("same").to_pylist()):
+                s = np.unique(shingles(word_hashes(text.as_py())))               # once a document
+                held.append(s)
+                share.append(1 / same)
+                size += len(s)
+                if size >= most:
                     add_up()
+                    size = 0
         add_up()
-        total = total.astype(np.uint32)
         for i in range(0, 2 * n_cells, SLICE):
             part = total[i:i + SLICE]
             if part.any():
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([i // SLICE], pa.int32()), "counts": [part.tobytes()]})
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([i // SLICE], pa.int32()), "counts": [part.astype(np.float32).tobytes()]})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}             # at most all cells, 16 MB
         for batch in batches:
             for i, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                sums.setdefault(i, np.zeros(SLICE, np.int64))
-                sums[i] += np.frombuffer(raw, np.uint32)
+                sums.setdefault(i, np.zeros(SLICE))
+                sums[i] += np.frombuffer(raw, np.float32)
         for i, total in sums.items():
-            hit = np.flatnonzero(total >= least)
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(hit + i * SLICE, pa.int64()), "n": pa.array(total[hit], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "levels": [idf_level(n, np.rint(total)).tobytes()]})
 
-    found = (docs.select("text").mapInArrow(count, "slice int, counts binary")
-             .repartition("slice").mapInArrow(add, "cell long, n long")).toPandas()
-    return found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    levels = np.full(2 * n_cells, idf_level(n, np.ones(1))[0], np.uint8)
+    found = texts.mapInArrow(count, "slice int, counts binary").repartition("slice").mapInArrow(add, "slice int, levels binary")
+    for row in found.toLocalIterator():              # 2 MB in all
+        levels[row["slice"] * SLICE:(row["slice"] + 1) * SLICE] = np.frombuffer(row["levels"], np.uint8)
+    return levels
 
 
 class Weights:
-    """TF-IDF weights of shingles, from the frequent cells of the sketch."""
+    """TF-IDF weights of shingles, multiples of a step, from the idf of the sketch's cells."""
 
-    def __init__(self, n_docs: int, cells: np.ndarray, counts: np.ndarray):
+    def __init__(self, levels: np.ndarray):
         n_cells = 1 << CELLS_LOG2
-        self.top = np.float32(1 + np.log(1 / RARE))
-        idf = np.full(2 * n_cells, self.top, np.float32)
-        share = np.minimum(1.0, counts / max(n_docs, 1))
-        idf[cells] = 1 + np.log(1 / np.maximum(share, RARE))
-        self.first, self.second = idf[:n_cells], idf[n_cells:]
+        self.first, self.second = levels[:n_cells], levels[n_cells:]
+        self.top = int(levels.max())
 
     def __call__(self, s: np.ndarray, tf: np.ndarray) -> np.ndarray:
         a, b = _cells(s)
-        return np.maximum(self.first[a], self.second[b]) * tf.astype(np.float32)
+        return np.maximum(self.first[a], self.second[b]) * tf.astype(np.float32) / np.float32(STEPS)
 
 
 def bag(text: str | None, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +203,7 @@ class Sampler:
     a sample j: r, c ~ Gamma(2, 1), b ~ U(0, 1), t = floor(ln S / r + b) and
     ln a = ln c - r (t - b + 1); the sample is (k, t) of the smallest ln a.  The random
     numbers of (k, j) come from tables of 2^16 draws, picked by bits of k times an odd
-    number of j; most shingles have the same weight, for which ln a is tabled as well."""
+    number of j; weights up to the highest idf have r (t - b + 1) tabled for all draws."""
 
     def __init__(self, weights: Weights, samples: int = SAMPLES, seed: int = 20):
         rng = np.random.RandomState(seed)
@@ -155,7 +213,10 @@ class Sampler:
         self.ln_c = np.log(-np.log((1 - rng.random_sample(n)) * (1 - rng.random_sample(n)) * (1 - 1e-12))).astype(np.float32)
         self.odd = (rng.randint(0, 1 << 62, samples, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
         self.top = weights.top
-        self.top_t, self.top_step = self._steps(np.log(self.top), np.arange(n))
+        self.tabled = np.zeros((self.top + 1, n), np.float32)
+        for level in range(STEPS, self.top + 1):
+            self.tabled[level] = self._steps(np.log(np.float32(level / STEPS)), np.arange(n))[1]
+        self.tabled = self.tabled.ravel()
 
     def _steps(self, ln_s, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """t and r (t - b + 1) for draws ``i``."""
@@ -164,26 +225,30 @@ class Sampler:
 
     def __call__(self, s: np.ndarray, w: np.ndarray, block: int = 1024) -> np.ndarray:
         """One 64-bit fingerprint of (k, t) for each sample, the same for equal (k, t)."""
-        rows = np.arange(len(self.odd))
-        best, key, step = np.full(len(rows), np.inf, np.float32), np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.float32)
-        common = w == self.top
-        for plain in (True, False):
-            part = np.flatnonzero(common if plain else ~common)
+        n = len(self.odd)
+        rows, odd = np.arange(n), self.odd[:, None]
+        best, key, weight = np.full(n, np.inf, np.float32), np.zeros(n, np.uint64), np.ones(n, np.float32)
+        low_weight = w <= self.top / STEPS
+        for tabled in (True, False):
+            part = np.flatnonzero(low_weight == tabled)
             for lo in range(0, len(part), block):
-                k = s[part[lo:lo + block]]
-                u = k[None, :] * self.odd[:, None]
-                i, j = (u >> np.uint64(48)).astype(np.intp), ((u >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.intp)
-                if plain:
-                    a = self.ln_c[j] - self.top_step[i]
+                k, wk = s[part[lo:lo + block]], w[part[lo:lo + block]]
+                u = np.multiply(k[None, :], odd)
+                i = u >> np.uint64(48)
+                u >>= np.uint64(32)
+                u &= np.uint64(0xFFFF)
+                a = self.ln_c.take(u.view(np.int64), mode="clip")
+                if tabled:
+                    i += ((wk * STEPS).astype(np.uint64) << np.uint64(16))[None, :]
+                    a -= self.tabled.take(i.view(np.int64), mode="clip")
                 else:
-                    t, down = self._steps(np.log(w[part[lo:lo + block]])[None, :], i)
-                    a = self.ln_c[j] - down
+                    a -= self._steps(np.log(wk)[None, :], i.view(np.int64))[1]
                 at = a.argmin(axis=1)
                 low = a[rows, at]
                 won = (low < best) | ((low == best) & (k[at] < key))
-                best[won], key[won] = low[won], k[at][won]
-                step[won] = (self.top_t[i[rows, at]] if plain else t[rows, at])[won]
-        return mix(key + step.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                best[won], key[won], weight[won] = low[won], k[at][won], wk[at][won]
+        t = self._steps(np.log(weight), ((key * self.odd) >> np.uint64(48)).view(np.int64))[0]
+        return mix(key + t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _band_keys(f: np.ndarray) -> np.ndarray:
@@ -197,12 +262,12 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     """doc_id, node (the text's digest), bands and samples (both null without words)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
+        weights = Weights(shared.value)
         sampler = Sampler(weights)
         for batch in batches:
             node, bands, samples = [], [], []
             for text in batch.column("text").to_pylist():
-                node.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).digest())
+                node.append(_digest(text))
                 x = bag(text, weights)
                 if len(x[0]):
                     f = sampler(*x)
@@ -236,7 +301,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """a, b and the similarity of their whole texts."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
+        weights = Weights(shared.value)
         last, last_bag = None, None                 # rows come sorted by b from the join
         for batch in batches:
             sim = []
@@ -262,7 +327,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in batch.column("text").to_pylist()]
+            node = [_digest(t) for t in batch.column("text").to_pylist()]
             number = np.array([int.from_bytes(d[:7], "big") for d in node], np.uint64)
             at = pa.array(in_bitmap(bits.value, log2, number))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text").take(at), pa.array(node, pa.binary()).take(at)],
@@ -275,14 +340,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _short_bags(texts: DataFrame, shared) -> DataFrame:
-    """node, shingles (32 bits of each, sorted) and weights (16 bits), for tiles."""
+    """node, shingles (32 bits of each, sorted) and weights, for tiles."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
+        weights = Weights(shared.value)
         for batch in batches:
             bags = [bag(t, weights) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([(s >> np.uint64(32)).astype(np.uint32).tobytes() for s, _ in bags], pa.binary()),
-                 pa.array([np.minimum(w, 60_000).astype(np.float16).tobytes() for _, w in bags], pa.binary())], names=["node", "shingles", "weights"])
+                 pa.array([w.tobytes() for _, w in bags], pa.binary())], names=["node", "shingles", "weights"])
     return texts.mapInArrow(make, "node binary, shingles binary, weights binary")
 
 
@@ -297,7 +362,7 @@ class _Rows:
         self.bands = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, -1)
         self.samples = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
         self.shingles = [np.frombuffer(x, np.uint32) for x in batch.column("shingles").to_pylist()]
-        self.weights = [np.frombuffer(x, np.float16).astype(np.float32) for x in batch.column("weights").to_pylist()]
+        self.weights = [np.frombuffer(x, np.float32) for x in batch.column("weights").to_pylist()]
         self.total = np.array([w.sum() for w in self.weights])
 
     def starts(self) -> np.ndarray:
@@ -359,11 +424,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     from pyspark.sql import SparkSession
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    n = rows.count()
-    shared = spark.sparkContext.broadcast((n, *frequent_cells(rows, n)))
+    one = written(distinct_texts(rows), "nodes")          # one row per node: that of its smallest id
+    counted = written(representatives(one), "representatives")
+    n = counted.count()
+    first = counted.select(F.col("doc_id").alias("__d"), F.col("node").alias("__n"), "same")
+    digest = F.unhex(F.md5(F.col("text").cast("binary")))
+    once = (rows.withColumn("node", digest).join(first, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("node") == F.col("__n")))
+            .select("text", "same"))
+    shared = spark.sparkContext.broadcast(idf_levels(once, n))
     signed = written(signatures(rows, shared), "signatures")
-    # one row per node: that of its smallest id
-    one = written(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "nodes")
     sig = (signed.join(one.select("node", F.col("doc_id").alias("__d")), "node")
            .where(F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("bands").isNotNull()).drop("__d", "doc_id")
            .groupBy("node").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples")))

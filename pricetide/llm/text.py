@@ -12,19 +12,19 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _WordHashes(dict):
-    """Hashes of the words met so far; emptied when it holds ``MOST``, so it stays small."""
+# Words are hashed all at once: sums of code points times powers of an odd number, by running
+# sums over blocks of a text.  Words beyond LONG characters are hashed one by one.
+LONG, _BLOCK = 4096, 1 << 16
 
-    MOST = 200_000
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+def _powers(x: int) -> np.ndarray:
+    p = np.full(_BLOCK + LONG + 1, x, np.uint64)
+    p[0] = 1
+    return np.cumprod(p)
 
 
-_hashes = _WordHashes()
+_POWERS, _INVERSE = _powers(int(_MULT)), _powers(pow(int(_MULT), -1, 1 << 64))
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])         # no white space after U+3000
 
 
 def words(text: str | None) -> list[str]:
@@ -32,8 +32,26 @@ def words(text: str | None) -> list[str]:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    w = words(text)
-    return np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+    """A hash of each word, in order."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = np.ones(len(codes) + 2, bool)
+    space[1:-1] = _SPACE.take(codes, mode="clip")
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, stop = edges[::2], edges[1::2]
+    size = stop - start
+    end = start + np.minimum(size, LONG)
+    out = np.empty(len(start), np.uint64)
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(codes) + _BLOCK, _BLOCK)))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        lo, hi = start[a], end[b - 1]
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(codes[lo:hi] * _POWERS[:hi - lo], out=sums[1:])
+        out[a:b] = (sums[end[a:b] - lo] - sums[start[a:b] - lo]) * _INVERSE[start[a:b] - lo]
+    for i in np.flatnonzero(size > LONG):
+        out[i] = xxhash.xxh64_intdigest(codes[start[i]:stop[i]].tobytes())
+    return mix(out + size.astype(np.uint64) * _MULT)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

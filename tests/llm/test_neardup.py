@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -11,19 +12,34 @@ from pricetide.llm.text import shingles, word_hashes
 from .frames import awkward, docs
 
 
-def plain_classes(rows):
-    """Classes by comparing all pairs of texts, with weights from exact cell counts."""
+def plain_idf(texts, counted):
+    """idf in quarters by plain counts over the texts ``counted``."""
+    df = Counter()
+    for t in counted:
+        df.update(set(shingles(word_hashes(t)).tolist()))
+    n = len(counted)
+    return lambda k: round(4 * (1 + math.log(n / df.get(k, 1)))) / 4
+
+
+class PlainWeights:
+    def __init__(self, idf):
+        self.idf = idf
+
+    def __call__(self, s, tf):
+        return np.array([self.idf(k) * f for k, f in zip(s.tolist(), tf.tolist())], np.float64)
+
+
+def counted_texts(sp, rows):
+    """The texts that df counts, one of each group of copies."""
+    frame = docs(sp, rows).select("doc_id", neardup.text_or_empty().alias("text"))
+    nodes = {bytes(r["node"]) for r in neardup.representatives(neardup.distinct_texts(frame)).collect()}
+    return [t for t in {t or "" for _, t in rows} if neardup._digest(t) in nodes]
+
+
+def plain_classes(sp, rows):
+    """Classes by comparing all pairs of texts, with an idf counted here."""
     texts = [t or "" for _, t in rows]
-    n_cells = 1 << neardup.CELLS_LOG2
-    total = np.zeros(2 * n_cells, np.int64)
-    for t in texts:
-        s = np.unique(shingles(word_hashes(t)))
-        if len(s):
-            a, b = neardup._cells(s)
-            np.add.at(total, a, 1)
-            np.add.at(total, b + n_cells, 1)
-    hit = np.flatnonzero(total >= max(2, int(np.ceil(neardup.RARE * len(rows)))))
-    weights = neardup.Weights(len(rows), hit, total[hit])
+    weights = PlainWeights(plain_idf(texts, counted_texts(sp, rows)))
     kinds = sorted(set(texts))
     bags = [neardup.bag(t, weights) for t in kinds]
     top = {t: i for i, t in enumerate(kinds)}
@@ -77,14 +93,14 @@ def test_classes_and_links_are_those_of_all_pairs(sp, seed):
     rows = corpus(seed) + awkward()
     got = neardup.near_duplicates(docs(sp, rows, extra=("class_id", "node", "links"))).collect()
     mine = key((r["doc_id"], r["class_id"], r["class_size"]) + (0,) for r in got)
-    want = key((a, b, c) + (0,) for a, b, c, _ in plain_classes(rows))
+    want = key((a, b, c) + (0,) for a, b, c, _ in plain_classes(sp, rows))
     assert mine == want
 
 
 def test_one_of_each_class_stays(sp):
     rows = corpus(3) + awkward()
     kept = neardup.keep_one_of_each(docs(sp, rows, extra=("node", "__d"))).collect()
-    want = {b for _, b, _, _ in plain_classes(rows)}
+    want = {b for _, b, _, _ in plain_classes(sp, rows)}
     got = [r["doc_id"] for r in kept]
     assert set(got) == want and len(got) == plain_classes.number
     texts = [t or "" for _, t in rows]
@@ -111,17 +127,72 @@ def test_empty_table(sp):
 
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.RandomState(0)
-    weights = neardup.Weights(1000, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    weights = neardup.Weights(np.full(2 << neardup.CELLS_LOG2, 32, np.uint8))
     sampler = neardup.Sampler(weights, samples=4096)
     s = np.sort(rng.randint(0, 1 << 62, 500).astype(np.uint64))
     for same in (100, 250, 400):
-        a = (s[:same + 50], weights.top * rng.choice([1.0, 1.0, 2.0, 3.0], same + 50).astype(np.float32))
-        b = (s[50:same + 100], np.concatenate([a[1][50:], np.full(50, weights.top, np.float32)]))
+        idf = rng.randint(4, 33, 500) / np.float32(4)
+        a = (s[:same + 50], idf[:same + 50] * rng.choice([1.0, 1.0, 2.0, 3.0], same + 50).astype(np.float32))
+        b = (s[50:same + 100], np.concatenate([a[1][50:], idf[same + 50:same + 100]]))
         b[1][:20] *= 2
         rate = float((sampler(*a) == sampler(*b)).mean())
         assert abs(rate - neardup.weighted_jaccard(a, b)) < 0.04
 
 
+def test_idf_falls_over_the_whole_range(sp):
+    """Passages in 1, 2, 4, ... of 256 otherwise different texts weigh by 1 + ln(N / df)."""
+    rnd = random.Random(6)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    passages = {2 ** i: [word() for _ in range(5)] for i in range(9)}
+    rows = [(i, " ".join([word() for _ in range(200)] + [w for n, p in passages.items() if i < n for w in p + [word()]])) for i in range(256)]
+    frame = sp.createDataFrame([(t, 1) for _, t in rows], "text string, same long")
+    weights = neardup.Weights(neardup.idf_levels(frame, 256))
+    for n, p in passages.items():
+        w = weights(shingles(word_hashes(" ".join(p))), np.ones(1))[0]
+        assert abs(w - (1 + math.log(256 / n))) <= 0.125 + 1e-6
+    assert len(counted_texts(sp, rows)) >= 250
+
+
+def test_copies_do_not_lower_their_idf(sp):
+    rnd = random.Random(7)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    base = [word() for _ in range(200)]
+    near = []
+    for _ in range(300):
+        copy = list(base)
+        copy[rnd.randrange(200)] = word()
+        near.append(" ".join(copy))
+    alone = [" ".join(word() for _ in range(100)) for _ in range(100)]
+    rows = list(enumerate(near + [near[0]] * 200 + alone))
+    counted = counted_texts(sp, rows)
+    assert set(alone) <= set(counted) and len(counted) <= 110
+    got = neardup.near_duplicates(docs(sp, rows)).collect()
+    assert sorted(Counter(r["class_id"] for r in got).values()) == [1] * 100 + [500]
+
+
+def test_repeated_rows_count_once(sp):
+    frame = sp.createDataFrame([("a b c d e f", 4)] * 4 + [("g h i j k l", 1)], "text string, same long")
+    weights = neardup.Weights(neardup.idf_levels(frame, 2))
+    s = shingles(word_hashes("a b c d e f"))
+    assert (weights(s, np.ones(len(s))) == neardup.idf_level(2, np.ones(1))[0] / 4).all()
+
+
+def test_words_are_those_of_split():
+    rnd = random.Random(8)
+    parts = ["a", "É", "\u0130x", "\u3000", "\x1c", "\U0001F642", " ", "\n", "\x85", "\u2028", "\ud800", "z" * 5000, "zz"]
+    known = {}
+    for _ in range(300):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60)))
+        h = word_hashes(text)
+        w = text.lower().split()
+        assert len(h) == len(w)
+        for x, y in zip(w, h.tolist()):
+            assert known.setdefault(x, y) == y
+    assert len(set(known.values())) == len(known)
+    long = " ".join(str(i) for i in range(60_000)) + " " + "y" * 200_000 + " end"
+    assert len(set(word_hashes(long).tolist())) == 60_002 and word_hashes(long)[7] == word_hashes("7")[0]
+
+
 def test_components(sp):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200)]
     got = {r["member"]: r["label"] for r in components(sp.createDataFrame(links, "a long, b long")).collect()}

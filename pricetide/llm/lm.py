@@ -97,18 +97,29 @@ class Vocabulary:
         share = np.concatenate([count[:self.n_short], [ends], class_tokens]) + 0.5
         self.noise = share / share.sum()
 
-    def lookup(self, w: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rank (-1: not frequent), input row and target of each word."""
-        rank = np.fromiter(map(self.rank.get, w, repeat(-1)), np.int64, len(w))
+    def codes(self, w: list[bytes]) -> np.ndarray:
+        """The rank of each frequent word, -1 - class of each other."""
+        code = np.fromiter(map(self.rank.get, w, repeat(-1)), np.int32, len(w))
+        rare = np.flatnonzero(code < 0)
+        if len(rare):
+            code[rare] = np.fromiter((-1 - word_class(w[i]) for i in rare.tolist()), np.int32, len(rare))
+        return code
+
+    def places(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Input row and target of each code."""
+        cls = -1 - code.astype(np.int64)
         if not len(self.source):
-            cls = np.fromiter(map(word_class, w), np.int64, len(w))
-            return rank, self.n_input + cls, self.n_short + 1 + cls
+            return self.n_input + cls, self.n_short + 1 + cls
+        rank = np.maximum(code, 0)
         source, target = self.source[rank], self.target[rank]
-        rare = np.flatnonzero(rank < 0)
-        if len(rare):
-            cls = np.fromiter((word_class(w[i]) for i in rare.tolist()), np.int64, len(rare))
-            source[rare], target[rare] = self.n_input + cls, self.n_short + 1 + cls
-        return rank, source, target
+        rare = np.flatnonzero(code < 0)
+        source[rare], target[rare] = self.n_input + cls[rare], self.n_short + 1 + cls[rare]
+        return source, target
+
+    def tokens(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts and targets of all words and ends of texts."""
+        found = [self.places(c) for c in codes]
+        return contexts([f[0] for f in found], self.start), np.concatenate([np.append(f[1], self.end) for f in found])
 
 
 def contexts(source: list[np.ndarray], start: int) -> np.ndarray:
@@ -166,10 +177,9 @@ class Model:
 
 def _add_rows(size: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """An array of ``size`` rows: the sums of ``rows`` by their place ``at``."""
-    out = np.zeros((size, *rows.shape[1:]), np.float32)
-    order = np.argsort(at.astype(np.uint16), kind="stable")       # a radix sort; there are few places
-    cuts = np.flatnonzero(np.diff(at[order], prepend=-1))
-    out[at[order][cuts]] = np.add.reduceat(rows[order], cuts)
+    out = np.empty((size, rows.shape[1]), np.float32)
+    for k in range(rows.shape[1]):
+        out[:, k] = np.bincount(at, rows[:, k], size)
     return out
 
 
@@ -190,7 +200,8 @@ class Trainer:
     def step(self, ctx: np.ndarray, target: np.ndarray) -> None:
         r, c, q, b = self.model.parts
         n = np.float32(len(target))
-        rows = [r[ctx[:, k]] for k in range(CONTEXT)]
+        at = ctx.T.ravel()
+        rows = r.take(at, axis=0).reshape(CONTEXT, len(target), DIM)
         hat = rows[0] * c[0]
         for k in range(1, CONTEXT):
             hat += rows[k] * c[k]
@@ -207,29 +218,27 @@ class Trainer:
         down = np.divide(-1, other, out=other)
         dhat = up * mine
         dhat += down @ theirs
-        dq, db = _add_rows(len(q), target, up * hat), _add_rows(len(b), target, up[:, 0])
-        np.add.at(dq, noise, down.T @ hat)
-        np.add.at(db, noise, down.sum(axis=0))
+        both = np.concatenate([target, noise])                         # targets and noise move alike
+        dq = _add_rows(len(q), both, np.concatenate([up * hat, down.T @ hat]))
+        db = np.bincount(both, np.concatenate([up[:, 0], down.sum(axis=0)]), len(b))
         dc = np.stack([np.einsum("td,td->d", rows[k], dhat) for k in range(CONTEXT)])
-        dr = _add_rows(len(r), ctx.T.ravel(), np.concatenate([dhat * c[k] for k in range(CONTEXT)]))
+        dr = _add_rows(len(r), at, (dhat[None] * c[:, None]).reshape(-1, DIM))
         for i, g in enumerate((dr, dc, dq, db)):
             self._move(i, (g / n).astype(np.float32))
 
-    def texts(self, vocab: Vocabulary, texts: list[str | None]) -> int:
-        """Goes over the texts once; returns their tokens."""
-        if not texts:
+    def texts(self, vocab: Vocabulary, codes: list[np.ndarray]) -> int:
+        """Goes over the texts, given as codes of their words, once; returns their tokens."""
+        if not codes:
             return 0
-        found = [vocab.lookup(words(t)) for t in texts]
-        ctx = contexts([f[1] for f in found], vocab.start)
-        target = np.concatenate([np.append(f[2], vocab.end) for f in found])
+        ctx, target = vocab.tokens(codes)
         mixed = self.rng.permutation(len(target))
         for lo in range(0, len(mixed), BATCH):
             self.step(ctx[mixed[lo:lo + BATCH]], target[mixed[lo:lo + BATCH]])
         return len(target)
 
 
-def text_groups(texts: list[str], size: int = 2 << 20) -> Iterator[slice]:
-    """Slices of a list of texts of about ``size`` characters each."""
+def text_groups(texts: list, size: int = 1 << 19) -> Iterator[slice]:
+    """Slices of a list of texts, as codes, of about ``size`` words each."""
     lo, n = 0, 0
     for i, t in enumerate(texts):
         n += len(t)
@@ -238,14 +247,40 @@ def text_groups(texts: list[str], size: int = 2 << 20) -> Iterator[slice]:
             lo, n = i + 1, 0
 
 
-def train(docs: DataFrame, vocab: Vocabulary) -> Model:
-    """Parameters learned from all of ``docs`` (columns doc_id, text)."""
+def looked_up(rows: DataFrame, shared) -> DataFrame:
+    """doc_id, held_out, codes of the words (32 bits each), words that are not frequent and
+    how often each occurs; training and scoring both read these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
+        for batch in batches:
+            codes, rare = [], []
+            for text in batch.column("text"):
+                w = words(text.as_py())
+                code = vocab.codes(w)
+                codes.append(code.astype("<i4").tobytes())
+                rare.append(Counter(w[i] for i in np.flatnonzero(code < 0).tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(codes, pa.binary()),
+                 pa.array([list(c.keys()) for c in rare], pa.list_(pa.binary())), pa.array([list(c.values()) for c in rare], pa.list_(pa.int64()))],
+                names=["doc_id", "held_out", "codes", "rare", "times"])
+
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, codes binary, rare array<binary>, times array<long>")
+
+
+def _codes(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<i4") for x in column.to_pylist()]
+
+
+def train(docs: DataFrame, coded: DataFrame, vocab: Vocabulary) -> Model:
+    """Parameters learned from all of ``coded`` (column codes), starting from a sample of
+    ``docs`` (columns doc_id, text)."""
     spark = docs.sparkSession
     # the rows of the lowest hashes: found by hash alone, so that no task sends its own first texts
     mark = F.xxhash64("doc_id", "text")
     upto = docs.select(mark.alias("h")).orderBy("h").limit(WARM_DOCS).agg(F.max("h")).first()[0]
     warm = [r["text"] for r in docs.where(mark <= upto).select("text").limit(WARM_DOCS).collect()] if upto is not None else []
-    warm.sort()
+    warm = [vocab.codes(words(t)) for t in sorted(warm)]
     trainer = Trainer(Model.fresh(vocab), vocab.noise, 1)
     steps = 0
     while warm and steps < WARM_STEPS:
@@ -258,9 +293,9 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Model:
         vocab, begin = shared.value
         mine, n = Trainer(Model.fresh(vocab).like(begin), vocab.noise, 2), 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in text_groups(texts):
-                n += mine.texts(vocab, texts[part])
+            codes = _codes(batch.column(0))
+            for part in text_groups(codes):
+                n += mine.texts(vocab, codes[part])
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(mine.model.flat() * np.float64(n)).tobytes()], pa.binary())], names=["n", "sums"])
 
@@ -273,7 +308,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "sums"])
 
     fields = "n long, sums binary"
-    parts = docs.select("text").mapInArrow(learn, fields).repartition(16).mapInArrow(add, fields).collect()     # at most 16 rows
+    parts = coded.select("codes").mapInArrow(learn, fields).repartition(16).mapInArrow(add, fields).collect()     # at most 16 rows
     n = sum(r["n"] for r in parts)
     return trainer.model.like(sum(np.frombuffer(r["sums"]) for r in parts) / n) if n else trainer.model
 
@@ -310,43 +345,39 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         tokens[word_class(w)] -= c
         kinds[word_class(w)] -= 1
     vocab = Vocabulary(frequent, int(ends), total, distinct, tokens, kinds)
-    shared = spark.sparkContext.broadcast((vocab, train(learn, vocab).flat()))
+    coded = written(looked_up(rows, spark.sparkContext.broadcast(vocab)).withColumn("row", F.monotonically_increasing_id()), "codes")
+    shared = spark.sparkContext.broadcast((vocab, train(learn, coded.where(~F.col("held_out")), vocab).flat()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, flat = shared.value
         model = Model.fresh(vocab).like(flat)
         known = vocab.ends > 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            all_codes = _codes(batch.column("codes"))
             out = []
-            for part in text_groups(texts):
-                split = [words(t) for t in texts[part]]
-                found = [vocab.lookup(w) for w in split]
-                ctx = contexts([f[1] for f in found], vocab.start)
-                target = np.concatenate([np.append(f[2], vocab.end) for f in found])
-                log_p = model.log10_probabilities(ctx, target)
+            for part in text_groups(all_codes):
+                codes = all_codes[part]
+                log_p = model.log10_probabilities(*vocab.tokens(codes))
                 at = 0
-                for w, (rank, _, goal) in zip(split, found):
-                    n, seen = len(w), rank[rank >= 0]
-                    other = np.flatnonzero(rank < 0)
+                for code in codes:
+                    n, seen, other = len(code), code[code >= 0], code[code < 0]
                     base = vocab.base[seen].sum() + vocab.end_base - len(other) * vocab.log_all
-                    own = log_p[at:at + n + 1].sum() + (vocab.tail[seen].sum() if len(seen) else 0.0) - vocab.log_class[goal[other] - vocab.n_short - 1].sum()
-                    rare = Counter(w[i] for i in other.tolist())
-                    out.append((n + 1, len(seen) + known, float(base), float(own), list(rare.keys()), list(rare.values())))
+                    own = log_p[at:at + n + 1].sum() + (vocab.tail[seen].sum() if len(seen) else 0.0) - vocab.log_class[-1 - other].sum()
+                    out.append((n + 1, len(seen) + known, float(base), float(own)))
                     at += n + 1
-            cols = list(zip(*out)) if out else [()] * 6
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out")] + [pa.array(c, t) for c, t in zip(cols, types)], names=names)
-
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "own", "rare", "times"]
-    part = rows.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, known long, base double, own double, rare array<binary>, times array<long>")
-    part = written(part.withColumn("row", F.monotonically_increasing_id()), "scores")
-    each = part.select("row", F.explode(F.arrays_zip("rare", "times")).alias("s")).select("row", F.col("s.rare").alias("word"), F.col("s.times").alias("times"))
+            cols = list(zip(*out)) if out else [()] * 4
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keys] + [pa.array(c, k) for c, k in zip(cols, types)], names=names)
+
+    keys = ["row", "doc_id", "held_out"]
+    names = keys + ["n_tokens", "known", "base", "own"]
+    part = coded.select(*keys, "codes").mapInArrow(score, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, own double")
+    each = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("s")).select("row", F.col("s.rare").alias("word"), F.col("s.times").alias("times"))
     # words that are not in the counts at all stay without a partner
     found = (each.join(counts, "word", "left").groupBy("row")
              .agg(F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"),
                   F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("more")))
     none = lambda c: F.coalesce(c, F.lit(0))
-    return (part.drop("rare", "times").join(found, "row", "left")
+    return (part.join(found, "row", "left")
             .select("doc_id", "held_out", "n_tokens", (F.col("known") + none("more")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
                     (F.col("base") + none("logs")).alias("base_score"), (F.col("own") + none("logs")).alias("score")))

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -67,3 +68,38 @@ def test_windows_cover_the_whole_text():
     joined = b"".join(toxicity.windows(text)).replace(b" ", b"")
     assert joined == text.replace(" ", "").encode()
     assert toxicity.windows(None) == [] and toxicity.windows(" \n") == []
+
+
+def plain_score(model, text):
+    """The score of a text window by window, from the model's dictionaries and curve."""
+    import zstandard as zs
+    params = zs.ZstdCompressionParameters(
+        strategy=zs.STRATEGY_LAZY2, min_match=4, window_log=20, hash_log=17, chain_log=17, search_log=6,
+        target_length=32, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def size(content, window):
+        d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        return len(zs.ZstdCompressor(compression_params=params, dict_data=d).compress(window + b"\n" * 40))
+    words = []
+    for w in (text or "").lower().split():
+        words += [w[i:i + 32] for i in range(0, len(w), 32)]
+    evidence, strong, n = 0.0, 0, 0
+    for i in range(0, len(words), 2):
+        window = (" " + " ".join(words[i:i + 2]) + " ").encode()
+        saved = size(model.ordinary, window) - size(model.ordinary + model.toxic, window)
+        ratio = model.ratio[min(max(saved, toxicity.LOW), toxicity.HIGH) - toxicity.LOW]
+        evidence += ratio if ratio >= 1.0 else 0.0
+        strong += ratio >= 3.0
+        n += 1
+    x = [math.log1p(evidence), math.log1p(n), strong / math.sqrt(n + 1), min(strong, 3), 1.0]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.weights))))
+
+
+def test_scores_are_those_of_a_plain_recomputation(sp):
+    rows, marks = corpus(200, 4)
+    labels = sp.createDataFrame([(i, 1, m) for (i, _), m in zip(rows, marks)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs(sp, rows), labels)
+    some = rows[:12] + [(9001, ""), (9002, None), (9003, "x" * 100 + " y")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs(sp, some), model).collect()}
+    for i, t in some:
+        assert abs(got[i] - plain_score(model, t)) < 1e-9

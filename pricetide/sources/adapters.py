@@ -13,15 +13,18 @@ Both keep one observation per product per UTC day (the latest one of the
 day) and compute the change against the previous kept observation, which is
 what the daily idempotent load produces.
 
-Scale notes: the day-dedup is a row number with a group limit (every map task
-keeps one row per product and day before the shuffle, so a product holding a third
-of the rows sends a handful).  The change column is a ``lag`` window partitioned by
+Scale notes: the day-dedup of a lazy star is a row number with a group limit (every
+map task keeps one row per product and day before the shuffle, so a product holding a
+third of the rows sends a handful).  The change column is a ``lag`` window partitioned by
 product over the *deduplicated* rows, at most one row per product per day, so
-a window partition never exceeds the number of days in the history.
+a window partition never exceeds the number of days in the history.  Stored stars do both
+behind one shuffle by product (``daily_rows``) and take the group limit for products of
+very many rows only: it sorts every map task's rows, which few products need.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +39,21 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 ROW_GROUP = 20_000               # rows of a row group of the stored history: a product's rows are few
+SLOTS, HEAVY = 1 << 16, 1_000_000  # products are counted by a hash; in slots of more rows than HEAVY days are thinned first
+
+
+@dataclass
+class Observations:
+    """What a history is made from: ``rows`` (product_id, price, scraped_at, payload), the
+    columns ``order`` that rank a product's rows, and ``shape``, which makes history rows of
+    kept rows with their change columns."""
+
+    rows: DataFrame
+    order: list[str]
+    shape: Callable[[DataFrame, list[str]], DataFrame]
+
+    def history(self) -> DataFrame:
+        return self.shape(with_daily_changes(self.rows, self.order), [])
 
 
 @dataclass
@@ -49,6 +67,7 @@ class Star:
     monthly: DataFrame | None = None  # the stored history with its partition column ``month``
     latest: DataFrame | None = None  # the newest row of each product, where it is stored
     clock: DataFrame | None = None   # raw observation times (scraped_at) the history is built from
+    source: Observations | None = None
 
     @property
     def as_of(self) -> Column:
@@ -105,13 +124,15 @@ def _stored(spark: SparkSession, star: Star) -> Star:
 
     from pricetide.session import scratch_path, written
     path = scratch_path(spark, f"history-{uuid.uuid4().hex}")
-    rows = star.price_history.withColumn("month", _month(F.col("obs_date")))
-    (rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", "product_id", "scraped_at")
-         .write.option("parquet.bloom.filter.enabled#product_id", "true").option("parquet.block.row.count.limit", ROW_GROUP)
-         .partitionBy("month").parquet(path))
+    # few columns are shuffled and sorted; the others are made of them behind it
+    rows = daily_rows(star.source.rows, star.source.order).withColumn("month", _month(F.col("scraped_at")))
+    rows = rows.hint("rebalance", F.col("month")).sortWithinPartitions("month", "product_id", "scraped_at")
+    rows = star.source.shape(_changes(rows.withColumn("obs_date", F.to_date("scraped_at")), F.col("previous")), ["newest", "month"])
+    (rows.write.option("parquet.bloom.filter.enabled#product_id", "true").option("parquet.bloom.filter.expected.ndv#product_id", ROW_GROUP)
+         .option("parquet.block.row.count.limit", ROW_GROUP).partitionBy("month").parquet(path))
     back = spark.read.schema(rows.schema).parquet(path)
-    history = back.drop("month")
-    latest = bucketed(newest_per_group(history, ["product_id"], ["scraped_at", "id"]), "latest", "product_id")
+    newest, back = back.where("newest").drop("newest", "month"), back.drop("newest")
+    history, latest = back.drop("month"), bucketed(newest, "latest", "product_id")
     # small tables of known size: the planner broadcasts them while they are small
     return Star(written(star.stores, "stores"), written(star.categories, "categories"), bucketed(star.products, "products", "id"), history, back, latest)
 
@@ -147,9 +168,32 @@ def with_daily_changes(obs: DataFrame, order_cols: list[str]) -> DataFrame:
     day = newest_per_group(obs.withColumn("obs_date", F.to_date("scraped_at")), ["product_id", "obs_date"],
                            order_cols)
     w = Window.partitionBy("product_id").orderBy("scraped_at")
-    prev = F.lag("price").over(w)
-    return (day.withColumn("price_change", price_change(F.col("price"), prev))
-               .withColumn("price_change_pct", price_change_pct(F.col("price"), prev)))
+    return _changes(day, F.lag("price").over(w))
+
+
+def _changes(day: DataFrame, previous: Column) -> DataFrame:
+    return (day.withColumn("price_change", price_change(F.col("price"), previous))
+               .withColumn("price_change_pct", price_change_pct(F.col("price"), previous)))
+
+
+def daily_rows(obs: DataFrame, order_cols: list[str], heavy: int = HEAVY) -> DataFrame:
+    """The rows that ``with_daily_changes`` keeps, with ``previous`` (the price of the kept day
+    before) and ``newest`` (the product's last row), behind one shuffle by product.
+
+    Rows are counted by a hash of the product first (no row is shuffled for it).  Products
+    that share a slot of more than ``heavy`` rows are thinned to one row per day by a group
+    limit, map-side, so that no window partition holds more than that or a row per day."""
+    slot = F.pmod(F.hash("product_id"), F.lit(SLOTS))
+    counted = obs.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    over = [r["slot"] for r in counted.where(F.col("n") > int(heavy)).collect()]      # SLOTS numbers at most
+    day = F.to_date("scraped_at")
+    if over:
+        thinned = newest_per_group(obs.where(slot.isin(over)).withColumn("__day", day), ["product_id", "__day"], order_cols)
+        obs = obs.where(~slot.isin(over)).unionByName(thinned.drop("__day"))
+    w = Window.partitionBy("product_id").orderBy(*order_cols)
+    rows = obs.withColumn("newest", F.lead(F.lit(1)).over(w).isNull()).withColumn("__next", F.lead(day).over(w))
+    kept = rows.where(F.col("newest") | ~day.eqNullSafe(F.col("__next"))).drop("__next")
+    return kept.withColumn("previous", F.lag("price").over(w))
 
 
 def _event_type_no(c: Column) -> Column:
@@ -219,13 +263,14 @@ def _events_star(spark: SparkSession, sf_dir: str, src: DataFrame) -> Star:
                           (F.col("user_id") % 3 + 1).alias("store_id"),
                           "created_at"))
     obs = ev.select("product_id", F.col("event_id").alias("id"), F.col("value").alias("price"),
-                    F.lit(K.BASE_CURRENCY).alias("currency"),
                     (F.col("event_type") != "error").alias("availability"),
                     F.col("ts").alias("scraped_at"))
-    ph = with_daily_changes(obs, ["scraped_at", "id"])
-    ph = ph.select("id", "product_id", "price", "currency", "availability", "price_change",
-                   "price_change_pct", "scraped_at", "obs_date")
-    return Star(stores_dim(spark), categories, products, ph, clock=obs.select("scraped_at"))
+
+    def shape(rows: DataFrame, more: list[str]) -> DataFrame:
+        return rows.select("id", "product_id", "price", F.lit(K.BASE_CURRENCY).alias("currency"), "availability", "price_change",
+                           "price_change_pct", "scraped_at", "obs_date", *more)
+    source = Observations(obs, ["scraped_at", "id"], shape)
+    return Star(stores_dim(spark), categories, products, source.history(), clock=obs.select("scraped_at"), source=source)
 
 
 def retail_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -266,14 +311,15 @@ def _retail_star(spark: SparkSession, sf_dir: str) -> Star:
     obs = obs_full.select(
         "product_id", "l_orderkey", "l_linenumber",
         F.col("l_shipdate").alias("scraped_at"),
-        round2(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("price"),
-        F.lit(K.BASE_CURRENCY).alias("currency"), F.lit(True).alias("availability"))
-    ph = with_daily_changes(obs, ["scraped_at", "l_orderkey", "l_linenumber"])
-    # one row per product and day is left, so the two make the history's key
-    day = F.datediff("obs_date", F.lit("1970-01-01").cast("date"))
-    ph = ph.select((F.col("product_id") * 100_000 + day).alias("id"), "product_id", "price",
-                   "currency", "availability", "price_change", "price_change_pct", "scraped_at", "obs_date")
-    return Star(stores, categories, products, ph, clock=obs.select("scraped_at"))
+        round2(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("price"))
+
+    def shape(rows: DataFrame, more: list[str]) -> DataFrame:
+        # one row per product and day is left, so the two make the history's key
+        day = F.datediff("obs_date", F.lit("1970-01-01").cast("date"))
+        return rows.select((F.col("product_id") * 100_000 + day).alias("id"), "product_id", "price", F.lit(K.BASE_CURRENCY).alias("currency"),
+                           F.lit(True).alias("availability"), "price_change", "price_change_pct", "scraped_at", "obs_date", *more)
+    source = Observations(obs, ["scraped_at", "l_orderkey", "l_linenumber"], shape)
+    return Star(stores, categories, products, source.history(), clock=obs.select("scraped_at"), source=source)
 
 
 ADAPTERS = {"e": events_star, "r": retail_star}

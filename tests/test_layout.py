@@ -70,3 +70,48 @@ def test_new_files_are_seen_after_forget(spark, tmp_path):
     assert S.events_star(spark, folder).price_history.count() == first
     S.forget(spark, folder)
     assert S.events_star(spark, folder).price_history.count() > first
+
+
+OBS = "product_id long, price double, scraped_at timestamp_ntz, event_id long"
+
+
+def _observations(spark):
+    """Days of several rows, ties, missing times and products, one product of many rows."""
+    from datetime import datetime
+    at = lambda d, h: datetime(2024, 1, d, h)
+    data = [(1, 10.0, at(1, 1), 1), (1, 11.0, at(1, 5), 2), (1, 12.0, at(1, 5), 3), (1, 9.0, at(3, 0), 4), (2, None, at(1, 0), 5),
+            (2, 5.0, at(2, 0), 6), (3, 1.0, None, 7), (3, 2.0, None, 8), (3, 4.0, at(1, 0), 9), (None, 7.0, at(1, 0), 10),
+            (None, 8.0, at(2, 0), 11), (None, 6.0, at(2, 0), None), (4, 3.0, None, None)]
+    data += [(5, float(k % 7 + 1), at(k % 28 + 1, k % 24), 100 + k) for k in range(300)]
+    return spark.createDataFrame(data, OBS)
+
+
+@pytest.mark.parametrize("heavy", [S.HEAVY, 100, 0])
+def test_stored_rows_are_the_daily_changes(spark, heavy):
+    obs, order = _observations(spark), ["scraped_at", "event_id"]
+    want = S.with_daily_changes(obs, order)
+    kept = S.daily_rows(obs, order, heavy)
+    got = S._changes(kept.withColumn("obs_date", F.to_date("scraped_at")), F.col("previous")).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    newest = S.newest_per_group(want, ["product_id"], order).select(*obs.columns)
+    flagged = kept.where("newest").select(*obs.columns)
+    assert flagged.exceptAll(newest).isEmpty() and newest.exceptAll(flagged).isEmpty()
+
+
+def test_stored_rows_take_one_shuffle_by_product(spark):
+    """No sort before the shuffle, and the days' and the products' windows share it."""
+    kept = S.daily_rows(_observations(spark), ["scraped_at", "event_id"])
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" not in text and text.count("Sort [") == 1
+    thinned = S.daily_rows(_observations(spark), ["scraped_at", "event_id"], 100)
+    assert "WindowGroupLimit" in thinned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bloom_filters_of_the_history_fit_its_row_groups(spark, monkeypatch):
+    """A filter is as large as a row group's products need, not a megabyte each."""
+    import glob
+    import os
+    monkeypatch.setattr(S, "ROW_GROUP", 500)
+    star = S._stored(spark, S._events_star(spark, SF01, spark.read.parquet(f"{SF01}/events.parquet")))
+    files = [f.split(":", 1)[1] for f in star.price_history.inputFiles()]
+    assert files and sum(os.path.getsize(f) for f in files) < 100 * star.price_history.count() + 20_000 * len(files)

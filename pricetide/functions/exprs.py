@@ -17,7 +17,7 @@ __all__ = [
     "round2", "round4", "round_n", "price_change", "price_change_pct", "iso_weekday",
     "weekday_name", "WS_CLASS", "strip_ws", "clean_name", "listing_name", "KEEP_CLASS",
     "parse_price", "join_price_parts", "absolutize_url", "canonical_url", "extract_sku",
-    "clamp", "in_range", "parse_scraped_at", "null_if_blank", "contains_any", "with_computed",
+    "clamp", "in_range", "parse_scraped_at", "null_if_blank", "contains_any", "with_computed", "with_clean_name",
 ]
 
 # Python's notion of whitespace (str.isspace), written as a regex class both
@@ -26,6 +26,11 @@ WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # characters a product name may keep (see constants.NAME_KEEP_RANGES)
 KEEP_CLASS = "".join(r"\x{%X}-\x{%X}" % (lo, hi) for lo, hi in K.NAME_KEEP_RANGES)
+# all others; Java searches a class of ranges several times as fast as a negated one
+DROP_CLASS = "".join(r"\x{%X}-\x{%X}" % (hi + 1, lo - 1) for (_, hi), (lo, _) in zip(
+    [(0, -1), *K.NAME_KEEP_RANGES], [*K.NAME_KEEP_RANGES, (0x110000, 0)]) if hi + 1 < lo)
+# printable ASCII words with one space between them: nothing to strip, collapse or drop
+PLAIN_TEXT = r"^[!-~]++(?: [!-~]++)*+\z"
 
 
 def round_n(c: Column, digits: int) -> Column:
@@ -79,17 +84,24 @@ def _capital_first(cleaned: Column, finish) -> Column:
     return F.transform(F.array(cleaned), lambda s: finish(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))))[0]
 
 
+def _kept_text(c: Column) -> Column:
+    """strip -> collapse whitespace -> drop code points < 32 -> drop characters outside the
+    kept ranges (which hold all printable ASCII, so a plain text stays as it is)."""
+    text = c.cast("string")
+    s = F.regexp_replace(strip_ws(text), f"{WS_CLASS}+", " ")
+    # code points < 32 lie outside the kept ranges, so the control-character
+    # step and the kept-ranges step are one deletion pass
+    return F.when(text.rlike(PLAIN_TEXT), text).otherwise(F.regexp_replace(s, f"[{DROP_CLASS}]", ""))
+
+
 def clean_name(c: Column, max_chars: int = K.NAME_MAX_CHARS) -> Column:
     """Cleaning-side name normaliser; returns '' for names that must be dropped.
 
     strip -> collapse whitespace -> drop code points < 32 -> drop characters outside
     the kept ranges -> upper-case the first character only -> first ``max_chars``.
+    Over a table's rows use ``with_clean_name``.
     """
-    s = F.regexp_replace(strip_ws(c.cast("string")), f"{WS_CLASS}+", " ")
-    # code points < 32 lie outside the kept ranges, so the control-character
-    # step and the kept-ranges step are one deletion pass
-    s = F.regexp_replace(s, f"[^{KEEP_CLASS}]", "")
-    return _capital_first(s, lambda x: F.substring(x, 1, max_chars))
+    return _capital_first(_kept_text(c), lambda x: F.substring(x, 1, max_chars))
 
 
 def listing_name(c: Column, max_chars: int = K.LISTING_NAME_MAX) -> Column:
@@ -241,3 +253,12 @@ def with_computed(df, cols: dict):
     struct = F.struct(*[c.alias(n) for n, c in cols.items()])
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, F.inline(F.array(struct)))
+
+
+def with_clean_name(df, col: str, max_chars: int = K.NAME_MAX_CHARS, more: dict | None = None):
+    """``with_computed`` of ``clean_name`` and of the columns ``more``.  A lambda function would
+    leave the whole step to interpreted expressions, so the first character is raised behind
+    the computed column, where using it twice costs no second cleaning."""
+    d = with_computed(df, {col: _kept_text(F.col(col)), **(more or {})})
+    raised = F.concat(F.upper(F.substring(col, 1, 1)), F.substring(col, 2, 1 << 30))
+    return d.withColumn(col, F.substring(raised, 1, max_chars))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide import constants as K
-from pricetide.functions import clamp, clean_name, in_range, parse_scraped_at, round2, strip_ws, with_computed
+from pricetide.functions import clamp, in_range, parse_scraped_at, round2, strip_ws, with_clean_name
 from pricetide.session import checkpoint_dir
 
 
@@ -41,7 +41,7 @@ def normalize_names(df: DataFrame, col: str = "name", max_chars: int | None = K.
     """Clean the name column and drop rows whose cleaned name is empty
     (NULL names are dropped as well).  ``max_chars`` is the length limit of product
     names; None keeps whole texts."""
-    return (with_computed(df, {col: clean_name(F.col(col), (1 << 30) if max_chars is None else max_chars)})
+    return (with_clean_name(df, col, (1 << 30) if max_chars is None else max_chars)
             .filter(F.length(F.col(col)) > 0).select(*df.columns))
 
 
@@ -68,24 +68,29 @@ def map_stores(df: DataFrame, stores=K.STORES, aliases=K.STORE_ALIASES) -> DataF
 def convert_currencies(df: DataFrame, rate: float = K.USD_TO_MXN) -> DataFrame:
     """C4: keep ``price_original``; USD (any case) -> price * rate rounded to
     cents and currency 'MXN'; MXN (any case) untouched; others dropped."""
-    cur = F.upper(F.col("currency"))
-    usd = cur == "USD"
+    return in_base_currency(df.filter(F.upper(F.col("currency")).isin(*K.SUPPORTED_CURRENCIES)), rate)
+
+
+def in_base_currency(df: DataFrame, rate: float = K.USD_TO_MXN) -> DataFrame:
+    """The conversion of C4 alone: rows of other currencies stay as they are."""
+    usd = F.upper(F.col("currency")) == "USD"
     return (df.withColumn("price_original", F.col("price"))
-              .filter(cur.isin(*K.SUPPORTED_CURRENCIES))
               .withColumn("price", F.when(usd, round2(F.col("price") * F.lit(float(rate)))).otherwise(F.col("price")))
               .withColumn("currency", F.when(usd, F.lit(K.BASE_CURRENCY)).otherwise(F.col("currency"))))
 
 
-def dedup_by_name(df: DataFrame) -> DataFrame:
+def dedup_by_name(df: DataFrame, also: list[str] = (), counts: dict[str, Column] | None = None) -> DataFrame:
     """One row per (name, store_id): newest scraped_at, then lowest price
-    (remaining ties: highest sku, url, brand, currency)."""
-    cols = [c for c in df.columns if c not in ("name", "store_id")]
+    (remaining ties: highest sku, url, brand, currency).  Columns ``also`` belong to the key
+    too; the aggregates ``counts`` are taken over all rows of a key."""
+    key, counts = ["name", "store_id", *also], counts or {}
+    cols = [c for c in df.columns if c not in key]
     order = F.struct(F.col("scraped_at"), -F.col("price"), F.col("sku"), F.col("url"), F.col("brand"),
                      F.col("currency"))
-    return (df.groupBy("name", "store_id")
-              .agg(F.max_by(F.struct(*cols), order).alias("r"))
-              .select("name", "store_id", "r.*")
-              .select(*df.columns))
+    return (df.groupBy(*key)
+              .agg(F.max_by(F.struct(*cols), order).alias("r"), *[c.alias(n) for n, c in counts.items()])
+              .select(*key, "r.*", *counts)
+              .select(*df.columns, *counts))
 
 
 def dedup_by_url(df: DataFrame) -> DataFrame:
@@ -144,28 +149,40 @@ def dedup_flagged(flagged: DataFrame, rate: float = K.USD_TO_MXN) -> DataFrame:
     return dedup_by_url(dedup_by_name(convert_currencies(staged, rate)))
 
 
-def clean_observed(raw: DataFrame, rate: float = K.USD_TO_MXN, more: list[Column] = ()) -> tuple[DataFrame, dict]:
-    """C9 with its C10 counters taken in the same passes (``Dataset.observe``): the cleaned
-    rows, and the counters with ``more`` aggregates over the flagged rows.
+def clean_observed(raw: DataFrame, rate: float = K.USD_TO_MXN, cols: list[str] | None = None) -> tuple[DataFrame, dict]:
+    """C9 with its C10 counters: the cleaned rows (``cols`` of them; default: all), and the
+    counters with what each store (from_<store>) and each of its categories
+    (from_<store>_<category>) delivered.
 
-    Both observations sit in the last stage of a write, where Spark counts each task once,
-    retries or not; no row is read again to be counted."""
+    C5's aggregate counts the rows that it puts together, and those that C1-C4 drop are a
+    few more keys of it (their name is NULL), so the raw rows pass once, none is written
+    before it is thinned, and the sums are exact when tasks are repeated.  The counters of
+    C6 and C7 are observed in the last stage of a write, where Spark counts each task once."""
     from pyspark.sql import Observation
     from pricetide.session import written
-    rows, kept = Observation(), Observation()
-    flagged = written(flag_stateless(raw).observe(rows, *row_counts(), *more), "flagged")
-    data = written(validate_prices(dedup_flagged(flagged, rate).observe(kept, *dedup_counts())), "cleaned")
-    n = {**rows.get, **kept.get}
+    kept, ok = Observation(), F.expr(" AND ".join(FLAGS))
+    rows = in_base_currency(flag_stateless(raw).withColumn("__usd", F.coalesce(F.upper("currency") == "USD", F.lit(False))), rate)
+    cols = cols or [c for c in rows.columns if c not in (*FLAGS, "__usd")]
+    rows = rows.select(*cols, *FLAGS, "__usd").withColumn("name", F.when(ok, F.col("name")))
+    counts = {"__rows": F.count(F.lit(1)), "__converted": F.count_if("__usd"),
+              **{f"__of_{c}": F.count_if(F.col("category_id") == c) for c in category_ids().values()}}
+    named = written(dedup_by_name(rows, FLAGS, counts), "named")
+    n = named.agg(*row_counts("__rows", "__converted"), *delivered_counts()).first().asDict()
+    deduped = dedup_by_url(named.where(ok).select(*cols))
+    data = written(validate_prices(deduped.observe(kept, *dedup_counts())), "cleaned")
+    n |= kept.get
     n["duplicates_removed"] = n["rows_after_currency"] - n["rows_after_dedup"]
     n["rows_after_validation"] = n["rows_output"]
     return data, n
 
 
+FLAGS = ["__name_ok", "__cat_ok", "__store_ok", "__cur_ok"]
+
+
 def flag_stateless(raw: DataFrame) -> DataFrame:
     """Row-wise outcome of the stateless steps C1-C4 as boolean flags (names,
     ids and the cleaned name are computed once)."""
-    d = with_computed(raw, {
-        "name": clean_name(F.col("name")),
+    d = with_clean_name(raw, "name", more={
         "category_id": lookup_id(F.col("category"), category_ids(), K.CATEGORY_ALIASES),
         "store_id": lookup_id(F.col("store_name"), store_ids(), K.STORE_ALIASES)})
     return d.select("*", F.coalesce(F.length("name") > 0, F.lit(False)).alias("__name_ok"),
@@ -174,17 +191,32 @@ def flag_stateless(raw: DataFrame) -> DataFrame:
                     F.coalesce(F.upper("currency").isin(*K.SUPPORTED_CURRENCIES), F.lit(False)).alias("__cur_ok"))
 
 
-def row_counts() -> list[Column]:
-    """C10 counters over the rows of ``flag_stateless``."""
-    n, c, s, cu = (F.col(x) for x in ("__name_ok", "__cat_ok", "__store_ok", "__cur_ok"))
-    return [F.count(F.lit(1)).alias("rows_input"),
-            F.count_if(n).alias("rows_after_normalize"),
-            F.count_if(n & ~c).alias("unmapped_categories"),
-            F.count_if(n & c).alias("rows_after_category_map"),
-            F.count_if(n & c & ~s).alias("unmapped_stores"),
-            F.count_if(n & c & s).alias("rows_after_store_map"),
-            F.count_if(n & c & s & (F.upper("currency") == "USD")).alias("prices_converted"),
-            F.count_if(n & c & s & cu).alias("rows_after_currency")]
+def _total(number: str, where: Column) -> Column:
+    return F.coalesce(F.sum(F.when(where, F.col(number))), F.lit(0)).cast("bigint")
+
+
+def row_counts(rows: str | None = None, converted: str | None = None) -> list[Column]:
+    """C10 counters over the rows of ``flag_stateless``, or over groups of them, whose columns
+    ``rows`` and ``converted`` hold the number of all rows and of those in USD."""
+    n, c, s, cu = (F.col(x) for x in FLAGS)
+    some = lambda where: F.count_if(where) if rows is None else _total(rows, where)
+    usd = F.count_if(n & c & s & (F.upper("currency") == "USD")) if converted is None else _total(converted, n & c & s)
+    return [some(F.lit(True)).alias("rows_input"),
+            some(n).alias("rows_after_normalize"),
+            some(n & ~c).alias("unmapped_categories"),
+            some(n & c).alias("rows_after_category_map"),
+            some(n & c & ~s).alias("unmapped_stores"),
+            some(n & c & s).alias("rows_after_store_map"),
+            usd.alias("prices_converted"),
+            some(n & c & s & cu).alias("rows_after_currency")]
+
+
+def delivered_counts() -> list[Column]:
+    """What each store, and each of its categories, delivered: a fixed number of counters over
+    the groups of ``clean_observed``."""
+    cats, stores = category_ids().values(), store_ids().values()
+    return [_total(f"__of_{c}", F.col("store_id") == i).alias(f"from_{i}_{c}") for i in stores for c in cats] + [
+        _total("__rows", F.col("store_id") == i).alias(f"from_{i}") for i in stores]
 
 
 def dedup_counts() -> list[Column]:

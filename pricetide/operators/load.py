@@ -423,8 +423,8 @@ def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
     (idempotent), and repeating an older run is an error.  The same batch as a new run
     changes nothing but the version number.
 
-    Found, clean, cleaner and calculator counters are observed while the rows pass; nothing
-    is read again to be counted.  ``source_errors`` (store name -> text) tells which
+    Found, clean, cleaner and calculator counters are taken by the steps that pass the rows
+    (``clean_observed``); no raw row is read again to be counted.  ``source_errors`` (store name -> text) tells which
     extractions failed.  Returns the run log row, which is also written to
     ``state_root/pipeline_logs`` (S6); ``run_summaries`` reads the summaries.  Where the
     state can't be opened the row says so (failure) and nothing is written."""
@@ -446,20 +446,17 @@ def run_etl(spark: SparkSession, raw: DataFrame, state_root: str, run_id: int,
     except (Py4JJavaError, PySparkException) as e:
         text = f"status {K.RUN_STATUS_FAILURE} | state not opened: {str(e).splitlines()[0]}"[:K.LOG_MESSAGE_MAX]
         return spark.createDataFrame([(int(run_id), process_name, K.RUN_STATUS_FAILURE, text, elapsed(), 0, 0, 0, None)], LOG)
-    # what each source, and each category of a source, delivered: a fixed number of counters
     stores, cats = [(int(i), n) for i, n, *_ in K.STORES], [int(i) for i, *_ in K.CATEGORIES]
-    delivered = [F.count_if((F.col("store_id") == i) & (F.col("category_id") == c)).alias(f"from_{i}_{c}") for i, _ in stores for c in cats]
-    delivered += [F.count_if(F.col("store_id") == i).alias(f"from_{i}") for i, _ in stores]
     times = F.try_to_timestamp(F.col("scraped_at"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-    cleaned, n = clean_observed(raw, rate, delivered)
+    cols = ["name", "store_id", "category_id", "brand", "url", "sku", "price", "currency", "availability", "scraped_at"]
+    cleaned, n = clean_observed(raw, rate, cols)
     run_time = F.lit(cleaned.agg(F.max(times)).first()[0]).cast("timestamp_ntz")
     seen = Observation()
     cleaned = cleaned.withColumn("scraped_at", parse_scraped_at(F.col("scraped_at"), run_time))
     changed = batch_changes(cleaned, ["name", "store_id"], ["scraped_at", "price", "url"])
     batch = written(changed.observe(seen, *change_counts()), "batch").drop("price_change", "price_change_pct")
     calculated = seen.get
-    merged = state.merge(batch.select("name", "store_id", "category_id", "brand", "url", "sku", "price", "currency",
-                                      "availability", "scraped_at"), run_time, version, run_id)
+    merged = state.merge(batch.select(*cols), run_time, version, run_id)
     per_source = spark.createDataFrame([(i, name, n[f"from_{i}"]) for i, name in stores], "store_id bigint, store_name string, products bigint")
     per_cat = spark.createDataFrame([(name, c, n[f"from_{i}_{c}"]) for i, name in stores for c in cats],
                                     "store_name string, category_id bigint, products bigint")

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from pricetide.operators import cleaning as CL
@@ -83,3 +85,60 @@ def test_damaged_records_are_rejects(spark, tmp_path):
     assert damaged.count() == 3 and ok.count() == 3
     got = {r.reject_reason: r.rows for r in CL.reject_summary(CL.rejects(ok, damaged)).collect()}
     assert got == {"malformed_record": 3, "unmapped_category": 1}
+
+
+def test_row_wise_cleaning_is_compiled(spark):
+    """A lambda function would leave the row-wise steps to interpreted expressions."""
+    text = CL.flag_stateless(_raw(spark, [{"name": "gpu"}]))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in text and "lambda" not in text
+
+
+def test_cleaned_names_are_the_plain_ones(spark):
+    """The compiled steps against plain Python, over thousands of characters in and around a name."""
+    from pricetide import constants as K
+    from pricetide.functions import clean_name, with_clean_name
+    chars = [chr(i) for i in (*range(0x3100), *range(0xA700, 0xA800), *range(0xFF00, 0x10100))]
+    texts = [None, "", " ", "a", "plain words here", "two  spaces", "é à", "~!", "tail ", "line\n", "x" * 400, "w " * 5000,
+             *[f"a{c}b" for c in chars], *[f"{c}b {c}" for c in chars]]
+
+    def plain(s):
+        s = re.sub(r"\s+", " ", s.strip())
+        return "".join(c for c in s if any(lo <= ord(c) <= hi for lo, hi in K.NAME_KEEP_RANGES))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, name string")
+    got = with_clean_name(df.withColumn("was", clean_name(F.col("name"), 20_000)), "name", 20_000).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = texts[r.i] if texts[r.i] is None else plain(texts[r.i])
+        assert r.name == r.was and (r.name is None) == (want is None)
+        if want is not None:                      # Python may know other capitals than Java
+            assert r.name == want[:1].upper() + want[1:] if want[:1].isascii() else r.name.endswith(want[1:])
+
+
+def test_observed_cleaning_counts_without_writing_the_raw_rows(spark):
+    """Rows are thinned before they are written; the counters are those of the whole chain."""
+    import glob
+
+    from pricetide.session import checkpoint_dir
+    recs = [{"name": f"gpu {i % 5}", "price": 1500.0 + i, "currency": ("MXN", "usd", "EUR", None, "mxn")[i % 5],
+             "category": ("GPUs", "cpu", "nothing", None)[i % 4], "store_name": ("Temu", " ML ", "Amazon")[i % 3], "url": ("", "/u", None)[i % 3]}
+            for i in range(600)] + [{"name": n} for n in (None, "", " ", "😀") for _ in range(50)] + [{"name": "gpu 1", "price": 1.0, "scraped_at": "2025-01-01 00:00:00"}]
+    raw = _raw(spark, recs)
+    tables = lambda: set(glob.glob(f"{checkpoint_dir(spark)}/*"))
+    before = tables()
+    data, n = CL.clean_observed(raw)
+    written = sum(spark.read.parquet(t).count() for t in tables() - before if glob.glob(f"{t}/*.parquet"))
+    whole = CL.clean_all(raw)
+    assert {c: n[c] for c in CL.METRICS} == whole.metrics.first().asDict()
+    assert rows(data.select("name", "store_id", "price")) == rows(whole.data.select("name", "store_id", "price"))
+    assert set(data.columns) == set(whole.data.columns)
+    assert written < 150 < len(recs)
+    flagged = CL.flag_stateless(raw)
+    for i in (1, 2, 3):
+        assert n[f"from_{i}"] == flagged.where(F.col("store_id") == i).count()
+        for c in range(1, 8):
+            assert n[f"from_{i}_{c}"] == flagged.where((F.col("store_id") == i) & (F.col("category_id") == c)).count()
+
+
+def test_observed_cleaning_of_nothing(spark):
+    data, n = CL.clean_observed(spark.createDataFrame([], RAW_SCHEMA), cols=["name", "store_id", "category_id", "brand", "url", "sku", "price", "currency", "scraped_at"])
+    assert data.count() == 0 and set(n.values()) == {0}
